@@ -56,6 +56,13 @@ def unicode_strip(text) -> Column:
     return F.regexp_replace(_c(text), f"^{WS_RUN}|{WS_RUN}$", "")
 
 
+def let(value: Column, body) -> Column:
+    """Bind ``value`` once and evaluate ``body(value)``: the value is computed a
+    single time per row even when ``body`` uses it several times (a one-element
+    ``transform`` acts as a let-binding inside one expression)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def words(text) -> Column:
     """Whitespace tokens exactly as Python's ``str.split()`` (no empties)."""
     parts = F.split(F.coalesce(_c(text), F.lit("")), WS_RUN)
@@ -64,18 +71,15 @@ def words(text) -> Column:
 
 def repetition_ratio(text) -> Column:
     """T-2: 1 - distinct words / words; 0 when there are no words."""
-    w = words(text)
-    n = F.size(w)
-    return F.when(n > 0, F.lit(1.0) - F.size(F.array_distinct(w)) / n).otherwise(F.lit(0.0))
+    return let(words(text), lambda w: F.when(
+        F.size(w) > 0, F.lit(1.0) - F.size(F.array_distinct(w)) / F.size(w)).otherwise(F.lit(0.0)))
 
 
-def _array_var_pop(arr: Column) -> Column:
-    """Population variance of a numeric array, two-pass (mean first)."""
-    n = F.size(arr)
-    total = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
-    mean = total / n
-    sq = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean))
-    return sq / n
+def _var_pop_of(arr: Column, total: Column) -> Column:
+    """Population variance of a numeric array whose sum is known, two-pass
+    (mean first, then squared deviations) like numpy's ``var``."""
+    return let(total / F.size(arr), lambda mean: F.aggregate(
+        arr, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean)) / F.size(arr))
 
 
 def ai_likeness(text, single_segment_var: float | None = None) -> Column:
@@ -86,16 +90,18 @@ def ai_likeness(text, single_segment_var: float | None = None) -> Column:
         (None -> test false, the news variant; 0.0 -> test true, video variant)
     (b) count of ``[.!?]`` / (count of ``.`` + 1) > 0.8
     (c) no emotional marker and length > 50
+
+    The segment-length array is built once per row; its sum is the number of
+    non-dot characters, so only the squared deviations need a pass.
     """
     t = F.coalesce(_c(text), F.lit(""))
-    seg_len = F.transform(F.filter(F.split(t, "\\.", -1), lambda s: F.length(s) > 0),
-                          lambda s: F.length(s).cast("double"))
-    n = F.size(seg_len)
     fallback = F.lit(None).cast("double") if single_segment_var is None else F.lit(float(single_segment_var))
-    var = F.when(n > 1, _array_var_pop(seg_len)).otherwise(fallback)
+    dots = F.regexp_count(t, F.lit("\\."))
+    seg_len = F.transform(F.regexp_extract_all(t, F.lit("([^.]+)"), 1), lambda s: F.length(s).cast("double"))
+    non_dot = (F.length(t) - dots).cast("double")
+    var = let(seg_len, lambda L: F.when(F.size(L) > 1, _var_pop_of(L, non_dot)).otherwise(fallback))
     a = F.coalesce((var < 50).cast("double"), F.lit(0.0))
     punct = F.regexp_count(t, F.lit("[.!?]"))
-    dots = F.regexp_count(t, F.lit("\\."))
     b = ((punct / (dots + 1)) > 0.8).cast("double")
     c = ((~t.rlike(EMOTION_PATTERN)) & (F.length(t) > 50)).cast("double")
     return (a + b + c) / 3.0

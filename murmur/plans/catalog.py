@@ -153,3 +153,7 @@ def q_sort_comments(spark, sf_dir):
     """K-1: comments ordered by (author nulls last, ts, id) — a range-partitioned sort."""
     c = FX.comments(spark, sf_dir)
     return c.orderBy(F.asc_nulls_last(B.AUTHOR), "comment_published", "comment_id").select(*COMMENT_COLS)
+
+
+# domain registries (import for their side effect of registering)
+from murmur.plans import q_sources  # noqa: E402,F401

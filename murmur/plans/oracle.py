@@ -24,7 +24,7 @@ def q(s: str) -> str:
 # ---------------------------------------------------------------------------
 # Fixture CTEs
 # ---------------------------------------------------------------------------
-def comments_cte(overlay: bool = True) -> str:
+def comments_cte(overlay: bool = True, name: str = "comments") -> str:
     if overlay:
         pub = (f"CASE WHEN e.user_id % 10 IN (0, 2) THEN TIMESTAMP '{FX.OVERLAY_START}' + "
                f"to_seconds({FX.OVERLAY_STEP_SEC} * row_number() OVER (PARTITION BY e.user_id ORDER BY d.doc_id)) "
@@ -33,7 +33,7 @@ def comments_cte(overlay: bool = True) -> str:
                "WHEN e.user_id % 10 = 1 THEN substr(d.text, 1, 120) ELSE d.text END")
     else:
         pub, txt = "CAST(e.ts AS TIMESTAMP)", "d.text"
-    return f"""comments AS (
+    return f"""{name} AS (
   SELECT comment_id, comment_author_id, comment_published, comment_text, channel,
          strftime(comment_published, '%m%d') || '_' || strftime(comment_published, '%m%d') AS time_label
   FROM (SELECT d.doc_id AS comment_id, e.user_id AS comment_author_id,

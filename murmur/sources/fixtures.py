@@ -131,3 +131,75 @@ __all__ = [
     "table", "comments", "candidates", "candidate_names", "sentiment_classes", "polls",
     "ranges", "POLL_RANGES", "train_text", "pages", "day_label", "T",
 ]
+
+
+# ---------------------------------------------------------------------------
+# Topic assignments, clustered comments, sentiment detail
+# ---------------------------------------------------------------------------
+FIXTURE_METHOD = "fixture"
+FIXTURE_MODEL_PATH = "labels"
+DIST_DIMS = 10
+EMBEDDING_DIM = 10
+OUTLIER_LABEL = 0      # embeddings.label 0 plays the outlier topic (-1)
+
+
+def _embeddings(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("embedding"), "label")
+
+
+def topic_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments (no overlay) joined to ``embeddings`` on comment_id = vec_id:
+    the topic id is ``label`` (label 0 becomes the outlier topic -1), the
+    comment vector ``embedding``."""
+    c = comments(spark, sf_dir, overlay=False)
+    e = _embeddings(spark, sf_dir)
+    topic = F.when(F.col("label") == OUTLIER_LABEL, F.lit(-1)).otherwise(F.col("label")).cast("int")
+    return c.join(e, c.comment_id == e.vec_id).select(
+        "comment_id", "time_label", "comment_text", "channel", topic.alias("topic_id"), "embedding")
+
+
+def topic_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic-assignment contract over the testdata (plus ``embedding`` and
+    ``channel``): keywords are each topic's five most frequent lower-cased
+    letter tokens (count desc, term asc); the document's topic distribution is
+    the L1-normalised absolute value of its first ten vector elements."""
+    from murmur.operators import topics as TP
+    base = topic_base(spark, sf_dir)
+    toks = TP.doc_tokens(base, "topic_id", "comment_text", T.LETTER_TOKEN, lower=True)
+    counts = toks.groupBy("topic_id", "term").agg(F.count("*").alias("weight"))
+    kw = TP.keyword_map(TP.top_words(counts, TP.TOP_K_KEYWORDS))
+    d = F.transform(F.slice("embedding", 1, DIST_DIMS), lambda x: F.abs(x))
+    dist = T.let(d, lambda a: F.transform(a, lambda x: x / F.aggregate(a, F.lit(0.0), lambda s, y: s + y)))
+    out = base.withColumn("topic_prob", T.topic_probability(F.col("topic_id"), dist))
+    return (TP.keyword_lookup(out, kw)
+            .withColumn("topic_method", F.lit(FIXTURE_METHOD))
+            .select("comment_id", "time_label", "comment_text", "topic_id", "topic_prob", "topic_keywords",
+                    "topic_method", "embedding", "channel"))
+
+
+def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from murmur.operators.clustering import cluster_topic_pairs
+    return cluster_topic_pairs(topic_assignments(spark, sf_dir), candidates(spark, sf_dir))
+
+
+def sentiment_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clustered comments with a sentiment class (inner join on the labels)."""
+    return clustered(spark, sf_dir).join(sentiment_classes(spark, sf_dir), "comment_id")
+
+
+def sentiment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from murmur.operators.sentiment import sentiment_summary as summarize
+    return summarize(sentiment_detail(spark, sf_dir), FIXTURE_MODEL_PATH)
+
+
+def cluster_vectors(spark: SparkSession, sf_dir: str, dim: int = EMBEDDING_DIM) -> DataFrame:
+    """Cluster vector = mean of its member comments' vectors, first ``dim`` elements."""
+    from murmur.operators.forecast import cluster_vectors_from_members
+    cl = clustered(spark, sf_dir)
+    return cluster_vectors_from_members(cl, cl.select("comment_id", "embedding"), dim=dim)
+
+
+def entity_period(spark: SparkSession, sf_dir: str, dim: int = EMBEDDING_DIM) -> DataFrame:
+    from murmur.operators.forecast import entity_period as ep
+    return ep(sentiment_summary(spark, sf_dir), candidate_names(), cluster_vectors(spark, sf_dir, dim), dim)
