@@ -94,7 +94,7 @@ def fixed_vocab_counts(tokens: DataFrame, vocab: Sequence[str], doc: str = "doc_
     """T-11: counts of a supplied vocabulary only, both sides lower-cased.
     The vocabulary is a parameter list (bounded), joined by broadcast."""
     spark = tokens.sparkSession
-    v = spark.createDataFrame([(w.lower(),) for w in dict.fromkeys(vocab)], "term string")
+    v = spark.createDataFrame([(w,) for w in dict.fromkeys(x.lower() for x in vocab)], "term string")
     return (tokens.withColumn("term", F.lower("term"))
             .join(F.broadcast(v), "term").groupBy(doc, "term").agg(F.count("*").alias("n")))
 
