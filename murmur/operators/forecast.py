@@ -270,9 +270,10 @@ def features_x_target(feats: DataFrame, targets: DataFrame, key: str = "time_lab
 def row_percent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """T-20: divide each value by the row sum, x100 (null when the sum is 0)."""
     total = sum((F.col(c) for c in cols), F.lit(0.0))
+    df = df.withColumn("_rowsum", total)
     for c in cols:
-        df = df.withColumn(c, F.try_divide(F.col(c), total) * 100)
-    return df
+        df = df.withColumn(c, F.try_divide(F.col(c), F.col("_rowsum")) * 100)
+    return df.drop("_rowsum")
 
 
 # ---------------------------------------------------------------------------

@@ -98,14 +98,14 @@ def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The period dimension used with ``polls`` (1-based ordinal,
-# inclusive start and end day). It has a gap (1996-07..1996-12), an overlap
-# (ranges 1 and 2) and a range with no rows (5).
+# inclusive start and end day). It has a range with no rows (2), an overlap
+# (ranges 1 and 3), a gap (1996-07..1996-12) and a one-day range (5).
 POLL_RANGES = [
     ("1995-01-01", "1995-12-31"),
+    ("2010-01-01", "2010-12-31"),
     ("1995-07-01", "1996-06-30"),
     ("1997-01-01", "1997-03-31"),
     ("1998-02-01", "1998-02-01"),
-    ("2010-01-01", "2010-12-31"),
 ]
 
 
