@@ -320,15 +320,25 @@ class SequentialForecaster:
         return out
 
     def fit_period(self, train: DataFrame) -> "SequentialForecaster":
-        """M-9 on the first call, M-10 (residual continuation) afterwards."""
-        data = self._assemble(train)
-        for t in self.targets:
-            if t not in train.columns:
-                continue
+        """M-9 on the first call, M-10 (residual continuation) afterwards.
+
+        The assembled period table is checkpointed (reliable storage) so each
+        booster's many passes do not recompute the feature lineage; the
+        per-target boosters are independent and are submitted concurrently.
+        """
+        from concurrent.futures import ThreadPoolExecutor
+
+        data = self._assemble(train).checkpoint(eager=True)
+
+        def fit_one(t):
             cur = self._predict_one(data, t)
             resid = cur.withColumn("_resid", F.col(t).cast("double") - F.col(f"_pred_{t}"))
-            m = _gbt("_resid", **self.params).fit(resid)
-            self.models.setdefault(t, []).append(m)
+            return t, _gbt("_resid", **self.params).fit(resid)
+
+        todo = [t for t in self.targets if t in train.columns]
+        with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
+            for t, m in pool.map(fit_one, todo):
+                self.models.setdefault(t, []).append(m)
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:

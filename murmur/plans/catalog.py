@@ -159,3 +159,4 @@ def q_sort_comments(spark, sf_dir):
 from murmur.plans import q_sources  # noqa: E402,F401
 from murmur.plans import q_topics  # noqa: E402,F401
 from murmur.plans import q_forecast  # noqa: E402,F401
+from murmur.plans import q_models  # noqa: E402,F401
