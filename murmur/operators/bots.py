@@ -56,20 +56,25 @@ VARIANTS = {
 
 
 def parse_published(df: DataFrame, col: str = PUBLISHED, out: str = "ts") -> DataFrame:
-    """PF-1: parse the publication time per row; unparsable -> row dropped."""
+    """PF-1: parse the publication time per row (as ``timestamp_ntz`` wall
+    clock); unparsable -> row dropped."""
     dtype = dict(df.dtypes)[col]
-    if dtype.startswith("timestamp"):
-        ts = F.col(col).cast("timestamp")
-    elif dtype == "date":
-        ts = F.col(col).cast("timestamp")
+    if dtype.startswith("timestamp") or dtype == "date":
+        ts = F.col(col).cast("timestamp_ntz")
     else:
         ts = F.coalesce(F.try_to_timestamp(F.col(col)),
-                        F.try_to_timestamp(F.col(col), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSXXX")))
+                        F.try_to_timestamp(F.col(col), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSXXX"))
+                        ).cast("timestamp_ntz")
     return df.withColumn(out, ts).filter(F.col(out).isNotNull())
 
 
+EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def epoch_micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
+    """Wall-clock microseconds since the epoch of a ``timestamp_ntz``: exact
+    and independent of the session time zone (no DST jumps in gaps)."""
+    return F.timestamp_diff("MICROSECOND", EPOCH_NTZ, ts.cast("timestamp_ntz"))
 
 
 def consecutive_gaps(df: DataFrame, key: str, ts: str, order_id: str,

@@ -78,9 +78,9 @@ def poll_range_join(polls: DataFrame, ranges: DataFrame, date: str = "date") ->
     ranges duplicate rows). The upper bound is *midnight* of the end day, so
     a timed row later that day falls out. The period dimension is small and
     bounded (checked), so it is broadcast into a nested-loop range join."""
-    lo = F.col("start").cast("timestamp")
-    hi = F.col("end").cast("timestamp")
-    d = F.col(date).cast("timestamp")
+    lo = F.col("start").cast("timestamp_ntz")
+    hi = F.col("end").cast("timestamp_ntz")
+    d = F.col(date).cast("timestamp_ntz")
     return polls.join(F.broadcast(ranges), (d >= lo) & (d <= hi))
 
 
@@ -93,7 +93,7 @@ def weighted_target(polls: DataFrame, ranges: DataFrame, candidates: Sequence[st
     range's 1-based ordinal. No surviving range is an error (raised when the
     result is computed)."""
     cols = list(candidates) + [weight]
-    p = polls.withColumn(date, F.col(date).cast("timestamp")).filter(F.col(date).isNotNull())
+    p = polls.withColumn(date, F.col(date).cast("timestamp_ntz")).filter(F.col(date).isNotNull())
     p = require_values(coerce_numeric(p, cols), cols)
     j = poll_range_join(p, ranges, date)
     agg = j.groupBy("ordinal").agg(F.sum(weight).alias("_w"),

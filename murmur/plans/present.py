@@ -19,8 +19,10 @@ def present(df: DataFrame, digits: int = DIGITS) -> DataFrame:
         c = F.col(f"`{name}`")
         if dtype in ("double", "float"):
             c = F.round(c.cast("double"), digits)
+        elif dtype == "timestamp_ntz":
+            c = F.date_format(c, TS_FORMAT)
         elif dtype.startswith("timestamp"):
-            c = F.date_format(c.cast("timestamp"), TS_FORMAT)
+            c = F.date_format(c.cast("timestamp_ntz"), TS_FORMAT)
         elif dtype == "date":
             c = F.date_format(c, "yyyy-MM-dd")
         elif dtype in ("int", "smallint", "tinyint"):

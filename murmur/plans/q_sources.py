@@ -170,7 +170,7 @@ SELECT page_id, nullif(regexp_extract(url, {q(PAGE_ID_PATTERN)}, 1), '') AS oid,
 @register("crawl_manifest")
 def q_crawl_manifest(spark, sf_dir):
     """IO-14: day x keyword x page start over the days present in events."""
-    days = FX.table(spark, sf_dir, "events").select(F.to_date(F.col("ts").cast("timestamp")).alias("day")).distinct()
+    days = FX.table(spark, sf_dir, "events").select(F.to_date(F.col("ts").cast("timestamp_ntz")).alias("day")).distinct()
     return CR.crawl_manifest(days, FX.candidate_names())
 
 
@@ -185,7 +185,7 @@ W4_CAP = 20
 
 def _links(spark, sf_dir):
     ev = FX.table(spark, sf_dir, "events")
-    return ev.select(F.to_date(F.col("ts").cast("timestamp")).alias("day"), F.col("event_type").alias("keyword"),
+    return ev.select(F.to_date(F.col("ts").cast("timestamp_ntz")).alias("day"), F.col("event_type").alias("keyword"),
                      F.col("props").alias("url"), F.col("event_id").alias("seq"))
 
 
@@ -241,7 +241,7 @@ SLOT_MINUTES = 10
 
 
 def _pages_read(spark, sf_dir):
-    ev = FX.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    ev = FX.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type")
     slot = F.floor((F.hour("ts") * 60 + F.minute("ts")) / SLOT_MINUTES)
     counts = (ev.select(F.to_date("ts").alias("day"), F.col("event_type").alias("keyword"),
                         (slot * CR.PAGE_STEP + 1).cast("int").alias("page_start"))

@@ -37,7 +37,7 @@ def comments(spark: SparkSession, sf_dir: str, overlay: bool = True) -> DataFram
     base = docs.join(ev, docs.doc_id == ev.event_id).select(
         F.col("doc_id").alias("comment_id"),
         F.col("user_id").alias("comment_author_id"),
-        F.col("ts").cast("timestamp").alias("ts0"),
+        F.col("ts").cast("timestamp_ntz").alias("ts0"),
         F.col("text").alias("text0"),
         F.col("source").alias("channel"),
     )
@@ -47,7 +47,7 @@ def comments(spark: SparkSession, sf_dir: str, overlay: bool = True) -> DataFram
         base = base.withColumn("_rn", rn)
         published = F.when(m.isin(0, 2),
                             F.timestamp_add("SECOND", F.col("_rn") * OVERLAY_STEP_SEC,
-                                            F.lit(OVERLAY_START).cast("timestamp"))
+                                            F.lit(OVERLAY_START).cast("timestamp_ntz"))
                             ).otherwise(F.col("ts0"))
         text = (F.when(m == 0, F.repeat(F.concat(F.split_part("text0", F.lit(" "), F.lit(1)), F.lit(" ")), 6))
                 .when(m == 1, F.substring("text0", 1, 120))
@@ -89,7 +89,7 @@ def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     candidate columns from price, discount and tax."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        F.col("l_shipdate").cast("timestamp").alias("date"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("date"),
         F.col("l_extendedprice").alias("cand_0"),
         F.col("l_discount").alias("cand_1"),
         F.col("l_tax").alias("cand_2"),
