@@ -68,50 +68,56 @@ def parse_published(df: DataFrame, col: str = PUBLISHED, out: str = "ts") -> Dat
     return df.withColumn(out, ts).filter(F.col(out).isNotNull())
 
 
-EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+EPOCH = "1970-01-01 00:00:00"
 
 
 def epoch_micros(ts: Column) -> Column:
     """Wall-clock microseconds since the epoch of a ``timestamp_ntz``: exact
     and independent of the session time zone (no DST jumps in gaps)."""
-    return F.timestamp_diff("MICROSECOND", EPOCH_NTZ, ts.cast("timestamp_ntz"))
+    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
 
 
-def consecutive_gaps(df: DataFrame, key: str, ts: str, order_id: str,
-                     slices: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """W-1: seconds since the key's previous row, ordered by (ts, order_id).
-
-    Returns ``(rows, edges)``: ``rows`` is ``df`` (non-null keys) plus
-    ``_gap`` (null on the first row of each slice) and ``_slice``; ``edges``
-    holds one ``(key, _slice, _gap)`` row for every slice of a key that has an
-    earlier slice, i.e. the gaps ``rows`` cannot see. Together they hold
-    exactly one gap per consecutive pair of rows of a key.
-    """
+def _slices(df: DataFrame, key: str, ts: str, order_id: str, slices: int | None) -> DataFrame:
+    """Range-partition by (key, ts, id) and tag each row with its slice."""
     n = slices or shuffle_partitions(df.sparkSession)
-    us = "_us"
-    ranged = (df.filter(F.col(key).isNotNull())
-              .withColumn(us, epoch_micros(F.col(ts)))
-              .repartitionByRange(n, F.col(key), F.col(us), F.col(order_id))
-              .withColumn("_slice", F.spark_partition_id()))
-    w = Window.partitionBy(key, "_slice").orderBy(us, order_id)
-    rows = ranged.withColumn("_gap", (F.col(us) - F.lag(us).over(w)) / F.lit(1e6))
-    edges = (rows.groupBy(key, "_slice").agg(F.min(us).alias("_lo"), F.max(us).alias("_hi"))
-             .withColumn("_prev_hi", F.lag("_hi").over(Window.partitionBy(key).orderBy("_slice")))
-             .filter(F.col("_prev_hi").isNotNull())
-             .select(key, "_slice", ((F.col("_lo") - F.col("_prev_hi")) / F.lit(1e6)).alias("_gap")))
-    return rows, edges
+    return (df.filter(F.col(key).isNotNull())
+            .withColumn("_us", epoch_micros(F.col(ts)))
+            .repartitionByRange(n, F.col(key), F.col("_us"), F.col(order_id))
+            .withColumn("_slice", F.spark_partition_id()))
+
+
+def consecutive_gaps(df: DataFrame, key: str, ts: str, order_id: str,
+                     slices: int | None = None) -> DataFrame:
+    """W-1 inside slices: ``df`` (non-null keys) plus ``_us`` (wall-clock
+    microseconds), ``_slice`` and ``_gap_us``, the exact gap in microseconds to
+    the previous row of the same key *in the same slice* (null on a slice's
+    first row). The gaps across slice borders are recovered from per-slice
+    (min, max) summaries by the callers, in the same lineage."""
+    ranged = _slices(df, key, ts, order_id, slices)
+    w = Window.partitionBy(key, "_slice").orderBy("_us", order_id)
+    return ranged.withColumn("_gap_us", F.col("_us") - F.lag("_us").over(w))
 
 
 def row_gaps(df: DataFrame, key: str = AUTHOR, ts: str = "ts", order_id: str = ID,
              slices: int | None = None, out: str = "gap_sec") -> DataFrame:
-    """W-1 per row: every row of a non-null key with its gap (null on the
-    key's first row). The slice-edge gaps are joined back onto the first row of
-    their slice only, so the join touches one row per (key, slice)."""
-    rows, edges = consecutive_gaps(df, key, ts, order_id, slices)
-    inner = rows.filter(F.col("_gap").isNotNull())
-    first = (rows.filter(F.col("_gap").isNull()).drop("_gap")
-             .join(edges, [key, "_slice"], "left"))
-    return (inner.unionByName(first).withColumnRenamed("_gap", out).drop("_slice", "_us"))
+    """W-1 per row: every row of a non-null key with the seconds since the
+    key's previous row (null on its first row).
+
+    The sliced rows are checkpointed (reliable storage) before the slice-edge
+    gaps are joined back, so both uses see one and the same slicing; the join
+    touches one row per (key, slice).
+    """
+    rows = consecutive_gaps(df, key, ts, order_id, slices).checkpoint(eager=True)
+    edges = (rows.groupBy(key, "_slice").agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
+             .withColumn("_prev_hi", F.lag("_hi").over(Window.partitionBy(key).orderBy("_slice")))
+             .filter(F.col("_prev_hi").isNotNull())
+             .select(key, "_slice", (F.col("_lo") - F.col("_prev_hi")).alias("_edge_us")))
+    inner = rows.filter(F.col("_gap_us").isNotNull())
+    first = (rows.filter(F.col("_gap_us").isNull())
+             .join(edges, [key, "_slice"], "left")
+             .withColumn("_gap_us", F.col("_edge_us")).drop("_edge_us"))
+    return (inner.unionByName(first).withColumn(out, F.col("_gap_us") / F.lit(1e6))
+            .drop("_slice", "_us", "_gap_us"))
 
 
 def author_stats(comments: DataFrame, variant: str = "news", slices: int | None = None) -> DataFrame:
@@ -119,31 +125,68 @@ def author_stats(comments: DataFrame, variant: str = "news", slices: int | None
     return bot_flags(raw_author_stats(comments, variant, slices), VARIANTS[variant][1])
 
 
+DEC = "decimal(38,0)"
+
+
+def _exact_var(n: Column, s1: Column, s2: Column, ddof: int, scale: float = 1.0) -> Column:
+    """Variance from exact integer moments: ``(n*S2 - S1^2) / (n*(n-ddof))``.
+    The numerator is computed in DECIMAL(38,0) (exact, order independent);
+    on overflow it falls back to the double formula."""
+    num = F.try_subtract(F.try_multiply(n.cast(DEC), s2), F.try_multiply(s1, s1))
+    den = n.cast("double") * (n - ddof).cast("double")
+    approx = (s2.cast("double") * n.cast("double") - s1.cast("double") * s1.cast("double")) / den
+    return F.coalesce(num.cast("double") / den, approx) / F.lit(scale)
+
+
 def raw_author_stats(comments: DataFrame, variant: str = "news", slices: int | None = None) -> DataFrame:
-    """A-1 + A-2 in one aggregate, before null -> 0: comment_count (rows,
-    null text included), time_var_sec (population variance of gaps, null
-    below two gaps), length_var (sample variance), avg_rep_ratio, avg_ai_prob."""
+    """A-1 + A-2 before null -> 0: comment_count (rows, null text included),
+    time_var_sec (population variance of the gaps between consecutive
+    comments, null below two gaps), length_var (sample variance), avg_rep_ratio,
+    avg_ai_prob.
+
+    One lineage: the sliced, windowed rows are summarised per (author, slice)
+    (no new shuffle: the window already clusters on it), then per author; the
+    gaps across slice borders come from the ordered per-slice (min, max) list,
+    which has at most one entry per slice. Variances use exact integer moments
+    (microsecond gaps, code-point lengths), so they do not depend on how rows
+    were split or merged.
+    """
     single_var = VARIANTS[variant][0]
-    rows, edges = consecutive_gaps(comments, AUTHOR, "ts", ID, slices)
-    measured = rows.select(
+    rows = consecutive_gaps(comments, AUTHOR, "ts", ID, slices)
+    g = F.col("_gap_us").cast(DEC)
+    ln = T.text_length(TEXT).cast(DEC)
+    per_slice = (rows.groupBy(AUTHOR, "_slice").agg(
+        F.count("*").alias("_n"),
+        F.count("_gap_us").alias("_gn"), F.sum(g).alias("_g1"), F.try_sum(g * g).alias("_g2"),
+        F.min("_us").alias("_lo"), F.max("_us").alias("_hi"),
+        F.sum(ln).alias("_l1"), F.try_sum(ln * ln).alias("_l2"),
+        F.sum(T.repetition_ratio(TEXT)).alias("_rep"),
+        F.sum(T.ai_likeness(TEXT, single_var)).alias("_ai")))
+    a = per_slice.groupBy(AUTHOR).agg(
+        F.sum("_n").alias("n"), F.sum("_gn").alias("gn"),
+        F.coalesce(F.sum("_g1"), F.lit(0).cast(DEC)).alias("g1"),
+        F.coalesce(F.sum("_g2"), F.lit(0).cast(DEC)).alias("g2"),
+        F.sum("_l1").alias("l1"), F.sum("_l2").alias("l2"),
+        F.sum("_rep").alias("rep"), F.sum("_ai").alias("ai"),
+        F.array_sort(F.collect_list(F.struct("_slice", "_lo", "_hi"))).alias("parts"))
+    # gaps across slice borders: lo of slice k minus hi of slice k-1
+    border = F.transform(F.sequence(F.lit(2), F.greatest(F.size("parts"), F.lit(1))),
+                         lambda k: (F.element_at("parts", k)["_lo"]
+                                    - F.element_at("parts", k - 1)["_hi"]).cast(DEC))
+    border = F.when(F.size("parts") > 1, border).otherwise(F.array().cast(f"array<{DEC}>"))
+    zero = F.lit(0).cast(DEC)
+    a = (a.withColumn("_b", border)
+         .withColumn("gn", F.col("gn") + F.size("_b"))
+         .withColumn("g1", F.col("g1") + F.aggregate("_b", zero, lambda acc, x: acc + x))
+         .withColumn("g2", F.col("g2") + F.aggregate("_b", zero, lambda acc, x: acc + x * x)))
+    n = F.col("n")
+    return a.select(
         AUTHOR,
-        F.lit(1).alias("_row"),
-        T.text_length(TEXT).alias("_len"),
-        T.repetition_ratio(TEXT).alias("_rep"),
-        T.ai_likeness(TEXT, single_var).alias("_ai"),
-        "_gap",
-    )
-    boundary = edges.select(
-        AUTHOR, F.lit(0).alias("_row"), F.lit(None).cast("int").alias("_len"),
-        F.lit(None).cast("double").alias("_rep"), F.lit(None).cast("double").alias("_ai"), "_gap")
-    stats = (measured.unionByName(boundary)
-             .groupBy(AUTHOR)
-             .agg(F.sum("_row").cast("long").alias("comment_count"),
-                  F.when(F.count("_gap") >= 2, F.var_pop("_gap")).alias("time_var_sec"),
-                  F.var_samp("_len").alias("length_var"),
-                  F.avg("_rep").alias("avg_rep_ratio"),
-                  F.avg("_ai").alias("avg_ai_prob")))
-    return stats
+        n.cast("long").alias("comment_count"),
+        F.when(F.col("gn") >= 2, _exact_var(F.col("gn"), F.col("g1"), F.col("g2"), 0, 1e12)).alias("time_var_sec"),
+        F.when(n >= 2, _exact_var(n, F.col("l1"), F.col("l2"), 1)).alias("length_var"),
+        (F.col("rep") / n).alias("avg_rep_ratio"),
+        (F.col("ai") / n).alias("avg_ai_prob"))
 
 
 def bot_flags(stats: DataFrame, min_flags: int = NEWS_MIN_FLAGS) -> DataFrame:

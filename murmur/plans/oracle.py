@@ -72,19 +72,28 @@ def measured_cte(variant: str) -> str:
     single_var, _ = B.VARIANTS[variant]
     return f"""measured AS (
   SELECT comment_author_id, comment_id,
-         (epoch_us(comment_published) - lag(epoch_us(comment_published))
-            OVER (PARTITION BY comment_author_id ORDER BY comment_published, comment_id)) / 1e6 AS gap,
+         epoch_us(comment_published) - lag(epoch_us(comment_published))
+            OVER (PARTITION BY comment_author_id ORDER BY comment_published, comment_id) AS gap_us,
          {length_sql('comment_text')} AS len,
          {rep_sql('comment_text')} AS rep,
          {ai_sql('comment_text', single_var)} AS ai
   FROM comments WHERE comment_published IS NOT NULL AND comment_author_id IS NOT NULL)"""
 
 
+def exact_var_sql(x: str, n: str, ddof: int, scale: str = "1.0") -> str:
+    """Variance from exact HUGEINT moments, converted once to double."""
+    s1 = f"sum(CAST({x} AS HUGEINT))"
+    s2 = f"sum(CAST({x} AS HUGEINT) * {x})"
+    return (f"CAST({n} * {s2} - {s1} * {s1} AS DOUBLE) / (CAST({n} AS DOUBLE) * CAST({n} - {ddof} AS DOUBLE)) "
+            f"/ {scale}")
+
+
 def raw_stats_cte() -> str:
-    return """raw_stats AS (
+    return f"""raw_stats AS (
   SELECT comment_author_id, count(*) AS comment_count,
-         CASE WHEN count(gap) >= 2 THEN var_pop(gap) END AS time_var_sec,
-         var_samp(len) AS length_var, avg(rep) AS avg_rep_ratio, avg(ai) AS avg_ai_prob
+         CASE WHEN count(gap_us) >= 2 THEN {exact_var_sql('gap_us', 'count(gap_us)', 0, '1e12')} END AS time_var_sec,
+         CASE WHEN count(*) >= 2 THEN {exact_var_sql('len', 'count(*)', 1)} END AS length_var,
+         sum(rep) / count(*) AS avg_rep_ratio, sum(ai) / count(*) AS avg_ai_prob
   FROM measured GROUP BY comment_author_id)"""
 
 
@@ -118,8 +127,15 @@ def bot_chain(variant: str, overlay: bool = True) -> str:
     return ",\n".join([comments_cte(overlay), measured_cte(variant), raw_stats_cte(), stats_cte(variant)])
 
 
+def rnd(expr: str, digits: int = 6) -> str:
+    """Round like Spark's ``round`` on a double: HALF_UP on the shortest decimal
+    repr (``round(x, 6)`` in DuckDB scales in binary first and can land on the
+    other side of a tie for large magnitudes)."""
+    return f"CAST(CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,{digits})) AS DOUBLE)"
+
+
 def r6(expr: str, alias: str) -> str:
-    return f"round(CAST({expr} AS DOUBLE), 6) AS {alias}"
+    return f"{rnd(expr)} AS {alias}"
 
 
 TS_SQL = "strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"
@@ -175,7 +191,7 @@ def _bots() -> None:
     O["unit_conv"] = (f"WITH {bot_chain('news')}\nSELECT comment_author_id, "
                       + r6("time_var_sec", "time_var_sec") + ", " + r6("time_var_hr", "time_var_hr") + " FROM stats")
     O["author_gap"] = (f"WITH {comments_cte()}, {measured_cte('news')}\n"
-                       "SELECT comment_id, comment_author_id, " + r6("gap", "gap_sec") + " FROM measured")
+                       "SELECT comment_id, comment_author_id, " + r6("gap_us / 1e6", "gap_sec") + " FROM measured")
     O["text_length"] = (f"WITH {comments_cte()}\nSELECT comment_id, CAST({length_sql('comment_text')} AS BIGINT) "
                         "AS text_length FROM comments")
     O["repetition_ratio"] = (f"WITH {comments_cte()}\nSELECT comment_id, "

@@ -11,7 +11,7 @@ from murmur.functions import vectors as V
 from murmur.operators import evaluate as EV
 from murmur.operators import forecast as FC
 from murmur.plans.catalog import register
-from murmur.plans.oracle import ORACLE, q, r6
+from murmur.plans.oracle import ORACLE, q, r6, rnd
 from murmur.plans.q_topics import detail_cte, norm_sql, ta_cte, dot_sql
 from murmur.schemas import coerce_numeric, require_values
 from murmur.sources import fixtures as FX
@@ -151,9 +151,9 @@ def _wide_sql(cols_per_cand):
     return ", ".join(parts)
 
 
-PIVOT_COLS = ([("positive", "round(avg_positive, 6)"), ("negative", "round(avg_negative, 6)"),
-               ("sentiment", "round(sentiment_score, 6)"), ("cluster_count", "CAST(cluster_count AS BIGINT)")]
-              + [(f"embedding_{i}", f"round(embedding[{i + 1}], 6)") for i in range(DIM)])
+PIVOT_COLS = ([("positive", rnd("avg_positive")), ("negative", rnd("avg_negative")),
+               ("sentiment", rnd("sentiment_score")), ("cluster_count", "CAST(cluster_count AS BIGINT)")]
+              + [(f"embedding_{i}", rnd(f"embedding[{i + 1}]")) for i in range(DIM)])
 
 
 @register("pivot_features")
@@ -257,7 +257,7 @@ ORACLE["embedding_stats"] = (
     + ", ".join(f"w.{c}_sentiment" for c in CANDS)
     + f", {r6('embedding_mean', 'embedding_mean')}, {r6('embedding_std', 'embedding_std')}, "
       f"{r6('embedding_max', 'embedding_max')}, {r6('embedding_min', 'embedding_min')} FROM (SELECT time_label, "
-    + _wide_sql([("sentiment", "round(sentiment_score, 6)")]) + " FROM ep GROUP BY time_label) w JOIN st USING (time_label)")
+    + _wide_sql([("sentiment", rnd("sentiment_score"))]) + " FROM ep GROUP BY time_label) w JOIN st USING (time_label)")
 
 
 @register("features")
@@ -393,7 +393,7 @@ ORACLE["features_x_target"] = (
     f"WITH {ep_cte()},\n{POLLS_SQL},\n{PERIODS_SQL}\nSELECT CAST(p.ordinal AS BIGINT) AS time_label, p.label, "
     + ", ".join(f"w.{c}_sentiment" for c in CANDS) + ", "
     + ", ".join(r6(f"t.{c}", f"target_{c}") for c in CANDS)
-    + " FROM (SELECT time_label, " + _wide_sql([("sentiment", "round(sentiment_score, 6)")])
+    + " FROM (SELECT time_label, " + _wide_sql([("sentiment", rnd("sentiment_score"))])
     + " FROM ep GROUP BY time_label) w JOIN periods p ON w.time_label = p.label JOIN targets t ON t.time_label = "
       "p.ordinal")
 

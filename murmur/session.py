@@ -15,6 +15,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # let row_number() <= N filters insert a partial per-group limit before
+    # the shuffle for caps up to this size (collection caps reach 6000)
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

@@ -46,9 +46,18 @@ def day_range(spark, start: str, end: str, inclusive: bool = True) -> DataFrame:
     return spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(start)), stop)).alias("day"))
 
 
+SALT_BUCKETS = 64
+
+
 def per_group_cap(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], cap: int,
-                  distinct_on: str | None = None) -> DataFrame:
-    """W-4 / W-5: keep at most ``cap`` rows per group in ``order``.
+                  distinct_on: str | None = None, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """W-4 / W-5: keep at most ``cap`` rows per group in ``order`` (exact).
+
+    Two-phase top-N so a hot group is never sorted in one task: rows are
+    salted into ``salt_buckets`` sub-groups and each sub-group keeps its own
+    first ``cap`` rows (every row of the group's top ``cap`` survives this);
+    the final rank then sees at most ``salt_buckets * cap`` rows per group.
+    ``order`` must be a total order within a group.
 
     With ``distinct_on`` the value is first reduced to its first occurrence in
     the group (the visited-set rule), then capped.
@@ -59,6 +68,11 @@ def per_group_cap(df: DataFrame, group: Sequence[str], order: Sequence[Column |
         key = order[0]
         first = df.groupBy(*group, distinct_on).agg(F.min(key).alias(key))
         df = df.join(first, [*group, distinct_on, key], "left_semi")
+    if salt_buckets and salt_buckets > 1:
+        salt = F.pmod(F.xxhash64(*ordcols), F.lit(salt_buckets))
+        ws = Window.partitionBy(*group, salt).orderBy(*ordcols)
+        df = df.withColumn("_salt_rank", F.row_number().over(ws)).filter(F.col("_salt_rank") <= cap) \
+            .drop("_salt_rank")
     w = Window.partitionBy(*group).orderBy(*ordcols)
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= cap).drop("_rank")
 

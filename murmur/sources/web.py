@@ -53,21 +53,28 @@ def _element_pattern(tag: str, cls: str | None) -> str:
     return r"(?is)<(" + tag + r")" + attrs + r">(.*?)</\1\s*>"
 
 
-def element_text(html: Column, tag: str, cls: str | None = None, unescape: bool = True) -> Column:
-    """Text of the first ``tag`` element (optionally with a class): inner HTML
-    with tags removed, entities decoded, whitespace-stripped; null if absent."""
+def element_inner(html: Column, tag: str, cls: str | None = None) -> Column:
+    """Inner HTML of the first ``tag`` element (optionally with a class) with
+    tags removed; null if there is no such element."""
     pat = _element_pattern(tag, cls)
-    inner = F.regexp_extract(html, pat, 2)
-    found = html.rlike(pat)
-    text = F.regexp_replace(inner, r"<[^>]*>", "")
-    if unescape:
-        text = html_unescape(text)
-    return F.when(found, unicode_strip(text))
+    return F.when(html.rlike(pat), F.regexp_replace(F.regexp_extract(html, pat, 2), r"<[^>]*>", ""))
+
+
+def element_text(html: Column, tag: str, cls: str | None = None, unescape: bool = True) -> Column:
+    """Text of the first matching element: entities decoded, stripped."""
+    return _finish(element_inner(html, tag, cls), unescape)
+
+
+def _finish(inner: Column, unescape: bool) -> Column:
+    # entity decoding only where an entity can occur; one Python call per row at most
+    text = F.when(inner.contains("&"), html_unescape(inner)).otherwise(inner) if unescape else inner
+    return unicode_strip(text)
 
 
 def first_present(html: Column, selectors, unescape: bool = True) -> Column:
-    """Ordered fallback: the first selector that finds an element wins."""
-    return F.coalesce(*[element_text(html, t, c, unescape) for t, c in selectors])
+    """Ordered fallback: the first selector that finds an element wins. The
+    fallback is chosen on raw inner text, so entities are decoded once."""
+    return _finish(F.coalesce(*[element_inner(html, t, c) for t, c in selectors]), unescape)
 
 
 def page_title(pages: DataFrame, title_selectors=TITLE_SELECTORS, date_selectors=DATE_SELECTORS,
