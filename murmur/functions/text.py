@@ -23,6 +23,10 @@ from pyspark.sql import functions as F
 WS_CLASS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\xA0\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 WS_RUN = WS_CLASS + "+"
+# The same set split in two: rare Unicode spaces are first mapped to ' ' with a
+# per-character ``translate`` (cheap), so the split regex is a small ASCII class.
+UNICODE_SPACES = "\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
+ASCII_WS_RUN = r"[\t\n\x0B\f\r\x1C-\x1F ]+"
 
 # Emotional markers: laughing, smiling, crying jamo runs and tripled ! / ?.
 EMOTION_PATTERN = "ㅋㅋ|ㅎㅎ|ㅠㅠ|!!!|\\?\\?\\?"
@@ -65,8 +69,8 @@ def let(value: Column, body) -> Column:
 
 def words(text) -> Column:
     """Whitespace tokens exactly as Python's ``str.split()`` (no empties)."""
-    parts = F.split(F.coalesce(_c(text), F.lit("")), WS_RUN)
-    return F.filter(parts, lambda w: w != F.lit(""))
+    t = F.translate(F.coalesce(_c(text), F.lit("")), UNICODE_SPACES, " " * len(UNICODE_SPACES))
+    return F.filter(F.split(t, ASCII_WS_RUN), lambda w: w != F.lit(""))
 
 
 def repetition_ratio(text) -> Column:

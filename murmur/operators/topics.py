@@ -191,11 +191,18 @@ def label_distribution(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count("*").alias("count"))
 
 
+DOC_CHUNK_IDS = 1000
+
+
 def topic_documents(assign: DataFrame, topic: str = "topic_id", text: str = "comment_text",
-                    order: str = "comment_id", sep: str = " ") -> DataFrame:
+                    order: str = "comment_id", sep: str = " ", chunk_ids: int = DOC_CHUNK_IDS) -> DataFrame:
     """A-12: document text concatenated per topic in id order (``listagg``
-    within group). Prefer term counts (``bow`` by topic) for modelling at scale."""
-    return (assign.groupBy(topic)
+    within group), in bounded pieces: one row per (topic, block of
+    ``chunk_ids`` consecutive ids), so no group holds more than ``chunk_ids``
+    documents however large a topic is. The topic's full text is the pieces
+    in ``chunk`` order. (Modelling uses term counts per topic instead.)"""
+    return (assign.withColumn("chunk", F.floor(F.col(order) / chunk_ids))
+            .groupBy(topic, "chunk")
             .agg(F.expr(f"listagg({text}, '{sep}') WITHIN GROUP (ORDER BY {order})").alias("documents")))
 
 

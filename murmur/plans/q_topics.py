@@ -432,13 +432,14 @@ ORACLE["topic_top5_by_period"] = (
 
 @register("topic_documents")
 def q_topic_documents(spark, sf_dir):
-    """A-12: documents concatenated per topic in id order."""
+    """A-12: documents concatenated per topic in id order, in bounded pieces."""
     return TP.topic_documents(_ta(spark, sf_dir))
 
 
 ORACLE["topic_documents"] = (f"WITH {ta_cte()}\nSELECT CAST(topic_id AS BIGINT) AS topic_id, "
+                             f"CAST(floor(comment_id / {TP.DOC_CHUNK_IDS}) AS BIGINT) AS chunk, "
                              "string_agg(comment_text, ' ' ORDER BY comment_id) AS documents "
-                             "FROM topic_assignments GROUP BY topic_id")
+                             f"FROM topic_assignments GROUP BY topic_id, floor(comment_id / {TP.DOC_CHUNK_IDS})")
 
 
 @register("corpus_stats")
