@@ -56,16 +56,16 @@ def normalize(a) -> Column:
 def mean_vector(df: DataFrame, keys: Sequence[str], vec: str, out: str = "vector") -> DataFrame:
     """A-11: element-wise mean of ``vec`` per ``keys`` (null vectors skipped).
 
-    Distributed: one (key, position) average per element; the re-assembly
-    collects at most ``dim`` values per key.
+    A JVM vector aggregate (``Summarizer.mean``) with map-side partial
+    aggregation: one dense buffer per key and task, no per-element rows.
     """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
     k = list(keys)
-    per_pos = (df.filter(F.col(vec).isNotNull())
-               .select(*k, F.posexplode(vec).alias("_pos", "_x"))
-               .groupBy(*k, "_pos").agg(F.avg("_x").alias("_m")))
-    return (per_pos.groupBy(*k)
-            .agg(F.array_sort(F.collect_list(F.struct("_pos", "_m"))).alias("_pm"))
-            .select(*k, F.transform("_pm", lambda s: s["_m"]).alias(out)))
+    return (df.filter(F.col(vec).isNotNull())
+            .select(*k, array_to_vector(F.col(vec).cast("array<double>")).alias("_v"))
+            .groupBy(*k).agg(Summarizer.mean(F.col("_v")).alias("_m"))
+            .select(*k, vector_to_array("_m").alias(out)))
 
 
 def candidate_array(candidates: DataFrame, name: str = "candidate", vec: str = "embedding",

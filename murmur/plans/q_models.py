@@ -8,6 +8,7 @@ oracle.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from murmur.operators import embed as EM
@@ -209,7 +210,9 @@ def _guided(spark, sf_dir):
     e = FX.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"),
                                                      F.col("embedding").cast("array<double>").alias("embedding"))
     docs = d.join(e, "doc_id")
-    bow = TP.bow(TP.doc_tokens(docs, "doc_id", "text", LETTER, lower=True))
+    # the bag of words feeds the vocabulary, the word vectors, beta, theta and
+    # perplexity: tokenise once and keep it (memory, spilling to disk)
+    bow = TP.bow(TP.doc_tokens(docs, "doc_id", "text", LETTER, lower=True)).persist(StorageLevel.MEMORY_AND_DISK)
     vocab = TP.vocabulary(bow, docs, GUIDED["min_df"], GUIDED["max_df"], GUIDED["max_features"])
     vbow = bow.join(vocab.select("term"), "term", "left_semi")
     topics, beta, theta = TP.guided_topics(docs, vbow, vocab, person_axis=TEST_PERSON_AXIS, person_default="neutral",
