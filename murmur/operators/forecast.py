@@ -67,7 +67,11 @@ def parse_ranges_column(raw: Column) -> Column:
 
 
 def ranges_frame(spark, ranges: Sequence[tuple[str, str]]) -> DataFrame:
+    """The period dimension from parsed ranges; its size is checked here, which
+    is what lets ``poll_range_join`` broadcast it."""
     import datetime as dt
+    if len(ranges) > MAX_RANGES:
+        raise ValueError(f"{len(ranges)} date ranges exceed the broadcast bound {MAX_RANGES}")
     rows = [(i, str(i), dt.date.fromisoformat(a), dt.date.fromisoformat(b))
             for i, (a, b) in enumerate(ranges, start=1)]
     return spark.createDataFrame(rows, "ordinal int, label string, start date, end date")
@@ -77,7 +81,7 @@ def poll_range_join(polls: DataFrame, ranges: DataFrame, date: str = "date") ->
     """J-7: every poll row in every inclusive range that holds it (overlapping
     ranges duplicate rows). The upper bound is *midnight* of the end day, so
     a timed row later that day falls out. The period dimension is small and
-    bounded (checked), so it is broadcast into a nested-loop range join."""
+    bounded (checked in ``ranges_frame``), so it is broadcast into a nested-loop range join."""
     lo = F.col("start").cast("timestamp_ntz")
     hi = F.col("end").cast("timestamp_ntz")
     d = F.col(date).cast("timestamp_ntz")

@@ -219,6 +219,27 @@ QUALIFY row_number() OVER (PARTITION BY channel ORDER BY comment_id)
         <= {W5_TOTAL} // (SELECT count(DISTINCT channel) FROM comments)"""
 
 
+@register("channel_counts")
+def q_channel_counts(spark, sf_dir):
+    """A-10: collected (capped) comments per channel; every channel of the
+    channel dimension (all ``documents`` sources) appears, zeros included."""
+    c = FX.comments(spark, sf_dir, overlay=False).withColumn("queue_pos", F.col("comment_id"))
+    channels = FX.table(spark, sf_dir, "documents").select(F.col("source").alias("channel"))
+    n_channels = channels.select(F.countDistinct("channel")).first()[0]
+    return CR.channel_counts(CR.per_channel_cap(c, n_channels, W5_TOTAL), channels)
+
+
+ORACLE["channel_counts"] = f"""
+WITH {comments_cte(False)},
+ch AS (SELECT DISTINCT source AS channel FROM documents),
+capped AS (SELECT channel FROM comments
+           QUALIFY row_number() OVER (PARTITION BY channel ORDER BY comment_id)
+                   <= {W5_TOTAL} // (SELECT count(*) FROM ch)),
+n AS (SELECT channel, count(*) AS n_comments FROM capped GROUP BY channel)
+SELECT ch.channel, CAST(coalesce(n.n_comments, 0) AS BIGINT) AS n_comments
+FROM ch LEFT JOIN n USING (channel)"""
+
+
 @register("round_robin")
 def q_round_robin(spark, sf_dir):
     """W-6: one video (here: one day of a channel) per channel per turn."""

@@ -90,6 +90,15 @@ def per_channel_cap(comments: DataFrame, n_channels: int, total_limit: int = TOT
     return per_group_cap(comments, [channel], [order], total_limit // n_channels)
 
 
+def channel_counts(comments: DataFrame, channels: DataFrame, channel: str = "channel") -> DataFrame:
+    """A-10: comments per channel over the whole channel dimension, zeros
+    included. Counts are aggregated first (partial aggregation, one row per
+    channel), then the dimension is left-joined to them."""
+    counts = comments.groupBy(channel).agg(F.count(F.lit(1)).alias("n_comments"))
+    return (channels.select(channel).distinct().join(counts, channel, "left")
+            .select(channel, F.coalesce(F.col("n_comments"), F.lit(0)).cast("bigint").alias("n_comments")))
+
+
 def round_robin(comments: DataFrame, channel_order: Column, video: str = "video_id",
                 channel: str = "channel", order: str = "queue_pos") -> DataFrame:
     """W-6: interleave channels one video per turn, in channel order.

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from murmur.functions import text as T
+from murmur.operators import forecast as FC
 
 N_CANDIDATES = 3
 OVERLAY_START = "2024-01-01 00:00:00"
@@ -98,22 +99,17 @@ def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The period dimension used with ``polls`` (1-based ordinal,
-# inclusive start and end day). It has a range with no rows (2), an overlap
-# (ranges 1 and 3), a gap (1996-07..1996-12) and a one-day range (5).
-POLL_RANGES = [
-    ("1995-01-01", "1995-12-31"),
-    ("2010-01-01", "2010-12-31"),
-    ("1995-07-01", "1996-06-30"),
-    ("1997-01-01", "1997-03-31"),
-    ("1998-02-01", "1998-02-01"),
-]
+# inclusive start and end day), given the way the forecaster takes it: as a
+# ``start:end,...`` parameter string (T-22). It has a range with no rows (2),
+# an overlap (ranges 1 and 3), a gap (1996-07..1996-12) and a one-day range (5).
+POLL_RANGES_SPEC = ("1995-01-01:1995-12-31, 2010-01-01:2010-12-31, 1995-07-01:1996-06-30, "
+                    "1997-01-01:1997-03-31, 1998-02-01:1998-02-01")
+POLL_RANGES = FC.parse_ranges(POLL_RANGES_SPEC)
 
 
 def ranges(spark: SparkSession, spec=POLL_RANGES) -> DataFrame:
     """Period dimension ``(ordinal, label, start, end)``."""
-    rows = [(i, str(i), dt.date.fromisoformat(a), dt.date.fromisoformat(b))
-            for i, (a, b) in enumerate(spec, start=1)]
-    return spark.createDataFrame(rows, "ordinal int, label string, start date, end date")
+    return FC.ranges_frame(spark, FC.parse_ranges(spec) if isinstance(spec, str) else spec)
 
 
 def train_text(spark: SparkSession, sf_dir: str) -> DataFrame:

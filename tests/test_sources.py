@@ -121,3 +121,10 @@ def test_write_assignments_partitions(spark, tmp_path):
     FI.append_articles(arts, str(tmp_path / "arts"))
     back = spark.read.parquet(str(tmp_path / "arts"))
     assert back.columns == ["Keyword", "Title", "Date", "URL"] and back.count() == 2
+
+
+def test_channel_counts_zeros_included(spark):
+    comments = spark.createDataFrame([(1, "a"), (2, "a"), (3, "c")], "comment_id long, channel string")
+    channels = spark.createDataFrame([("a",), ("b",), ("c",), ("b",)], "channel string")
+    got = sorted(tuple(r) for r in CR.channel_counts(comments, channels).collect())
+    assert got == [("a", 2), ("b", 0), ("c", 1)]
