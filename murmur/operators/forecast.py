@@ -175,11 +175,16 @@ def entity_period(summary: DataFrame, candidates: Sequence[str], cluster_vectors
             .withColumn("embedding", F.coalesce(F.col("embedding"), zeros)))
 
 
-def cluster_vectors_from_members(clustered: DataFrame, member_vectors: DataFrame, key: str = "comment_id",
-                                 vec: str = "embedding", dim: int | None = None) -> DataFrame:
+def cluster_vectors_from_members(clustered: DataFrame, member_vectors: DataFrame | None = None,
+                                 key: str = "comment_id", vec: str = "embedding",
+                                 dim: int | None = None) -> DataFrame:
     """Cluster vector = mean of its member comments' vectors (A-11),
-    optionally truncated to the first ``dim`` dimensions."""
-    j = clustered.select(key, "final_cluster").join(member_vectors.select(key, vec), key)
+    optionally truncated to the first ``dim`` dimensions. Without
+    ``member_vectors`` the vectors are read from ``clustered`` itself (no join)."""
+    if member_vectors is None:
+        j = clustered.select("final_cluster", vec)
+    else:
+        j = clustered.select(key, "final_cluster").join(member_vectors.select(key, vec), key)
     out = V.mean_vector(j, ["final_cluster"], vec, "vector")
     if dim:
         out = out.withColumn("vector", F.slice("vector", 1, dim))
@@ -229,21 +234,43 @@ def embedding_stats(ep: DataFrame, period: str = "time_label") -> DataFrame:
 
 def features(ep: DataFrame, candidates: Sequence[str], dim: int, period: str = "time_label") -> DataFrame:
     """F-3 .. F-6 assembled: the wide feature row per period.
-    3 candidates and 10 dimensions give 3*14 + 3 + 3 + 3 + 4 = 55 features."""
+    3 candidates and 10 dimensions give 3*14 + 3 + 3 + 3 + 4 = 55 features.
+
+    One shuffle: ``ep`` is grouped by period once, each period's candidate
+    rows (one per candidate of the explicit, size-checked list) are gathered,
+    and every feature is an array expression over them. Assembling the parts
+    (pivot, shares, pairs, norms, stats) by joins would evaluate ``ep``'s whole
+    upstream once per part."""
     c = list(candidates)
-    wide = pivot_features(ep, c, dim, period)
-    rel = relative_sentiment(ep, len(c), period).groupBy(period).pivot("candidate", c).agg(
-        F.first("relative_sentiment"))
-    rel = rel.select(period, *[F.col(x).alias(f"{x}_relative_sentiment") for x in c])
-    pairs = pair_similarity(ep, period).withColumn("name", F.concat(F.lit("similarity_"), "a", F.lit("_"), "b"))
-    pair_names = [f"similarity_{c[i]}_{c[j]}" for i in range(len(c)) for j in range(i + 1, len(c))]
-    sim = pairs.groupBy(period).pivot("name", pair_names).agg(F.first("similarity")) if pair_names else None
-    st = embedding_strength(ep).groupBy(period).pivot("candidate", c).agg(F.first("embedding_strength"))
-    st = st.select(period, *[F.col(x).alias(f"{x}_embedding_strength") for x in c])
-    out = wide.join(rel, period)
-    if sim is not None:
-        out = out.join(sim, period)
-    return out.join(st, period).join(embedding_stats(ep, period), period)
+    if len(c) > V.MAX_INLINE_CANDIDATES:
+        raise ValueError(f"{len(c)} candidates exceed {V.MAX_INLINE_CANDIDATES}")
+    rows = ep.groupBy(period).agg(F.collect_list(F.struct(
+        "candidate", "avg_positive", "avg_negative", "sentiment_score", "cluster_count", "embedding")).alias("_rows"))
+    def row_of(name):   # a one-argument lambda: Spark reads a second one as the element index
+        return F.try_element_at(F.filter("_rows", lambda r: r["candidate"] == F.lit(name)), F.lit(1))
+
+    pick = [row_of(x).alias(f"_r{k}") for k, x in enumerate(c)]
+    flat = F.filter(F.flatten(F.transform("_rows", lambda r: r["embedding"])), lambda x: x.isNotNull())
+    total = F.aggregate("_rows", F.lit(0.0), lambda acc, r: acc + r["sentiment_score"])
+    g = rows.select(period, *pick, total.alias("_total"), flat.alias("_flat")).filter(F.size("_flat") > 0)
+    cols = []
+    for k, x in enumerate(c):
+        r = F.col(f"_r{k}")
+        cols += [r["avg_positive"].alias(f"{x}_positive"), r["avg_negative"].alias(f"{x}_negative"),
+                 r["sentiment_score"].alias(f"{x}_sentiment"), r["cluster_count"].alias(f"{x}_cluster_count")]
+        cols += [F.element_at(r["embedding"], i + 1).alias(f"{x}_embedding_{i}") for i in range(dim)]
+    cols += [F.when(F.col("_total") != 0, F.col(f"_r{k}")["sentiment_score"] / F.col("_total"))
+             .otherwise(F.lit(1.0 / len(c))).alias(f"{x}_relative_sentiment") for k, x in enumerate(c)]
+    cols += [V.cosine(F.col(f"_r{i}")["embedding"], F.col(f"_r{j}")["embedding"]).alias(f"similarity_{c[i]}_{c[j]}")
+             for i in range(len(c)) for j in range(i + 1, len(c))]
+    cols += [V.norm(F.col(f"_r{k}")["embedding"]).alias(f"{x}_embedding_strength") for k, x in enumerate(c)]
+    n = F.size("_flat")
+    mean = F.aggregate("_flat", F.lit(0.0), lambda acc, v: acc + v) / n
+    g = g.withColumn("_mean", mean)
+    sq = F.aggregate("_flat", F.lit(0.0), lambda acc, v: acc + (v - F.col("_mean")) * (v - F.col("_mean")))
+    cols += [F.col("_mean").alias("embedding_mean"), F.sqrt(sq / n).alias("embedding_std"),
+             F.array_max("_flat").alias("embedding_max"), F.array_min("_flat").alias("embedding_min")]
+    return g.select(period, *cols)
 
 
 # ---------------------------------------------------------------------------

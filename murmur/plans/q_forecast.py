@@ -266,6 +266,29 @@ def q_features(spark, sf_dir):
     return FC.features(_ep(spark, sf_dir), CANDS, DIM)
 
 
+def features_sql() -> str:
+    """The parts' SQL (F-3 .. F-6) joined on the period: an independent
+    assembly of what ``features`` computes in one aggregation."""
+    pairs = [(CANDS[i], CANDS[j]) for i in range(len(CANDS)) for j in range(i + 1, len(CANDS))]
+    sim = ", ".join(f"max(CASE WHEN a = {q(a)} AND b = {q(b)} THEN {rnd(_cos('va', 'vb'))} END) AS similarity_{a}_{b}"
+                    for a, b in pairs)
+    return (f"WITH {ep_cte()},\n{STATS_SQL},\n{PAIRS_SQL},\n"
+            f"w AS (SELECT time_label, {_wide_sql(PIVOT_COLS)} FROM ep GROUP BY time_label),\n"
+            f"rel AS (SELECT time_label, {_wide_sql([('relative_sentiment', rnd('rs'))])} FROM ("
+            f"SELECT *, {REL_SQL} AS rs FROM ep) GROUP BY time_label),\n"
+            f"strw AS (SELECT time_label, {_wide_sql([('embedding_strength', rnd(norm_sql('embedding')))])} "
+            "FROM ep GROUP BY time_label),\n"
+            f"simw AS (SELECT time_label, {sim} FROM pairs GROUP BY time_label)\n"
+            "SELECT w.*, rel.* EXCLUDE (time_label), simw.* EXCLUDE (time_label), strw.* EXCLUDE (time_label), "
+            f"{rnd('embedding_mean')} AS embedding_mean, {rnd('embedding_std')} AS embedding_std, "
+            f"{rnd('embedding_max')} AS embedding_max, {rnd('embedding_min')} AS embedding_min "
+            "FROM w JOIN rel USING (time_label) JOIN simw USING (time_label) JOIN strw USING (time_label) "
+            "JOIN st USING (time_label)")
+
+
+ORACLE["features"] = features_sql()
+
+
 # ---------------------------------------------------------------------------
 # Targets from polls
 # ---------------------------------------------------------------------------

@@ -179,23 +179,28 @@ def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_topic_pairs(topic_assignments(spark, sf_dir), candidates(spark, sf_dir))
 
 
-def sentiment_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sentiment_detail(spark: SparkSession, sf_dir: str, cl: DataFrame | None = None) -> DataFrame:
     """Clustered comments with a sentiment class (inner join on the labels)."""
-    return clustered(spark, sf_dir).join(sentiment_classes(spark, sf_dir), "comment_id")
+    cl = clustered(spark, sf_dir) if cl is None else cl
+    return cl.join(sentiment_classes(spark, sf_dir), "comment_id")
 
 
-def sentiment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sentiment_summary(spark: SparkSession, sf_dir: str, cl: DataFrame | None = None) -> DataFrame:
     from murmur.operators.sentiment import sentiment_summary as summarize
-    return summarize(sentiment_detail(spark, sf_dir), FIXTURE_MODEL_PATH)
+    return summarize(sentiment_detail(spark, sf_dir, cl), FIXTURE_MODEL_PATH)
 
 
-def cluster_vectors(spark: SparkSession, sf_dir: str, dim: int = EMBEDDING_DIM) -> DataFrame:
+def cluster_vectors(spark: SparkSession, sf_dir: str, dim: int = EMBEDDING_DIM,
+                    cl: DataFrame | None = None) -> DataFrame:
     """Cluster vector = mean of its member comments' vectors, first ``dim`` elements."""
     from murmur.operators.forecast import cluster_vectors_from_members
-    cl = clustered(spark, sf_dir)
-    return cluster_vectors_from_members(cl, cl.select("comment_id", "embedding"), dim=dim)
+    cl = clustered(spark, sf_dir) if cl is None else cl
+    return cluster_vectors_from_members(cl, dim=dim)
 
 
 def entity_period(spark: SparkSession, sf_dir: str, dim: int = EMBEDDING_DIM) -> DataFrame:
+    """Both branches (summary, cluster vectors) read one ``clustered`` plan, so
+    its exchanges are reused rather than recomputed."""
     from murmur.operators.forecast import entity_period as ep
-    return ep(sentiment_summary(spark, sf_dir), candidate_names(), cluster_vectors(spark, sf_dir, dim), dim)
+    cl = clustered(spark, sf_dir)
+    return ep(sentiment_summary(spark, sf_dir, cl), candidate_names(), cluster_vectors(spark, sf_dir, dim, cl), dim)

@@ -74,7 +74,7 @@ def test_gaps_survive_slicing_of_a_hot_author(spark):
         else:
             assert stats[a][1] == pytest.approx(var, rel=1e-9)
     # the hot author really was split over several slices
-    rows_, _ = B.consecutive_gaps(df, B.AUTHOR, "ts", B.ID, 16)
+    rows_ = B.consecutive_gaps(df, B.AUTHOR, "ts", B.ID, 16)
     assert rows_.filter(F.col(B.AUTHOR) == 1).select("_slice").distinct().count() > 1
 
 
