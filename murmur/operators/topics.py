@@ -59,6 +59,20 @@ def bow(tokens: DataFrame, doc: str = "doc_id") -> DataFrame:
     return tokens.groupBy(doc, "term").agg(F.count("*").alias("n"))
 
 
+def doc_bow(docs: DataFrame, doc: str, text: str, pattern: str | None = T.HANGUL_TOKEN,
+            lower: bool = False, min_len: int = 2) -> DataFrame:
+    """T-4 / T-5 + T-9 keyed by a *unique* document id: ``(doc, term, n)``.
+
+    Documents are hash-partitioned by id before they are tokenised. The count
+    per (doc, term) then needs no second exchange (a partitioning on ``doc``
+    already clusters every (doc, term) group), so the one shuffle moves raw
+    text, a few bytes per token, instead of (doc, term, n) rows; and the
+    tokenising runs in as many tasks as there are shuffle partitions, however
+    the input files are split. Ids are unique, so no key is hot. For keys that
+    repeat (topics, channels) use ``doc_tokens`` + ``bow``."""
+    return bow(doc_tokens(docs.repartition(F.col(doc)), doc, text, pattern, lower, min_len), doc)
+
+
 def term_stats(bow_df: DataFrame, doc: str = "doc_id") -> DataFrame:
     """Document frequency and corpus frequency per term."""
     return bow_df.groupBy("term").agg(F.count(doc).alias("df"), F.sum("n").alias("tf"))

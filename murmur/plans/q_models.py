@@ -212,7 +212,7 @@ def _guided(spark, sf_dir):
     docs = d.join(e, "doc_id")
     # the bag of words feeds the vocabulary, the word vectors, beta, theta and
     # perplexity: tokenise once and keep it (memory, spilling to disk)
-    bow = TP.bow(TP.doc_tokens(docs, "doc_id", "text", LETTER, lower=True)).persist(StorageLevel.MEMORY_AND_DISK)
+    bow = TP.doc_bow(docs, "doc_id", "text", LETTER, lower=True).persist(StorageLevel.MEMORY_AND_DISK)
     vocab = TP.vocabulary(bow, docs, GUIDED["min_df"], GUIDED["max_df"], GUIDED["max_features"])
     vbow = bow.join(vocab.select("term"), "term", "left_semi")
     topics, beta, theta = TP.guided_topics(docs, vbow, vocab, person_axis=TEST_PERSON_AXIS, person_default="neutral",

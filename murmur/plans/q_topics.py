@@ -194,7 +194,7 @@ ORACLE["label_distribution"] = (f"SELECT person, count(*) AS count FROM (SELECT
 # Bag of words and vocabulary
 # ---------------------------------------------------------------------------
 def _bow(spark, sf_dir, lower=False):
-    return TP.bow(TP.doc_tokens(_docs(spark, sf_dir), "doc_id", "text", LETTER, lower=lower))
+    return TP.doc_bow(_docs(spark, sf_dir), "doc_id", "text", LETTER, lower=lower)
 
 
 @register("bow")
