@@ -7,6 +7,7 @@ only fills gaps (tests, local runs).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -45,16 +46,19 @@ def get_spark(master: str | None = None, partitions: int = 8, app: str = "murmur
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory named by the cluster in
-    ``spark.checkpoint.dir``. Only when it is unset (local runs, tests) do we
-    set our own scratch directory."""
+    """The checkpoint directory that the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, a single-machine session (``local[...]``, tests) gets a scratch directory;
+    on a cluster that is an error, as executors on other machines could not read such a folder."""
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="murmur-ckpt-")
     if sc.getCheckpointDir() is None:
+        d = sc.getConf().get("spark.checkpoint.dir", None)
+        if not d:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            d = tempfile.mkdtemp(prefix="murmur-ckpt-")
         sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    return sc.getCheckpointDir()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
