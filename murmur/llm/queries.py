@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import simhash
+from murmur.llm import packing, simhash
 from murmur.llm.common import table
 
 QUERIES: dict = {}
@@ -22,3 +23,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash classes of all documents: 3-word shingles, at most 2 bits apart."""
     g = simhash.simhash_groups(table(spark, sf_dir, "documents"), width=3, max_bits=2)
     return g.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Windows of 2048 ids of the word vocabulary, with the digest of each piece."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    p = packing.pack(docs, lambda: packing.word_encoder(path), size=2048, end_id=1)
+    return p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@register
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in windows of 2048 tokens."""
+    return packed(table(spark, sf_dir, "documents"))
