@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import packing, simhash
+from murmur.llm import packing, rules, simhash
 from murmur.llm.common import table
 
 QUERIES: dict = {}
@@ -36,3 +36,9 @@ def packed(docs: DataFrame) -> DataFrame:
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of 2048 tokens."""
     return packed(table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of the quality rules on all documents; cutoffs per language from the labels."""
+    return rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
