@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import packing, rules, simhash
-from murmur.llm.common import table
+from murmur.llm import lm, packing, rules, simhash
+from murmur.llm.common import fold, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -42,3 +42,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts of the quality rules on all documents; cutoffs per language from the labels."""
     return rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deleted-interpolation scores of all documents; a fifth of them, by id, is not learned from, another fifth gives the events
+    for the weights."""
+    out = lm.lm_scores(table(spark, sf_dir, "documents"), train=fold(F.col("doc_id")) != 1, retained=fold(F.col("doc_id")) != 0)
+    return out.select("doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
