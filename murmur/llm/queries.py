@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import lm, packing, rules, simhash
+from murmur.llm import lm, packing, quality_model, rules, simhash
 from murmur.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -50,3 +50,12 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     for the weights."""
     out = lm.lm_scores(table(spark, sf_dir, "documents"), train=fold(F.col("doc_id")) != 1, retained=fold(F.col("doc_id")) != 0)
     return out.select("doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@register
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents; a fifth of them, by id, is not learned from."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model.train(docs, table(spark, sf_dir, "labels"), learn=fold(F.col("doc_id")) != 0)
+    out = quality_model.quality_scores(docs, model)
+    return out.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
