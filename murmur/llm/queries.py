@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import lm, packing, quality_model, rules, simhash
+from murmur.llm import lm, packing, pieces, quality_model, rules, simhash
 from murmur.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -59,3 +59,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_model.train(docs, table(spark, sf_dir, "labels"), learn=fold(F.col("doc_id")) != 0)
     out = quality_model.quality_scores(docs, model)
     return out.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in pieces with a tenth of the merges dropped, and whether decoding gives the text back."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    out = pieces.encode_pieces(table(spark, sf_dir, "documents"), path, rate=0.1, seed=1, variants=4)
+    return out.select("doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), "lossless")
