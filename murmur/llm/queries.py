@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import lm, packing, pieces, quality_model, rules, simhash
+from murmur.llm import itq, lm, packing, pieces, quality_model, rules, simhash
 from murmur.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -67,3 +67,9 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     out = pieces.encode_pieces(table(spark, sf_dir, "documents"), path, rate=0.1, seed=1, variants=4)
     return out.select("doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), "lossless")
+
+
+@register
+def op8_embedding_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all embeddings at a cosine of 0.9 or more."""
+    return itq.vector_links(table(spark, sf_dir, "embeddings"), threshold=0.9)
