@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import itq, lm, packing, pieces, quality_model, rules, simhash
+from murmur.llm import itq, lines, lm, packing, pieces, quality_model, rules, simhash
 from murmur.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -73,3 +73,40 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_embedding_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of all embeddings at a cosine of 0.9 or more."""
     return itq.vector_links(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+@register
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without runs of lines of 50 words or more that occur earlier."""
+    out, info = lines.dedup_lines(table(spark, sf_dir, "documents"), min_words=50)
+    return out.select("doc_id", F.col(f"{info}.n_lines").alias("n_lines"), F.col(f"{info}.n_deleted").alias("n_deleted"),
+                      F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
+ORACLE["op9_line_dedup"] = r"""
+WITH split AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i
+  FROM documents WHERE text IS NOT NULL),
+counted AS (SELECT doc_id, i, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM split),
+placed AS (
+  SELECT doc_id, i, line, w, sum(w) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM counted WHERE w > 0),
+found AS (
+  SELECT doc_id, min(i) OVER f AS i, max(i) OVER f AS j, sum(w) OVER f AS n, list(line) OVER f AS run
+  FROM (SELECT *, e - w AS s FROM placed)
+  WINDOW f AS (PARTITION BY doc_id ORDER BY s RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION ALL
+  SELECT doc_id, min(i) OVER f, max(i) OVER f, sum(w) OVER f, list(line) OVER f
+  FROM placed
+  WINDOW f AS (PARTITION BY doc_id ORDER BY e RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+firsts AS (
+  SELECT doc_id, i, j, min({'d': doc_id, 'i': i}) OVER (PARTITION BY array_to_string(run, chr(10))) AS low FROM found WHERE n >= 50),
+later AS (SELECT DISTINCT doc_id, i, j FROM firsts WHERE doc_id > low.d OR doc_id = low.d AND i > low.i),
+gone AS (SELECT DISTINCT s.doc_id, s.i FROM split s JOIN later l ON s.doc_id = l.doc_id AND s.i BETWEEN l.i AND l.j),
+kept AS (
+  SELECT s.doc_id, string_agg(s.line, chr(10) ORDER BY s.i) AS text, count(*) AS n
+  FROM split s ANTI JOIN gone g ON s.doc_id = g.doc_id AND s.i = g.i GROUP BY s.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) END AS n_lines,
+       CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) - coalesce(k.n, 0) END AS n_deleted,
+       sha256(coalesce(k.text, '')) AS text_sha256
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
