@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import itq, lines, lm, packing, pieces, quality_model, rules, simhash
+from murmur.llm import itq, lines, lm, packing, pieces, quality_model, rules, secrets, simhash
 from murmur.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -110,3 +110,9 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, c
        sha256(coalesce(k.text, '')) AS text_sha256
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
+
+
+@register
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: base patterns and linked weak parts."""
+    return secrets.digest(secrets.secret_spans(table(spark, sf_dir, "documents")))
