@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import itq, lines, lm, packing, pieces, quality_model, rules, secrets, simhash
+from murmur.llm import itq, lines, lm, packing, pieces, pii, quality_model, rules, secrets, simhash
 from murmur.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -116,3 +116,9 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents: base patterns and linked weak parts."""
     return secrets.digest(secrets.secret_spans(table(spark, sf_dir, "documents")))
+
+
+@register
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: base patterns and candidates accepted by boosted trees."""
+    return pii.digest(pii.pii_spans(table(spark, sf_dir, "documents")))
