@@ -9,14 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 
-def map_sorted_groups(df: DataFrame, keys: list[str], each: Callable[[pa.Table], Iterator[pa.RecordBatch]],
-                      schema: str) -> DataFrame:
-    """Bring the rows of each key together and give them to ``each`` as one Arrow table.
+def stream_groups(keys: list[str], each: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> Callable:
+    """A function for ``mapInArrow`` over partitions that hold the rows of each key together and one key after another: ``each`` gets a
+    group's rows as one table. Only the group at hand is held; callers bound its size."""
 
-    Only the group at hand is held; callers bound its size (tiles). Rows are hashed on the keys
-    and sorted inside each partition, so a task streams through its groups in key order."""
-
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def flush():
@@ -44,7 +41,17 @@ def map_sorted_groups(df: DataFrame, keys: list[str], each: Callable[[pa.Table],
                 held.append(b.slice(x, y - x))
         yield from flush()
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return run
+
+
+def gathered(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows hashed on the keys and sorted by them inside each partition."""
+    return df.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def map_sorted_groups(df: DataFrame, keys: list[str], each: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Give the rows of each key to ``each`` as one table."""
+    return gathered(df, keys).mapInArrow(stream_groups(keys, each), schema)
 
 
 def merge_labels(labels: np.ndarray, members: np.ndarray) -> None:

@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmur.llm.common import cut_lineage, written
+from murmur.llm.groups import gathered, map_sorted_groups, stream_groups
 
 END = b"\n"  # never a word
 HEAD = 250_000
@@ -152,18 +153,19 @@ def bucket_of(context: np.ndarray) -> np.ndarray:
     return np.where(context > 0, 1 + np.floor(np.log2(np.maximum(context, 1))), 0).astype(np.int64)
 
 
-FOUND = ("bucket int, rids binary, groups binary, sizes binary, keys binary, times binary, "
+FOUND = ("bucket int, base long, groups array<int>, sizes binary, keys binary, times binary, "
          "docs array<struct<rid: bigint, doc_id: bigint, n_tokens: bigint, n_known: bigint, base: double, rare: binary, rare_times: binary>>")
 
 
 def occurrences(rows: DataFrame, classes, bits: int) -> DataFrame:
-    """Two kinds of rows, by the sign of ``bucket``. From 0 on: the bigram occurrences that a part of an Arrow batch has in that
-    bucket: its documents' row numbers and groups, how many keys each has, the 32-bit keys, how often each occurs. Below 0, spread over
-    as many numbers: what the head alone tells of the documents, and the hashes and counts of their rare tokens."""
+    """Two kinds of rows, by the sign of ``bucket``. From 0 on: the bigram occurrences of a part of an Arrow batch in that bucket. A part's
+    documents are numbered from ``base`` on, those of group 0 first, then 1, then 2; ``groups`` says how many there are, ``sizes`` how many
+    keys each has there, ``times`` how often each key occurs. Below 0, spread over as many numbers: what the head alone tells
+    of the documents, and the hashes and counts of their rare tokens."""
     docs_kind = pa.list_(pa.struct([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                                     ("base", pa.float64()), ("rare", pa.binary()), ("rare_times", pa.binary())]))
-    kinds = [pa.int32()] + [pa.binary()] * 5 + [docs_kind]
-    names = ["bucket", "rids", "groups", "sizes", "keys", "times", "docs"]
+    kinds = [pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary(), docs_kind]
+    names = ["bucket", "base", "groups", "sizes", "keys", "times", "docs"]
     low = KEY_BITS - bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,17 +181,20 @@ def occurrences(rows: DataFrame, classes, bits: int) -> DataFrame:
                     rid += y - x
 
     def part(b: pa.RecordBatch, c: Classes, known: dict, rid: int) -> pa.RecordBatch:
-        ids_of, groups = b.column(0).to_pylist(), b.column(1).to_numpy().astype(np.int8)
+        group = b.column(1).to_numpy()
+        by_group = np.argsort(group, kind="stable")
+        groups = np.bincount(group, minlength=3).tolist()
+        ids_of, texts = b.column(0).to_pylist(), b.column(3)
         keys, which, times, docs = [], [], [], []
-        for i, text in enumerate(b.column(3)):
-            words = tokens(text.as_py())
+        for i, at in enumerate(by_group.tolist()):
+            words = tokens(texts[at].as_py())
             if len(known) > 300_000:
                 known.clear()
             for w in set(words).difference(known):
                 known[w] = c.of.get(hash64(w), 0)
             ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
             rare = Counter([w for w in words if not known[w]])
-            docs.append({"rid": rid + i, "doc_id": ids_of[i], "n_tokens": len(words),
+            docs.append({"rid": rid + i, "doc_id": ids_of[at], "n_tokens": len(words),
                          "n_known": int(((ids > 1) | ((ids == 1) & (c.count[1] > 0))).sum()), "base": float(c.base[ids[ids > 0]].sum()),
                          "rare": np.array([hash64(w) for w in rare], dtype="<i8").tobytes(),
                          "rare_times": np.array(list(rare.values()), dtype="<u4").tobytes()})
@@ -206,10 +211,9 @@ def occurrences(rows: DataFrame, classes, bits: int) -> DataFrame:
         cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
         out = []
         for x, y in zip(cuts, cuts[1:]):
-            at = np.flatnonzero(np.diff(doc[x:y], prepend=-1))
-            d = doc[x:y][at]
-            out.append((int(bucket[x]), (rid + d.astype("<i8")).tobytes(), groups[d].tobytes(), np.diff(at, append=y - x).astype("<u4").tobytes(),
-                        key[x:y].tobytes(), n[x:y].tobytes(), None))
+            sizes = np.bincount(doc[x:y], minlength=len(docs)).astype("<u4")
+            # the bytes of a number apart: the upper ones are nearly all 0 and take no room when compressed
+            out.append((int(bucket[x]), rid, groups, _planes(sizes), key[x:y].tobytes(), _planes(n[x:y]), None))
         for i in range(0, len(docs), 64):
             out.append((-1 - (rid + i) * 0x9E3779B1 % (1 << bits), None, None, None, None, None, docs[i:i + 64]))
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names)
@@ -217,16 +221,27 @@ def occurrences(rows: DataFrame, classes, bits: int) -> DataFrame:
     return rows.select("doc_id", "group", F.length("text").alias("size"), "text").mapInArrow(run, FOUND)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    return x.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unplanes(x: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x, dtype=np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+
+
 def _open(t: pa.Table, bits: int):
-    """A bucket's occurrences: document index, its rid and group, class pair index, times; the pairs' classes."""
-    col = lambda name, kind: np.frombuffer(b"".join(x.as_py() for x in t.column(name)), dtype=kind)
+    """A bucket's occurrences: document (numbered over all parts at hand) and its group, class pair, times; the pairs' classes; the parts' first
+    row numbers and sizes."""
     low = KEY_BITS - bits
-    key, sizes = col("keys", "<u4"), col("sizes", "<u4")
-    doc = np.repeat(np.arange(len(sizes)), sizes)
+    key = np.frombuffer(b"".join(t.column("keys").to_pylist()), dtype="<u4")
+    sizes = [_unplanes(x) for x in t.column("sizes").to_pylist()]
+    group = np.concatenate([np.repeat(np.arange(3, dtype=np.int8), g) for g in t.column("groups").to_pylist()])
+    doc = np.repeat(np.arange(len(group), dtype=np.int32), np.concatenate(sizes))
     pairs, at = np.unique(key, return_inverse=True)
     full = unmix((np.uint64(int(t.column("bucket")[0].as_py())) << np.uint64(low)) | pairs.astype(np.uint64))
     h, w = (full >> np.uint64(_CLASS_BITS)).astype(np.int64), (full & np.uint64((1 << _CLASS_BITS) - 1)).astype(np.int64)
-    return doc, col("rids", "<i8"), col("groups", np.int8), at.reshape(-1), col("times", "<u4").astype(np.float64), h, w
+    times = np.concatenate([_unplanes(x) for x in t.column("times").to_pylist()])
+    return doc, group, at.reshape(-1).astype(np.int32), times, h, w, t.column("base").to_pylist(), [len(x) for x in sizes]
 
 
 def _level(p: np.ndarray) -> np.ndarray:
@@ -261,7 +276,7 @@ def estimate(hist: list[tuple[int, int, int, float]], n_classes: int, rounds: in
 
 
 def lm_scores(docs: DataFrame, train: Column, retained: Column, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD,
-              bucket_keys: int = 1_000_000) -> DataFrame:
+              bucket_keys: int = 2_000_000) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score, score. ``train`` and ``retained`` are conditions on
     ``docs``: which documents are learned from, and which of them give the counts for the weights."""
     if not 0 <= head <= (1 << _CLASS_BITS) - 4:
@@ -281,12 +296,13 @@ def lm_scores(docs: DataFrame, train: Column, retained: Column, id_col: str = "d
     cl = Classes([tuple(x) for x in counts.where(F.col("n") >= cut).collect()], {k: totals[k] or 0 for k in ("n", "kept", "kinds")},
                  size["train"], size["kept"])
     classes = docs.sparkSession.sparkContext.broadcast(cl.__dict__)
-    bits = min(24, max(4, math.ceil(math.log2(max(1, (size["bytes"] or 0) / 6.5 / bucket_keys)))))
-    found = cut_lineage(occurrences(rows, classes, bits).repartition(F.col("bucket")))
+    bits = min(24, max(4, round(math.log2(max(1, (size["bytes"] or 0) / 6.5 / bucket_keys)))))
+    # each bucket in one partition, its rows together; the checkpoint keeps partitions and order
+    found = cut_lineage(gathered(occurrences(rows, classes, bits), ["bucket"]))
 
-    def learn(t: pa.Table) -> pa.Table:
+    def learn(t: pa.Table) -> Iterator[pa.RecordBatch]:
         c = Classes.load(classes.value)
-        doc, _, group, at, times, h, w = _open(t, bits)
+        doc, group, at, times, h, w, _, _ = _open(t, bits)
         kept = np.bincount(at, times * (group[doc] == 2), len(h))
         event = np.bincount(at, times * (group[doc] == 1), len(h))
         ctx, word = c.context(True), c.word(True)
@@ -295,26 +311,33 @@ def lm_scores(docs: DataFrame, train: Column, retained: Column, id_col: str = "d
         p2 = _level(kept / np.maximum(ctx[h], 1)) + 1
         p1 = _level(word[w] / max(1, c.kept_total)) + 1
         code, where = np.unique((bucket_of(ctx[h]) * 4096 + p2) * 4096 + p1, return_inverse=True)
-        return pa.table({"b": code // 4096 ** 2, "p2": code // 4096 % 4096 - 1, "p1": code % 4096 - 1,
-                         "n": np.bincount(where.reshape(-1), event, len(code))})
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (code // 4096 ** 2, code // 4096 % 4096 - 1, code % 4096 - 1,
+                                                                np.bincount(where.reshape(-1), event, len(code)))], ["b", "p2", "p1", "n"])
 
-    hist = (found.where("bucket >= 0").groupBy("bucket").applyInArrow(learn, "b long, p2 long, p1 long, n double")
+    bigrams = found.where("bucket >= 0").drop("docs")
+    hist = (bigrams.mapInArrow(stream_groups(["bucket"], learn), "b long, p2 long, p1 long, n double")
             .groupBy("b", "p2", "p1").agg(F.sum("n")))
     # at most 65 buckets by the levels of two estimates, whatever the corpus: some ten thousand rows
     weights = estimate([tuple(x) for x in hist.collect()], cl.n)
 
-    def score(t: pa.Table) -> pa.Table:
+    def score(t: pa.Table) -> Iterator[pa.RecordBatch]:
         c = Classes.load(classes.value)
-        doc, rid, group, at, times, h, w = _open(t, bits)
+        doc, group, at, times, h, w, base, sizes = _open(t, bits)
         count = np.bincount(at, times * (group[doc] > 0), len(h))
         ctx, word = c.context(), c.word()
         lam = weights[bucket_of(ctx[h])]
         p = lam[:, 0] * count / np.maximum(ctx[h], 1) + lam[:, 1] * word[w] / max(1, c.total) + lam[:, 2] / c.n
-        return pa.table({"rid": rid, "score": np.bincount(doc, times * np.log10(p)[at], len(rid))})
+        part = np.bincount(doc, times * np.log10(p)[at], len(group))
+        cut = np.cumsum([0, *sizes])
+        yield pa.RecordBatch.from_arrays([pa.array(base, pa.int64()), pa.array([part[x:y].tobytes() for x, y in zip(cut, cut[1:])], pa.binary())],
+                                         ["base", "part"])
+
+    def add(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        total = sum(np.frombuffer(x) for x in t.column("part").to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array(t.column("base")[0].as_py() + np.arange(len(total))), pa.array(total)], ["rid", "bigram"])
 
-    none = F.lit(None).cast("long")
-    bigrams = (found.where("bucket >= 0").groupBy("bucket").applyInArrow(score, "rid long, score double")
-               .select("rid", none.alias("doc_id"), none.alias("n_tokens"), none.alias("n_known"), F.lit(0.0).alias("base"), "score"))
+    scored = bigrams.mapInArrow(stream_groups(["bucket"], score), "base long, part binary")
+    scored = map_sorted_groups(scored, ["base"], add, "rid long, bigram double")
     info = found.where("bucket < 0").select(F.explode("docs").alias("d")).select("d.*")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,13 +349,13 @@ def lm_scores(docs: DataFrame, train: Column, retained: Column, id_col: str = "d
                 pa.array(np.frombuffer(b"".join(n), dtype="<u4").astype(np.int64))], ["rid", "token", "times"])
 
     rare = info.select("rid", "rare", "rare_times").mapInArrow(spread, "rid long, token long, times long")
-    c = F.coalesce(F.col("n"), F.lit(0))
-    rare = rare.join(counts.select("token", "n"), "token", "left").select(
-        "rid", none.alias("doc_id"), none.alias("n_tokens"), F.when(c > 0, F.col("times")).alias("n_known"),
-        (F.col("times") * F.log10((c + 0.5) / F.lit(cl.total + 0.5 * (cl.kinds + 1)))).alias("base"),
-        (F.col("times") * F.log10((c + 0.5) / F.lit(cl.rest + 0.5 * (cl.rest_kinds + 1)))).alias("score"))
-    heads = info.select("rid", "doc_id", "n_tokens", "n_known", "base", F.lit(0.0).alias("score"))
-    total = heads.unionByName(rare).unionByName(bigrams).groupBy("rid").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
-        F.sum("base").alias("base_score"), F.sum("score").alias("score"))
-    return total.select("doc_id", "n_tokens", "n_known", F.lit(cl.total).cast("long").alias("train_tokens"), "base_score", "score")
+    rare = (rare.join(counts.select("token", "n"), "token", "left").select("rid", "times", F.coalesce("n", F.lit(0)).alias("n"))
+            .repartition("rid").groupBy("rid").agg(F.sum("times").alias("rares"), F.sum(F.when(F.col("n") > 0, F.col("times"))).alias("known"),
+                                                   F.sum(F.col("times") * F.log10(F.col("n") + 0.5)).alias("logs")))
+    total = info.drop("rare", "rare_times").join(scored, "rid").join(rare, "rid", "left")
+    logs, rares = F.coalesce("logs", F.lit(0.0)), F.coalesce("rares", F.lit(0))
+    of = lambda n, kinds: F.lit(math.log10(n + 0.5 * (kinds + 1)))
+    return total.select("doc_id", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
+                        F.lit(cl.total).cast("long").alias("train_tokens"),
+                        (F.col("base") + logs - rares * of(cl.total, cl.kinds)).alias("base_score"),
+                        (F.col("bigram") + logs - rares * of(cl.rest, cl.rest_kinds)).alias("score"))
