@@ -215,7 +215,7 @@ def occurrences(rows: DataFrame, classes, bits: int) -> DataFrame:
             # the bytes of a number apart: the upper ones are nearly all 0 and take no room when compressed
             out.append((int(bucket[x]), rid, groups, _planes(sizes), key[x:y].tobytes(), _planes(n[x:y]), None))
         for i in range(0, len(docs), 64):
-            out.append((-1 - (rid + i) * 0x9E3779B1 % (1 << bits), None, None, None, None, None, docs[i:i + 64]))
+            out.append((-1 - ((rid + i) * 0x9E3779B97F4A7C15 >> 40 & 0xFFFF), None, None, None, None, None, docs[i:i + 64]))
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names)
 
     return rows.select("doc_id", "group", F.length("text").alias("size"), "text").mapInArrow(run, FOUND)
@@ -296,7 +296,7 @@ def lm_scores(docs: DataFrame, train: Column, retained: Column, id_col: str = "d
     cl = Classes([tuple(x) for x in counts.where(F.col("n") >= cut).collect()], {k: totals[k] or 0 for k in ("n", "kept", "kinds")},
                  size["train"], size["kept"])
     classes = docs.sparkSession.sparkContext.broadcast(cl.__dict__)
-    bits = min(24, max(4, round(math.log2(max(1, (size["bytes"] or 0) / 6.5 / bucket_keys)))))
+    bits = min(24, max(6, round(math.log2(max(1, (size["bytes"] or 0) / 6.5 / bucket_keys)))))
     # each bucket in one partition, its rows together; the checkpoint keeps partitions and order
     found = cut_lineage(gathered(occurrences(rows, classes, bits), ["bucket"]))
 

@@ -26,11 +26,12 @@ from pyspark.sql import functions as F
 
 SIZE = 2048
 END_ID = 1
-#: Letters that stand for themselves under canonical composition: a run of them is one word to the tokenizer.
-_PLAIN = "([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)"
+#: A line that is letters which stand for themselves under canonical composition, then ASCII marks but the apostrophe: to the
+#: tokenizer a run of either is one word.
+_PLAIN = r"^([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)$"
 
 
-def word_encoder(path: str, cache_size: int = 300_000) -> Callable[[list[str]], list[bytes]]:
+def word_encoder(path: str, cache_size: int = 600_000) -> Callable[[list[str]], list[bytes]]:
     """Encoder of whole texts by the tokenizer file at ``path``: little-endian unsigned 32-bit ids, without
     special tokens. Texts are cut at spaces and line feeds, which the tokenizer drops, so ids of
     the cuts can be remembered; the memory of them is bounded."""
@@ -43,40 +44,31 @@ def word_encoder(path: str, cache_size: int = 300_000) -> Callable[[list[str]],
     if suffix:
         ends[[i for t, i in tk.get_vocab().items() if t.endswith(suffix)]] = True
     known: dict[str, bytes] = {"": b""}
-    plain = re.compile(_PLAIN)
+    plain = re.compile(_PLAIN, re.MULTILINE)
 
     def whole(words: list[str]) -> None:
         for w, e in zip(words, tk.encode_batch_fast(words, add_special_tokens=False)):
             known[w] = np.array(e.ids, dtype="<u4").tobytes()
 
     def learn(words: set[str]) -> None:
-        rest, made, cores = [], [], []
-        for w in words:
-            m = plain.fullmatch(w) if suffix and len(w) < 200 else None
-            if m is None:
-                rest.append(w)
-                continue
-            core, mark = m.groups()
-            if core not in known:
-                cores.append(core)
-            if mark:
-                made.append((w, core, mark))
-        cores = list(dict.fromkeys(cores))
+        if not suffix:
+            return whole(list(words))
+        found = plain.findall("\n".join(words))  # no word holds a line feed
+        cores = [c for c in dict.fromkeys(c for c, _ in found) if c not in known]
         if cores:
-            ids = np.array(tk.encode(" ".join(cores), add_special_tokens=False).ids, dtype="<u4")
+            # one text of all of them: its words end where the suffix is
+            ids = np.array(tk.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, dtype="<u4")
             at = np.flatnonzero(ends[ids]) + 1
-            if len(at) == len(cores):  # one word each
-                raw, x = ids.tobytes(), 0
-                for core, y in zip(cores, (at * 4).tolist()):
-                    known[core] = raw[x:y]
-                    x = y
+            if len(at) == len(cores):
+                raw, at = ids.tobytes(), (at * 4).tolist()
+                known.update(zip(cores, map(raw.__getitem__, map(slice, [0, *at], at))))
             else:
                 whole(cores)
-        marks = [m for m in {m for _, _, m in made} if m not in known]
+        marks = [m for m in {m for _, m in found} if m not in known]
         if marks:
             whole(marks)
-        for w, core, mark in made:
-            known[w] = known[core] + known[mark]
+        known.update([(c + m, known[c] + known[m]) for c, m in found if m])
+        rest = [w for w in words if w not in known]
         if rest:
             whole(rest)
 

@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from murmur.llm.common import cut_lineage, free_name
 
@@ -84,7 +85,8 @@ def measured(docs: DataFrame, keep: list[str], text_col: str = "text") -> tuple[
     """``keep`` columns of ``docs`` and one struct column (its name is returned) of the base counts and rule values."""
     name = free_name(docs.select(*keep), "m")
     docs = docs.select(*keep, F.col(text_col).cast("string").alias(free_name(docs, "text_")))
-    kept_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[:-1])
+    inner = T.StructType([T.StructField(x, T.LongType()) for x in BASE] + [T.StructField(x, T.IntegerType()) for x in RULES])
+    schema = T.StructType([*docs.schema.fields[:-1], T.StructField(name, inner)])
     kind = pa.struct([(x, pa.int64()) for x in BASE] + [(x, pa.int32()) for x in RULES])
     names = docs.columns[:-1] + [name]
 
@@ -95,8 +97,7 @@ def measured(docs: DataFrame, keep: list[str], text_col: str = "text") -> tuple[
                 [pa.array([], f.type) for f in kind]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.StructArray.from_arrays(cols, fields=list(kind))], names)
 
-    inner = ", ".join([f"{x}: long" for x in BASE] + [f"{x}: int" for x in RULES])
-    return docs.mapInArrow(run, f"{kept_schema}, `{name}` struct<{inner}>" if kept_schema else f"`{name}` struct<{inner}>"), name
+    return docs.mapInArrow(run, schema), name
 
 
 def log_binomial_cdf(k: int, n: int, p: float) -> float:

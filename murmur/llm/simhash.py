@@ -24,8 +24,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from murmur.llm.common import cut_lineage
+from murmur.llm.common import cut_lineage, free_name
 from murmur.llm.components import connected_components
 from murmur.llm.groups import map_sorted_groups, merge_labels
 
@@ -132,20 +133,41 @@ def links(fps: DataFrame, max_bits: int, tile: int = TILE, parts: int = PARTS) -
                              _compare(max_bits), "a long, b long")
 
 
+def simhash_classes(sig: DataFrame, max_bits: int, tile: int = TILE, parts: int = PARTS) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint in ``sig`` (doc_id, fp): root names the component, component_id is its
+    smallest id, null if it has none."""
+    classes = cut_lineage(sig.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    comp = connected_components(links(classes.select("fp"), max_bits, tile, parts), "a", "b")
+    named = classes.join(comp, classes.fp == comp.node, "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))
+    return named.drop("low").join(named.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("fp", "root", "component_id")
+
+
 def simhash_groups(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text",
                    tile: int = TILE, parts: int = PARTS) -> DataFrame:
     """(doc_id, fp long, component_id): every row with its fingerprint and the smallest id that its links reach."""
     sig = cut_lineage(fingerprints(docs, width, id_col, text_col))
-    classes = cut_lineage(sig.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    comp = connected_components(links(classes.select("fp"), max_bits, tile, parts), "a", "b")
-    named = classes.join(comp, classes.fp == comp.node, "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))
-    low = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    return sig.join(named.join(low, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    classes = simhash_classes(sig, max_bits, tile, parts)
+    return sig.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay: of each group the one with the smallest id, with all its columns.
-    Where rows repeat that id, one of them stays."""
-    groups = simhash_groups(docs, width, max_bits, id_col, text_col)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct()
-    return docs.join(stay, docs[id_col].cast("long").eqNullSafe(F.col("_stay")), "left_semi").dropDuplicates([id_col])
+    """The documents that stay: of each group the one with the smallest id, with all its columns. Where rows repeat that
+    id, one of them stays; of a group without any id, one row."""
+    sig = cut_lineage(fingerprints(docs, width, id_col, text_col))
+    classes = cut_lineage(simhash_classes(sig, max_bits))
+    stay = classes.where("component_id is not null").select(F.col("component_id").alias("_stay")).distinct()
+    key = docs[id_col].cast("long")
+    named = docs.where(key.isNotNull()).join(stay, key == F.col("_stay"), "left_semi").dropDuplicates([id_col])
+    # rows without an id: their fingerprints once more, in place
+    fp = free_name(docs, "fp")
+    nameless = docs.where(key.isNull())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = np.array([fingerprint(x.as_py(), width) for x in b.column(b.schema.get_field_index(text_col))], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got.view(np.int64))], [*b.schema.names, fp])
+
+    nameless = nameless.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())]))
+    alone = classes.where("component_id is null").select(F.col("fp").alias("_fp"), F.col("root").alias("_root"))
+    nameless = nameless.join(alone, F.col(fp) == F.col("_fp")).dropDuplicates(["_root"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return named.unionByName(nameless)
