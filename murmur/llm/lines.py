@@ -2,8 +2,8 @@
 
 A run is consecutive lines of one text with at least ``min_words`` words together; lines without a word don't count. The
 definition: a line goes if it lies in a run whose lines, one by one equal, occur earlier, in the order of ids and of lines
-inside a text (also inside the same text, where the two may overlap). Lines without a word between lines of a run that
-goes, go with them. What occurs first stays, so no line vanishes from the corpus altogether.
+inside a text (also inside the same text, where the two may overlap). Lines without a word between two lines that go,
+go with them. What occurs first stays, so no line vanishes from the corpus altogether.
 
 How: windows are the shortest runs from each line on, and up to each line; a repeated run holds a window from its first line on, and
 its windows cover it. Of each window the line with the smallest hash is selected (the last one among equals): any
@@ -38,16 +38,18 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def windows(lines: DataFrame, min_words: int) -> DataFrame:
-    """(id, h, i, j, fp, at, ka, kb): windows from line i to line j, the selected line's hash and place, the content's hashes."""
+    """(id, h, i, j, oi, oj, fp, at, ka, kb): windows from line i to line j (among lines with a word, from the oi-th to the oj-th), the selected line's hash and place, the content's hashes."""
     text = Window.partitionBy("id", "h")
     rows = lines.withColumn("end", F.sum("w").over(text.orderBy("i"))).withColumn("start", F.col("end") - F.col("w"))
+    rows = rows.withColumn("o", F.row_number().over(text.orderBy("i")))
     out = []
     for frame in (text.orderBy("start").rangeBetween(0, min_words - 1), text.orderBy("end").rangeBetween(1 - min_words, 0)):
-        out.append(rows.select("id", "h", F.min("i").over(frame).alias("i"), F.max("i").over(frame).alias("j"), F.sum("w").over(frame).alias("n"),
+        out.append(rows.select("id", "h", F.min("i").over(frame).alias("i"), F.max("i").over(frame).alias("j"), F.min("o").over(frame).alias("oi"),
+                               F.max("o").over(frame).alias("oj"), F.sum("w").over(frame).alias("n"),
                                F.min(F.struct("a", (-F.col("i")).alias("at"))).over(frame).alias("low"),
                                F.collect_list("a").over(frame).alias("la"), F.collect_list("b").over(frame).alias("lb")))
     return out[0].unionByName(out[1]).where(F.col("n") >= min_words).select(
-        "id", "h", "i", "j", F.col("low.a").alias("fp"), (-F.col("low.at")).alias("at"), F.xxhash64("la").alias("ka"), F.xxhash64("lb").alias("kb"))
+        "id", "h", "i", "j", "oi", "oj", F.col("low.a").alias("fp"), (-F.col("low.at")).alias("at"), F.xxhash64("la").alias("ka"), F.xxhash64("lb").alias("kb"))
 
 
 def place(*at: str):
@@ -60,12 +62,14 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     found = windows(cut_lineage(line_table(docs, id_col, text_col)), min_words)
     anchors = (found.groupBy("fp").agg(F.min(place("at")).alias("first"), F.max(place("at")).alias("last"))
                .where(F.col("first") != F.col("last")).select("fp"))
-    found = cut_lineage(found.join(anchors, "fp").select("id", "h", "i", "j", "ka", "kb"))
+    anchors = cut_lineage(anchors)  # so that a join to it can split the windows of a hot hash
+    found = cut_lineage(found.join(anchors, "fp").select("id", "h", "i", "j", "oi", "oj", "ka", "kb"))
     first = found.groupBy("ka", "kb").agg(F.min(place("i")).alias("first"), F.max(place("i")).alias("last")).where(F.col("first") != F.col("last"))
-    later = found.join(first.select("ka", "kb", "first"), ["ka", "kb"]).where(place("i") > F.col("first")).select("id", "h", "i", "j").distinct()
+    first = cut_lineage(first)
+    later = found.join(first.select("ka", "kb", "first"), ["ka", "kb"]).where(place("i") > F.col("first")).select("id", "h", "i", "j", "oi", "oj").distinct()
     text = Window.partitionBy("id", "h")
-    before = F.max("j").over(text.orderBy("i", "j").rowsBetween(Window.unboundedPreceding, -1))
-    runs = later.withColumn("new", F.when(F.col("i") <= before + 1, 0).otherwise(1)).withColumn("run", F.sum("new").over(text.orderBy("i", "j")))
+    before = F.max("oj").over(text.orderBy("oi", "oj").rowsBetween(Window.unboundedPreceding, -1))
+    runs = later.withColumn("new", F.when(F.col("oi") <= before + 1, 0).otherwise(1)).withColumn("run", F.sum("new").over(text.orderBy("oi", "oj")))
     runs = runs.groupBy("id", "h", "run").agg(F.min("i").alias("i"), F.max("j").alias("j"))
     return runs.groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("i", "j"))).alias("runs"))
 

@@ -311,8 +311,9 @@ def lm_scores(docs: DataFrame, train: Column, retained: Column, id_col: str = "d
         p2 = _level(kept / np.maximum(ctx[h], 1)) + 1
         p1 = _level(word[w] / max(1, c.kept_total)) + 1
         code, where = np.unique((bucket_of(ctx[h]) * 4096 + p2) * 4096 + p1, return_inverse=True)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (code // 4096 ** 2, code // 4096 % 4096 - 1, code % 4096 - 1,
-                                                                np.bincount(where.reshape(-1), event, len(code)))], ["b", "p2", "p1", "n"])
+        if len(code):
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (code // 4096 ** 2, code // 4096 % 4096 - 1, code % 4096 - 1)),
+                                              pa.array(np.bincount(where.reshape(-1), event, len(code)), pa.float64())], ["b", "p2", "p1", "n"])
 
     bigrams = found.where("bucket >= 0").drop("docs")
     hist = (bigrams.mapInArrow(stream_groups(["bucket"], learn), "b long, p2 long, p1 long, n double")
@@ -334,7 +335,7 @@ def lm_scores(docs: DataFrame, train: Column, retained: Column, id_col: str = "d
 
     def add(t: pa.Table) -> Iterator[pa.RecordBatch]:
         total = sum(np.frombuffer(x) for x in t.column("part").to_pylist())
-        yield pa.RecordBatch.from_arrays([pa.array(t.column("base")[0].as_py() + np.arange(len(total))), pa.array(total)], ["rid", "bigram"])
+        yield pa.RecordBatch.from_arrays([pa.array(t.column("base")[0].as_py() + np.arange(len(total)), pa.int64()), pa.array(total, pa.float64())], ["rid", "bigram"])
 
     scored = bigrams.mapInArrow(stream_groups(["bucket"], score), "base long, part binary")
     scored = map_sorted_groups(scored, ["base"], add, "rid long, bigram double")

@@ -101,7 +101,13 @@ found AS (
 firsts AS (
   SELECT doc_id, i, j, min({'d': doc_id, 'i': i}) OVER (PARTITION BY array_to_string(run, chr(10))) AS low FROM found WHERE n >= 50),
 later AS (SELECT DISTINCT doc_id, i, j FROM firsts WHERE doc_id > low.d OR doc_id = low.d AND i > low.i),
-gone AS (SELECT DISTINCT s.doc_id, s.i FROM split s JOIN later l ON s.doc_id = l.doc_id AND s.i BETWEEN l.i AND l.j),
+numbered AS (SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS o FROM placed),
+hit AS (
+  SELECT DISTINCT p.doc_id, p.i, p.o FROM numbered p JOIN later l ON p.doc_id = l.doc_id AND p.i BETWEEN l.i AND l.j),
+islands AS (
+  SELECT doc_id, min(i) AS i, max(i) AS j
+  FROM (SELECT *, o - row_number() OVER (PARTITION BY doc_id ORDER BY o) AS g FROM hit) GROUP BY doc_id, g),
+gone AS (SELECT DISTINCT s.doc_id, s.i FROM split s JOIN islands l ON s.doc_id = l.doc_id AND s.i BETWEEN l.i AND l.j),
 kept AS (
   SELECT s.doc_id, string_agg(s.line, chr(10) ORDER BY s.i) AS text, count(*) AS n
   FROM split s ANTI JOIN gone g ON s.doc_id = g.doc_id AND s.i = g.i GROUP BY s.doc_id)
