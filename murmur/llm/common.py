@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +35,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_by_worker(key: tuple, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in a Python worker and kept for its later tasks. For memories of pure functions only, of bounded
+    size: a result never depends on what is kept."""
+    kept = sys.__dict__.setdefault("_murmur_kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def fold(doc_id: Column, n: int = 5) -> Column:
     """crc32 of the id's decimal text, modulo ``n``. A null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n)).cast("int")

@@ -31,7 +31,7 @@ END_ID = 1
 _PLAIN = r"^([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)$"
 
 
-def word_encoder(path: str, cache_size: int = 600_000) -> Callable[[list[str]], list[bytes]]:
+def word_encoder(path: str, cache_size: int = 1_000_000) -> Callable[[list[str]], list[bytes]]:
     """Encoder of whole texts by the tokenizer file at ``path``: little-endian unsigned 32-bit ids, without
     special tokens. Texts are cut at spaces and line feeds, which the tokenizer drops, so ids of
     the cuts can be remembered; the memory of them is bounded."""

@@ -27,6 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from murmur.llm.common import kept_by_worker
+
 MARK = "▁"
 NONE = 1 << 30
 
@@ -34,7 +36,7 @@ NONE = 1 << 30
 class Pieces:
     """Encoder and decoder for one model file."""
 
-    def __init__(self, path: str, rate: float = 0.1, seed: int = 1, variants: int = 4, memory: int = 300_000):
+    def __init__(self, path: str, rate: float = 0.1, seed: int = 1, variants: int = 4, memory: int = 800_000):
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
@@ -251,7 +253,7 @@ def encode_pieces(docs: DataFrame, path: str, rate: float = 0.1, seed: int = 1,
     them gives the text back (null if ``verify`` is off)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = Pieces(path, rate, seed, variants)
+        p = kept_by_worker(("pieces", path, rate, seed, variants), lambda: Pieces(path, rate, seed, variants))
         for b in batches:
             for i in range(0, b.num_rows, 200):
                 part = b.slice(i, 200)

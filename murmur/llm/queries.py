@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur.llm import itq, lines, lm, packing, pieces, pii, quality_model, rules, secrets, simhash
-from murmur.llm.common import fold, table
+from murmur.llm.common import fold, kept_by_worker, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -28,7 +28,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed(docs: DataFrame) -> DataFrame:
     """Windows of 2048 ids of the word vocabulary, with the digest of each piece."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    p = packing.pack(docs, lambda: packing.word_encoder(path), size=2048, end_id=1)
+    p = packing.pack(docs, lambda: kept_by_worker(("packing", path), lambda: packing.word_encoder(path)), size=2048, end_id=1)
     return p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
