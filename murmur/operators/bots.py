@@ -129,13 +129,13 @@ DEC = "decimal(38,0)"
 
 
 def _exact_var(n: Column, s1: Column, s2: Column, ddof: int, scale: float = 1.0) -> Column:
-    """Variance from exact integer moments: ``(n*S2 - S1^2) / (n*(n-ddof))``.
-    The numerator is computed in DECIMAL(38,0) (exact, order independent);
-    on overflow it falls back to the double formula."""
-    num = F.try_subtract(F.try_multiply(n.cast(DEC), s2), F.try_multiply(s1, s1))
-    den = n.cast("double") * (n - ddof).cast("double")
-    approx = (s2.cast("double") * n.cast("double") - s1.cast("double") * s1.cast("double")) / den
-    return F.coalesce(num.cast("double") / den, approx) / F.lit(scale)
+    """Variance from integer moments: with q = S1 div n and r = S1 - n q, the squares around q sum up to
+    M = S2 - 2 q S1 + n q^2, exactly, and the variance is (M - r^2 / n) / (n - ddof). M is no larger than S2, so nothing overflows that
+    S2 itself doesn't; a sum of squared gaps is at most the square of the time span. One formula at every size; order independent."""
+    q = F.floor(s1 / n).cast(DEC)
+    m = s2 - F.lit(2).cast(DEC) * q * s1 + n.cast(DEC) * q * q
+    r = (s1 - n.cast(DEC) * q).cast("double")
+    return (m.cast("double") - r * r / n.cast("double")) / (n - ddof).cast("double") / F.lit(scale)
 
 
 def raw_author_stats(comments: DataFrame, variant: str = "news", slices: int | None = None) -> DataFrame:
@@ -144,24 +144,26 @@ def raw_author_stats(comments: DataFrame, variant: str = "news", slices: int | N
     comments, null below two gaps), length_var (sample variance), avg_rep_ratio,
     avg_ai_prob.
 
-    One lineage: the sliced, windowed rows are summarised per (author, slice)
-    (no new shuffle: the window already clusters on it), then per author; the
+    A comment's numbers (length, repetition, AI-likeness) are taken before the first
+    exchange, and its text goes no further. One lineage: the sliced, windowed rows are summarised per (author, slice), on
+    the exchange that the window made, then per author; the
     gaps across slice borders come from the ordered per-slice (min, max) list,
     which has at most one entry per slice. Variances use exact integer moments
     (microsecond gaps, code-point lengths), so they do not depend on how rows
     were split or merged.
     """
     single_var = VARIANTS[variant][0]
-    rows = consecutive_gaps(comments, AUTHOR, "ts", ID, slices)
-    g = F.col("_gap_us").cast(DEC)
-    ln = T.text_length(TEXT).cast(DEC)
+    numbers = comments.select(AUTHOR, "ts", ID, T.text_length(TEXT).cast("long").alias("_ln"), T.repetition_ratio(TEXT).alias("_rp"),
+                              T.ai_likeness(TEXT, single_var).alias("_al"))
+    rows = consecutive_gaps(numbers, AUTHOR, "ts", ID, slices)
+    g, ln = F.col("_gap_us").cast(DEC), F.col("_ln").cast(DEC)
     per_slice = (rows.groupBy(AUTHOR, "_slice").agg(
         F.count("*").alias("_n"),
-        F.count("_gap_us").alias("_gn"), F.sum(g).alias("_g1"), F.try_sum(g * g).alias("_g2"),
+        F.count("_gap_us").alias("_gn"), F.sum(g).alias("_g1"), F.sum(g * g).alias("_g2"),
         F.min("_us").alias("_lo"), F.max("_us").alias("_hi"),
-        F.sum(ln).alias("_l1"), F.try_sum(ln * ln).alias("_l2"),
-        F.sum(T.repetition_ratio(TEXT)).alias("_rep"),
-        F.sum(T.ai_likeness(TEXT, single_var)).alias("_ai")))
+        F.sum(ln).alias("_l1"), F.sum(ln * ln).alias("_l2"),
+        F.sum("_rp").alias("_rep"),
+        F.sum("_al").alias("_ai")))
     a = per_slice.groupBy(AUTHOR).agg(
         F.sum("_n").alias("n"), F.sum("_gn").alias("gn"),
         F.coalesce(F.sum("_g1"), F.lit(0).cast(DEC)).alias("g1"),

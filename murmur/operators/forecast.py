@@ -28,32 +28,11 @@ DEFAULT_CANDIDATES = ["이재명", "김문수", "이준석"]
 BOOSTER = dict(n_estimators=50, learning_rate=0.1, max_depth=4, subsample=0.8, colsample=0.8)
 DEFAULT_POSITIVE = 0.5
 DEFAULT_NEGATIVE = 0.5
-MAX_RANGES = 10_000
 
 
 # ---------------------------------------------------------------------------
 # T-22 / A-4: targets from polls
 # ---------------------------------------------------------------------------
-def parse_ranges(raw: str | None, default=DEFAULT_POLL_DATE_RANGES) -> list[tuple[str, str]]:
-    """T-22: ``'a:b,c:d'`` -> [(a, b), (c, d)]; tokens trimmed, empty tokens
-    skipped, a token without ``:`` is an error, nothing valid is an error;
-    empty input -> the default ranges. (Parses a command-line parameter.)"""
-    if not raw:
-        return list(default)
-    out = []
-    for tok in raw.split(","):
-        tok = tok.strip()
-        if not tok:
-            continue
-        if ":" not in tok:
-            raise ValueError(f"bad date range token: {tok}")
-        a, b = tok.split(":", 1)
-        out.append((a.strip(), b.strip()))
-    if not out:
-        raise ValueError("no valid date ranges")
-    return out
-
-
 def parse_ranges_column(raw: Column) -> Column:
     """T-22 as a column expression: array<struct<ordinal, start, end>> from a
     ``'a:b,c:d'`` string column; a bad token raises at run time."""
@@ -66,26 +45,28 @@ def parse_ranges_column(raw: Column) -> Column:
         F.trim(F.substring_index(t, ":", -1)).alias("end")))
 
 
-def ranges_frame(spark, ranges: Sequence[tuple[str, str]]) -> DataFrame:
-    """The period dimension from parsed ranges; its size is checked here, which
-    is what lets ``poll_range_join`` broadcast it."""
-    import datetime as dt
-    if len(ranges) > MAX_RANGES:
-        raise ValueError(f"{len(ranges)} date ranges exceed the broadcast bound {MAX_RANGES}")
-    rows = [(i, str(i), dt.date.fromisoformat(a), dt.date.fromisoformat(b))
-            for i, (a, b) in enumerate(ranges, start=1)]
-    return spark.createDataFrame(rows, "ordinal int, label string, start date, end date")
+def ranges_frame(spark, spec: str | None = None) -> DataFrame:
+    """T-22: the period dimension ``(ordinal, label, start, end)`` of an ``'a:b,c:d'`` parameter, by ``parse_ranges_column``;
+    the default periods if it is empty. No valid range at all is an error when the result is computed."""
+    raw = spec or ",".join(f"{a}:{b}" for a, b in DEFAULT_POLL_DATE_RANGES)
+    parsed = parse_ranges_column(F.lit(raw))
+    checked = F.when(F.size(parsed) > 0, parsed).otherwise(F.raise_error(F.lit("no valid date ranges")))
+    rows = spark.range(1).select(F.explode(checked).alias("r"))
+    return rows.select("r.ordinal", F.col("r.ordinal").cast("string").alias("label"), F.col("r.start").cast("date").alias("start"),
+                       F.col("r.end").cast("date").alias("end"))
 
 
 def poll_range_join(polls: DataFrame, ranges: DataFrame, date: str = "date") -> DataFrame:
     """J-7: every poll row in every inclusive range that holds it (overlapping
     ranges duplicate rows). The upper bound is *midnight* of the end day, so
-    a timed row later that day falls out. The period dimension is small and
-    bounded (checked in ``ranges_frame``), so it is broadcast into a nested-loop range join."""
-    lo = F.col("start").cast("timestamp_ntz")
-    hi = F.col("end").cast("timestamp_ntz")
+    a timed row later that day falls out.
+
+    An equi-join on the day: each range is unfolded to its days, a poll has one day, and the exact bounds are checked on what meets.
+    Neither side has to be small."""
     d = F.col(date).cast("timestamp_ntz")
-    return polls.join(F.broadcast(ranges), (d >= lo) & (d <= hi))
+    days = ranges.where(F.col("start") <= F.col("end")).withColumn("_day", F.explode(F.sequence("start", "end")))
+    return (polls.withColumn("_on", F.to_date(d)).join(days, F.col("_on") == F.col("_day"))
+            .where((d >= F.col("start").cast("timestamp_ntz")) & (d <= F.col("end").cast("timestamp_ntz"))).drop("_on", "_day"))
 
 
 def weighted_target(polls: DataFrame, ranges: DataFrame, candidates: Sequence[str],
@@ -94,8 +75,8 @@ def weighted_target(polls: DataFrame, ranges: DataFrame, candidates: Sequence[st
 
     Unparsable dates and non-numeric values are dropped first (PF-1, PF-3,
     PF-2); empty and zero-weight ranges are skipped; ``time_label`` is the
-    range's 1-based ordinal. No surviving range is an error (raised when the
-    result is computed)."""
+    range's 1-based ordinal. No surviving range is an error, raised when the
+    result is computed."""
     cols = list(candidates) + [weight]
     p = polls.withColumn(date, F.col(date).cast("timestamp_ntz")).filter(F.col(date).isNotNull())
     p = require_values(coerce_numeric(p, cols), cols)
@@ -105,24 +86,27 @@ def weighted_target(polls: DataFrame, ranges: DataFrame, candidates: Sequence[st
     out = (agg.filter(F.col("_w") != 0)
            .select(*[(F.col(f"_s_{c}") / F.col("_w")).alias(c) for c in candidates],
                    F.col("ordinal").alias("time_label")))
-    return out
+    # one row if nothing is left: it raises. The ranges are few, so that row costs a look at the aggregated table
+    none = out.agg(F.count("*").alias("_n")).where("_n = 0").select(
+        *[F.raise_error(F.lit("no poll row with a weight in any date range")).cast("double").alias(c) for c in candidates],
+        F.lit(None).cast("int").alias("time_label"))
+    return out.unionByName(none)
 
 
 def ensure_target(spark, target_path: str | None, polls: DataFrame | None, ranges: DataFrame,
                   candidates: Sequence[str]) -> DataFrame:
-    """IO-16: the stored target table if it exists, else build it from polls
-    (A-4) and store it, else error."""
-    import os
-    if target_path and (os.path.exists(target_path) or "://" in target_path):
-        try:
-            return spark.read.parquet(target_path)
-        except Exception:  # noqa: BLE001 - fall through to building
-            pass
+    """IO-16: the stored target table if it exists, else build it from polls (A-4) and store it, else error.
+
+    Whether it exists is asked of the path's own file system. A table that exists but can't be read is an error: it is never
+    overwritten."""
+    from murmur.sources.files import expand
+    if target_path and expand(spark, target_path):
+        return spark.read.parquet(target_path)
     if polls is None:
         raise FileNotFoundError(f"no target table at {target_path} and no polls to build it from")
     t = weighted_target(polls, ranges, candidates)
     if target_path:
-        t.write.mode("overwrite").parquet(target_path)
+        t.write.mode("error").parquet(target_path)
         return spark.read.parquet(target_path)
     return t
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from murmur.functions import text as T
 from murmur.functions import vectors as V
+from murmur.schemas import TOPIC_ASSIGNMENT_COLUMNS
+from murmur.session import ensure_checkpoint_dir
 
 # Model and vocabulary settings of the three topic methods.
 LDA_SETTINGS = dict(k=10, max_iter=20, doc_concentration=1.0, topic_concentration=0.1, seed=42,
@@ -240,7 +242,8 @@ def topic_word_union(top: DataFrame, k: int = DIVERSITY_TOP_K) -> DataFrame:
 def lda_fit(docs: DataFrame, text: str = "text", pattern: str = T.HANGUL_TOKEN, settings: dict | None = None,
             vocab: dict | None = None):
     """M-1: count vectoriser + online LDA with the reference's priors and
-    learning schedule. Returns ``(cv_model, lda_model, features_df)``."""
+    learning schedule; each iteration is a pass over all documents. The count vectors are written to the checkpoint folder, so a
+    pass reads them and does not tokenise again. Returns ``(cv_model, lda_model, features_df)``."""
     from pyspark.ml.clustering import LDA
     from pyspark.ml.feature import CountVectorizer
 
@@ -250,10 +253,11 @@ def lda_fit(docs: DataFrame, text: str = "text", pattern: str = T.HANGUL_TOKEN,
     cv = CountVectorizer(inputCol="_tokens", outputCol="features", minDF=float(v["min_df"]),
                          maxDF=float(v["max_df"]), vocabSize=int(v["max_features"]))
     cv_model = cv.fit(toks)
-    feats = cv_model.transform(toks)
+    ensure_checkpoint_dir(docs.sparkSession)
+    feats = cv_model.transform(toks).drop("_tokens").checkpoint(eager=True)
     lda = LDA(k=s["k"], maxIter=s["max_iter"], optimizer="online", seed=s["seed"],
               docConcentration=[float(s["doc_concentration"])], topicConcentration=float(s["topic_concentration"]),
-              learningDecay=s["learning_decay"], learningOffset=s["learning_offset"],
+              learningDecay=s["learning_decay"], learningOffset=s["learning_offset"], subsamplingRate=1.0,
               featuresCol="features", topicDistributionCol="topicDistribution")
     model = lda.fit(feats)
     return cv_model, model, feats
@@ -270,14 +274,14 @@ def lda_top_words(spark, cv_model, lda_model, k: int = 10) -> DataFrame:
     return spark.createDataFrame(rows, "topic_id int, rank int, term string, weight double")
 
 
-def lda_assign(feats: DataFrame, lda_model, keywords: DataFrame, method: str = "lda") -> DataFrame:
+def lda_assign(feats: DataFrame, lda_model, keywords: DataFrame, method: str = "lda", doc: str = "doc_id") -> DataFrame:
     """M-2: per document the dominant topic (1-based), its probability and the
-    topic's keyword string, in the topic-assignment contract."""
+    topic's keyword string, in the topic-assignment contract. ``feats`` has time_label and comment_text."""
     from pyspark.ml.functions import vector_to_array
     out = lda_model.transform(feats).withColumn("_dist", vector_to_array("topicDistribution"))
     out = out.withColumn("_dom", dominant_topic("_dist"))
     out = out.select("*", F.col("_dom.topic").alias("topic_id"), F.col("_dom.prob").alias("topic_prob"))
-    return keyword_lookup(out, keywords).withColumn("topic_method", F.lit(method))
+    return in_contract(keyword_lookup(out, keywords), doc, method)
 
 
 # ---------------------------------------------------------------------------
@@ -312,10 +316,20 @@ def cluster_topics(docs: DataFrame, vec: str = "embedding", k: int = 8, outlier_
             .drop("_features", "_cluster", "_dists", "_own", "_tid"))
 
 
+def cluster_assign(clustered: DataFrame, doc: str = "comment_id", text: str = "comment_text", pattern: str = T.HANGUL_TOKEN,
+                   lower: bool = False, k: int = TOP_K_KEYWORDS, method: str = "bertopic") -> DataFrame:
+    """M-5 in the topic-assignment contract: every document with its cluster, the cluster's entry of its distribution (its maximum for the
+    outlier topic) and the cluster's k words of highest class TF-IDF."""
+    counts = bow(doc_tokens(clustered, "topic_id", text, pattern, lower), "topic_id")
+    kw = keyword_map(top_words(class_tfidf(counts, "topic_id"), k))
+    out = clustered.withColumn("topic_prob", T.topic_probability(F.col("topic_id"), F.col("topic_dist")))
+    return in_contract(keyword_lookup(out, kw), doc, method)
+
+
 # ---------------------------------------------------------------------------
 # M-6: guided (keyword-seeded) embedding topics
 # ---------------------------------------------------------------------------
-def guided_topics(docs: DataFrame, bow_df: DataFrame, vocab: DataFrame, doc: str = "doc_id",
+def guided_topics(docs: DataFrame, vbow: DataFrame, doc: str = "doc_id",
                   text: str = "text", vec: str = "embedding", person_axis=PERSON_AXIS,
                   person_default=PERSON_DEFAULT, issue_axis=ISSUE_AXIS, issue_default=ISSUE_DEFAULT,
                   weights=GUIDED_WEIGHTS):
@@ -326,11 +340,13 @@ def guided_topics(docs: DataFrame, bow_df: DataFrame, vocab: DataFrame, doc: str
     2. T-18: one topic per (person, issue): ``0.6 p + 0.4 i`` (declared order).
     3. Word vectors are the mean vector of the documents containing the word.
     4. T-19: β = softmax over the vocabulary of cos(topic, word).
-    5. θ_d = softmax over topics of Σ_w bow_dw / (|d| + 1e-8) · log β_kw.
+    5. θ_d = softmax over topics of Σ_w bow_dw / (|d| + 1e-8) · log β_kw; a document
+       without a vocabulary word has the uniform θ.
 
-    Returns ``(topics, beta, theta)`` long tables:
-    ``topics(topic_id, person, issue, vector)``, ``beta(topic_id, term, beta)``,
-    ``theta(doc, topic_id, theta)``. Topic ids are 1-based in declared order.
+    ``vbow(doc, term, n)`` is the bag of words restricted to the vocabulary (at most its ``max_features`` terms).
+    Returns ``(topics, beta, theta)``: ``topics(topic_id, person, issue, vector)``,
+    ``beta(term, beta map<topic_id, double>)``, one row a term, and ``theta(doc, theta map<topic_id, double>)``, one
+    row a document. Topic ids are 1-based in declared order. β is written to the checkpoint folder, as it is used more than once.
     """
     spark = docs.sparkSession
     persons = list(person_axis) + [person_default] if person_default not in person_axis else list(person_axis)
@@ -343,21 +359,48 @@ def guided_topics(docs: DataFrame, bow_df: DataFrame, vocab: DataFrame, doc: str
     grid = spark.createDataFrame(
         [(pi * len(issues) + ii + 1, p, i) for pi, p in enumerate(persons) for ii, i in enumerate(issues)],
         "topic_id int, person string, issue string")
+    ensure_checkpoint_dir(spark)
+    # one row for each pair of the axes' labels; pvec and ivec have one row a label
     topics = (grid.join(F.broadcast(pv), "person").join(F.broadcast(iv), "issue")
-              .select("topic_id", "person", "issue", V.blend("pvec", "ivec", *weights).alias("vector")))
-    words = (bow_df.join(vocab.select("term"), "term", "left_semi")
-             .join(docs.select(doc, vec), doc)
-             .select("term", F.col(vec).cast("array<double>").alias(vec)))
+              .select("topic_id", "person", "issue", V.blend("pvec", "ivec", *weights).alias("vector"))).checkpoint(eager=True)
+    words = vbow.join(docs.select(doc, F.col(vec).cast("array<double>").alias(vec)), doc).select("term", vec)
     wv = V.mean_vector(words, ["term"], vec, "wvec")
     tv = V.candidate_array(topics.withColumnRenamed("topic_id", "ord").withColumn("candidate", F.col("ord").cast("string")),
                            name="candidate", vec="vector", order="ord")
     sims = (wv.select("term", F.explode(F.transform(tv, lambda t: F.struct(
         t["ord"].alias("topic_id"), V.cosine(F.col("wvec"), t["vec"]).alias("logit")))).alias("s"))
             .select("term", "s.topic_id", "s.logit"))
-    beta = V.softmax_over(sims, ["topic_id"], "logit", "beta").select("topic_id", "term", "beta")
-    dlen = bow_df.join(vocab.select("term"), "term", "left_semi").groupBy(doc).agg(F.sum("n").alias("_len"))
-    score = (bow_df.join(dlen, doc).join(beta, "term")
-             .groupBy(doc, "topic_id")
-             .agg(F.sum(F.col("n") / (F.col("_len") + 1e-8) * F.log("beta")).alias("_s")))
-    theta = V.softmax_over(score, [doc], "_s", "theta").select(doc, "topic_id", "theta")
+    beta = (V.softmax_over(sims, ["topic_id"], "logit", "beta").groupBy("term")
+            .agg(F.map_from_entries(F.collect_list(F.struct("topic_id", "beta"))).alias("beta")).checkpoint(eager=True))
+    ids = range(1, len(persons) * len(issues) + 1)
+    # one row a (document, term): the topics' scores are columns of one aggregate, not rows
+    met = vbow.join(beta, "term")
+    score = met.groupBy(doc).agg(F.sum("n").alias("_len"), *[F.sum(F.col("n") * F.log(F.try_element_at("beta", F.lit(k)))).alias(f"_s{k}") for k in ids])
+    logits = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), (F.col(f"_s{k}") / (F.col("_len") + 1e-8)).alias("s")) for k in ids]),
+                      lambda x: x["s"].isNotNull())
+    top = F.array_max(F.transform("_l", lambda x: x["s"]))
+    score = score.select(doc, logits.alias("_l")).withColumn("_e", F.transform("_l", lambda x: F.struct(x["k"].alias("k"), F.exp(x["s"] - top).alias("e"))))
+    total = F.aggregate("_e", F.lit(0.0), lambda acc, x: acc + x["e"])
+    score = score.select(doc, F.map_from_entries(F.transform("_e", lambda x: F.struct(x["k"], (x["e"] / total).alias("theta")))).alias("theta"))
+    n = topics.count()
+    uniform = F.map_from_entries(F.array(*[F.struct(F.lit(r.topic_id).cast("int").alias("k"), F.lit(1.0 / n).alias("t"))
+                                           for r in topics.select("topic_id").orderBy("topic_id").collect()]))
+    theta = docs.select(doc).join(score, doc, "left").withColumn("theta", F.coalesce("theta", uniform))
     return topics, beta, theta
+
+
+def guided_assign(docs: DataFrame, theta: DataFrame, beta: DataFrame, doc: str = "doc_id", k: int = 10, method: str = "etm") -> DataFrame:
+    """M-6 in the topic-assignment contract: every document with its topic (the largest θ, the smallest id among equals), its
+    probability and the topic's k most probable words. ``docs``: doc, time_label, comment_text."""
+    entries = F.map_entries("theta")
+    best = F.array_max(F.transform(entries, lambda x: F.struct(x["value"].alias("p"), (-x["key"]).alias("k"))))
+    own = theta.select(doc, best.alias("b")).select(doc, (-F.col("b.k")).alias("topic_id"), F.col("b.p").alias("topic_prob"))
+    words = beta.select("term", F.explode("beta").alias("topic_id", "weight"))
+    kw = keyword_map(top_words(words, k))
+    return in_contract(keyword_lookup(docs.join(own, doc), kw), doc, method)
+
+
+def in_contract(assigned: DataFrame, doc: str, method: str) -> DataFrame:
+    """The columns of the topic-assignment contract, whichever model made them."""
+    return (assigned.withColumn("topic_method", F.lit(method)).withColumnRenamed(doc, "comment_id")
+            .select(*TOPIC_ASSIGNMENT_COLUMNS))

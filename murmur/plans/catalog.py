@@ -116,7 +116,7 @@ def q_unit_conv(spark, sf_dir):
 @register("author_gap")
 def q_author_gap(spark, sf_dir):
     """W-1: seconds since the author's previous comment."""
-    parsed = B.parse_published(FX.comments(spark, sf_dir))
+    parsed = B.parse_published(FX.comments(spark, sf_dir)).select("comment_id", B.AUTHOR, "ts")
     return B.row_gaps(parsed).select("comment_id", B.AUTHOR, "gap_sec")
 
 

@@ -25,20 +25,24 @@ def q(s: str) -> str:
 # Fixture CTEs
 # ---------------------------------------------------------------------------
 def comments_cte(overlay: bool = True, name: str = "comments") -> str:
+    made = ""
     if overlay:
-        pub = (f"CASE WHEN e.user_id % 10 IN (0, 2) THEN TIMESTAMP '{FX.OVERLAY_START}' + "
-               f"to_seconds({FX.OVERLAY_STEP_SEC} * row_number() OVER (PARTITION BY e.user_id ORDER BY d.doc_id)) "
-               "ELSE CAST(e.ts AS TIMESTAMP) END")
-        txt = ("CASE WHEN e.user_id % 10 = 0 THEN repeat(split_part(d.text, ' ', 1) || ' ', 6) "
-               "WHEN e.user_id % 10 = 1 THEN substr(d.text, 1, 120) ELSE d.text END")
-    else:
-        pub, txt = "CAST(e.ts AS TIMESTAMP)", "d.text"
-    return f"""{name} AS (
+        made = f"""
+  UNION ALL
+  SELECT doc_id + k * {FX.OVERLAY_OFFSET}, doc_id + {FX.OVERLAY_OFFSET},
+         TIMESTAMP '{FX.OVERLAY_START}' + to_seconds({FX.OVERLAY_STEP_SEC} * k),
+         CASE (doc_id // 10) % 3 WHEN 0 THEN repeat(split_part(text, ' ', 1) || ' ', 6)
+                                 WHEN 1 THEN substr(text, 1, 120) ELSE text END, source
+  FROM {name}_d, range(1, {FX.OVERLAY_COMMENTS + 1}) t(k) WHERE doc_id % 10 = 0"""
+    return f"""{name}_d AS (
+  SELECT d.doc_id, d.text, d.source, e.user_id, CAST(e.ts AS TIMESTAMP) AS ts
+  FROM (SELECT *, doc_id * greatest(1, (SELECT count(*) FROM events) // (SELECT count(*) FROM documents)) AS eid
+        FROM documents) d JOIN events e ON d.eid = e.event_id),
+{name} AS (
   SELECT comment_id, comment_author_id, comment_published, comment_text, channel,
          strftime(comment_published, '%m%d') || '_' || strftime(comment_published, '%m%d') AS time_label
-  FROM (SELECT d.doc_id AS comment_id, e.user_id AS comment_author_id,
-               {pub} AS comment_published, {txt} AS comment_text, d.source AS channel
-        FROM documents d JOIN events e ON d.doc_id = e.event_id))"""
+  FROM (SELECT doc_id AS comment_id, user_id AS comment_author_id, ts AS comment_published, text AS comment_text,
+               source AS channel FROM {name}_d{made}))"""
 
 
 def words_sql(t: str) -> str:
@@ -84,8 +88,10 @@ def exact_var_sql(x: str, n: str, ddof: int, scale: str = "1.0") -> str:
     """Variance from exact HUGEINT moments, converted once to double."""
     s1 = f"sum(CAST({x} AS HUGEINT))"
     s2 = f"sum(CAST({x} AS HUGEINT) * {x})"
-    return (f"CAST({n} * {s2} - {s1} * {s1} AS DOUBLE) / (CAST({n} AS DOUBLE) * CAST({n} - {ddof} AS DOUBLE)) "
-            f"/ {scale}")
+    k = f"({s1} // {n})"
+    m = f"CAST({s2} - 2 * {k} * {s1} + {n} * {k} * {k} AS DOUBLE)"
+    r = f"CAST({s1} - {n} * {k} AS DOUBLE)"
+    return f"({m} - {r} * {r} / CAST({n} AS DOUBLE)) / CAST({n} - {ddof} AS DOUBLE) / {scale}"
 
 
 def raw_stats_cte() -> str:

@@ -293,8 +293,9 @@ ORACLE["features"] = features_sql()
 # Targets from polls
 # ---------------------------------------------------------------------------
 def ranges_sql() -> str:
-    rows = ", ".join(f"({i}, DATE '{a}', DATE '{b}')" for i, (a, b) in enumerate(FX.POLL_RANGES, start=1))
-    return f"ranges AS (SELECT * FROM (VALUES {rows}) t(ordinal, start_day, end_day))"
+    return f"""ranges AS (
+  SELECT o AS ordinal, CAST(trim(split_part(r, ':', 1)) AS DATE) AS start_day, CAST(trim(split_part(r, ':', 2)) AS DATE) AS end_day
+  FROM (SELECT unnest(s) AS r, unnest(range(1, len(s) + 1)) AS o FROM (SELECT string_split('{FX.POLL_RANGES_SPEC}', ',') AS s)))"""
 
 
 POLLS_SQL = f"""polls AS (SELECT CAST(l_shipdate AS TIMESTAMP) AS date, l_extendedprice AS cand_0,
@@ -356,7 +357,7 @@ def q_require_values(spark, sf_dir):
 
 
 ORACLE["require_values"] = ("SELECT d.doc_id AS comment_id, CAST(l.quality AS BIGINT) AS quality FROM documents d "
-                            "JOIN events e ON d.doc_id = e.event_id LEFT JOIN labels l ON l.doc_id = d.doc_id "
+                            "LEFT JOIN labels l ON l.doc_id = d.doc_id "
                             "WHERE l.quality IS NOT NULL")
 
 

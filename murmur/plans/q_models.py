@@ -8,7 +8,6 @@ oracle.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from murmur.operators import embed as EM
@@ -17,60 +16,71 @@ from murmur.operators import forecast as FC
 from murmur.operators import sentiment as SE
 from murmur.operators import topics as TP
 from murmur.plans.catalog import register
-from murmur.plans.oracle import ORACLE, q, r6
+from murmur.plans.oracle import ORACLE, comments_cte, q, r6
 from murmur.plans.q_forecast import CANDS, _training_table
-from murmur.plans.q_topics import TEST_ISSUE_AXIS, TEST_PERSON_AXIS, _class_weights, classify_sql
+from murmur.plans.q_topics import TEST_ISSUE_AXIS, TEST_PERSON_AXIS, classify_sql
 from murmur.functions import text as T
+from murmur.session import ensure_checkpoint_dir
 from murmur.sources import fixtures as FX
 
 LETTER = T.LETTER_TOKEN
 LDA_TOP_WORDS = 10
 
 # Fitted models are shared by the queries that read them (same application,
-# same input directory): a fit is deterministic given its seed and input.
+# same input directory): a fit is deterministic given its seed and input. One fit of each kind is kept, the last one.
 _FITS: dict = {}
 
 
 def _memo(kind, spark, sf_dir, fit):
-    key = (kind, spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITS:
-        _FITS[key] = fit()
-    return _FITS[key]
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if _FITS.get(kind, (None,))[0] != key:
+        _FITS[kind] = (key, fit())
+    return _FITS[kind][1]
 
 
 def _documents(spark, sf_dir):
-    return FX.table(spark, sf_dir, "documents").select("doc_id", "text")
+    """Every document, with the period of its comment."""
+    c = FX.comments(spark, sf_dir, overlay=False)
+    return c.select(F.col("comment_id").alias("doc_id"), "time_label", "comment_text")
 
 
 # ---------------------------------------------------------------------------
 # M-1 / M-2 / E-4: LDA
 # ---------------------------------------------------------------------------
 def _lda(spark, sf_dir):
-    return _memo("lda", spark, sf_dir, lambda: TP.lda_fit(_documents(spark, sf_dir), "text", LETTER))
+    return _memo("lda", spark, sf_dir, lambda: TP.lda_fit(_documents(spark, sf_dir), "comment_text", LETTER))
 
 
 @register("lda_topics")
 def q_lda_topics(spark, sf_dir):
-    """M-1: online LDA (k=10, 20 iterations, alpha 1.0, eta 0.1, seed 42): top words."""
+    """M-1: online LDA (k=10, 20 passes, alpha 1.0, eta 0.1, seed 42): top words."""
     cv, lda, _ = _lda(spark, sf_dir)
     return TP.lda_top_words(spark, cv, lda, LDA_TOP_WORDS)
 
 
 @register("lda_assign")
 def q_lda_assign(spark, sf_dir):
-    """M-2: dominant topic, probability and keywords per document (contract)."""
+    """M-2: dominant topic, probability and keywords of every document, in the contract."""
     cv, lda, feats = _lda(spark, sf_dir)
     kw = TP.keyword_map(TP.lda_top_words(spark, cv, lda, LDA_TOP_WORDS))
-    out = TP.lda_assign(feats, lda, kw)
-    return out.select(F.col("doc_id").alias("comment_id"), "topic_id", "topic_prob", "topic_keywords",
-                      "topic_method")
+    return TP.lda_assign(feats, lda, kw)
 
 
 @register("perplexity_lda")
 def q_perplexity_lda(spark, sf_dir):
-    """E-4: held-in perplexity of the fitted LDA."""
+    """E-4: held-in perplexity of the fitted LDA, and the bound per word that it comes from."""
     _, lda, feats = _lda(spark, sf_dir)
-    return spark.range(1).select(F.lit(EV.perplexity_lda(lda, feats)).alias("perplexity"))
+    bound = lda.logPerplexity(feats)
+    return spark.range(1).select(F.lit(-bound).alias("bound_per_word"), F.exp(F.lit(bound)).alias("perplexity"))
+
+
+@register("lda_evaluation")
+def q_lda_evaluation(spark, sf_dir):
+    """E-1, E-2 of the fitted LDA by its own top words: coherence of each topic, and the diversity of all."""
+    cv, lda, feats = _lda(spark, sf_dir)
+    top = TP.lda_top_words(spark, cv, lda, LDA_TOP_WORDS)
+    toks = TP.doc_tokens(feats, "doc_id", "comment_text", LETTER, keep_pos=True)
+    return EV.coherence_cv(toks, top, LDA_TOP_WORDS).crossJoin(EV.topic_diversity(top, LDA_TOP_WORDS))
 
 
 # ---------------------------------------------------------------------------
@@ -79,9 +89,8 @@ def q_perplexity_lda(spark, sf_dir):
 @register("embed_text")
 def q_embed_text(spark, sf_dir):
     """M-3: hashing encoder over every document (unit-norm vectors)."""
-    e = EM.embed_text(_documents(spark, sf_dir), "text", "embedding", "hashing", 256)
-    return e.select("doc_id", F.size("embedding").alias("dim"),
-                    F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)).alias("norm"))
+    e = EM.embed_text(_documents(spark, sf_dir), "comment_text", "embedding", "hashing", 256)
+    return e.select("doc_id", "embedding")
 
 
 @register("reduce_dims")
@@ -89,15 +98,14 @@ def q_reduce_dims(spark, sf_dir):
     """M-4: centred PCA of the comment vectors to 10 dimensions, rows normalised."""
     base = FX.topic_base(spark, sf_dir)
     red, explained = EM.reduce_dims(base, "embedding", 10)
-    return red.select("comment_id", F.size("reduced").alias("dim"), F.lit(explained).alias("explained"))
+    return red.select("comment_id", "reduced", F.lit(explained).alias("explained"))
 
 
 @register("cluster_topics")
 def q_cluster_topics(spark, sf_dir):
-    """M-5: KMeans topics with a distance-quantile outlier class."""
+    """M-5: KMeans topics with a distance-quantile outlier class, in the contract."""
     out = TP.cluster_topics(FX.topic_base(spark, sf_dir), "embedding", k=8)
-    dom = TP.dominant_topic("topic_dist", one_based=False)
-    return out.select("comment_id", "topic_id", dom["prob"].alias("topic_prob"))
+    return TP.cluster_assign(out, pattern=LETTER, lower=True)
 
 
 # ---------------------------------------------------------------------------
@@ -172,27 +180,36 @@ def q_predict_targets(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # E-2 / E-7
 # ---------------------------------------------------------------------------
-def _coherence(spark, sf_dir):
+def _assignments(spark, sf_dir):
+    """The topic assignments, written once for all metrics."""
+    ensure_checkpoint_dir(spark)
     ta = FX.topic_assignments(spark, sf_dir)
+    return ta.select("comment_id", "topic_id", "topic_prob", "comment_text").checkpoint(eager=True)
+
+
+def _coherence(ta):
     toks = TP.doc_tokens(ta, "comment_id", "comment_text", LETTER, lower=True, keep_pos=True)
-    top = TP.top_words(_class_weights(spark, sf_dir), 10)
-    return EV.coherence_cv(toks, top, 10, doc="comment_id")
+    return EV.coherence_cv(toks, _top(ta), 10, doc="comment_id")
+
+
+def _top(ta):
+    counts = TP.bow(TP.doc_tokens(ta, "topic_id", "comment_text", LETTER, lower=True), "topic_id")
+    return TP.top_words(TP.class_tfidf(counts, "topic_id"), TP.DIVERSITY_TOP_K).checkpoint(eager=True)
 
 
 @register("coherence_cv")
 def q_coherence_cv(spark, sf_dir):
     """E-2: C_v coherence per topic (boolean window 110, NPMI, indirect cosine)."""
-    return _coherence(spark, sf_dir)
+    return _coherence(_assignments(spark, sf_dir))
 
 
 @register("model_report")
 def q_model_report(spark, sf_dir):
     """E-7: one row of model metrics."""
-    top = TP.top_words(_class_weights(spark, sf_dir), TP.DIVERSITY_TOP_K)
-    ta = FX.topic_assignments(spark, sf_dir)
+    ta = _assignments(spark, sf_dir)
     return EV.model_report(
-        coherence=_coherence(spark, sf_dir).agg(F.avg("coherence")),
-        topic_diversity=EV.topic_diversity(top),
+        coherence=_coherence(ta).agg(F.avg("coherence")),
+        topic_diversity=EV.topic_diversity(_top(ta)),
         perplexity=EV.perplexity_prob(ta),
         n_topics=ta.filter(F.col("topic_id") != TP.OUTLIER).agg(F.countDistinct("topic_id")))
 
@@ -206,45 +223,52 @@ ISSUES = list(TEST_ISSUE_AXIS)
 
 
 def _guided(spark, sf_dir):
-    d = FX.table(spark, sf_dir, "documents").select("doc_id", "text")
-    e = FX.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"),
-                                                     F.col("embedding").cast("array<double>").alias("embedding"))
-    docs = d.join(e, "doc_id")
-    # the bag of words feeds the vocabulary, the word vectors, beta, theta and
-    # perplexity: tokenise once and keep it (memory, spilling to disk)
-    bow = TP.doc_bow(docs, "doc_id", "text", LETTER, lower=True).persist(StorageLevel.MEMORY_AND_DISK)
+    n = FX.vector_count(spark, sf_dir)
+    d = _documents(spark, sf_dir).withColumnRenamed("comment_text", "text")
+    e = FX.table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    docs = d.join(e, d.doc_id % n == e.vec_id).drop("vec_id")
+    ensure_checkpoint_dir(spark)
+    bow = TP.doc_bow(docs, "doc_id", "text", LETTER, lower=True)
     vocab = TP.vocabulary(bow, docs, GUIDED["min_df"], GUIDED["max_df"], GUIDED["max_features"])
-    vbow = bow.join(vocab.select("term"), "term", "left_semi")
-    topics, beta, theta = TP.guided_topics(docs, vbow, vocab, person_axis=TEST_PERSON_AXIS, person_default="neutral",
+    # at most max_features terms; the restricted bag of words feeds the word vectors, theta and perplexity: written once
+    vbow = bow.join(F.broadcast(vocab.select("term")), "term", "left_semi").checkpoint(eager=True)
+    topics, beta, theta = TP.guided_topics(docs, vbow, person_axis=TEST_PERSON_AXIS, person_default="neutral",
                                            issue_axis=TEST_ISSUE_AXIS, issue_default="general")
-    return topics, beta, theta, vbow
+    return docs, topics, beta, theta, vbow
 
 
 @register("vector_blend")
 def q_vector_blend(spark, sf_dir):
     """T-18: topic vectors 0.6 person + 0.4 issue (long form)."""
-    topics, _, _, _ = _guided(spark, sf_dir)
+    _, topics, _, _, _ = _guided(spark, sf_dir)
     return topics.select("topic_id", "person", "issue", F.posexplode("vector").alias("pos", "value"))
 
 
 @register("softmax")
 def q_softmax(spark, sf_dir):
     """T-19: topic-word beta = softmax over the vocabulary of cos(topic, word)."""
-    _, beta, _, _ = _guided(spark, sf_dir)
-    return beta
+    _, _, beta, _, _ = _guided(spark, sf_dir)
+    return beta.select("term", F.explode("beta").alias("topic_id", "beta"))
 
 
 @register("guided_topics")
 def q_guided_topics(spark, sf_dir):
-    """M-6: document-topic theta by fold-in against beta."""
-    _, _, theta, _ = _guided(spark, sf_dir)
-    return theta
+    """M-6: document-topic theta by fold-in against beta, for every document."""
+    _, _, _, theta, _ = _guided(spark, sf_dir)
+    return theta.select("doc_id", F.explode("theta").alias("topic_id", "theta"))
+
+
+@register("guided_assign")
+def q_guided_assign(spark, sf_dir):
+    """M-6: every document in the topic-assignment contract."""
+    docs, _, beta, theta, _ = _guided(spark, sf_dir)
+    return TP.guided_assign(docs.select("doc_id", "time_label", F.col("text").alias("comment_text")), theta, beta)
 
 
 @register("perplexity_bow")
 def q_perplexity_bow(spark, sf_dir):
     """E-3: exp(-sum n log(theta beta + 1e-8) / sum n)."""
-    _, beta, theta, vbow = _guided(spark, sf_dir)
+    _, _, beta, theta, vbow = _guided(spark, sf_dir)
     return EV.perplexity_bow(vbow, theta, beta)
 
 
@@ -252,7 +276,8 @@ def _guided_sql() -> str:
     grid = ", ".join(f"({pi * len(ISSUES) + ii + 1}, {q(p)}, {q(i)})"
                      for pi, p in enumerate(PERSONS) for ii, i in enumerate(ISSUES))
     return f"""gdocs AS (SELECT d.doc_id, d.text, CAST(e.embedding AS DOUBLE[]) AS embedding
-          FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id),
+          FROM (SELECT *, doc_id % greatest(1, (SELECT count(*) FROM embeddings)) AS vid FROM documents) d
+          JOIN embeddings e ON d.vid = e.vec_id),
 gbow0 AS (SELECT doc_id, term, count(*) AS n
           FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), {q(LETTER)}, 1)) AS term FROM gdocs) GROUP BY ALL),
 gst AS (SELECT term, count(*) AS df, sum(n) AS tf FROM gbow0 GROUP BY term),
@@ -279,7 +304,10 @@ dlen AS (SELECT doc_id, sum(n) AS len FROM gbow GROUP BY doc_id),
 sc AS (SELECT b.doc_id, be.topic_id, sum(b.n / (d.len + 1e-8) * ln(be.beta)) AS s
        FROM gbow b JOIN dlen d USING (doc_id) JOIN beta be USING (term) GROUP BY ALL),
 t1 AS (SELECT *, exp(s - max(s) OVER (PARTITION BY doc_id)) AS e FROM sc),
-theta AS (SELECT doc_id, topic_id, e / sum(e) OVER (PARTITION BY doc_id) AS theta FROM t1)"""
+theta AS (SELECT doc_id, topic_id, e / sum(e) OVER (PARTITION BY doc_id) AS theta FROM t1
+          UNION ALL
+          SELECT g.doc_id, t.topic_id, 1.0 / (SELECT count(DISTINCT topic_id) FROM tvec)
+          FROM gdocs g, (SELECT DISTINCT topic_id FROM tvec) t WHERE g.doc_id NOT IN (SELECT doc_id FROM gbow))"""
 
 
 ORACLE["vector_blend"] = (f"WITH {_guided_sql()}\nSELECT CAST(topic_id AS BIGINT) AS topic_id, person, issue, "
@@ -287,6 +315,15 @@ ORACLE["vector_blend"] = (f"WITH {_guided_sql()}\nSELECT CAST(topic_id AS BIGINT
 ORACLE["softmax"] = f"WITH {_guided_sql()}\nSELECT CAST(topic_id AS BIGINT) AS topic_id, term, {r6('beta', 'beta')} FROM beta"
 ORACLE["guided_topics"] = (f"WITH {_guided_sql()}\nSELECT doc_id, CAST(topic_id AS BIGINT) AS topic_id, "
                            f"{r6('theta', 'theta')} FROM theta")
+ORACLE["guided_assign"] = f"""WITH {_guided_sql()}, {comments_cte(False, 'plain')},
+kw AS (SELECT topic_id, string_agg(term, ', ' ORDER BY beta DESC, term) AS topic_keywords
+       FROM (SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY beta DESC, term) AS rk FROM beta) WHERE rk <= {TP.TOP_K_KEYWORDS}
+       GROUP BY topic_id),
+own AS (SELECT doc_id, topic_id, theta FROM theta
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY theta DESC, topic_id) = 1)
+SELECT p.comment_id, p.time_label, p.comment_text, CAST(o.topic_id AS BIGINT) AS topic_id, {r6('o.theta', 'topic_prob')},
+       kw.topic_keywords, 'etm' AS topic_method
+FROM plain p JOIN own o ON o.doc_id = p.comment_id JOIN kw USING (topic_id)"""
 ORACLE["perplexity_bow"] = f"""WITH {_guided_sql()},
 pp AS (SELECT b.doc_id, b.term, any_value(b.n) AS n, sum(t.theta * be.beta) AS p
        FROM gbow b JOIN theta t USING (doc_id) JOIN beta be ON be.topic_id = t.topic_id AND be.term = b.term

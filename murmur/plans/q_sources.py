@@ -105,9 +105,14 @@ PAGE_ID_PATTERN = r"example\.[a-z]+/([^/]+)/([^/?#]+)"
 
 @register("page_title")
 def q_page_title(spark, sf_dir):
-    """IO-11: title by ordered selector fallbacks (date selectors find none in testdata)."""
-    return WB.page_title(FX.pages(spark, sf_dir), PAGE_TITLE_SELECTORS, keep_incomplete=True).select(
-        "page_id", "title", "date")
+    """IO-11: title and date by ordered selector fallbacks, both required. Testdata pages have no date element; two in three get one
+    appended, among elements whose class only looks like it."""
+    day = F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0")
+    extra = (F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<span class="update">no</span><div class="x date"><div>2024-01-'), day,
+                                                        F.lit("</div> 10:00</div>")))
+             .when(F.col("page_id") % 3 == 1, F.concat(F.lit('<em class="date">2024-02-'), day, F.lit("</em>"))).otherwise(F.lit("")))
+    pages = FX.pages(spark, sf_dir).withColumn("html", F.concat("html", extra))
+    return WB.page_title(pages, PAGE_TITLE_SELECTORS).select("page_id", "title", "date")
 
 
 def _elem_sql(tag: str, cls: str | None) -> str:
@@ -136,7 +141,9 @@ def _title_sql() -> str:
     return "coalesce(" + ", ".join(parts) + ")"
 
 
-ORACLE["page_title"] = f"SELECT page_id, {_title_sql()} AS title, CAST(NULL AS VARCHAR) AS date FROM pages"
+ORACLE["page_title"] = (f"SELECT * FROM (SELECT page_id, {_title_sql()} AS title, '2024-0' || (page_id % 3 + 1) || '-' || "
+                        "lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') || CASE page_id % 3 WHEN 0 THEN ' 10:00' ELSE '' END AS date "
+                        "FROM pages WHERE page_id % 3 < 2) WHERE title IS NOT NULL")
 
 
 @register("page_links")
@@ -315,23 +322,25 @@ ORACLE["category_filter"] = ("SELECT event_id, user_id, event_type AS video_cate
 @register("stable_id")
 def q_stable_id(spark, sf_dir):
     """W-8: consecutive ids in load order (source, doc_id) without a one-task window."""
-    d = FX.table(spark, sf_dir, "documents").select("doc_id", "source")
+    d = FX.table(spark, sf_dir, "documents").select("doc_id", "source", "text", "lang")
     return FI.stable_id(d, ["source", "doc_id"], "seq_id")
 
 
-ORACLE["stable_id"] = ("SELECT doc_id, source, CAST(row_number() OVER (ORDER BY source, doc_id) - 1 AS BIGINT) "
+ORACLE["stable_id"] = ("SELECT doc_id, source, text, lang, CAST(row_number() OVER (ORDER BY source, doc_id) - 1 AS BIGINT) "
                        "AS seq_id FROM documents")
 
 
 @register("union_frames")
 def q_union_frames(spark, sf_dir):
-    """IO-15: per-language frames concatenated by name."""
-    d = FX.table(spark, sf_dir, "documents").select("doc_id", "lang")
-    frames = [d.filter(F.col("lang") == lang) for lang in ("en", "fr", "de", "es")]
-    return FI.union_frames(spark, frames, "doc_id long, lang string")
+    """IO-15: tables of different columns concatenated by name."""
+    frames = [FX.table(spark, sf_dir, "documents").select("doc_id", "lang"),
+              FX.table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "url"),
+              FX.table(spark, sf_dir, "labels").select("doc_id", "quality")]
+    return FI.union_frames(spark, frames, "doc_id long, lang string, url string, quality int")
 
 
-ORACLE["union_frames"] = "SELECT doc_id, lang FROM documents WHERE lang IN ('en', 'fr', 'de', 'es')"
+ORACLE["union_frames"] = ("SELECT doc_id, lang, NULL AS url, CAST(NULL AS BIGINT) AS quality FROM documents UNION ALL "
+                          "SELECT page_id, NULL, url, NULL FROM pages UNION ALL SELECT doc_id, NULL, NULL, quality FROM labels")
 
 
 @register("union_all")

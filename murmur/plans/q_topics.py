@@ -27,8 +27,8 @@ def strip_sql(x: str) -> str:
 # ---------------------------------------------------------------------------
 # Fixture CTEs (SQL side)
 # ---------------------------------------------------------------------------
-def abs10(v: str) -> str:
-    return f"list_transform(list_slice({v}, 1, {FX.DIST_DIMS}), lambda x: abs(x))"
+def abs_all(v: str) -> str:
+    return f"list_transform({v}, lambda x: abs(x))"
 
 
 def ta_cte() -> str:
@@ -37,7 +37,7 @@ ta_base AS (
   SELECT c.comment_id, c.time_label, c.comment_text, c.channel,
          CAST(CASE WHEN e.label = {FX.OUTLIER_LABEL} THEN -1 ELSE e.label END AS INTEGER) AS topic_id,
          CAST(e.embedding AS DOUBLE[]) AS embedding
-  FROM plain c JOIN embeddings e ON c.comment_id = e.vec_id),
+  FROM (SELECT *, comment_id % greatest(1, (SELECT count(*) FROM embeddings)) AS vid FROM plain) c JOIN embeddings e ON c.vid = e.vec_id),
 ta_cnt AS (
   SELECT topic_id, term, count(*) AS n
   FROM (SELECT topic_id, unnest(regexp_extract_all(lower(comment_text), {q(LETTER)}, 1)) AS term FROM ta_base)
@@ -48,8 +48,8 @@ ta_kw AS (
   WHERE rk <= {TP.TOP_K_KEYWORDS} GROUP BY topic_id),
 topic_assignments AS (
   SELECT b.comment_id, b.time_label, b.comment_text, b.topic_id,
-         (CASE WHEN b.topic_id >= 0 AND b.topic_id < {FX.DIST_DIMS} THEN abs(b.embedding[b.topic_id + 1])
-               ELSE list_max({abs10('b.embedding')}) END) / list_sum({abs10('b.embedding')}) AS topic_prob,
+         (CASE WHEN b.topic_id >= 0 AND b.topic_id < len(b.embedding) THEN abs(b.embedding[b.topic_id + 1])
+               ELSE list_max({abs_all('b.embedding')}) END) / list_sum({abs_all('b.embedding')}) AS topic_prob,
          coalesce(k.topic_keywords, 'topic_' || b.topic_id) AS topic_keywords,
          '{FX.FIXTURE_METHOD}' AS topic_method, b.embedding, b.channel
   FROM ta_base b LEFT JOIN ta_kw k USING (topic_id))"""
@@ -91,7 +91,8 @@ def detail_cte() -> str:
     return f"""{clustered_cte()},
 classes AS (SELECT doc_id AS comment_id, CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive'
                    ELSE 'neutral' END AS sentiment_class FROM labels),
-detail AS (SELECT c.*, s.sentiment_class FROM clustered c JOIN classes s USING (comment_id)),
+detail AS (SELECT c.*, coalesce(s.sentiment_class, 'neutral') AS sentiment_class
+           FROM clustered c LEFT JOIN classes s USING (comment_id)),
 summary AS (
   SELECT final_cluster,
          round_even(avg(CAST(sentiment_class = 'positive' AS DOUBLE)), 6) AS positive,
@@ -348,7 +349,7 @@ ORACLE["topic_probability"] = (f"WITH {ta_cte()}\nSELECT comment_id, {r6('topic_
 def q_dominant_topic(spark, sf_dir):
     """W-2: argmax (1-based, first max wins) of each document's distribution."""
     b = FX.topic_base(spark, sf_dir)
-    d = F.transform(F.slice("embedding", 1, FX.DIST_DIMS), lambda x: F.abs(x))
+    d = F.transform("embedding", lambda x: F.abs(x))
     dist = T.let(d, lambda a: T.let(F.aggregate(a, F.lit(0.0), lambda s, y: s + y),
                                     lambda tot: F.transform(a, lambda x: x / tot)))
     dom = TP.dominant_topic(dist)
@@ -356,7 +357,7 @@ def q_dominant_topic(spark, sf_dir):
 
 
 ORACLE["dominant_topic"] = f"""WITH {ta_cte()},
-d AS (SELECT comment_id, list_transform({abs10('embedding')}, lambda x: x / list_sum({abs10('embedding')})) AS dist
+d AS (SELECT comment_id, list_transform({abs_all('embedding')}, lambda x: x / list_sum({abs_all('embedding')})) AS dist
       FROM ta_base)
 SELECT comment_id, CAST(list_position(dist, list_max(dist)) AS BIGINT) AS dominant_topic,
        {r6('list_max(dist)', 'dominant_prob')} FROM d"""

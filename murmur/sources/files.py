@@ -7,8 +7,6 @@ column keys and the read stays one distributed scan over all files.
 
 from __future__ import annotations
 
-import glob as _glob
-import os
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,6 +15,7 @@ from pyspark.sql import types as Tp
 
 from murmur.functions.text import time_label_from_path, unicode_strip
 from murmur.schemas import COMMENTS_SCHEMA, require_columns  # noqa: F401
+from murmur.session import ensure_checkpoint_dir
 
 # Tokens pandas reads as missing in CSV (its default ``na_values``), kept so
 # a CSV round trip matches the reference's NaN handling.
@@ -25,26 +24,27 @@ PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
                     "nan", "null"]
 
 
-def existing_inputs(paths: Iterable[str]) -> list[str]:
-    """IO-2: keep the paths that exist; missing files are skipped, not fatal.
-    (Driver-side listing of file names only; no data passes the driver.)"""
-    out = []
-    for p in paths:
-        if any(ch in p for ch in "*?["):
-            out.extend(sorted(_glob.glob(p)))
-        elif "://" in p or os.path.exists(p):
-            out.append(p)
-    return out
+def expand(spark: SparkSession, path: str) -> list[str]:
+    """The existing paths that ``path`` names, wildcards expanded, sorted. The path's own file system is asked (local, HDFS, object
+    store ...), so this holds for every path that Spark can read. Only names pass the driver."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    names = [f.getPath().toString() for f in found or []]
+    return sorted(n.removeprefix("file:") if n.startswith("file:/") and "://" not in path else n for n in names)
+
+
+def existing_inputs(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """IO-2: keep the paths that exist; missing files are skipped, not fatal."""
+    return [found for p in paths for found in expand(spark, p)]
 
 
-def topic_file_scan(method: str, data_dir: str, explicit: Sequence[str] | None = None,
+def topic_file_scan(spark: SparkSession, method: str, data_dir: str, explicit: Sequence[str] | None = None,
                     pattern: str | None = None) -> list[str]:
     """IO-3: explicit list > glob pattern > ``topic_assignments_*_{method}.csv``; sorted."""
     if explicit:
         return sorted(explicit)
-    if pattern:
-        return sorted(_glob.glob(pattern))
-    return sorted(_glob.glob(os.path.join(data_dir, f"topic_assignments_*_{method}.csv")))
+    return expand(spark, pattern or f"{data_dir.rstrip('/')}/topic_assignments_*_{method}.csv")
 
 
 def read_csv(spark: SparkSession, paths: Sequence[str], schema: Tp.StructType | str | None = None,
@@ -77,7 +77,7 @@ def clean_texts(df: DataFrame, text: str = "text", file_col: str = "file_path")
 def scan_comments(spark: SparkSession, paths: Sequence[str], text_col: str = "comment_text") -> DataFrame:
     """IO-1 + IO-2 + IO-4: load many comment CSVs into ``(file_path,
     time_label, text)`` rows."""
-    files = existing_inputs(paths)
+    files = existing_inputs(spark, paths)
     if not files:
         return spark.createDataFrame([], "file_path string, time_label string, text string")
     df = read_csv(spark, files, na_tokens=PANDAS_NA_TOKENS).select(
@@ -108,11 +108,13 @@ def stable_id(df: DataFrame, order_cols: Sequence[str], out: str = "comment_id")
     A range-partitioned sort puts rows in global order across partitions;
     per-partition row counts (one small row per partition) give each
     partition's offset, and ``monotonically_increasing_id`` the position inside
-    it. ``order_cols`` must be a total order so recomputation is stable.
+    it. The sorted, tagged rows are written to the checkpoint folder once and both uses read them from there: planned
+    twice, the sort's sampled borders would differ and the tags would not mean the same.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     s = (df.orderBy(*order_cols)
          .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
+         .withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True))
     sizes = s.groupBy("_pid").agg(F.count("*").alias("_n"), F.min("_mid").alias("_base"))
     offsets = sizes.withColumn(
         "_off", F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur.functions import text as T
@@ -18,6 +18,8 @@ from murmur.operators import forecast as FC
 N_CANDIDATES = 3
 OVERLAY_START = "2024-01-01 00:00:00"
 OVERLAY_STEP_SEC = 30
+OVERLAY_COMMENTS = 6
+OVERLAY_OFFSET = 1_000_000_000  # derived ids lie above all given ones
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,11 +33,15 @@ def day_label(ts) -> F.Column:
 
 
 def comments(spark: SparkSession, sf_dir: str, overlay: bool = True) -> DataFrame:
-    """``documents`` joined to ``events`` (doc_id = event_id) as the comments
-    contract; with ``overlay`` the bot rules get authors that trip them."""
+    """All ``documents`` as the comments contract: document i has the time and author of event i * stride, stride being
+    how many events there are for each document, so the comments span the events' whole time.
+
+    With ``overlay``, rows are added for authors that trip the bot rules: every tenth comment gives a derived author with six comments at
+    regular intervals, whose text is one repeated word, the text's first 120 characters, or the text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
-    base = docs.join(ev, docs.doc_id == ev.event_id).select(
+    stride = max(1, ev.count() // max(1, docs.count()))
+    base = docs.join(ev, docs.doc_id * stride == ev.event_id).select(
         F.col("doc_id").alias("comment_id"),
         F.col("user_id").alias("comment_author_id"),
         F.col("ts").cast("timestamp_ntz").alias("ts0"),
@@ -43,18 +49,17 @@ def comments(spark: SparkSession, sf_dir: str, overlay: bool = True) -> DataFram
         F.col("source").alias("channel"),
     )
     if overlay:
-        rn = F.row_number().over(Window.partitionBy("comment_author_id").orderBy("comment_id"))
-        m = F.col("comment_author_id") % 10
-        base = base.withColumn("_rn", rn)
-        published = F.when(m.isin(0, 2),
-                            F.timestamp_add("SECOND", F.col("_rn") * OVERLAY_STEP_SEC,
-                                            F.lit(OVERLAY_START).cast("timestamp_ntz"))
-                            ).otherwise(F.col("ts0"))
-        text = (F.when(m == 0, F.repeat(F.concat(F.split_part("text0", F.lit(" "), F.lit(1)), F.lit(" ")), 6))
-                .when(m == 1, F.substring("text0", 1, 120))
-                .otherwise(F.col("text0")))
-    else:
-        published, text = F.col("ts0"), F.col("text0")
+        m = F.floor(F.col("comment_id") / 10) % 3
+        start = F.lit(OVERLAY_START).cast("timestamp_ntz")
+        made = base.where(F.col("comment_id") % 10 == 0).withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(OVERLAY_COMMENTS).cast("long"))))
+        base = base.unionByName(made.select(
+            (F.col("comment_id") + F.col("k") * OVERLAY_OFFSET).alias("comment_id"),
+            (F.col("comment_id") + OVERLAY_OFFSET).alias("comment_author_id"),
+            F.timestamp_add("SECOND", F.col("k") * OVERLAY_STEP_SEC, start).alias("ts0"),
+            F.when(m == 0, F.repeat(F.concat(F.split_part("text0", F.lit(" "), F.lit(1)), F.lit(" ")), 6))
+            .when(m == 1, F.substring("text0", 1, 120)).otherwise(F.col("text0")).alias("text0"),
+            "channel"))
+    published, text = F.col("ts0"), F.col("text0")
     return base.select(
         "comment_id", "comment_author_id",
         published.alias("comment_published"),
@@ -104,12 +109,11 @@ def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
 # an overlap (ranges 1 and 3), a gap (1996-07..1996-12) and a one-day range (5).
 POLL_RANGES_SPEC = ("1995-01-01:1995-12-31, 2010-01-01:2010-12-31, 1995-07-01:1996-06-30, "
                     "1997-01-01:1997-03-31, 1998-02-01:1998-02-01")
-POLL_RANGES = FC.parse_ranges(POLL_RANGES_SPEC)
 
 
-def ranges(spark: SparkSession, spec=POLL_RANGES) -> DataFrame:
+def ranges(spark: SparkSession, spec: str = POLL_RANGES_SPEC) -> DataFrame:
     """Period dimension ``(ordinal, label, start, end)``."""
-    return FC.ranges_frame(spark, FC.parse_ranges(spec) if isinstance(spec, str) else spec)
+    return FC.ranges_frame(spark, spec)
 
 
 def train_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +129,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = [
     "table", "comments", "candidates", "candidate_names", "sentiment_classes", "polls",
-    "ranges", "POLL_RANGES", "train_text", "pages", "day_label", "T",
+    "ranges", "POLL_RANGES_SPEC", "train_text", "pages", "day_label", "T",
 ]
 
 
@@ -134,8 +138,7 @@ __all__ = [
 # ---------------------------------------------------------------------------
 FIXTURE_METHOD = "fixture"
 FIXTURE_MODEL_PATH = "labels"
-DIST_DIMS = 10
-EMBEDDING_DIM = 10
+EMBEDDING_DIM = 64    # the given vectors, whole
 OUTLIER_LABEL = 0      # embeddings.label 0 plays the outlier topic (-1)
 
 
@@ -144,14 +147,18 @@ def _embeddings(spark, sf_dir):
         "vec_id", F.col("embedding").cast("array<double>").alias("embedding"), "label")
 
 
+def vector_count(spark: SparkSession, sf_dir: str) -> int:
+    return max(1, table(spark, sf_dir, "embeddings").count())
+
+
 def topic_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comments (no overlay) joined to ``embeddings`` on comment_id = vec_id:
-    the topic id is ``label`` (label 0 becomes the outlier topic -1), the
+    """Every comment (no overlay) with a vector of ``embeddings``: vector number comment_id modulo the number of vectors.
+    The topic id is ``label`` (label 0 becomes the outlier topic -1), the
     comment vector ``embedding``."""
     c = comments(spark, sf_dir, overlay=False)
     e = _embeddings(spark, sf_dir)
     topic = F.when(F.col("label") == OUTLIER_LABEL, F.lit(-1)).otherwise(F.col("label")).cast("int")
-    return c.join(e, c.comment_id == e.vec_id).select(
+    return c.join(e, c.comment_id % vector_count(spark, sf_dir) == e.vec_id).select(
         "comment_id", "time_label", "comment_text", "channel", topic.alias("topic_id"), "embedding")
 
 
@@ -159,13 +166,13 @@ def topic_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The topic-assignment contract over the testdata (plus ``embedding`` and
     ``channel``): keywords are each topic's five most frequent lower-cased
     letter tokens (count desc, term asc); the document's topic distribution is
-    the L1-normalised absolute value of its first ten vector elements."""
+    the L1-normalised absolute value of its vector."""
     from murmur.operators import topics as TP
     base = topic_base(spark, sf_dir)
     toks = TP.doc_tokens(base, "topic_id", "comment_text", T.LETTER_TOKEN, lower=True)
     counts = toks.groupBy("topic_id", "term").agg(F.count("*").alias("weight"))
     kw = TP.keyword_map(TP.top_words(counts, TP.TOP_K_KEYWORDS))
-    d = F.transform(F.slice("embedding", 1, DIST_DIMS), lambda x: F.abs(x))
+    d = F.transform("embedding", lambda x: F.abs(x))
     dist = T.let(d, lambda a: F.transform(a, lambda x: x / F.aggregate(a, F.lit(0.0), lambda s, y: s + y)))
     out = base.withColumn("topic_prob", T.topic_probability(F.col("topic_id"), dist))
     return (TP.keyword_lookup(out, kw)
@@ -180,9 +187,10 @@ def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentiment_detail(spark: SparkSession, sf_dir: str, cl: DataFrame | None = None) -> DataFrame:
-    """Clustered comments with a sentiment class (inner join on the labels)."""
+    """Clustered comments with a sentiment class; one without a label is neutral."""
     cl = clustered(spark, sf_dir) if cl is None else cl
-    return cl.join(sentiment_classes(spark, sf_dir), "comment_id")
+    return (cl.join(sentiment_classes(spark, sf_dir), "comment_id", "left")
+            .withColumn("sentiment_class", F.coalesce("sentiment_class", F.lit("neutral"))))
 
 
 def sentiment_summary(spark: SparkSession, sf_dir: str, cl: DataFrame | None = None) -> DataFrame:
@@ -192,7 +200,7 @@ def sentiment_summary(spark: SparkSession, sf_dir: str, cl: DataFrame | None = N
 
 def cluster_vectors(spark: SparkSession, sf_dir: str, dim: int = EMBEDDING_DIM,
                     cl: DataFrame | None = None) -> DataFrame:
-    """Cluster vector = mean of its member comments' vectors, first ``dim`` elements."""
+    """Cluster vector = mean of its member comments' vectors."""
     from murmur.operators.forecast import cluster_vectors_from_members
     cl = clustered(spark, sf_dir) if cl is None else cl
     return cluster_vectors_from_members(cl, dim=dim)

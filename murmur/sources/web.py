@@ -28,7 +28,7 @@ TITLE_SELECTORS = [
     ("div", r"end_tit"),
 ]
 DATE_SELECTORS = [
-    ("span", r"media_end_head_info_datestamp_time[^\"']*_ARTICLE_DATE_TIME|_ARTICLE_DATE_TIME[^\"']*media_end_head_info_datestamp_time"),
+    ("span", r"media_end_head_info_datestamp_time\s(?:[^\"']*\s)?_ARTICLE_DATE_TIME|_ARTICLE_DATE_TIME\s(?:[^\"']*\s)?media_end_head_info_datestamp_time"),
     ("em", r"date"),
     ("span", r"date"),
     ("div", r"date"),
@@ -40,54 +40,78 @@ ARTICLE_ID_PATTERN = r"article/([^/]+)/([^/?]+)"
 
 
 @F.pandas_udf(Tp.StringType())
-def html_unescape(s: pd.Series) -> pd.Series:
+def _unescape(s: pd.Series) -> pd.Series:
     """Full HTML entity decoding (stdlib), Arrow-batched."""
     return s.map(lambda x: _html.unescape(x) if isinstance(x, str) else x)
 
 
-def _element_pattern(tag: str, cls: str | None) -> str:
-    if cls is None:
-        attrs = r"(?:\s[^>]*)?"
-    else:
-        attrs = r"\s[^>]*class\s*=\s*[\"'][^\"']*(?:" + cls + r")[^\"']*[\"'][^>]*"
-    return r"(?is)<(" + tag + r")" + attrs + r">(.*?)</\1\s*>"
+# The entities that nearly all pages use, decoded natively; ``&amp;`` comes last.
+COMMON_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
+_OTHER_ENTITY = r"&(?!(?:lt|gt|quot|#39|apos|nbsp|amp);)#?[A-Za-z0-9]|&amp;#?[A-Za-z0-9]+;?"
 
 
-def element_inner(html: Column, tag: str, cls: str | None = None) -> Column:
-    """Inner HTML of the first ``tag`` element (optionally with a class) with
-    tags removed; null if there is no such element."""
-    pat = _element_pattern(tag, cls)
-    return F.when(html.rlike(pat), F.regexp_replace(F.regexp_extract(html, pat, 2), r"<[^>]*>", ""))
+def unescape_html(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Decode HTML entities in ``columns``. Rows whose texts hold only the common ones stay native; only the others go to Python, as
+    a branch of their own (a condition around a Python function would not keep rows from it)."""
+    odd = F.lit(False)
+    for c in columns:
+        odd = odd | F.coalesce(F.col(c).rlike(_OTHER_ENTITY), F.lit(False))
+    plain, rest = df.where(~odd), df.where(odd)
+    for c in columns:
+        text = F.col(c)
+        for name, char in COMMON_ENTITIES:
+            text = F.replace(text, F.lit(name), F.lit(char))
+        plain = plain.withColumn(c, text)
+        rest = rest.withColumn(c, _unescape(F.col(c)))
+    return plain.unionByName(rest)
+
 
+def _open_tag(tag: str, cls: str | None) -> str:
+    """A start tag; ``cls`` matches one whole token of its class attribute."""
+    attrs = r"(?:\s[^>]*)?" if cls is None else r"\s(?:[^>]*\s)?class\s*=\s*[\"'](?:[^\"']*\s)?(?:" + cls + r")(?:\s[^\"']*)?[\"'][^>]*"
+    return rf"<(?:{tag})" + attrs + ">"
 
-def element_text(html: Column, tag: str, cls: str | None = None, unescape: bool = True) -> Column:
-    """Text of the first matching element: entities decoded, stripped."""
-    return _finish(element_inner(html, tag, cls), unescape)
 
+def element_inner(html: Column, tag: str, cls: str | None = None) -> Column:
+    """Text inside the first ``tag`` element (optionally with a class) with tags removed; null if there is no such element.
+
+    The element ends at the end tag that closes it, also where elements of its name are nested: what follows the start tag is cut
+    at start and end tags of that name, and kept up to the cut where the depth falls to none."""
+    start = "(?is)" + _open_tag(tag, cls)
+    head = F.regexp_extract(html, start, 0)
+    rest = F.substr(html, F.regexp_instr(html, F.lit(start)) + F.length(head))
+    name = F.lower(F.regexp_extract(head, r"<([A-Za-z0-9]+)", 1))
+    edge = F.concat(F.lit(r"(?i)</?"), name, F.lit(r"(?:\s[^>]*)?>"))
+    tags = F.regexp_extract_all(rest, edge, F.lit(0))
+    parts = F.split(rest, edge, -1)
+    begin = F.struct(F.lit(1).alias("depth"), F.lit("").alias("text"))
 
-def _finish(inner: Column, unescape: bool) -> Column:
-    # entity decoding only where an entity can occur; one Python call per row at most
-    text = F.when(inner.contains("&"), html_unescape(inner)).otherwise(inner) if unescape else inner
-    return unicode_strip(text)
+    def step(acc, p):
+        open_ = acc["depth"] > 0
+        depth = F.when(p["tag"].startswith("</"), acc["depth"] - 1).otherwise(acc["depth"] + 1)
+        return F.struct(F.when(open_, depth).otherwise(0).alias("depth"),
+                        F.when(open_, F.concat(acc["text"], p["text"])).otherwise(acc["text"]).alias("text"))
 
+    pairs = F.zip_with(parts, tags, lambda x, y: F.struct(x.alias("text"), F.coalesce(y, F.lit("</>")).alias("tag")))
+    inner = F.aggregate(F.filter(pairs, lambda p: p["text"].isNotNull()), begin, step, lambda acc: acc["text"])
+    return F.when(head != "", F.regexp_replace(inner, r"<[^>]*>", ""))
 
-def first_present(html: Column, selectors, unescape: bool = True) -> Column:
-    """Ordered fallback: the first selector that finds an element wins. The
-    fallback is chosen on raw inner text, so entities are decoded once."""
-    return _finish(F.coalesce(*[element_inner(html, t, c) for t, c in selectors]), unescape)
+
+def first_present(html: Column, selectors) -> Column:
+    """Ordered fallback: the first selector that finds an element wins; its raw text."""
+    return F.coalesce(*[element_inner(html, t, c) for t, c in selectors])
 
 
 def page_title(pages: DataFrame, title_selectors=TITLE_SELECTORS, date_selectors=DATE_SELECTORS,
-               keep_incomplete: bool = False, unescape: bool = True) -> DataFrame:
+               keep_incomplete: bool = False) -> DataFrame:
     """IO-11: article title and date by ordered selector fallbacks; rows keep
     only when both are present (unless ``keep_incomplete``)."""
     h = F.col("html")
-    out = pages.select("page_id", "url",
-                       first_present(h, title_selectors, unescape).alias("title"),
-                       first_present(h, date_selectors, unescape).alias("date"))
-    if keep_incomplete:
-        return out
-    return out.filter(F.col("title").isNotNull() & F.col("date").isNotNull())
+    out = pages.select("page_id", "url", first_present(h, title_selectors).alias("title"), first_present(h, date_selectors).alias("date"))
+    if not keep_incomplete:
+        out = out.filter(F.col("title").isNotNull() & F.col("date").isNotNull())
+    out = unescape_html(out, ["title", "date"])
+    return out.withColumns({c: unicode_strip(F.col(c)) for c in ("title", "date")})
 
 
 def page_links(pages: DataFrame, prefixes=ARTICLE_LINK_PREFIXES) -> DataFrame:
@@ -110,17 +134,7 @@ def url_ids(url: Column, pattern: str = ARTICLE_ID_PATTERN) -> tuple[Column, Col
 # ---------------------------------------------------------------------------
 # IO-9 / IO-10: JSON payloads
 # ---------------------------------------------------------------------------
-PAYLOAD_SCHEMA = Tp.StructType([
-    Tp.StructField("result", Tp.StructType([
-        Tp.StructField("commentList", Tp.ArrayType(Tp.StructType([
-            Tp.StructField("maskedUserId", Tp.StringType()),
-            Tp.StructField("modTime", Tp.StringType()),
-            Tp.StructField("createTime", Tp.StringType()),
-            Tp.StructField("contents", Tp.StringType()),
-        ]))),
-        Tp.StructField("totalCommentCount", Tp.LongType()),
-    ])),
-])
+PAYLOAD_SCHEMA = "struct<result:struct<commentList:array<map<string,string>>>>"
 
 
 def unwrap_jsonp(payload: Column) -> Column:
@@ -133,24 +147,17 @@ def unwrap_jsonp(payload: Column) -> Column:
 def payload_comments(payloads: DataFrame, payload_col: str = "payload", url_col: str = "url") -> DataFrame:
     """IO-9: one row per comment of a JSONP comment page.
 
-    ``modTime`` is used when the key is present (even if its value is null),
+    The page is parsed once, each comment as a map: ``modTime`` is used when the key is present (even if its value is null),
     else ``createTime``; the text is HTML-unescaped.
     """
-    body = unwrap_jsonp(F.col(payload_col))
-    parsed = F.from_json(body, PAYLOAD_SCHEMA)
-    has_mod = F.transform(
-        F.from_json(body, "struct<result:struct<commentList:array<map<string,string>>>>")["result"]["commentList"],
-        lambda m: F.map_contains_key(m, "modTime"))
-    exploded = payloads.select(
-        F.col(url_col).alias("url"),
-        F.posexplode(F.arrays_zip(parsed["result"]["commentList"].alias("c"), has_mod.alias("m"))).alias("pos", "z"))
-    c = F.col("z.c")
-    return exploded.select(
-        "url",
-        c["maskedUserId"].alias("comment_author_id"),
-        F.when(F.col("z.m"), c["modTime"]).otherwise(c["createTime"]).alias("comment_published"),
-        html_unescape(F.coalesce(c["contents"], F.lit(""))).alias("comment_text"),
-    )
+    parsed = F.from_json(unwrap_jsonp(F.col(payload_col)), PAYLOAD_SCHEMA)
+    rows = payloads.select(F.col(url_col).alias("url"), F.explode(parsed["result"]["commentList"]).alias("c"))
+    c = F.col("c")
+    out = rows.select("url", F.try_element_at(c, F.lit("maskedUserId")).alias("comment_author_id"),
+                      F.when(F.map_contains_key(c, "modTime"), F.try_element_at(c, F.lit("modTime")))
+                      .otherwise(F.try_element_at(c, F.lit("createTime"))).alias("comment_published"),
+                      F.coalesce(F.try_element_at(c, F.lit("contents")), F.lit("")).alias("comment_text"))
+    return unescape_html(out, ["comment_text"])
 
 
 THREAD_SCHEMA = Tp.StructType([

@@ -1,5 +1,6 @@
 """Vectors, topics, sentiment and forecast operators on hand-made tables."""
 
+import datetime as dt
 import math
 
 import pytest
@@ -83,26 +84,36 @@ def test_sentiment_summary_half_even(spark):
     assert r.positive == 0.007812 and r.total_comments == 128 and r.neutral == 0.0
 
 
-def test_parse_ranges():
-    assert FC.parse_ranges("") == FC.DEFAULT_POLL_DATE_RANGES
-    assert FC.parse_ranges(" 2025-01-01:2025-01-02 , ,2025-02-01 : 2025-02-03") == [
-        ("2025-01-01", "2025-01-02"), ("2025-02-01", "2025-02-03")]
-    with pytest.raises(ValueError):
-        FC.parse_ranges("2025-01-01")
-    with pytest.raises(ValueError):
-        FC.parse_ranges(" , ")
+def test_ranges_frame(spark):
+    def days(spec):
+        return [(r.ordinal, str(r.start), str(r.end)) for r in FC.ranges_frame(spark, spec).orderBy("ordinal").collect()]
+    assert [x[1:] for x in days("")] == FC.DEFAULT_POLL_DATE_RANGES
+    assert days(" 2025-01-01:2025-01-02 , ,2025-02-01 : 2025-02-03") == [(1, "2025-01-01", "2025-01-02"), (2, "2025-02-01", "2025-02-03")]
+    for bad in ("2025-01-01", " , "):
+        with pytest.raises(Exception, match="date range"):
+            days(bad)
+
+
+def test_poll_join_is_no_nested_loop(spark):
+    j = FC.poll_range_join(spark.createDataFrame([(dt.datetime(2025, 1, 1),)], "date timestamp"), FC.ranges_frame(spark, "2025-01-01:2025-01-02"))
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_target_without_weight_is_an_error(spark):
+    polls = spark.createDataFrame([(dt.datetime(2025, 1, 1), 1.0, 0.0)], "date timestamp, a double, weight double")
+    with pytest.raises(Exception, match="no poll row"):
+        FC.weighted_target(polls, FC.ranges_frame(spark, "2025-01-01:2025-01-02"), ["a"]).collect()
 
 
 def test_weighted_target_rules(spark):
-    import datetime as dt
     polls = spark.createDataFrame([
         (dt.datetime(2025, 5, 19), 40.0, 10.0, 2.0),
         (dt.datetime(2025, 5, 21, 12, 0), 99.0, 99.0, 5.0),    # after midnight of the end day: out
         (dt.datetime(2025, 5, 20), 30.0, "x", 1.0),            # non-numeric -> dropped
         (dt.datetime(2025, 5, 25), 50.0, 50.0, 0.0),           # zero weight range
     ], "date timestamp, a double, b string, weight double")
-    ranges = FC.ranges_frame(spark, [("2025-05-19", "2025-05-21"), ("2025-05-19", "2025-05-19"),
-                                     ("2025-05-24", "2025-05-26"), ("2025-06-01", "2025-06-02")])
+    ranges = FC.ranges_frame(spark, "2025-05-19:2025-05-21,2025-05-19:2025-05-19,2025-05-24:2025-05-26,2025-06-01:2025-06-02")
     got = {r.time_label: (r.a, r.b) for r in FC.weighted_target(polls, ranges, ["a", "b"]).collect()}
     assert got == {1: (40.0, 10.0), 2: (40.0, 10.0)}       # overlap duplicates, ordinals kept
 

@@ -26,7 +26,10 @@ def test_import_without_session():
 
 def test_require_columns_and_projection(spark):
     df = spark.createDataFrame([(1, "a")], "comment_id long, comment_text string")
-    assert S.missing_columns(df.columns, ["comment_id", "time_label", "topic_id"]) == ["time_label", "topic_id"]
+    assert S.contract_faults(df, ["comment_id", "time_label", "topic_id"]) == {"time_label": "missing", "topic_id": "missing"}
+    wrong = spark.createDataFrame([("1", 2)], "comment_id string, topic_id bigint")
+    faults = S.contract_faults(wrong, S.TOPIC_ASSIGNMENT_SCHEMA)
+    assert faults["comment_id"] == "string instead of bigint" and "topic_id" not in faults and faults["topic_prob"] == "missing"
     with pytest.raises(ValueError):
         S.require_columns(df, S.TOPIC_ASSIGNMENT_COLUMNS)
     p = S.contract_projection(df, S.TOPIC_ASSIGNMENT_COLUMNS, S.TOPIC_ASSIGNMENT_SCHEMA)
@@ -64,9 +67,10 @@ def test_lda_is_reproducible(spark):
 
 
 def test_guided_theta_and_beta_are_distributions(spark):
-    topics, beta, theta, _ = _guided(spark, SF)
-    b = beta.groupBy("topic_id").agg(F.sum("beta").alias("s")).collect()
-    t = theta.groupBy("doc_id").agg(F.sum("theta").alias("s")).collect()
+    _, topics, beta, theta, _ = _guided(spark, SF)
+    b = beta.select(F.explode("beta").alias("topic_id", "beta")).groupBy("topic_id").agg(F.sum("beta").alias("s")).collect()
+    t = theta.select("doc_id", F.explode("theta").alias("k", "theta")).groupBy("doc_id").agg(F.sum("theta").alias("s")).collect()
+    assert len(t) == 200
     assert b and t
     assert all(abs(r.s - 1.0) < 1e-9 for r in b + t)
 
@@ -80,6 +84,12 @@ def test_ensure_target_builds_then_reads(spark, tmp_path):
     assert built.count() == again.count() > 0
     with pytest.raises(FileNotFoundError):
         FC.ensure_target(spark, str(tmp_path / "none"), None, ranges, ["cand_0"])
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_text("not a table")
+    with pytest.raises(Exception):
+        FC.ensure_target(spark, str(broken), polls, ranges, ["cand_0"]).count()
+    assert (broken / "part-0.parquet").read_text() == "not a table"  # what can't be read is left alone
 
 
 def test_parse_ranges_column(spark):

@@ -28,13 +28,15 @@ def test_csv_bom_newline_quotes_and_per_file_dedupe(spark):
     ])
 
 
-def test_existing_inputs_and_topic_file_scan(tmp_path):
+def test_existing_inputs_and_topic_file_scan(spark, tmp_path):
     (tmp_path / "topic_assignments_0101_0102_lda.csv").write_text("x\n")
     (tmp_path / "topic_assignments_0103_0104_lda.csv").write_text("x\n")
-    got = FI.topic_file_scan("lda", str(tmp_path))
+    got = FI.topic_file_scan(spark, "lda", str(tmp_path))
     assert [os.path.basename(p) for p in got] == ["topic_assignments_0101_0102_lda.csv",
                                                   "topic_assignments_0103_0104_lda.csv"]
-    assert FI.existing_inputs([str(tmp_path / "nope.csv")] + got) == got
+    assert FI.existing_inputs(spark, [str(tmp_path / "nope.csv")] + got) == got
+    uri = f"file://{tmp_path}"
+    assert len(FI.existing_inputs(spark, [f"{uri}/topic_*_lda.csv", f"{uri}/nope.csv"])) == 2
 
 
 def test_payload_comments_modtime_presence(spark):
@@ -68,6 +70,11 @@ def test_page_title_fallbacks_and_links(spark):
     t = {r.page_id: (r.title, r.date) for r in WB.page_title(pages, keep_incomplete=True).collect()}
     assert t == {1: ("Second & title", "2025.05.19."), 2: ("Only title", None)}
     assert [r.page_id for r in WB.page_title(pages).collect()] == [1]        # both required
+    hard = ('<div class="update">not this</div><div class="big news_title">a<div>b</div>c &copy;&amp;lt;</div><div>d</div>'
+            '<span class="update">no</span><div class="date">2025</div>')
+    got = WB.page_title(spark.createDataFrame([(3, "u", hard)], "page_id long, url string, html string")).first()
+    assert (got.title, got.date) == ("abc \u00a9&lt;", "2025")              # whole class tokens, nested elements, rare entities
+    assert WB.page_title(pages.limit(0)).collect() == []
     links = WB.page_links(pages).collect()
     assert [(r.page_id, r.link) for r in links] == [(1, "https://n.news.naver.com/article/1/2")]
     oid, aid = WB.url_ids(F.lit("https://n.news.naver.com/article/023/0003912?sid=100"))
@@ -99,6 +106,14 @@ def test_per_keyword_cap_first_seen_distinct(spark):
     assert got == [("j", "u1", 5), ("k", "u1", 1), ("k", "u2", 3)]
 
 
+def test_stable_id_of_a_wide_table_survives_writing(spark, tmp_path):
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "source", "text", "lang")
+    FI.stable_id(d, ["source", "doc_id"], "sid").write.parquet(str(tmp_path / "ids"))
+    got = spark.read.parquet(str(tmp_path / "ids")).select("sid", "doc_id", "source").orderBy("sid").collect()
+    assert [r.sid for r in got] == list(range(10_000))
+    assert [(r.source, r.doc_id) for r in got] == sorted((r.source, r.doc_id) for r in got)
+
+
 def test_stable_id_is_dense_and_ordered(spark):
     df = spark.range(0, 1000, 1, 7).select((F.col("id") * 7 % 1000).alias("k"))
     got = FI.stable_id(df, ["k"], "sid").orderBy("k").collect()
