@@ -7,8 +7,8 @@ one hash table for each. Two vectors are candidates if in some table their subst
 enters, besides its own substring's bucket, those one bit away, so such two meet in a bucket. A pair is looked at in
 one bucket only, the smallest that it shares. Candidates are compared by the cosine of their original vectors in double precision.
 
-Vectors to which no other code that shares a bucket comes within a share ``far`` of the bits (0.34; vectors at a cosine of 0.9 differ in
-0.14 of them on average) leave after a first join of codes alone (a semi-join). A bucket is cut
+A first join, of codes alone (a semi-join), finds the buckets in which a vector has a partner that differs in at most a share ``far`` of
+the bits (0.28; vectors at a cosine of 0.9 differ in 0.14 of them on average): only there its vector is sent. A bucket is cut
 into tiles of about ``tile`` vectors, and each pair of tiles is a group of bounded size; a group returns how many
 links each vector has there and a spanning forest of them, never pairs. Equal vectors are one class with a size, so copies of
 a vector are never compared with each other.
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmur.llm.common import cut_lineage
@@ -96,8 +96,29 @@ def _first_shared(a: np.ndarray, b: np.ndarray, table: int, bucket: int, tables:
     return ok & (far <= 2) & (first == np.uint64(bucket))
 
 
+def _part(code: str, first: int, n: int) -> Column:
+    """The n bits of a code column from bit ``first`` on."""
+    return F.expr(f"shiftrightunsigned({code}, {first}) & {(1 << n) - 1}L")
+
+
+def _first_met(tables: list[tuple[int, int]]) -> Column:
+    """``_first_shared`` for columns code, code2, table and bucket."""
+    out = F.lit(False)
+    for t, (s, n) in enumerate(tables):
+        a, b = _part("code", s, n), _part("code2", s, n)
+        d = a.bitwiseXOR(b)
+        low = d.bitwiseAND(-d)
+        apart = F.bit_count(d)
+        first = F.when(apart < 2, F.least(a, b)).otherwise(F.least(a.bitwiseXOR(low), b.bitwiseXOR(low)))
+        ok = (F.col("table") == t) & (apart <= 2) & (first == F.col("bucket"))
+        for s2, n2 in tables[:t]:
+            ok = ok & (F.bit_count(_part("code", s2, n2).bitwiseXOR(_part("code2", s2, n2))) > 2)
+        out = out | ok
+    return out
+
+
 def vector_links(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding", max_fit: int = MAX_FIT,
-                 tile: int = TILE, far: float = 0.34) -> DataFrame:
+                 tile: int = TILE, far: float = 0.28) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors``."""
     spark = vectors.sparkSession
     every, dim = prepared(vectors, id_col, vec_col)
@@ -134,18 +155,18 @@ def vector_links(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_
             per += [F.struct(F.lit(t).alias("table"), own.bitwiseXOR(F.lit(1 << k)).alias("bucket")) for k in range(w)]
         return df.withColumn("e", F.explode(F.array(*per))).select("*", "e.table", "e.bucket").drop("e")
 
-    # who has a partner at all: another vector of the same code, or in some bucket a code that isn't far away. Nothing is
-    # paired here: the search for a code ends with the first one found
+    # where a code has a partner: a bucket that is the smallest one shared with some code not far away, or the first table's own bucket
+    # if several vectors have the code. Nothing is paired here: the search for a code ends with the first partner found
     alike = coded.groupBy("code").agg(F.count("*").alias("k"))
     own = entered(alike.select("code"))
     other = own.select(F.col("table").alias("t2"), F.col("bucket").alias("b2"), F.col("code").alias("code2"))
     near = own.join(other, (F.col("table") == F.col("t2")) & (F.col("bucket") == F.col("b2")) & (F.col("code") != F.col("code2"))
-                    & (F.bit_count(F.col("code").bitwiseXOR(F.col("code2"))) <= round(far * bits)), "left_semi")
-    partner = near.select("code").unionByName(alike.where("k > 1").select("code")).distinct()
-    found = cut_lineage(coded.join(partner, "code").join(classes.select("c", "vec", "size"), "c").select("c", "code", "size", "vec"))
-    crowded = entered(found.select("code")).groupBy("table", "bucket").agg(F.count("*").alias("k")).where("k > 1")
-    tiles = crowded.select("table", "bucket", F.ceil(F.col("k") / F.lit(tile)).cast("int").alias("n"))
-    dealt = entered(found)
+                    & (F.bit_count(F.col("code").bitwiseXOR(F.col("code2"))) <= round(far * bits)) & _first_met(tables), "left_semi")
+    several = alike.where("k > 1").select(F.lit(0).alias("table"), _part("code", *tables[0]).cast("int").alias("bucket"), "code")
+    near = cut_lineage(near.select("table", "bucket", "code").unionByName(several).distinct())
+    placed = near.join(coded, "code")
+    tiles = placed.groupBy("table", "bucket").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("n"))
+    dealt = placed.join(classes.select("c", "vec", "size"), "c")
     dealt = dealt.join(tiles, ["table", "bucket"]).withColumn("t", F.pmod(F.xxhash64("c"), F.col("n")).cast("int"))
     dealt = dealt.withColumn("u", F.explode(F.expr("sequence(0, n - 1)")))
     dealt = dealt.select("table", "bucket", F.least("t", "u").alias("ta"), F.greatest("t", "u").alias("tb"),
