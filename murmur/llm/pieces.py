@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,10 @@ from pyspark.sql import functions as F
 from murmur.llm.common import kept_by_worker
 
 MARK = "▁"
-NONE = 1 << 30
+
+
+def _raw(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
 
 
 class Pieces:
@@ -63,13 +67,15 @@ class Pieces:
         self.alone = {c for c in "\n\t\r\x0b\x0c" if c not in joins}
         stop = "".join(re.escape(c) for c in sorted(self.alone))
         self.units = re.compile(f"{MARK}+[^{MARK}{stop}]*|[^{MARK}{stop}]+|[{stop}]" if stop else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        self.known: dict[tuple[str, int], bytes] = {}
+        self.known: list[dict[str, bytes]] = [{} for _ in range(max(1, variants))]  # by variant
         # for many units at once: characters' ids, and of every two pieces that join to one, that one and its place by score
         self.char_id = np.full(0x110000, -1, dtype=np.int32)
         for p, i in self.id_of.items():
             if len(p) == 1:
                 self.char_id[ord(p)] = i
         order = {x: k for k, x in enumerate(sorted(set(self.score), reverse=True))}
+        self.none = np.iinfo(np.int16).max if len(order) < np.iinfo(np.int16).max else np.iinfo(np.int32).max
+        rank = np.int16 if self.none == np.iinfo(np.int16).max else np.int32
         found = sorted((self.id_of[p[:k]] * n + self.id_of[p[k:]], i, order[self.score[i]]) for p, i in self.id_of.items()
                        for k in range(1, len(p)) if p[:k] in self.id_of and p[k:] in self.id_of)
         keys = np.array([x[0] for x in found], dtype=np.uint64)
@@ -77,7 +83,7 @@ class Pieces:
         self.slots = np.uint64(64 - max(4, int(len(keys) * 4).bit_length()))
         size = 1 << (64 - int(self.slots))
         self.table_key = np.full(size + 64, np.uint64((1 << 64) - 1))
-        self.table_id, self.table_rank = np.zeros(size + 64, dtype=np.int32), np.full(size + 64, NONE, dtype=np.int32)
+        self.table_id, self.table_rank = np.zeros(size + 64, dtype=np.int32), np.full(size + 64, self.none, dtype=rank)
         self.reach = 1
         for key, slot, (_, i, r) in zip(keys, self._slot(keys).tolist(), found):
             at = slot
@@ -90,7 +96,7 @@ class Pieces:
         return ((key * np.uint64(0x9E3779B97F4A7C15)) >> self.slots).astype(np.int64)
 
     def _join(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of pairs of symbols: the piece that they join to and its rank, NONE if there is none."""
+        """Of pairs of symbols: the piece that they join to and its rank, ``none`` if there is none."""
         key = a.astype(np.int64).astype(np.uint64) * self.n + b.astype(np.int64).astype(np.uint64)
         slot = self._slot(key)
         out = np.full(len(key), -1, dtype=np.int64)
@@ -102,46 +108,44 @@ class Pieces:
             open_ = open_[~hit & (here != np.uint64((1 << 64) - 1))]
             if not len(open_):
                 break
-        return np.where(out >= 0, self.table_id[out], -1), np.where(out >= 0, self.table_rank[out], NONE)
+        hit = out >= 0
+        return np.where(hit, self.table_id[out], -1), np.where(hit, self.table_rank[out], self.table_rank.dtype.type(self.none))
 
-    def _unit_keys(self, units: list[tuple[str, int]]) -> np.ndarray:
-        return np.array([xxhash.xxh64_intdigest(u.encode("utf-8", "surrogatepass"), (self.seed * 1_000_003 + v) & (1 << 64) - 1)
-                         for u, v in units], dtype=np.uint64)
-
-    def learn(self, units: list[tuple[str, int]]) -> None:
-        """Remember the ids of many (unit, variant): as ``encode_unit``, all units of about a length at a time, one merge each a round."""
+    def learn(self, units: list[str], variant: int) -> None:
+        """Remember the ids of many units: as ``encode_unit``, all units of about a length at a time, one merge each a round."""
         by: dict[int, list] = {8: [], 12: [], 18: [], 32: []}
         width = [8] * 9 + [12] * 4 + [18] * 6 + [32] * 14
         for x in units:
-            n = len(x[0])
+            n = len(x)
             if n <= 32:
                 by[width[n]].append(x)
             else:
-                self.known[x] = np.array(self.encode_unit(*x), dtype="<u4").tobytes()
+                self.known[variant][x] = np.array(self.encode_unit(x, variant), dtype="<u4").tobytes()
         for n, some in by.items():
-            for i in range(0, len(some), 8000):
-                self._learn(some[i:i + 8000], n)
+            for i in range(0, len(some), 5000):
+                self._learn(some[i:i + 5000], variant, n)
 
-    def _learn(self, units: list[tuple[str, int]], width: int) -> None:
-        names = [u for u, _ in units]
-        length = np.fromiter(map(len, names), np.int32, len(names))
+    def _learn(self, names: list[str], variant: int, width: int) -> None:
+        length = np.fromiter(map(len, names), np.int8, len(names))
         points = np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int32)
         cols = np.arange(width)[None, :]
         full = cols < length[:, None]
         ids = self.char_id[points]
-        sym = np.full((len(units), width + 1), -1, dtype=np.int32)
+        sym = np.full((len(names), width + 1), -1, dtype=np.int32)
         sym[:, :width][full] = np.where(ids >= 0, ids, -2 - points)
         done = sym.copy()
         # of each symbol, and behind the last one: where it starts
-        start = np.minimum(np.arange(width + 1, dtype=np.int32)[None, :], length[:, None])
-        rank = np.full((len(units), width + 1), NONE, dtype=np.int32)
+        start = np.minimum(np.arange(width + 1, dtype=np.int8)[None, :], length[:, None])
+        rank = np.full((len(names), width + 1), self.none, dtype=self.table_rank.dtype)
         r, c = np.nonzero(full[:, 1:])
         rank[r, c] = self._join(sym[r, c], sym[r, c + 1])[1]
-        keys, rows = self._unit_keys(units), np.arange(len(units))
+        seed = self._seed(variant)
+        keys = np.array([xxhash.xxh64_intdigest(u, seed) for u in map(_raw, names)], dtype=np.uint64)
+        rows = np.arange(len(names))
         while len(rows):
             best = rank.argmin(1)
             all_rows = np.arange(len(rows))
-            on = rank[all_rows, best] < NONE
+            on = rank[all_rows, best] < self.none
             if not on.all():  # the others are finished
                 done[rows[~on]] = sym[~on]
                 rows, keys, sym, start, rank, best = rows[on], keys[on], sym[on], start[on], rank[on], best[on]
@@ -149,7 +153,7 @@ class Pieces:
                 if not len(rows):
                     break
             if self.limit:
-                i, j, k = start[all_rows, best], start[all_rows, best + 1], start[all_rows, np.minimum(best + 2, width)]
+                i, j, k = (start[all_rows, np.minimum(best + d, width)].astype(np.int64) for d in (0, 1, 2))
                 at = (i << 20 | (j - i) << 10 | (k - j)).astype(np.uint64)
                 drop = (((keys ^ at) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)) & np.uint64(0xFFFFFFFF) < np.uint64(self.limit)
             else:
@@ -157,14 +161,14 @@ class Pieces:
             joined = np.where(drop, -1, self._join(sym[all_rows, best], sym[all_rows, best + 1])[0])
             # what stands behind a merged pair moves up by one
             moves = (cols > best[:, None]) & ~drop[:, None]
-            for x, fill in ((sym, -1), (start, None), (rank, NONE)):
+            for x, fill in ((sym, -1), (start, None), (rank, self.none)):
                 x[:, :width] = np.where(moves, x[:, 1:], x[:, :width])
                 if fill is not None:
                     x[~drop, width] = fill
             go = np.flatnonzero(~drop)
             at, new = best[go], joined[go]
             sym[go, at] = new
-            rank[all_rows, best] = NONE
+            rank[all_rows, best] = self.none
             rank[go, at] = self._join(new, sym[go, at + 1])[1]
             before = np.flatnonzero(at > 0)
             rank[go[before], at[before] - 1] = self._join(sym[go[before], at[before] - 1], new[before])[1]
@@ -172,17 +176,16 @@ class Pieces:
         used = sym[:, :width] != -1
         ends = np.cumsum(used.sum(1)).tolist()
         flat = sym[:, :width][used]
-        odd = set(np.flatnonzero((sym[:, :width] < -1).any(1)).tolist())
-        raw, x = flat.astype("<u4").tobytes(), 0
-        for i, (unit, y) in enumerate(zip(units, ends)):
-            if i in odd:  # some characters are spelled in bytes
-                ids = []
-                for s in flat[x:y].tolist():
-                    ids += [s] if s >= 0 else [self.byte_id[b] for b in chr(-2 - s).encode("utf-8", "surrogatepass")]
-                self.known[unit] = np.array(ids, dtype="<u4").tobytes()
-            else:
-                self.known[unit] = raw[4 * x:4 * y]
-            x = y
+        raw, known = flat.astype("<u4").tobytes(), self.known[variant]
+        known.update(zip(names, map(raw.__getitem__, map(slice, [0, *(4 * y for y in ends)], [4 * y for y in ends]))))
+        for i in np.flatnonzero((sym[:, :width] < -1).any(1)).tolist():  # some characters are spelled in bytes
+            ids = []
+            for s in flat[ends[i - 1] if i else 0:ends[i]].tolist():
+                ids += [s] if s >= 0 else [self.byte_id[b] for b in _raw(chr(-2 - s))]
+            known[names[i]] = np.array(ids, dtype="<u4").tobytes()
+
+    def _seed(self, variant: int) -> int:
+        return (self.seed * 1_000_003 + variant) & (1 << 64) - 1
 
     def encode_unit(self, unit: str, variant: int) -> list[int]:
         """Ids of one unit."""
@@ -190,7 +193,7 @@ class Pieces:
         sym, n = list(unit), len(unit)
         right, left = list(range(1, n + 1)), list(range(-1, n - 1))
         size = [1] * n
-        key = xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"), (self.seed * 1_000_003 + variant) & (1 << 64) - 1)
+        key = xxhash.xxh64_intdigest(_raw(unit), self._seed(variant))
         agenda = []
         for i in range(n - 1):
             if (m := ids.get(sym[i] + sym[i + 1])) is not None:
@@ -219,28 +222,43 @@ class Pieces:
                 if (m := ids.get(s)) is not None:
                     out.append(m)
                 else:
-                    out += [self.byte_id[x] for x in s.encode("utf-8", "surrogatepass")]
+                    out += [self.byte_id[x] for x in _raw(s)]
         return out
 
     def encode(self, texts: list[str], keys: list[str]) -> list[bytes]:
         """Ids of texts, little-endian unsigned 32-bit; ``keys`` tell documents apart. The mark that the model puts before
         a text is put there."""
-        if len(self.known) > self.memory:
-            self.known.clear()
+        if sum(map(len, self.known)) > self.memory:
+            for k in self.known:
+                k.clear()
         v = self.variants if self.limit else 1
-        cut = []
+        cut, new = [], [set() for _ in range(v)]
         for text, key in zip(texts, keys):
+            units = self.units.findall(MARK + text.replace(" ", MARK)) if text else []
             # a word's n-th coming in the document takes the variant after its (n-1)-th; where it starts depends on the document
-            start, seen, out = xxhash.xxh64_intdigest(key, self.seed & (1 << 64) - 1) % v, {}, []
-            for u in self.units.findall(MARK + text.replace(" ", MARK)) if text else ():
-                n = seen.get(u, start)
-                seen[u] = (n + 1) % v
-                out.append((u, n))
-            cut.append(out)
-        new = set().union(*cut).difference(self.known)
-        if new:
-            self.learn(list(new))
-        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
+            start, later = xxhash.xxh64_intdigest(key, self.seed & (1 << 64) - 1) % v, []
+            count = Counter(units)
+            if v > 1 and len(count) < len(units):
+                many, seen = {u for u, n in count.items() if n > 1}, {}
+                for i, u in enumerate(units):
+                    if u in many:
+                        n = seen.get(u, 0)
+                        seen[u] = n + 1
+                        if n % v:
+                            later.append((i, u, (start + n) % v))
+                            new[(start + n) % v].add(u)
+            new[start].update(count)
+            cut.append((units, start, later))
+        for k, units in enumerate(new):
+            if units := units.difference(self.known[k]):
+                self.learn(list(units), k)
+        out = []
+        for units, start, later in cut:
+            ids = list(map(self.known[start].__getitem__, units))
+            for i, u, k in later:
+                ids[i] = self.known[k][u]
+            out.append(b"".join(ids))
+        return out
 
     def decode(self, ids: bytes) -> str:
         raw = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))

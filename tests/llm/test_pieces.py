@@ -24,7 +24,7 @@ def test_lossless_and_the_same_as_one_unit_at_a_time(rate):
     p = pieces.Pieces(PATH, rate=rate, seed=9)
     got = p.encode(TEXTS, [str(i) for i in range(len(TEXTS))])
     assert [p.decode(x) for x in got] == TEXTS
-    assert all(ids(raw) == p.encode_unit(*unit) for unit, raw in p.known.items())
+    assert all(ids(raw) == p.encode_unit(unit, v) for v, known in enumerate(p.known) for unit, raw in known.items())
     assert got == pieces.Pieces(PATH, rate=rate, seed=9, memory=1).encode(TEXTS, [str(i) for i in range(len(TEXTS))])
 
 
