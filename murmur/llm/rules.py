@@ -176,5 +176,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     they are, so that they are not shuffled to be joined to their verdicts."""
     rows, m = measured(docs, [id_col, stratum], text_col)
     cuts = cutoffs(rows, m, labels, stratum, id_col, **risk)
-    again, m = measured(docs, docs.columns, text_col)
-    return judged(again, m, cuts, stratum).where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{stratum}`").cast("string").alias("stratum_"),
+                         F.col(f"`{text_col}`").alias("text_in"))
+    again, m = measured(packed, ["row", "stratum_"], "text_in")
+    kept = judged(again, m, cuts, "stratum_").where("_kept")
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -155,11 +155,11 @@ def keep_one(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "
     id, one of them stays; of a group without any id, one row."""
     sig = cut_lineage(fingerprints(docs, width, id_col, text_col))
     classes = cut_lineage(simhash_classes(sig, max_bits))
-    stay = classes.where("component_id is not null").select(F.col("component_id").alias("_stay")).distinct()
+    fp, theirs, root, low = (free_name(docs, x) for x in ("fp", "their_fp", "root", "low"))
+    stay = classes.where("component_id is not null").select(F.col("component_id").alias(low)).distinct()
     key = docs[id_col].cast("long")
-    named = docs.where(key.isNotNull()).join(stay, key == F.col("_stay"), "left_semi").dropDuplicates([id_col])
+    named = docs.where(key.isNotNull()).join(stay, key == stay[low], "left_semi").dropDuplicates([id_col])
     # rows without an id: their fingerprints once more, in place
-    fp = free_name(docs, "fp")
     nameless = docs.where(key.isNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,6 +168,6 @@ def keep_one(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got.view(np.int64))], [*b.schema.names, fp])
 
     nameless = nameless.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())]))
-    alone = classes.where("component_id is null").select(F.col("fp").alias("_fp"), F.col("root").alias("_root"))
-    nameless = nameless.join(alone, F.col(fp) == F.col("_fp")).dropDuplicates(["_root"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    alone = classes.where("component_id is null").select(F.col("fp").alias(theirs), F.col("root").alias(root))
+    nameless = nameless.join(alone, F.col(fp) == F.col(theirs)).dropDuplicates([root]).select(*[F.col(f"`{c}`") for c in docs.columns])
     return named.unionByName(nameless)
