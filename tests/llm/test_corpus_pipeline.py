@@ -86,3 +86,13 @@ def test_stages_keep_columns_and_take_odd_rows(spark, make, odd):
 def test_line_dedup_keeps_every_document(spark, make, odd):
     out = corpus_pipeline.line_dedup(spark, make(odd), SF)
     assert Counter(r.doc_id for r in out.collect()) == Counter(i for i, _ in odd)
+
+
+def test_line_dedup_query_against_its_sql(spark):
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    want = con.sql(E.oracle_sql()["op9_line_dedup"])
+    got = E.queries()["op9_line_dedup"](spark, SF)
+    at = [want.columns.index(c) for c in got.columns]
+    assert Counter(map(tuple, got.collect())) == Counter(tuple(r[i] for i in at) for r in want.fetchall())
