@@ -8,6 +8,7 @@ one Python process.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -76,20 +77,25 @@ def candidate_array(candidates: DataFrame, name: str = "candidate", vec: str = "
     if len(rows) > limit:
         raise ValueError(f"candidate table has more than {limit} rows; it is a dimension, not data")
     return F.array(*[F.struct(F.lit(int(r[0])).alias("ord"), F.lit(r[1]).alias("name"),
-                               F.array(*[F.lit(float(x)) for x in r[2]]).alias("vec")) for r in rows])
+                               F.array(*[F.lit(float(x)) for x in r[2]]).alias("vec"),
+                               F.lit(math.sqrt(sum(float(x) ** 2 for x in r[2]))).alias("norm")) for r in rows])
 
 
 def nearest(vec, cands: Column) -> Column:
     """J-6: struct(name, score) of the most cosine-similar candidate; the
-    first candidate (by ``ord``) wins ties."""
+    first candidate (by ``ord``) wins ties. Each norm is taken once: the
+    vector's per row, the candidates' when they are inlined."""
     init = F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("double").alias("score"))
 
-    def step(acc, c):
-        s = cosine(vec, c["vec"])
-        better = acc["score"].isNull() | (s > acc["score"])
-        return F.when(better, F.struct(c["name"].alias("name"), s.alias("score"))).otherwise(acc)
+    def search(own):
+        def step(acc, c):
+            den = own * c["norm"]
+            s = F.when(den == 0, F.lit(0.0)).otherwise(dot(vec, c["vec"]) / den)
+            better = acc["score"].isNull() | (s > acc["score"])
+            return F.when(better, F.struct(c["name"].alias("name"), s.alias("score"))).otherwise(acc)
+        return F.aggregate(cands, init, step)
 
-    return F.aggregate(cands, init, step)
+    return let(norm(vec), search)
 
 
 def softmax_over(df: DataFrame, group: Sequence[str], score: str, out: str) -> DataFrame:

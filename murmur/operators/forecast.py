@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from murmur.functions import text as T
 from murmur.functions import vectors as V
 from murmur.schemas import coerce_numeric, require_values
+from murmur.session import ensure_checkpoint_dir
 
 # Default poll periods and the booster settings.
 DEFAULT_POLL_DATE_RANGES = [
@@ -327,12 +328,15 @@ class SequentialForecaster:
         return VectorAssembler(inputCols=self.feature_cols, outputCol="features",
                                handleInvalid="keep").transform(df)
 
-    def _predict_one(self, df: DataFrame, target: str) -> DataFrame:
-        out = df.withColumn(f"_pred_{target}", F.lit(0.0))
-        for i, m in enumerate(self.models.get(target, [])):
-            out = m.setPredictionCol(f"_p{i}").transform(out)
-            out = out.withColumn(f"_pred_{target}", F.col(f"_pred_{target}") + F.col(f"_p{i}")).drop(f"_p{i}")
-        return out
+    def _predict_one(self, df: DataFrame, target: str, stages: int | None = None, out: str | None = None) -> DataFrame:
+        """The sum of the target's first ``stages`` boosters (all by default)."""
+        name = out or f"_pred_{target}"
+        total, parts = F.lit(0.0), []
+        for i, m in enumerate(self.models.get(target, [])[:stages]):
+            parts.append(f"_p{i}")
+            df = m.copy({m.predictionCol: f"_p{i}"}).transform(df)
+            total = total + F.col(f"_p{i}")
+        return df.withColumn(name, total).drop(*parts)
 
     def fit_period(self, train: DataFrame) -> "SequentialForecaster":
         """M-9 on the first call, M-10 (residual continuation) afterwards.
@@ -343,6 +347,7 @@ class SequentialForecaster:
         """
         from concurrent.futures import ThreadPoolExecutor
 
+        ensure_checkpoint_dir(train.sparkSession)
         data = self._assemble(train).checkpoint(eager=True)
 
         def fit_one(t):
@@ -356,13 +361,25 @@ class SequentialForecaster:
                 self.models.setdefault(t, []).append(m)
         return self
 
-    def predict(self, df: DataFrame) -> DataFrame:
-        """M-11: one prediction column per target (uniform 1/n if unfitted)."""
+    def predict(self, df: DataFrame, stages: int | None = None) -> DataFrame:
+        """M-11: one prediction column per target (uniform 1/n if unfitted); with ``stages``, by the first boosters only."""
         data = self._assemble(df)
         n = len(self.targets)
         for t in self.targets:
-            if self.models.get(t):
-                data = self._predict_one(data, t).withColumnRenamed(f"_pred_{t}", f"pred_{t}")
+            if self.models.get(t) and stages != 0:
+                data = self._predict_one(data, t, stages, f"pred_{t}")
             else:
                 data = data.withColumn(f"pred_{t}", F.lit(1.0 / n))
         return data.drop("features")
+
+    def stage_errors(self, train: DataFrame, period: str, periods: Sequence, keys: Sequence[str]) -> DataFrame:
+        """M-10: for each period's rows and target, the value and the predictions before and after that period's booster."""
+        out = None
+        for k, p in enumerate(periods):
+            part = self._assemble(train.filter(F.col(period) == p))
+            for t in self.targets:
+                both = self._predict_one(self._predict_one(part, t, k, "pred_before"), t, k + 1, "pred_after")
+                rows = both.select(*keys, F.lit(k + 1).alias("stage"), F.lit(t).alias("target"), F.col(t).cast("double").alias("actual"),
+                                   "pred_before", "pred_after")
+                out = rows if out is None else out.unionByName(rows)
+        return out

@@ -65,14 +65,19 @@ def doc_bow(docs: DataFrame, doc: str, text: str, pattern: str | None = T.HANGUL
             lower: bool = False, min_len: int = 2) -> DataFrame:
     """T-4 / T-5 + T-9 keyed by a *unique* document id: ``(doc, term, n)``.
 
-    Documents are hash-partitioned by id before they are tokenised. The count
-    per (doc, term) then needs no second exchange (a partitioning on ``doc``
-    already clusters every (doc, term) group), so the one shuffle moves raw
-    text, a few bytes per token, instead of (doc, term, n) rows; and the
-    tokenising runs in as many tasks as there are shuffle partitions, however
-    the input files are split. Ids are unique, so no key is hot. For keys that
-    repeat (topics, channels) use ``doc_tokens`` + ``bow``."""
-    return bow(doc_tokens(docs.repartition(F.col(doc)), doc, text, pattern, lower, min_len), doc)
+    A document's counts need nothing but the document: its tokens are sorted inside the row and the lengths of the runs are the
+    counts. No exchange, so neither texts nor counts are moved. For keys that repeat (topics, channels) use ``doc_tokens`` + ``bow``."""
+    t = F.lower(F.col(text)) if lower else F.col(text)
+    toks = T.regex_tokens(t, pattern) if pattern else T.ws_tokens(t, min_len)
+
+    def runs(s):
+        first = F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: (i == 1) | (F.element_at(s, i) != F.try_element_at(s, F.greatest(i - 1, F.lit(1)))))
+        return T.let(first, lambda at: F.transform(at, lambda i, k: F.struct(
+            F.element_at(s, i).alias("term"),
+            (F.coalesce(F.try_element_at(at, k + 2), F.size(s) + 1) - i).cast("long").alias("n"))))
+
+    counts = T.let(F.array_sort(toks), lambda s: F.when(F.size(s) > 0, runs(s)))
+    return docs.select(doc, F.explode(counts).alias("_r")).select(doc, "_r.term", "_r.n")
 
 
 def term_stats(bow_df: DataFrame, doc: str = "doc_id") -> DataFrame:

@@ -17,8 +17,8 @@ from murmur.operators import sentiment as SE
 from murmur.operators import topics as TP
 from murmur.plans.catalog import register
 from murmur.plans.oracle import ORACLE, comments_cte, q, r6
-from murmur.plans.q_forecast import CANDS, _training_table
-from murmur.plans.q_topics import TEST_ISSUE_AXIS, TEST_PERSON_AXIS, classify_sql
+from murmur.plans.q_forecast import CANDS, _targets
+from murmur.plans.q_topics import CTFIDF_SQL, TEST_ISSUE_AXIS, TEST_PERSON_AXIS, classify_sql, ta_cte
 from murmur.functions import text as T
 from murmur.session import ensure_checkpoint_dir
 from murmur.sources import fixtures as FX
@@ -137,44 +137,72 @@ def _forecaster(spark, sf_dir):
     return _memo("forecast", spark, sf_dir, lambda: _fit_forecaster(spark, sf_dir))
 
 
+GROUP_SEP = "#"
+
+
+def _grouped_table(spark, sf_dir):
+    """Features at the grain (period, channel), each row with its period's ordinal: the chain behind the period features, keyed
+    by both. Written once, as the boosters read it many times."""
+    cl = FX.clustered(spark, sf_dir).withColumn("time_label", F.concat_ws(GROUP_SEP, "time_label", "channel"))
+    ep = FC.entity_period(FX.sentiment_summary(spark, sf_dir, cl), CANDS, FX.cluster_vectors(spark, sf_dir, FX.EMBEDDING_DIM, cl), FX.EMBEDDING_DIM)
+    feats = FC.features(ep, CANDS, FX.EMBEDDING_DIM)
+    feats = feats.withColumn("label", F.split_part("time_label", F.lit(GROUP_SEP), F.lit(1))).withColumn(
+        "channel", F.split_part("time_label", F.lit(GROUP_SEP), F.lit(2))).drop("time_label")
+    ensure_checkpoint_dir(spark)
+    feats = feats.checkpoint(eager=True)
+    per = FC.period_ordinals(feats, "label").withColumnRenamed("ordinal", "time_label")
+    return feats.join(F.broadcast(per), "label")
+
+
 def _fit_forecaster(spark, sf_dir):
-    train = _training_table(spark, sf_dir)
+    feats = _grouped_table(spark, sf_dir)
+    # targets as shares: the three measures have very different sizes
+    tg = FC.row_percent(_targets(spark, sf_dir), CANDS).select("time_label", *[F.col(c).alias(f"target_{c}") for c in CANDS])
+    train = FC.features_x_target(feats, tg).checkpoint(eager=True)
     targets = [f"target_{c}" for c in CANDS]
-    feats = [c for c in train.columns if c not in targets and c not in ("time_label", "label")]
-    model = FC.SequentialForecaster(targets, feats)
+    names = [c for c in train.columns if c not in targets and c not in ("time_label", "label", "channel")]
+    model = FC.SequentialForecaster(targets, names)
     periods = [r[0] for r in train.select("time_label").distinct().orderBy("time_label").collect()]
     for p in periods:
         model.fit_period(train.filter(F.col("time_label") == p))
-    return model, train, periods
+    return model, train, periods, feats
 
 
 @register("fit_per_target")
 def q_fit_per_target(spark, sf_dir):
-    """M-9: one booster per target column; in-sample predictions."""
-    model, train, _ = _forecaster(spark, sf_dir)
+    """M-9: one booster per target column, a row for each (period, channel); in-sample predictions."""
+    model, train, _, _ = _forecaster(spark, sf_dir)
     pred = model.predict(train)
-    return pred.select("time_label", *[F.col(f"pred_target_{c}").alias(f"pred_{c}") for c in CANDS],
+    return pred.select("time_label", "channel", *[F.col(f"pred_target_{c}").alias(f"pred_{c}") for c in CANDS],
                        *[f"target_{c}" for c in CANDS])
 
 
 @register("fit_sequential")
 def q_fit_sequential(spark, sf_dir):
-    """M-10: boosters continued period after period (residual stacking)."""
-    model, _, periods = _forecaster(spark, sf_dir)
-    rows = [(t, len(model.models.get(t, []))) for t in model.targets]
-    return spark.createDataFrame(rows, "target string, n_stages int").withColumn("n_periods", F.lit(len(periods)))
+    """M-10: boosters continued period after period (residual stacking): predictions before and after each."""
+    model, train, periods, _ = _forecaster(spark, sf_dir)
+    return model.stage_errors(train, "time_label", periods, ["time_label", "channel"])
 
 
-@register("predict_targets")
-def q_predict_targets(spark, sf_dir):
-    """M-11: predictions for every feature period, as row percentages."""
-    from murmur.plans.q_forecast import _ep
-    model, _, _ = _forecaster(spark, sf_dir)
-    ep = _ep(spark, sf_dir)
-    feats = FC.features(ep, CANDS, FX.EMBEDDING_DIM)
+def _predicted(spark, sf_dir):
+    model, _, _, feats = _forecaster(spark, sf_dir)
     pred = model.predict(feats)
     cols = [f"pred_target_{c}" for c in CANDS]
-    return FC.row_percent(pred.select("time_label", *cols), cols)
+    means = pred.groupBy("time_label").agg(*[F.avg(c).alias(c) for c in cols])
+    return FC.row_percent(means, cols)
+
+
+@register("predict_targets")
+def q_predict_targets(spark, sf_dir):
+    """M-11: predictions for every feature period (means over its channels), as row percentages."""
+    return _predicted(spark, sf_dir)
+
+
+@register("mae_forecast")
+def q_mae_forecast(spark, sf_dir):
+    """E-6 on M-11: absolute error per (period, target) of the fitted model's predictions."""
+    pred = _predicted(spark, sf_dir).select("time_label", *[F.col(f"pred_target_{c}").alias(c) for c in CANDS])
+    return EV.mae_percent(FC.row_percent(_targets(spark, sf_dir), CANDS), pred, ["time_label"], CANDS)
 
 
 # ---------------------------------------------------------------------------
@@ -330,3 +358,51 @@ pp AS (SELECT b.doc_id, b.term, any_value(b.n) AS n, sum(t.theta * be.beta) AS p
        GROUP BY b.doc_id, b.term)
 SELECT {r6(f'exp(-sum(n * ln(p + {EV.EPS_PERPLEXITY})) / (SELECT sum(n) FROM gbow WHERE doc_id IN (SELECT doc_id FROM theta)))', 'perplexity')}
 FROM pp"""
+
+
+# ---------------------------------------------------------------------------
+# The whole chain
+# ---------------------------------------------------------------------------
+@register("opinion_chain")
+def q_opinion_chain(spark, sf_dir):
+    """Comments -> bot filter -> topics -> clusters -> trained sentiment -> summaries -> entity features, each stage fed by the one before."""
+    from murmur import pipeline as PL
+    return PL.entity_features(FX.comments(spark, sf_dir), FX.train_text(spark, sf_dir), CANDS, pattern=LETTER, lower=True)
+
+
+def _coherence_sql() -> str:
+    """C_v by its definition: the words present in every window start, counted by topic and set of words."""
+    w = EV.CV_WINDOW
+    return f"""{ta_cte()},
+{CTFIDF_SQL},
+cw AS (SELECT topic_id, term, rk - 1 AS bit
+       FROM (SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY weight DESC, term) AS rk FROM ctf) WHERE rk <= 10),
+ctok AS (SELECT comment_id, unnest(t) AS term, unnest(range(len(t))) AS pos
+         FROM (SELECT comment_id, regexp_extract_all(lower(comment_text), {q(LETTER)}, 1) AS t FROM topic_assignments)),
+cwin AS (SELECT comment_id, greatest(1, max(pos) + 1 - {w} + 1) AS nwin FROM ctok GROUP BY comment_id),
+cpres AS (SELECT DISTINCT topic_id, comment_id, bit, unnest(range(greatest(0, pos - {w} + 1), least(pos, nwin - 1) + 1)) AS start
+          FROM ctok JOIN cw USING (term) JOIN cwin USING (comment_id)),
+cmask AS (SELECT topic_id, mask, count(*) AS cnt
+          FROM (SELECT topic_id, comment_id, start, bit_or(CAST(1 AS BIGINT) << bit) AS mask FROM cpres GROUP BY ALL) GROUP BY ALL),
+cn AS (SELECT CAST(sum(nwin) AS DOUBLE) AS n FROM cwin),
+c1 AS (SELECT w.topic_id, w.bit, coalesce(sum(m.cnt), 0) AS c
+       FROM cw w LEFT JOIN cmask m ON m.topic_id = w.topic_id AND (m.mask >> w.bit) & 1 = 1 GROUP BY ALL),
+c2 AS (SELECT a.topic_id, a.bit AS i, b.bit AS j, coalesce(sum(m.cnt), 0) AS c
+       FROM cw a JOIN cw b USING (topic_id)
+       LEFT JOIN cmask m ON m.topic_id = a.topic_id AND (m.mask >> a.bit) & 1 = 1 AND (m.mask >> b.bit) & 1 = 1 GROUP BY ALL),
+cnp AS (SELECT g.topic_id, i, j, CASE WHEN i = j THEN 1.0 ELSE
+               coalesce(ln((g.c / n + {EV.EPS_NPMI}) / ((a.c / n) * (b.c / n))) / -ln(g.c / n + {EV.EPS_NPMI}), 0.0) END AS v
+        FROM c2 g JOIN c1 a ON a.topic_id = g.topic_id AND a.bit = i JOIN c1 b ON b.topic_id = g.topic_id AND b.bit = j, cn),
+csum AS (SELECT topic_id, j, sum(v) AS s FROM cnp GROUP BY ALL),
+ccos AS (SELECT topic_id, i, sum(v * s) / (sqrt(sum(v * v)) * sqrt(sum(s * s))) AS c FROM cnp JOIN csum USING (topic_id, j) GROUP BY ALL),
+coh AS (SELECT topic_id, avg(c) AS coherence FROM ccos GROUP BY topic_id)"""
+
+
+ORACLE["coherence_cv"] = (f"WITH {_coherence_sql()}\nSELECT CAST(topic_id AS BIGINT) AS topic_id, {r6('coherence', 'coherence')} FROM coh")
+ORACLE["model_report"] = f"""WITH {_coherence_sql()},
+dw AS (SELECT term FROM (SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY weight DESC, term) AS rk FROM ctf)
+       WHERE rk <= {TP.DIVERSITY_TOP_K})
+SELECT {r6('(SELECT avg(coherence) FROM coh)', 'coherence')},
+       {r6('(SELECT count(DISTINCT term) / count(*) FROM dw)', 'topic_diversity')},
+       {r6('(SELECT exp(-avg(ln(topic_prob))) FROM topic_assignments WHERE topic_prob > 0)', 'perplexity')},
+       (SELECT count(DISTINCT topic_id) FROM topic_assignments WHERE topic_id <> -1) AS n_topics"""

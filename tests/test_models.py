@@ -137,5 +137,18 @@ def test_forecaster_unfitted_uniform(spark):
     m = FC.SequentialForecaster(["y", "z"], ["f1", "f2"], n_estimators=3).fit_period(train)
     m.fit_period(train)
     assert len(m.models["y"]) == 2 and "z" not in m.models
+    assert m.predict(train, stages=0).first().pred_y == 0.5
     p = m.predict(train).first()
     assert p.pred_z == 0.5 and p.pred_y == pytest.approx(10.0, abs=1.0)
+
+
+def test_training_error_falls_with_each_period(spark):
+    rows = [(p, float(i), float(i * i % 7), 3.0 * i + 10 * p) for p in (1, 2, 3) for i in range(12)]
+    train = spark.createDataFrame(rows, "time_label int, f1 double, f2 double, y double")
+    m = FC.SequentialForecaster(["y"], ["f1", "f2"], n_estimators=4, learning_rate=0.5)
+    for p in (1, 2, 3):
+        m.fit_period(train.filter(F.col("time_label") == p))
+    out = m.stage_errors(train, "time_label", [1, 2, 3], ["time_label"])
+    got = out.groupBy("stage").agg(F.avg(F.abs(F.col("actual") - F.col("pred_before"))).alias("a"),
+                                   F.avg(F.abs(F.col("actual") - F.col("pred_after"))).alias("b")).collect()
+    assert len(got) == 3 and all(r.b < r.a for r in got)
