@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmur.functions import text as T
-from murmur.session import shuffle_partitions
+from murmur.session import ensure_checkpoint_dir, shuffle_partitions
 
 AUTHOR = "comment_author_id"
 PUBLISHED = "comment_published"
@@ -145,7 +145,8 @@ def raw_author_stats(comments: DataFrame, variant: str = "news", slices: int | N
     avg_ai_prob.
 
     A comment's numbers (length, repetition, AI-likeness) are taken before the first
-    exchange, and its text goes no further. One lineage: the sliced, windowed rows are summarised per (author, slice), on
+    exchange, and its text goes no further. They are written to the checkpoint folder, as the range partitioner reads its input twice,
+    to sample and to deal out. One lineage: the sliced, windowed rows are summarised per (author, slice), on
     the exchange that the window made, then per author; the
     gaps across slice borders come from the ordered per-slice (min, max) list,
     which has at most one entry per slice. Variances use exact integer moments
@@ -155,7 +156,8 @@ def raw_author_stats(comments: DataFrame, variant: str = "news", slices: int | N
     single_var = VARIANTS[variant][0]
     numbers = comments.select(AUTHOR, "ts", ID, T.text_length(TEXT).cast("long").alias("_ln"), T.repetition_ratio(TEXT).alias("_rp"),
                               T.ai_likeness(TEXT, single_var).alias("_al"))
-    rows = consecutive_gaps(numbers, AUTHOR, "ts", ID, slices)
+    ensure_checkpoint_dir(comments.sparkSession)
+    rows = consecutive_gaps(numbers.checkpoint(eager=True), AUTHOR, "ts", ID, slices)
     g, ln = F.col("_gap_us").cast(DEC), F.col("_ln").cast(DEC)
     per_slice = (rows.groupBy(AUTHOR, "_slice").agg(
         F.count("*").alias("_n"),

@@ -112,7 +112,7 @@ def docs_tokens_sql(lower: bool = False) -> str:
 # Text functions on documents
 # ---------------------------------------------------------------------------
 def _docs(spark, sf_dir):
-    return FX.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return FX.spread(FX.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @register("hangul_tokens")

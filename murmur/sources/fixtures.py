@@ -26,6 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small table out to all cores if it is read in fewer partitions than there are cores (a file of one row group can't be
+    split). A table of many files or row groups is left as it is read: its texts are not moved."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def day_label(ts) -> F.Column:
     """Period label of a one-day bucket in the ``MMDD_MMDD`` format."""
     d = F.date_format(ts, "MMdd")
@@ -41,6 +48,7 @@ def comments(spark: SparkSession, sf_dir: str, overlay: bool = True) -> DataFram
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
     stride = max(1, ev.count() // max(1, docs.count()))
+    docs = spread(docs)
     base = docs.join(ev, docs.doc_id * stride == ev.event_id).select(
         F.col("doc_id").alias("comment_id"),
         F.col("user_id").alias("comment_author_id"),
