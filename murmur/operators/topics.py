@@ -394,13 +394,17 @@ def guided_topics(docs: DataFrame, vbow: DataFrame, doc: str = "doc_id",
     return topics, beta, theta
 
 
+TIE_DIGITS = 10
+
+
 def guided_assign(docs: DataFrame, theta: DataFrame, beta: DataFrame, doc: str = "doc_id", k: int = 10, method: str = "etm") -> DataFrame:
     """M-6 in the topic-assignment contract: every document with its topic (the largest θ, the smallest id among equals), its
-    probability and the topic's k most probable words. ``docs``: doc, time_label, comment_text."""
+    probability and the topic's k most probable words. Values that agree to ten digits are ties (sums of floating-point numbers differ in the
+    last digits with their order). ``docs``: doc, time_label, comment_text."""
     entries = F.map_entries("theta")
-    best = F.array_max(F.transform(entries, lambda x: F.struct(x["value"].alias("p"), (-x["key"]).alias("k"))))
+    best = F.array_max(F.transform(entries, lambda x: F.struct(F.round(x["value"], TIE_DIGITS).alias("p"), (-x["key"]).alias("k"))))
     own = theta.select(doc, best.alias("b")).select(doc, (-F.col("b.k")).alias("topic_id"), F.col("b.p").alias("topic_prob"))
-    words = beta.select("term", F.explode("beta").alias("topic_id", "weight"))
+    words = beta.select("term", F.explode("beta").alias("topic_id", "weight")).withColumn("weight", F.round("weight", TIE_DIGITS))
     kw = keyword_map(top_words(words, k))
     return in_contract(keyword_lookup(docs.join(own, doc), kw), doc, method)
 

@@ -344,11 +344,11 @@ ORACLE["softmax"] = f"WITH {_guided_sql()}\nSELECT CAST(topic_id AS BIGINT) AS t
 ORACLE["guided_topics"] = (f"WITH {_guided_sql()}\nSELECT doc_id, CAST(topic_id AS BIGINT) AS topic_id, "
                            f"{r6('theta', 'theta')} FROM theta")
 ORACLE["guided_assign"] = f"""WITH {_guided_sql()}, {comments_cte(False, 'plain')},
-kw AS (SELECT topic_id, string_agg(term, ', ' ORDER BY beta DESC, term) AS topic_keywords
-       FROM (SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY beta DESC, term) AS rk FROM beta) WHERE rk <= {TP.TOP_K_KEYWORDS}
+kw AS (SELECT topic_id, string_agg(term, ', ' ORDER BY rk) AS topic_keywords
+       FROM (SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY round(beta, {TP.TIE_DIGITS}) DESC, term) AS rk FROM beta) WHERE rk <= {TP.TOP_K_KEYWORDS}
        GROUP BY topic_id),
 own AS (SELECT doc_id, topic_id, theta FROM theta
-        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY theta DESC, topic_id) = 1)
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(theta, {TP.TIE_DIGITS}) DESC, topic_id) = 1)
 SELECT p.comment_id, p.time_label, p.comment_text, CAST(o.topic_id AS BIGINT) AS topic_id, {r6('o.theta', 'topic_prob')},
        kw.topic_keywords, 'etm' AS topic_method
 FROM plain p JOIN own o ON o.doc_id = p.comment_id JOIN kw USING (topic_id)"""
