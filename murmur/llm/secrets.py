@@ -1,8 +1,8 @@
 """Secrets in texts: base patterns, and weak candidates that are reported only where complementary parts co-occur.
 
 Base spans: assignments of at least 8 characters, access identifiers of at least 16, hexadecimal runs of at least 32. Weak
-candidates alone mean little: a lone 32 to 64 character run of mixed letters and digits, the name of a user or client, an
-endpoint. They are parts of one credential if they stand within ``reach`` code points of each other (the scope) without
+candidates alone mean little: a run of 32 characters or more of mixed letters and digits with its base64 padding, alone or
+behind "=" or ":" (key=value), the name of a user or client, an endpoint. They are parts of one credential if they stand within ``reach`` code points of each other (the scope) without
 overlapping. A weak secret is reported if an identifier or an endpoint is in its scope, a weak identifier if a secret is (base or weak),
 an endpoint if both an identifier and a secret are. Candidates that overlap a base span are not reported anew.
 
@@ -24,7 +24,7 @@ from murmur.llm.spans import apart, listing, matches, of_kind
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"
-WEAK_SECRET = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{32,64}(?![A-Za-z0-9+/=_-])"
+WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{32,}+={0,2}+(?![A-Za-z0-9+/=_-])"
 WEAK_ID = r"""(?i)(?<![A-Za-z])(?:user|username|login|client_?id|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,64}"""
 ENDPOINT = (r"(?:https?|ftp|jdbc:[a-z]{1,20}|postgres|mysql|mongodb|redis|amqp)://[^\x20\x09-\x0D\"'<>]+"
             r"|(?<![A-Za-z0-9.-])[a-z0-9-]{1,63}\.[a-z0-9-]{1,63}\.(?:com|net|org|io|internal|local)(?::[0-9]{1,5})?(?![A-Za-z0-9.-])")
