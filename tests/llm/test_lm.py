@@ -82,6 +82,19 @@ def test_scores_are_the_definition(make, head, keys):
     assert sum(got.values()) == len(ROWS)
 
 
+@pytest.mark.parametrize("named", [0, 12, 40])
+def test_every_token_is_a_class_however_few_have_numbers(make, named):
+    # with one class for all but a few tokens, the same words in another order would score the same
+    rows = ROWS + [(3000 + i, f"q{i} r{i} s{i} q{i}") for i in range(60)] + [(4000 + i, f"q{i} r{i} s{i} q{i}") for i in range(60)]
+    got = Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in lm.lm_scores(
+        make(rows, 3), F.expr("doc_id % 5 != 1"), F.expr("doc_id % 5 != 0"), named=named).collect())
+    key = lambda c: sorted(c.elements(), key=lambda x: (x[0] is None, x))
+    want = Counter(plain_scores(rows, len(rows) * 100))
+    assert sum(got.values()) == len(rows)
+    for a, b in zip(key(got), key(want)):
+        assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], abs=2e-5)
+
+
 def test_probabilities_sum_to_one():
     hist = [(b, 3 * b, 20 + b, 500.0 + b) for b in range(1, 12)] + [(2, -1, 30, 900.0), (0, -1, 9, 50.0)]
     w = lm.estimate(hist, 1000)
