@@ -77,6 +77,16 @@ def measure(text: str | None) -> tuple[int, ...]:
             share(rep, n), share(dup, len(lines)), min(255, mean), max(0, 255 - mean) if n else 0, share(digits, word_chars))
 
 
+_MEASURES = T.StructType([T.StructField(x, T.LongType()) for x in BASE] + [T.StructField(x, T.IntegerType()) for x in RULES])
+
+
+def _measure_all(texts: pa.Array) -> pa.StructArray:
+    kind = [pa.field(x, pa.int64()) for x in BASE] + [pa.field(x, pa.int32()) for x in RULES]
+    got = [measure(x.as_py()) for x in texts]
+    cols = [pa.array(c, f.type) for c, f in zip(zip(*got), kind)] if got else [pa.array([], f.type) for f in kind]
+    return pa.StructArray.from_arrays(cols, fields=kind)
+
+
 def base_failed(n_words: Column, n_repeat: Column) -> Column:
     return (n_words < 50) | (100 * n_repeat > 50 * n_words)
 
@@ -85,21 +95,26 @@ def measured(docs: DataFrame, keep: list[str], text_col: str = "text") -> tuple[
     """``keep`` columns of ``docs`` and one struct column (its name is returned) of the base counts and rule values."""
     name = free_name(docs.select(*keep), "m")
     docs = docs.select(*keep, F.col(text_col).cast("string").alias(free_name(docs, "text_")))
-    inner = T.StructType([T.StructField(x, T.LongType()) for x in BASE] + [T.StructField(x, T.IntegerType()) for x in RULES])
-    schema = T.StructType([*docs.schema.fields[:-1], T.StructField(name, inner)])
-    kind = pa.struct([(x, pa.int64()) for x in BASE] + [(x, pa.int32()) for x in RULES])
+    schema = T.StructType([*docs.schema.fields[:-1], T.StructField(name, _MEASURES)])
     names = docs.columns[:-1] + [name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [measure(x.as_py()) for x in b.column(b.num_columns - 1)]
-            cols = [pa.array(c, kind.field(i).type) for i, c in enumerate(zip(*got))] if got else \
-                [pa.array([], f.type) for f in kind]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.StructArray.from_arrays(cols, fields=list(kind))], names)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], _measure_all(b.column(b.num_columns - 1))], names)
 
     return docs.mapInArrow(run, schema), name
 
 
+def measure_udf():
+    """The measures of a text column as one struct column."""
+
+    @F.arrow_udf(_MEASURES)
+    def each(text: pa.Array) -> pa.Array:
+        return _measure_all(text)
+
+    return each
+
+
 def log_binomial_cdf(k: int, n: int, p: float) -> float:
     """Natural logarithm of P(X <= k) for X binomial (n, p), summed exactly, largest terms first."""
     if k >= n:
@@ -173,11 +188,11 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum: str = "lang",
               **risk) -> DataFrame:
     """The documents that the rules keep, with all their columns. Texts are measured a second time to judge them where
-    they are, so that they are not shuffled to be joined to their verdicts."""
+    they are, so that they are not shuffled to be joined to their verdicts; only the text goes to Python, the row waits in the JVM."""
     rows, m = measured(docs, [id_col, stratum], text_col)
     cuts = cutoffs(rows, m, labels, stratum, id_col, **risk)
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{stratum}`").cast("string").alias("stratum_"),
-                         F.col(f"`{text_col}`").alias("text_in"))
-    again, m = measured(packed, ["row", "stratum_"], "text_in")
-    kept = judged(again, m, cuts, "stratum_").where("_kept")
-    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    names, row, own, again = docs.columns, "_row", "_own_stratum", "_measures"
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias(row), F.col(f"`{stratum}`").cast("string").alias(own),
+                         measure_udf()(F.col(f"`{text_col}`").cast("string")).alias(again))
+    kept = judged(packed, again, cuts, own).where("_kept")
+    return kept.select(*[F.col(row)[c].alias(c) for c in names])

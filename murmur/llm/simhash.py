@@ -22,11 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from murmur.llm.common import cut_lineage, free_name
+from murmur.llm.common import cut_lineage
 from murmur.llm.components import connected_components
 from murmur.llm.groups import map_sorted_groups, merge_labels
 
@@ -57,16 +56,17 @@ def fingerprint(text: str | None, width: int) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text", carry: Column | None = None) -> DataFrame:
+    """(doc_id, fp): fp is the fingerprint as a signed long; with ``carry`` also a long column ``carried`` of the same row."""
+    carry = F.lit(0) if carry is None else carry
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), carry.cast("long").alias("carried"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(x.as_py(), width) for x in b.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), b.column(2)], ["doc_id", "fp", "carried"])
 
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return ids.mapInArrow(run, "doc_id long, fp long")
+    return ids.mapInArrow(run, "doc_id long, fp long, carried long")
 
 
 def slice_bounds(parts: int) -> list[tuple[int, int]]:
@@ -145,29 +145,22 @@ def simhash_classes(sig: DataFrame, max_bits: int, tile: int = TILE, parts: int
 def simhash_groups(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text",
                    tile: int = TILE, parts: int = PARTS) -> DataFrame:
     """(doc_id, fp long, component_id): every row with its fingerprint and the smallest id that its links reach."""
-    sig = cut_lineage(fingerprints(docs, width, id_col, text_col))
+    sig = cut_lineage(fingerprints(docs, width, id_col, text_col).drop("carried"))
     classes = simhash_classes(sig, max_bits, tile, parts)
     return sig.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay: of each group the one with the smallest id, with all its columns. Where rows repeat that
-    id, one of them stays; of a group without any id, one row."""
-    sig = cut_lineage(fingerprints(docs, width, id_col, text_col))
-    classes = cut_lineage(simhash_classes(sig, max_bits))
-    fp, theirs, root, low = (free_name(docs, x) for x in ("fp", "their_fp", "root", "low"))
-    stay = classes.where("component_id is not null").select(F.col("component_id").alias(low)).distinct()
-    key = docs[id_col].cast("long")
-    named = docs.where(key.isNotNull()).join(stay, key == stay[low], "left_semi").dropDuplicates([id_col])
-    # rows without an id: their fingerprints once more, in place
-    nameless = docs.where(key.isNull())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = np.array([fingerprint(x.as_py(), width) for x in b.column(b.schema.get_field_index(text_col))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got.view(np.int64))], [*b.schema.names, fp])
-
-    nameless = nameless.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())]))
-    alone = classes.where("component_id is null").select(F.col("fp").alias(theirs), F.col("root").alias(root))
-    nameless = nameless.join(alone, F.col(fp) == F.col(theirs)).dropDuplicates([root]).select(*[F.col(f"`{c}`") for c in docs.columns])
-    return named.unionByName(nameless)
+    """The documents that stay, with all their columns: one row of each group. The row is the one with the smallest id (rows
+    without an id come last); rows that share this id but not the text are told apart by fingerprint and a hash of the text."""
+    key, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")
+    sig = cut_lineage(fingerprints(docs.select(key.alias("doc_id"), text.alias("text")), width, carry=F.xxhash64("text")))
+    classes = simhash_classes(sig.select("doc_id", "fp"), max_bits)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", F.col("carried").alias("h"))).alias("first")
+    stay = sig.join(classes.select("fp", "root"), "fp").groupBy("root").agg(first).select("first.*")
+    # what names a row: its id, if it has one, and its text's hash
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("_row"), key.isNull().alias("_none"), F.coalesce(key, F.lit(0)).alias("_id"), F.xxhash64(text).alias("_h"))
+    stay = stay.select(F.col("none").alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("h").alias("_h"))
+    kept = rows.join(stay, ["_none", "_id", "_h"], "left_semi").dropDuplicates(["_none", "_id", "_h"])
+    return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])

@@ -90,6 +90,13 @@ def test_keep_one(make, odd):
     assert [t for i, t in rows if i is None] == ["no id at all"]
 
 
+def test_keep_one_tells_rows_of_one_id_apart(make):
+    """An id that repeats with other texts: each group keeps one document, a copy goes whatever its id."""
+    a, b, c = "the first text is about a lake", "quite other words stand here now", "nothing of this is found above it"
+    rows = [(r.doc_id, r.text) for r in simhash.keep_one(make([(3, a), (5, a), (5, b), (7, c), (7, c), (None, b), (None, c + " x y z w")])).collect()]
+    assert Counter(rows) == Counter([(3, a), (5, b), (7, c), (None, c + " x y z w")])
+
+
 def test_empty_table(make):
     assert simhash.simhash_groups(make([]).limit(0)).collect() == []
     assert simhash.keep_one(make([]).limit(0)).collect() == []
