@@ -31,10 +31,10 @@ END_ID = 1
 _PLAIN = r"^([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)$"
 
 
-def word_encoder(path: str, cache_size: int = 1_000_000) -> Callable[[list[str]], list[bytes]]:
+def word_encoder(path: str, cache_size: int = 300_000) -> Callable[[list[str]], list[bytes]]:
     """Encoder of whole texts by the tokenizer file at ``path``: little-endian unsigned 32-bit ids, without
     special tokens. Texts are cut at spaces and line feeds, which the tokenizer drops, so ids of
-    the cuts can be remembered; the memory of them is bounded."""
+    the cuts can be remembered: those of the last ``cache_size`` new ones, and of the ones before that which come again."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tk = Tokenizer.from_file(path)
@@ -44,6 +44,7 @@ def word_encoder(path: str, cache_size: int = 1_000_000) -> Callable[[list[str]]
     if suffix:
         ends[[i for t, i in tk.get_vocab().items() if t.endswith(suffix)]] = True
     known: dict[str, bytes] = {"": b""}
+    older: dict[str, bytes] = {}
     plain = re.compile(_PLAIN, re.MULTILINE)
 
     def whole(words: list[str]) -> None:
@@ -74,10 +75,15 @@ def word_encoder(path: str, cache_size: int = 1_000_000) -> Callable[[list[str]]
 
     def encode(texts: list[str]) -> list[bytes]:
         if len(known) > cache_size:
+            older.clear()
+            older.update(known)
             known.clear()
             known[""] = b""
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         new = set().union(*cut).difference(known)
+        again = older.keys() & new
+        known.update(zip(again, map(older.__getitem__, again)))
+        new -= again
         if new:
             learn(new)
         return [b"".join(map(known.__getitem__, c)) for c in cut]

@@ -106,13 +106,14 @@ def measured(docs: DataFrame, keep: list[str], text_col: str = "text") -> tuple[
 
 
 def measure_udf():
-    """The measures of a text column as one struct column."""
+    """The measures of a text column as one struct column. Marked as not deterministic, so that the planner doesn't put a
+    second call in the filter that reads them."""
 
     @F.arrow_udf(_MEASURES)
     def each(text: pa.Array) -> pa.Array:
         return _measure_all(text)
 
-    return each
+    return each.asNondeterministic()
 
 
 def log_binomial_cdf(k: int, n: int, p: float) -> float:
