@@ -3,11 +3,14 @@ PF-10, PF-12, S-1) with their SQL oracles."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from murmur.functions import text as T
 from murmur.plans.catalog import register
 from murmur.plans.oracle import ORACLE, TS_SQL, comments_cte, q
+from murmur.session import ensure_checkpoint_dir
 from murmur.sources import crawl as CR
 from murmur.sources import files as FI
 from murmur.sources import fixtures as FX
@@ -22,11 +25,18 @@ def strip_sql(x: str) -> str:
 # ---------------------------------------------------------------------------
 # IO-1 scan_comments: documents as comment files, one file per source
 # ---------------------------------------------------------------------------
+FILES = 4  # of a source
+
+
 @register("scan_comments")
 def q_scan_comments(spark, sf_dir):
-    """IO-1: per file drop null, drop exact duplicates, strip, drop blank."""
-    d = FX.table(spark, sf_dir, "documents").select(F.col("source").alias("file_path"), "text")
-    return FI.clean_texts(d, "text", "file_path")
+    """IO-1: the documents as CSV files in the checkpoint folder, some for each source (a text's copies in one of them), read back; per file drop
+    null, drop exact duplicates, strip, drop blank."""
+    folder = f"{ensure_checkpoint_dir(spark)}/comments-{uuid.uuid4().hex}"
+    d = FX.table(spark, sf_dir, "documents").select("source", F.col("text").alias("comment_text"), F.pmod(F.xxhash64("text"), F.lit(FILES)).alias("part"))
+    FI.write_table(d.repartition("source", "part"), folder, "csv", partition_by=["source", "part"])
+    read = FI.scan_comments(spark, [f"{folder}/*/*/*.csv"])
+    return read.select(F.regexp_extract("file_path", "/source=([^/]*)/", 1).alias("file_path"), "text")
 
 
 ORACLE["scan_comments"] = f"""

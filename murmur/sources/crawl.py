@@ -4,8 +4,8 @@ The reference's crawlers made these decisions inside nested loops while
 fetching. Here the fetched results are tables and each rule is a declarative
 operator: generators for request grids, windows with a row limit for caps
 (Spark inserts a partial per-group limit before the shuffle, so a hot group
-never moves more than ``cap`` rows per map task), and gaps-and-islands
-running sums for the empty-page cutoff.
+never moves more than ``cap`` rows per map task), and a scan in slices for
+the empty-page cutoff.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from murmur.session import ensure_checkpoint_dir, shuffle_partitions
+
 # Search paging grid and stop rule.
 PAGE_START = 1
 PAGE_END = 2000          # exclusive
@@ -119,22 +121,43 @@ def empty_run_cutoff(pages: DataFrame, group: Sequence[str] = ("day", "keyword")
     """W-7: pages of a (day, keyword) are read in order until ``max_empty``
     consecutive empty pages; returns the non-empty pages read before that.
 
-    Gaps-and-islands: a running count of non-empty pages names each run of
-    empties; the run's row number reaching ``max_empty`` marks the stop page.
+    The pages are range-partitioned, so that a (day, keyword) with very many of them lies in many slices. Each slice counts its runs of
+    empty pages and reports how it begins and ends; over the slices of a group, in order, the reports are combined (a slice that is empty
+    throughout passes the run on), which gives every slice the run that it starts in. The first page at which a run reaches ``max_empty``
+    is then a minimum over slices. No task holds more than a slice of a group.
     """
+    ensure_checkpoint_dir(pages.sparkSession)
     g = list(group)
-    w = Window.partitionBy(*g).orderBy(page)
-    empty = (F.coalesce(F.col(n_links), F.lit(0)) == 0)
-    marked = (pages.withColumn("_empty", empty.cast("int"))
-              .withColumn("_island", F.sum(1 - F.col("_empty")).over(
-                  w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-              .withColumn("_run", F.sum("_empty").over(
-                  Window.partitionBy(*g, "_island").orderBy(page)
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    stop = F.min(F.when(F.col("_run") >= max_empty, F.col(page))).over(Window.partitionBy(*g))
-    return (marked.withColumn("_stop", stop)
+    slices = max(1, shuffle_partitions(pages.sparkSession))
+    empty = (F.coalesce(F.col(n_links), F.lit(0)) == 0).cast("int")
+    rows = (pages.withColumn("_empty", empty).repartitionByRange(slices, *g, page)
+            .withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True))
+    inside = Window.partitionBy("_slice", *g).orderBy(page).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_n", F.count(F.lit(1)).over(inside)).withColumn("_full", F.sum(1 - F.col("_empty")).over(inside))
+    rows = rows.withColumn("_run", F.col("_n") - F.coalesce(F.max(F.when(F.col("_empty") == 0, F.col("_n"))).over(inside), F.lit(0)))
+    # one row a slice and group: its pages, whether all are empty, the run at its end
+    ends = rows.groupBy("_slice", *g).agg(F.max("_n").alias("_all"), (F.max("_full") == 0).alias("_through"), F.max_by("_run", "_n").alias("_last"))
+    order = Window.partitionBy(*g).orderBy("_slice")
+    ends = ends.withColumn("_block", F.sum(F.when(F.col("_through"), 0).otherwise(1)).over(order))
+    ends = ends.withColumn("_after", F.sum(F.when(F.col("_through"), F.col("_all")).otherwise(F.col("_last"))).over(Window.partitionBy(*g, "_block").orderBy("_slice")))
+    ends = ends.withColumn("_before", F.coalesce(F.lag("_after").over(order), F.lit(0))).select("_slice", *g, "_before")
+    rows = _same_slice(rows, ends, g)
+    run = F.col("_run") + F.when(F.col("_full") == 0, F.col("_before")).otherwise(0)
+    firsts = rows.groupBy("_slice", *g).agg(F.min(F.when((F.col("_empty") == 1) & (run >= max_empty), F.col(page))).alias("_first"))
+    stops = firsts.withColumn("_stop", F.min("_first").over(Window.partitionBy(*g))).select("_slice", *g, "_stop")
+    return (_same_slice(rows, stops, g)
             .filter((F.col("_empty") == 0) & (F.col("_stop").isNull() | (F.col(page) < F.col("_stop"))))
-            .drop("_empty", "_island", "_run", "_stop"))
+            .drop("_empty", "_slice", "_n", "_full", "_run", "_before", "_stop"))
+
+
+def _same_slice(rows: DataFrame, of_slices: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``rows`` with the columns of their slice and group; null keys are a group."""
+    keys = ["_slice", *group]
+    other = of_slices.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], *[c for c in of_slices.columns if c not in keys])
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & rows[k].eqNullSafe(other[f"_key{i}"])
+    return rows.join(other, on).drop(*[f"_key{i}" for i in range(len(keys))])
 
 
 def category_filter(videos: DataFrame, category: str = POLITICS_CATEGORY,

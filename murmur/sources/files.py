@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Tp
 
@@ -128,23 +128,45 @@ def stable_id(df: DataFrame, order_cols: Sequence[str], out: str = "comment_id")
 # Sinks
 # ---------------------------------------------------------------------------
 def write_assignments(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """IO-6: one output directory per (topic_method, time_label)."""
-    (df.write.mode("overwrite").partitionBy("topic_method", "time_label").format(fmt)
-     .option("header", True).save(path))
+    """IO-6: one output directory per (topic_method, time_label). Only the directories that ``df`` has rows for are replaced, so
+    results of several methods and periods stay side by side and a repeated run changes nothing."""
+    _sink(df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("topic_method", "time_label"), fmt).save(path)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """IO-7: overwriting sink (parquet by default, CSV with header on request)."""
-    w = df.write.mode(mode).format(fmt)
+def _sink(writer: DataFrameWriter, fmt: str) -> DataFrameWriter:
+    """CSV with a header, doubled quotes and blanks kept, so that texts with quotes and line feeds come back as they were."""
+    writer = writer.format(fmt)
     if fmt == "csv":
-        w = w.option("header", True).option("escape", '"')
-    w.save(path)
+        writer = writer.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    return writer
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
+    """IO-7: overwriting sink (parquet by default, CSV with header on request)."""
+    _sink(df.write.mode(mode).partitionBy(*partition_by), fmt).save(path)
 
 
 ARTICLE_SINK_COLUMNS = [("keyword", "Keyword"), ("title", "Title"), ("date", "Date"), ("url", "URL")]
+RUN = "run"
 
 
-def append_articles(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """IO-8: append articles with the sink's column names and order."""
+def append_articles(df: DataFrame, path: str, fmt: str = "parquet", run: str | None = None) -> None:
+    """IO-8: append articles with the sink's column names and order.
+
+    With ``run``, the articles go to a directory of that run, which a repetition of the run replaces: an append that failed midway
+    or is sent twice doubles nothing, and other runs are not read or touched (``read_articles`` reads them all). Without it, every
+    call adds its rows. A path holds either sort."""
     out = df.select(*[F.col(src).alias(dst) for src, dst in ARTICLE_SINK_COLUMNS])
-    write_table(out, path, fmt, mode="append")
+    if run is None:
+        return write_table(out, path, fmt, mode="append")
+    _sink(out.withColumn(RUN, F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN), fmt).save(path)
+
+
+def read_articles(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """All runs' articles, in the sink's columns."""
+    names = [dst for _, dst in ARTICLE_SINK_COLUMNS]
+    schema = Tp.StructType([Tp.StructField(n, Tp.StringType()) for n in [*names, RUN]])
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.schema(schema).option("header", True).option("escape", '"').option("multiLine", True)
+    return reader.load(path).select(*names)
