@@ -325,10 +325,16 @@ def cluster_assign(clustered: DataFrame, doc: str = "comment_id", text: str = "c
                    lower: bool = False, k: int = TOP_K_KEYWORDS, method: str = "bertopic") -> DataFrame:
     """M-5 in the topic-assignment contract: every document with its cluster, the cluster's entry of its distribution (its maximum for the
     outlier topic) and the cluster's k words of highest class TF-IDF."""
-    counts = bow(doc_tokens(clustered, "topic_id", text, pattern, lower), "topic_id")
+    return named_topics(clustered.withColumn("topic_prob", T.topic_probability(F.col("topic_id"), F.col("topic_dist"))),
+                        doc, text, pattern, lower, k, method)
+
+
+def named_topics(assigned: DataFrame, doc: str = "comment_id", text: str = "comment_text", pattern: str = T.HANGUL_TOKEN,
+                 lower: bool = False, k: int = TOP_K_KEYWORDS, method: str = "bertopic") -> DataFrame:
+    """Documents with topic_id and topic_prob in the topic-assignment contract, with each topic's k words of highest class TF-IDF."""
+    counts = bow(doc_tokens(assigned, "topic_id", text, pattern, lower), "topic_id")
     kw = keyword_map(top_words(class_tfidf(counts, "topic_id"), k))
-    out = clustered.withColumn("topic_prob", T.topic_probability(F.col("topic_id"), F.col("topic_dist")))
-    return in_contract(keyword_lookup(out, kw), doc, method)
+    return in_contract(keyword_lookup(assigned, kw), doc, method)
 
 
 # ---------------------------------------------------------------------------
