@@ -161,3 +161,4 @@ from murmur.plans import q_topics  # noqa: E402,F401
 from murmur.plans import q_forecast  # noqa: E402,F401
 from murmur.plans import q_models  # noqa: E402,F401
 from murmur.plans import q_payloads  # noqa: E402,F401
+from murmur.plans import q_learned  # noqa: E402,F401

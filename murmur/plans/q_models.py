@@ -154,15 +154,22 @@ def _grouped_table(spark, sf_dir):
     return feats.join(F.broadcast(per), "label")
 
 
+def _training(spark, sf_dir):
+    """(rows with features and targets, targets, feature names, periods in order, features alone), written once."""
+    def make():
+        feats = _grouped_table(spark, sf_dir)
+        # targets as shares: the three measures have very different sizes
+        tg = FC.row_percent(_targets(spark, sf_dir), CANDS).select("time_label", *[F.col(c).alias(f"target_{c}") for c in CANDS])
+        train = FC.features_x_target(feats, tg).checkpoint(eager=True)
+        targets = [f"target_{c}" for c in CANDS]
+        names = [c for c in train.columns if c not in targets and c not in ("time_label", "label", "channel")]
+        return train, targets, names, [r[0] for r in train.select("time_label").distinct().orderBy("time_label").collect()], feats
+    return _memo("training", spark, sf_dir, make)
+
+
 def _fit_forecaster(spark, sf_dir):
-    feats = _grouped_table(spark, sf_dir)
-    # targets as shares: the three measures have very different sizes
-    tg = FC.row_percent(_targets(spark, sf_dir), CANDS).select("time_label", *[F.col(c).alias(f"target_{c}") for c in CANDS])
-    train = FC.features_x_target(feats, tg).checkpoint(eager=True)
-    targets = [f"target_{c}" for c in CANDS]
-    names = [c for c in train.columns if c not in targets and c not in ("time_label", "label", "channel")]
+    train, targets, names, periods, feats = _training(spark, sf_dir)
     model = FC.SequentialForecaster(targets, names)
-    periods = [r[0] for r in train.select("time_label").distinct().orderBy("time_label").collect()]
     for p in periods:
         model.fit_period(train.filter(F.col("time_label") == p))
     return model, train, periods, feats
@@ -215,29 +222,31 @@ def _assignments(spark, sf_dir):
     return ta.select("comment_id", "topic_id", "topic_prob", "comment_text").checkpoint(eager=True)
 
 
-def _coherence(ta):
-    toks = TP.doc_tokens(ta, "comment_id", "comment_text", LETTER, lower=True, keep_pos=True)
-    return EV.coherence_cv(toks, _top(ta), 10, doc="comment_id")
-
-
 def _top(ta):
     counts = TP.bow(TP.doc_tokens(ta, "topic_id", "comment_text", LETTER, lower=True), "topic_id")
     return TP.top_words(TP.class_tfidf(counts, "topic_id"), TP.DIVERSITY_TOP_K).checkpoint(eager=True)
 
 
+def _coherence(ta, top):
+    toks = TP.doc_tokens(ta, "comment_id", "comment_text", LETTER, lower=True, keep_pos=True)
+    return EV.coherence_cv(toks, top, 10, doc="comment_id")
+
+
 @register("coherence_cv")
 def q_coherence_cv(spark, sf_dir):
     """E-2: C_v coherence per topic (boolean window 110, NPMI, indirect cosine)."""
-    return _coherence(_assignments(spark, sf_dir))
+    ta = _assignments(spark, sf_dir)
+    return _coherence(ta, _top(ta))
 
 
 @register("model_report")
 def q_model_report(spark, sf_dir):
     """E-7: one row of model metrics."""
     ta = _assignments(spark, sf_dir)
+    top = _top(ta)
     return EV.model_report(
-        coherence=_coherence(ta).agg(F.avg("coherence")),
-        topic_diversity=EV.topic_diversity(_top(ta)),
+        coherence=_coherence(ta, top).agg(F.avg("coherence")),
+        topic_diversity=EV.topic_diversity(top),
         perplexity=EV.perplexity_prob(ta),
         n_topics=ta.filter(F.col("topic_id") != TP.OUTLIER).agg(F.countDistinct("topic_id")))
 
