@@ -6,6 +6,7 @@ runs inside whole-stage codegen; no Python executes per row.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -131,11 +132,55 @@ def keyword_count(text, keyword: str) -> Column:
     return ((F.length(t) - F.length(F.replace(t, F.lit(k), F.lit("")))) / F.lit(len(k))).cast("long")
 
 
+def _borders(word: str) -> bool:
+    """Can two occurrences of the word overlap?"""
+    return any(word.startswith(word[-n:]) for n in range(1, len(word)))
+
+
+def keyword_hits(text, keywords: Sequence[str]) -> Column:
+    """T-6 for long lists: the sum of ``keyword_count`` over all ``keywords``, without a pass over the text for each.
+
+    The text's characters are taken apart once. For each length that keywords have, the pieces of this length at all positions are looked up in the
+    set of these keywords (a hash set; overlapping hits of different keywords all count). Keywords that can overlap
+    themselves count without overlaps: their few hits are gone through in order. A keyword that is listed twice counts twice."""
+    by: dict[tuple[int, int], list[str]] = {}
+    for k, n in Counter(k.lower() for k in keywords if k).items():
+        by.setdefault((len(k), n), []).append(k)
+
+    def count(chars: Column) -> Column:
+        total = F.lit(0).cast("long")
+        for (size, times), words in sorted(by.items()):
+            starts = F.when(F.size(chars) >= size, F.sequence(F.lit(1), F.size(chars) - (size - 1))).otherwise(F.array().cast("array<int>"))
+            piece = lambda i, size=size: F.array_join(F.slice(chars, i, size), "")
+            free, own = [w for w in words if not _borders(w)], [w for w in words if _borders(w)]
+            if free:
+                total = total + times * F.size(F.filter(starts, lambda i: piece(i).isin(free)))
+            if own:
+                hits = F.filter(F.transform(starts, lambda i: F.struct(i.alias("i"), piece(i).alias("w"))), lambda x: x["w"].isin(own))
+                zero = F.struct(F.lit(1).alias("next"), F.lit(0).alias("n"))
+
+                def apart(found: Column, word: Column, size=size, zero=zero) -> Column:
+                    step = lambda acc, x: F.when((x["w"] == word) & (x["i"] >= acc["next"]), F.struct((x["i"] + size).alias("next"), (acc["n"] + 1).alias("n"))).otherwise(acc)
+                    return F.aggregate(found, zero, step)["n"]
+
+                total = total + times * let(hits, lambda h: F.aggregate(F.array_distinct(F.transform(h, lambda x: x["w"])), F.lit(0), lambda acc, w: acc + apart(h, w)))
+        return total.cast("long")
+
+    return let(F.split(F.lower(F.coalesce(_c(text), F.lit(""))), ""), lambda c: count(F.filter(c, lambda x: x != "")))
+
+
+#: Keywords of all labels together from which on they are looked up in sets.
+MANY_KEYWORDS = 64
+
+
 def keyword_classify(text, axes: dict[str, Sequence[str]], default: str) -> Column:
     """T-8: score each label by the summed hits of its keywords and return the
     first label (declared order) with the maximum score; all-zero -> default."""
     labels = list(axes)
-    scores = [sum((keyword_count(text, k) for k in axes[lbl]), F.lit(0)) for lbl in labels]
+    if sum(map(len, axes.values())) > MANY_KEYWORDS:
+        scores = [keyword_hits(text, axes[lbl]) for lbl in labels]
+    else:
+        scores = [sum((keyword_count(text, k) for k in axes[lbl]), F.lit(0)) for lbl in labels]
     best = F.greatest(*scores) if len(scores) > 1 else scores[0]
     expr = F.lit(default)
     for lbl, sc in reversed(list(zip(labels, scores))):

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from murmur.functions import text as T
 from murmur.functions import vectors as V
+from murmur.operators.neighbours import written
 from murmur.schemas import TOPIC_ASSIGNMENT_COLUMNS
 from murmur.session import ensure_checkpoint_dir
 
@@ -27,6 +28,7 @@ GUIDED_WEIGHTS = (0.6, 0.4)
 TOP_K_KEYWORDS = 5
 DIVERSITY_TOP_K = 25
 OUTLIER = -1
+MAX_BROADCAST_TERMS = 100_000
 # Reference keyword axes of the guided model (person, issue), in declared order.
 PERSON_AXIS = {
     "yoon": ["윤석열", "윤", "대통령", "현정부", "정부", "여당", "국민의힘"],
@@ -125,8 +127,9 @@ def class_tfidf(class_bow: DataFrame, cls: str = "topic_id") -> DataFrame:
 
     ``tf`` is the L1-normalised count of term t in class c, ``f(t)`` its total
     count over all classes and ``A`` the integer part of the mean number of
-    words per class.
+    words per class. The counts are written once and read for all three.
     """
+    class_bow = written(class_bow.select(cls, "term", "n"), "class-counts")
     totals = class_bow.groupBy(cls).agg(F.sum("n").alias("_cn"))
     avg_words = totals.select(F.floor(F.avg("_cn"))).scalar()
     ft = class_bow.groupBy("term").agg(F.sum("n").alias("_ft"))
@@ -385,7 +388,8 @@ def guided_topics(docs: DataFrame, vbow: DataFrame, doc: str = "doc_id",
             .agg(F.map_from_entries(F.collect_list(F.struct("topic_id", "beta"))).alias("beta")).checkpoint(eager=True))
     ids = range(1, len(persons) * len(issues) + 1)
     # one row a (document, term): the topics' scores are columns of one aggregate, not rows
-    met = vbow.join(beta, "term")
+    # at most the vocabulary's terms; checked, as it is the caller's
+    met = vbow.join(F.broadcast(beta) if beta.count() <= MAX_BROADCAST_TERMS else beta, "term")
     score = met.groupBy(doc).agg(F.sum("n").alias("_len"), *[F.sum(F.col("n") * F.log(F.try_element_at("beta", F.lit(k)))).alias(f"_s{k}") for k in ids])
     logits = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), (F.col(f"_s{k}") / (F.col("_len") + 1e-8)).alias("s")) for k in ids]),
                       lambda x: x["s"].isNotNull())

@@ -1,5 +1,5 @@
 """The whole chain with real hand-offs: comments without automated authors -> vectors and topics -> entity clusters -> sentiment ->
-period summaries -> entity features (T-, M-, F- rows of the blueprint).
+period summaries -> entity features -> boosted targets and predicted shares (T-, M-, F-, E- rows of the blueprint).
 
 Each stage takes what the one before it made; a stage whose result is used more than once is written to the checkpoint folder."""
 
@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from murmur.functions import text as T
-from murmur.operators import bots, clustering, embed, forecast, sentiment, topics
+from murmur.operators import boosting, bots, clustering, embed, forecast, sentiment, topics
+from murmur.operators.neighbours import written
 from murmur.session import ensure_checkpoint_dir
 
 
@@ -53,3 +54,27 @@ def entity_features(comments: DataFrame, labelled: DataFrame, candidates: Sequen
     vectors = cluster_name_vectors(summary, dim, reduced).checkpoint(eager=True)
     width = vectors.select(F.max(F.size("vector"))).first()[0] or reduced
     return forecast.entity_period(summary, candidates, vectors, width)
+
+
+def forecast_shares(entities: DataFrame, targets: DataFrame, candidates: Sequence[str], period: str = "time_label", **how) -> DataFrame:
+    """F-3 .. F-6, J-1, M-9 .. M-11, E-6 behind ``entity_features``: one row a (period, candidate) with the predicted share (percent of all
+    candidates), the target's share where the period has one, and the absolute error.
+
+    ``targets``: time_label (the period's ordinal) and a column a candidate. Periods that have a target are learned from, in order, each
+    one's trees added to those before; all periods are predicted."""
+    names = list(candidates)
+    width = entities.select(F.max(F.size("embedding"))).first()[0] or 0
+    feats = forecast.features(entities, names, width, period).withColumnRenamed(period, "label")
+    feats = written(feats.join(F.broadcast(forecast.period_ordinals(feats, "label")), "label").withColumnRenamed("ordinal", "time_label"), "features")
+    actual = forecast.row_percent(targets, names).select("time_label", *names)
+    wanted = [f"target_{c}" for c in names]
+    train = written(forecast.features_x_target(feats, actual.select("time_label", *[F.col(c).alias(t) for c, t in zip(names, wanted)])), "train")
+    model = boosting.BoostModel(wanted, [c for c in feats.columns if c not in ("label", "time_label")])
+    for r in train.select("time_label").distinct().orderBy("time_label").collect():  # one row a period
+        model = boosting.boost(train.where(F.col("time_label") == r.time_label), ["time_label"], model, **how)
+    pred = boosting.predict(feats, model).select("time_label", "label", *[F.col(f"pred_{t}").alias(c) for c, t in zip(names, wanted)])
+    pred = forecast.row_percent(pred, names)
+    long = pred.unpivot(["time_label", "label"], names, "candidate", "predicted")
+    known = actual.unpivot(["time_label"], names, "candidate", "actual")
+    out = long.join(known, ["time_label", "candidate"], "left")
+    return out.select(F.col("label").alias("period"), "candidate", "predicted", "actual", F.abs(F.col("predicted") - F.col("actual")).alias("abs_error"))

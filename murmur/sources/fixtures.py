@@ -215,8 +215,9 @@ def cluster_vectors(spark: SparkSession, sf_dir: str, dim: int = EMBEDDING_DIM,
 
 
 def entity_period(spark: SparkSession, sf_dir: str, dim: int = EMBEDDING_DIM) -> DataFrame:
-    """Both branches (summary, cluster vectors) read one ``clustered`` plan, so
-    its exchanges are reused rather than recomputed."""
+    """Both branches (summary, cluster vectors) read the clustered comments, written once: of a text, only whether there is one."""
     from murmur.operators.forecast import entity_period as ep
-    cl = clustered(spark, sf_dir)
+    from murmur.operators.neighbours import written
+    there = F.when(F.col("comment_text").isNotNull(), F.lit("")).alias("comment_text")
+    cl = written(clustered(spark, sf_dir).select("comment_id", "time_label", there, "final_cluster", "candidate", "embedding"), "clustered")
     return ep(sentiment_summary(spark, sf_dir, cl), candidate_names(), cluster_vectors(spark, sf_dir, dim, cl), dim)

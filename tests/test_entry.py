@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
 # rows-only checks that fit models; exercised by the driver and bench, too slow to repeat here
-SLOW = {"fit_per_target", "fit_sequential", "predict_targets", "mae_forecast", "boost_targets", "boost_sequential"}
+SLOW = {"fit_per_target", "fit_sequential", "predict_targets", "mae_forecast", "boost_targets", "boost_sequential", "opinion_forecast"}
 # the training-data queries are tested in their own folder
 OWN = {n for n in E.queries() if re.match(r"op[0-9]+_|pipeline$", n)}
 

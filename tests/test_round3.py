@@ -136,3 +136,24 @@ def test_append_of_a_run_is_repeatable(spark, tmp_path):
         back = FI.read_articles(spark, path, fmt)
         assert back.columns == ["Keyword", "Title", "Date", "URL"]
         assert Counter((r.Keyword, r.Title) for r in back.collect()) == Counter({("a", 't, "a"\nx'): 2, ("b", 't, "b"\nx'): 1})
+
+
+def test_long_keyword_lists(spark):
+    """5,000 keywords in one expression, equal to one count after another."""
+    from murmur.functions import text as T
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdeé", k=rng.randint(2, 6))) for _ in range(5000)] + ["aa", "aba", "ABA", "A.b", "x y", "한국", "ana"]
+    texts = ["".join(rng.choices("abcdeéABC xy.한국", k=rng.randint(0, 120))) for _ in range(25)] + [None, "", "aaaaa", "ababa aba", "banana ana", "a"]
+    plain = [sum((t or "").lower().count(w.lower()) for w in words) for t in texts]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.n for r in df.select("i", T.keyword_hits("t", words).alias("n")).collect()}
+    assert [got[i] for i in range(len(texts))] == plain and max(plain) > 100
+    few = words[:40] + words[-7:]
+    one = {r.i: r.n for r in df.select("i", sum((T.keyword_count("t", w) for w in few), F.lit(0)).alias("n")).collect()}
+    many = {r.i: r.n for r in df.select("i", T.keyword_hits("t", few).alias("n")).collect()}
+    assert one == many
+    axes = {"first": words[:2500], "second": words[2500:]}
+    label = {r.i: r.c for r in df.select("i", T.keyword_classify(F.col("t"), axes, "none").alias("c")).collect()}
+    for i, t in enumerate(texts):
+        s = [sum((t or "").lower().count(w.lower()) for w in ws) for ws in axes.values()]
+        assert label[i] == ("none" if max(s) == 0 else "first" if s[0] >= s[1] else "second")
