@@ -1,14 +1,15 @@
 """Source divergence audit: how far the term shares of a language's sources lie apart.
 
 Terms are runs of letters A-Z (lower-cased) and of characters beyond ASCII. A language keeps the terms found in at least
-``min_docs`` of its documents. They are found by iceberg prefix refinement: for the first 4 bytes of the terms (closed by a zero
-byte), then 8, 16 and so on, documents are counted by distinct prefix. A prefix under the threshold is discarded with all
+``min_docs`` of its documents. They are found by iceberg prefix refinement: for the first 12 bytes of the terms (closed by a zero
+byte), then 24, 48 and so on, documents are counted by distinct prefix. A prefix under the threshold is discarded with all
 terms that begin with it, as none of them can be in more documents than it is; a prefix that ends in the closing byte is a complete
 term, and kept. The next level counts only what extends the prefixes that are left, until none is. Levels grow with the
 logarithm of the longest kept term.
 
-Each document's distinct terms and their counts are written once; every level is one pass over that table. A task counts
-prefixes in a dictionary of bounded size, which is emptied into a shuffle by prefix. The prefixes left over reach the next level's
+Each document's distinct terms and their counts are written once, ranged by language and source (and a hash, so that a hot source lies in
+many ranges); every level is one pass over that table. A task counts one language's prefixes at a time in a dictionary of bounded size,
+which is emptied into a shuffle by prefix. The prefixes left over reach the next level's
 tasks as a bit array of fixed size (``bits``): it lets all of them through and, by chance, a few others, which are counted and
 discarded then; so the result doesn't depend on its size.
 
@@ -22,8 +23,9 @@ rows; columns other than text, lang and source are not read."""
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -37,9 +39,9 @@ from murmur.llm.common import written
 
 MIN_DOCS = 30
 TOP = 50
-FIRST_LEVEL = 4
+FIRST_LEVEL = 12
 #: What a task holds before it passes it on: counted prefixes or terms, and remembered terms.
-HELD = 400_000
+HELD = 300_000
 #: Terms and sources of a tile.
 TILE_TERMS, TILE_SOURCES = 1024, 128
 _SEPARATORS = [*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
@@ -51,12 +53,24 @@ def terms_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
-def _hash(lang: str, prefix: bytes) -> int:
-    return xxhash.xxh64_intdigest(prefix, xxhash.xxh32_intdigest(lang.encode("utf-8", "surrogatepass")))
+def _seed(lang: str) -> int:
+    """Prefixes are hashed with a seed that stands for their language."""
+    return xxhash.xxh32_intdigest(lang.encode("utf-8", "surrogatepass"))
+
+
+def hashed(found: DataFrame) -> DataFrame:
+    """(lang, prefix, n) with h, the prefix's hash in its language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = np.array([xxhash.xxh64_intdigest(p, _seed(g)) for g, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist())], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(h.view(np.int64))], ["lang", "prefix", "n", "h"])
+
+    return found.select("lang", "prefix", "n").mapInArrow(run, "lang string, prefix binary, n long, h long")
 
 
 def term_bags(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """(lang, source, terms, counts) of every row: its distinct terms, separated by spaces, and how often each occurs."""
+    """(lang, source, h, terms, counts) of every row: its distinct terms, separated by spaces, how often each occurs, and a hash of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -66,47 +80,57 @@ def term_bags(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", s
                                              ["lang", "source", "terms", "counts"])
 
     text = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))]
-    return docs.select(*text).mapInArrow(run, "lang string, source string, terms binary, counts array<int>")
+    found = docs.select(*text).mapInArrow(run, "lang string, source string, terms binary, counts array<int>")
+    return found.select("lang", "source", F.xxhash64("terms").alias("h"), "terms", "counts")
+
+
+def arranged(bags: DataFrame) -> DataFrame:
+    """The bags with each language's and source's rows side by side."""
+    return bags.repartitionByRange("lang", "source", "h").sortWithinPartitions("lang", "source")
 
 
 def prefix_counts(bags: DataFrame, size: int, before: int = 0, left: np.ndarray | None = None, held: int = HELD) -> DataFrame:
-    """(lang, prefix, h, n): in how many documents a term begins with each prefix of at most ``size`` bytes, partly summed. Only terms
+    """(lang, prefix, n): in how many documents a term begins with each prefix of at most ``size`` bytes, partly summed. Only terms
     that extend a prefix of ``before`` bytes in ``left`` (a bit array of hashes) are counted."""
     shared = None if left is None else bags.sparkSession.sparkContext.broadcast(left)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if shared is None else shared.value
-        known: dict[str, dict[bytes, bytes | None]] = defaultdict(dict)
-        counts: dict[str, Counter] = defaultdict(Counter)
+        now, seed, known, counts = "", _seed(""), {}, Counter()
 
-        def prefix(lang: str, term: bytes) -> bytes | None:
-            closed = term + b"\0"
-            if before and (len(closed) <= before or not B.one_member(bits, _hash(lang, closed[:before]))):
-                return None
-            return closed[:size]
+        def learn(terms: list[bytes]) -> None:
+            for t in terms:
+                closed = t + b"\0"
+                gone = not t or before and (len(closed) <= before or not B.one_member(bits, xxhash.xxh64_intdigest(closed[:before], seed)))
+                known[t] = None if gone else closed[:size]
 
         def rows():
-            for lang, c in counts.items():
-                for part in B.chunks(c, 1):
-                    ps = [p for p, _ in part]
-                    h = np.array([_hash(lang, p) for p in ps], dtype=np.uint64).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(ps)), pa.array(ps, pa.binary()), pa.array(h), pa.array([n for _, n in part], pa.int64())],
-                                                     ["lang", "prefix", "h", "n"])
+            counts.pop(None, None)
+            for part in B.chunks(counts, 1):
+                yield pa.RecordBatch.from_arrays([pa.repeat(now, len(part)), pa.array([p for p, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())],
+                                                 ["lang", "prefix", "n"])
             counts.clear()
 
         for b in batches:
-            for lang, terms in zip(b.column(0).to_pylist(), b.column(1)):
-                terms, memo = terms.as_py().split(b" "), known[lang]
-                for t in set(terms).difference(memo):
-                    memo[t] = prefix(lang, t) if t else None
-                counts[lang].update(set(map(memo.__getitem__, terms)) - {None})
-                if len(memo) > held:
+            for lang, terms in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if lang != now:
+                    yield from rows()
                     known.clear()
-                if len(counts[lang]) > held:
+                    now, seed = lang, _seed(lang)
+                terms = terms.split(b" ")
+                try:
+                    found = set(map(known.__getitem__, terms))
+                except KeyError:
+                    learn([t for t in terms if t not in known])
+                    found = set(map(known.__getitem__, terms))
+                counts.update(found)
+                if len(known) > held:
+                    known.clear()
+                if len(counts) > held:
                     yield from rows()
         yield from rows()
 
-    return bags.select("lang", "terms").mapInArrow(run, "lang string, prefix binary, h long, n long")
+    return bags.select("lang", "terms").mapInArrow(run, "lang string, prefix binary, n long")
 
 
 def kept_terms(bags: DataFrame, min_docs: int = MIN_DOCS, first: int = FIRST_LEVEL, log_bits: int = 26) -> DataFrame:
@@ -115,7 +139,7 @@ def kept_terms(bags: DataFrame, min_docs: int = MIN_DOCS, first: int = FIRST_LEV
     kept, size, before, left = [], first, 0, None
     while True:
         counts = prefix_counts(bags, size, before, left)
-        found = written(counts.groupBy("lang", "prefix", "h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs), "prefixes")
+        found = written(hashed(counts.groupBy("lang", "prefix").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)), "prefixes")
         kept.append(found.where(complete))
         rest = found.where(~complete)
         if rest.isEmpty():
@@ -134,35 +158,35 @@ def group_counts(bags: DataFrame, kept: DataFrame, log_bits: int = 26, held: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        known: dict[str, dict[bytes, bool]] = defaultdict(dict)
-        sums: dict[tuple[str, str], dict[bytes, int]] = defaultdict(lambda: defaultdict(int))
-        size = 0
+        now, seed, known, sums = ("", ""), _seed(""), {}, {}
 
         def rows():
-            for (lang, source), c in sums.items():
-                for part in B.chunks(c, 1):
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array([source] * len(part)), pa.array([t for t, _ in part], pa.binary()),
-                                                      pa.array([n for _, n in part], pa.int64())], ["lang", "source", "term", "n"])
+            for part in B.chunks(sums, 1):
+                yield pa.RecordBatch.from_arrays([pa.repeat(now[0], len(part)), pa.repeat(now[1], len(part)), pa.array([t for t, _ in part], pa.binary()),
+                                                  pa.array([n for _, n in part], pa.int64())], ["lang", "source", "term", "n"])
             sums.clear()
 
         for b in batches:
-            for lang, source, terms, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
-                terms, memo, mine = terms.as_py().split(b" "), known[lang], sums[lang, source]
-                for t in set(terms).difference(memo):
-                    memo[t] = bool(t) and B.one_member(bits, _hash(lang, t + b"\0"))
-                size -= len(mine)
-                for t, n in zip(terms, counts.as_py()):
-                    if memo[t]:
-                        mine[t] += n
-                size += len(mine)
-                if len(memo) > held:
+            for lang, source, terms, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
+                if (lang, source) != now:
+                    yield from rows()
+                    if lang != now[0]:
+                        known.clear()
+                    now, seed = (lang, source), _seed(lang)
+                terms = terms.split(b" ")
+                kept = list(map(known.get, terms))
+                if None in kept:
+                    known.update((t, bool(t) and B.one_member(bits, xxhash.xxh64_intdigest(t + b"\0", seed))) for t, k in zip(terms, kept) if k is None)
+                    kept = map(known.get, terms)
+                for t, n in compress(zip(terms, counts.values.to_numpy().tolist()), kept):
+                    sums[t] = sums.get(t, 0) + n
+                if len(known) > held:
                     known.clear()
-                if size > held:
+                if len(sums) > held:
                     yield from rows()
-                    size = 0
         yield from rows()
 
-    found = bags.mapInArrow(run, "lang string, source string, term binary, n long")
+    found = bags.select("lang", "source", "terms", "counts").mapInArrow(run, "lang string, source string, term binary, n long")
     found = found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).withColumn("term", F.expr("decode(term, 'UTF-8')"))
     return found.join(kept.select("lang", "term"), ["lang", "term"], "left_semi")  # what passed the bits by chance goes
 
@@ -212,7 +236,7 @@ def divergence_report(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP,
                       source_col: str = "source", first: int = FIRST_LEVEL, log_bits: int = 26) -> DataFrame:
     """(lang, source, part, item, value, rank). Part ``pair``: every other source of the language, by the summed difference of the
     shares. Part ``term``: the ``top`` terms whose share in the group is most above the language's."""
-    bags = written(term_bags(docs, text_col, lang_col, source_col), "bags")
+    bags = written(arranged(written(term_bags(docs, text_col, lang_col, source_col), "bags")), "bags")
     kept = written(kept_terms(bags, min_docs, first, log_bits), "terms")
     counts = written(group_counts(bags, kept, log_bits), "counts")
     n_terms = kept.groupBy("lang").agg(F.count("*").alias("n_terms"))
