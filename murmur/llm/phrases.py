@@ -38,8 +38,9 @@ from murmur.llm.common import written
 from murmur.llm.trie import Trie
 
 MIN_COUNT, MAX_WORDS, TOP, SWALLOW = 100, 5, 2000, 100
-#: Words that a task counts or remembers before it passes them on.
-HELD = 400_000
+#: Words that a task counts or remembers before it passes them on; texts, and hashes, that it looks at together.
+HELD = 250_000
+TEXTS, HASHES = 512, 1_000_000
 #: Phrases of a trie, and tries that are broadcast together.
 BLOCK, ROUND = 65_536, 8
 _BREAK = 0xFF  # no byte of UTF-8
@@ -83,9 +84,8 @@ def word_counts(docs: DataFrame, held: int = HELD) -> DataFrame:
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
-                c = counts[lang]
-                c.update(words_of(text.as_py()))
-                if len(c) > held:
+                counts[lang].update(words_of(text.as_py()))
+                if sum(map(len, counts.values())) > held:
                     yield from rows()
         yield from rows()
         n = len(totals)
@@ -106,10 +106,9 @@ def encoded(docs: DataFrame, frequent: np.ndarray, held: int = HELD) -> DataFram
         for b in batches:
             out = []
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
+                if sum(map(len, known.values())) > held:
+                    known.clear()
                 words, memo = words_of(text.as_py()), known[lang]
-                if len(memo) > held:
-                    memo.clear()
-                    memo[_STOP] = 0
                 for w in set(words).difference(memo):
                     h = _hash(lang, w)
                     memo[w] = h if B.one_member(bits, h) else 0
@@ -141,8 +140,10 @@ def passing(x: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[np.ndarray,
             h[at] = new
 
 
-def _flat(b: pa.RecordBatch) -> np.ndarray:
-    return b.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+def _flat(b: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The words of a batch's texts, some texts at a time."""
+    for i in range(0, b.num_rows, TEXTS):
+        yield b.column(0).slice(i, TEXTS).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
 
 
 def level(texts: DataFrame, sets: list[np.ndarray]) -> DataFrame:
@@ -150,11 +151,21 @@ def level(texts: DataFrame, sets: list[np.ndarray]) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(sets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def rows():
+            h, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
         for b in batches:
-            if b.num_rows:
-                *_, (_, h) = passing(_flat(b), shared.value)
-                h, n = np.unique(h, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+            for x in _flat(b):
+                *_, (_, h) = passing(x, shared.value)
+                held.append(h)
+                if sum(map(len, held)) > HASHES:
+                    yield from rows()
+        if held:
+            yield from rows()
 
     return texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
@@ -164,10 +175,7 @@ def named(texts: DataFrame, sets: list[np.ndarray]) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(sets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x = _flat(b)
+        for x in (x for b in batches for x in _flat(b)):
             for m, (at, h) in enumerate(passing(x, shared.value), 2):
                 if m - 2 == len(shared.value):
                     break
@@ -216,11 +224,9 @@ def trie_counts(texts: DataFrame, tries: list) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = [(block, Trie.unpack(*packed)) for block, *packed in shared.value]
         sums: list = [0] * len(mine)
-        for b in batches:
-            if b.num_rows:
-                x = _flat(b)
-                for i, (_, t) in enumerate(mine):
-                    sums[i] = sums[i] + t.count(x)
+        for x in (x for b in batches for x in _flat(b)):
+            for i, (_, t) in enumerate(mine):
+                sums[i] = sums[i] + t.count(x)
         for (block, _), s in zip(mine, sums):
             no = np.flatnonzero(s)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(no), block)), pa.array(no), pa.array(np.asarray(s)[no] if len(no) else no)], ["block", "no", "n"])
