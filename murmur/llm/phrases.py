@@ -42,7 +42,7 @@ MIN_COUNT, MAX_WORDS, TOP, SWALLOW = 100, 5, 2000, 100
 HELD = 250_000
 TEXTS, HASHES = 512, 1_000_000
 #: Phrases of a trie, and tries that are broadcast together.
-BLOCK, ROUND = 65_536, 8
+BLOCK, ROUND = 65_536, 4
 _BREAK = 0xFF  # no byte of UTF-8
 _FOLD = bytes(_BREAK if b in b".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _STOP = bytes([_BREAK])

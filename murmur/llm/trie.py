@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
-#: Places tried for a node's children before they go to the end of the arrays.
-_TRIES = 4096
+#: Slots looked at together for a node's children.
+_WINDOW = 4096
 
 
 class Trie:
@@ -31,7 +32,7 @@ class Trie:
         base, check, accept = {0: 1}, {0: -2}, {}
         used[0] = True
         state = np.zeros(len(phrases), np.int64)
-        end = 1
+        end, spots = 1, {}
         for depth in range(longest):
             live = np.flatnonzero(rows[:, depth] >= 0)
             pairs, inverse = np.unique(np.stack([state[live], rows[live, depth]], 1), axis=0, return_inverse=True)
@@ -40,18 +41,27 @@ class Trie:
             low = 1
             for k in np.argsort(-n, kind="stable"):
                 s, kids = int(parents[k]), pairs[first[k]:first[k] + n[k], 1]
-                if s:
+                if not s:
+                    at_base = 1
+                elif len(kids) == 1:
                     while low < end and used[low]:
                         low += 1
-                    free = np.flatnonzero(~used[low:end])[:_TRIES] + low if len(kids) > 1 else np.array([low])
-                    b = free - kids[0]
-                    if len(kids) > 1 and len(free):
-                        places = b[:, None] + kids[None, :]
-                        room = ~(used[np.minimum(places, len(used) - 1)] & (places < end)).any(1)
-                        b = b[room]
-                    at_base = int(b[0]) if len(b) else end - int(kids[0])
-                else:
-                    at_base = 1
+                    at_base = low - int(kids[0])
+                else:  # from where the last node with as many children found room; behind the end all fit
+                    if end + int(kids[-1]) + _WINDOW > len(used):
+                        used = np.concatenate([used, np.zeros(end + int(kids[-1]) + _WINDOW, bool)])
+                    fits, spot = kids[:0], max(low, spots.get(len(kids), 0))
+                    while not len(fits):
+                        upto = min(end + 1, spot + _WINDOW)
+                        fits = np.flatnonzero(~used[spot:upto]) + spot - kids[0]
+                        for i in range(1, len(kids)):
+                            if len(fits) <= 64:
+                                fits = fits[~used[fits[:, None] + kids[None, i:]].any(1)]
+                                break
+                            fits = fits[~used[fits + kids[i]]]
+                        spots[len(kids)] = spot
+                        spot = upto
+                    at_base = int(fits[0])
                 base[s] = at_base
                 places = at_base + kids
                 top = int(places[-1]) + 1
@@ -98,8 +108,12 @@ class Trie:
         return total
 
     def pack(self) -> tuple:
-        return tuple(a.tobytes() for a in (self.words, self.labels, self.base, self.check, self.accept)) + (self.longest,)
+        """The arrays, compressed, and the longest phrase's length."""
+        raw = [a.tobytes() for a in (self.words, self.labels, self.base, self.check, self.accept)]
+        return tuple(len(x).to_bytes(8, "little") + pa.compress(x, codec="zstd", asbytes=True) for x in raw) + (self.longest,)
 
     @classmethod
-    def unpack(cls, words: bytes, labels: bytes, base: bytes, check: bytes, accept: bytes, longest: int) -> "Trie":
-        return cls(np.frombuffer(words, np.uint64), *(np.frombuffer(b, np.int32) for b in (labels, base, check, accept)), longest)
+    def unpack(cls, *packed) -> "Trie":
+        """A trie from what ``pack`` gave."""
+        raw = [pa.decompress(bytes(x[8:]), int.from_bytes(x[:8], "little"), codec="zstd", asbytes=True) for x in packed[:-1]]
+        return cls(np.frombuffer(raw[0], np.uint64), *(np.frombuffer(b, np.int32) for b in raw[1:]), packed[-1])
