@@ -2,19 +2,24 @@
 
 A rotation for balanced binary codes is learned on at most ``max_fit`` vectors (default 20,000; those with the smallest id hashes):
 the vectors are centred, turned to their principal axes and then alternately given their signs and the rotation that
-fits these best. Every vector gets a code of one bit an axis (at most 64). Codes are cut into substrings of 16 bits,
-one hash table for each. Two vectors are candidates if in some table their substrings differ in at most two bits: each
+fits these best. Every vector gets a code of one bit an axis (at most 64). Codes are cut into substrings of about equal
+width, one hash table for each. Two vectors are candidates if in some table their substrings differ in at most two bits: each
 enters, besides its own substring's bucket, those one bit away, so such two meet in a bucket. A pair is looked at in
 one bucket only, the smallest that it shares. Candidates are compared by the cosine of their original vectors in double precision.
 
-A first join, of codes alone (a semi-join), finds the buckets in which a vector has a partner that differs in at most a share ``far`` of
-the bits (0.28; vectors at a cosine of 0.9 differ in 0.14 of them on average): only there its vector is sent. A bucket is cut
+How far the codes of linked vectors lie apart depends on the data (a direction that all vectors share is lost in centring, and what is
+left differs more). So pairs at exactly the threshold are made from the sample, their differences drawn from the sample's own and at
+random, and the widest substrings (16 bits, else 12, 10 or 8) and the number of bits ``far`` are taken that find ``recall`` of the pairs (0.98) of
+both sorts. Where none does, as with few dimensions, all tiles are compared, which is exact.
+
+A first join, of codes alone (a semi-join), finds the buckets in which a vector has a partner that differs in at most ``far``
+bits: only there its vector is sent. A bucket is cut
 into tiles of about ``tile`` vectors, and each pair of tiles is a group of bounded size; a group returns how many
 links each vector has there and a spanning forest of them, never pairs. Equal vectors are one class with a size, so copies of
 a vector are never compared with each other.
 
-Defined results: null, empty and zero vectors, those with null or non-finite components and those of another length than most link
-with nothing; a null id takes part, and is the smallest of nothing (its component is the smallest other id, null if there is none);
+Defined results: null, empty and zero vectors and those with null or non-finite components link with nothing, others only with vectors of
+their length (each length is searched by itself); a null id takes part, and is the smallest of nothing (its component is the smallest other id, null if there is none);
 rows that repeat an id and vector count as vectors of their own; an empty table gives an empty one. Columns other than
 id and vector are not read."""
 
@@ -33,7 +38,9 @@ from murmur.llm.groups import map_sorted_groups, merge_labels
 
 MAX_FIT = 20_000
 TILE = 1024
-SUB = 16
+#: Widths of the substrings, in the order in which they are tried.
+WIDTHS = (16, 12, 10, 8)
+RECALL = 0.98
 
 
 def learn_rotation(x: np.ndarray, bits: int, rounds: int = 50, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
@@ -60,8 +67,8 @@ def codes_of(x: np.ndarray, mean: np.ndarray, project: np.ndarray) -> np.ndarray
     return out
 
 
-def prepared(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int]:
-    """(id, row, vec): each row with a number of its own and its vector in unit length, null if it can't link; and the vectors' length."""
+def prepared(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, list[int]]:
+    """(id, row, vec): each row with a number of its own and its vector in unit length, null if it can't link; and the vectors' lengths."""
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"),
                        F.col(vec_col).cast("array<double>").alias("vec"))
     fine = F.coalesce((F.size("vec") > 0) & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
@@ -69,9 +76,52 @@ def prepared(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame,
     v = v.withColumn("vec", F.when(F.col("high") > 0, F.transform("vec", lambda x: x / F.col("high"))))  # squares neither vanish nor overflow
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
     v = cut_lineage(v.withColumn("norm", norm).select("id", "row", F.transform("vec", lambda x: x / F.col("norm")).alias("vec")))
-    top = v.where("vec is not null").groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    dim = top["n"] if top else 0
-    return v.withColumn("vec", F.when(F.size("vec") == dim, F.col("vec"))), dim
+    return v, [r.n for r in v.where("vec is not null").select(F.size("vec").alias("n")).distinct().orderBy("n").collect()]
+
+
+def cut_into(bits: int, width: int) -> list[tuple[int, int]]:
+    """First bit and number of bits of each table: as few as ``width`` allows, of about equal width."""
+    n = max(1, -(-bits // width))
+    at = [bits * i // n for i in range(n + 1)]
+    return [(x, y - x) for x, y in zip(at, at[1:])]
+
+
+def pairs_at(x: np.ndarray, threshold: float, seed: int = 5, most: int = 5000) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of the sample, each once with a partner towards which another pair of sample vectors differ, and once with one in a
+    random direction, at exactly the threshold."""
+    rng = np.random.default_rng(seed)
+    x = x[rng.permutation(len(x))[:most]]
+    others = x[rng.integers(0, len(x), (2, len(x)))]
+    aside = np.concatenate([others[0] - others[1], rng.standard_normal(x.shape)])
+    x = np.concatenate([x, x])
+    aside -= (aside * x).sum(1, keepdims=True) * x
+    size = np.sqrt((aside * aside).sum(1, keepdims=True))
+    good = size[:, 0] > 1e-9
+    x, aside = x[good], aside[good] / size[good]
+    return x, threshold * x + np.sqrt(1 - threshold * threshold) * aside
+
+
+def choose_tables(x: np.ndarray, mean: np.ndarray, project: np.ndarray, threshold: float, recall: float = RECALL) -> tuple[list[tuple[int, int]], int, bool]:
+    """(tables, far, exact) for the codes of vectors like the sample's."""
+    bits = project.shape[1]
+    exact = [(0, 0)], bits, True
+    if len(x) < 2 or x.shape[1] < 2:
+        return exact
+    a, b = pairs_at(x, threshold)
+    apart = codes_of(a, mean, project) ^ codes_of(b, mean, project)
+    # sorted by sort of partner, so that neither hides behind the other
+    half = np.arange(len(apart)) < len(apart) // 2
+    total = np.bitwise_count(apart)
+    far = max((int(np.quantile(total[h], 1 - (1 - recall) / 2, method="higher")) for h in (half, ~half) if h.any()), default=bits)
+    for width in WIDTHS:
+        tables = cut_into(bits, width)
+        met = np.zeros(len(apart), dtype=bool)
+        for s, n in tables:
+            met |= np.bitwise_count(apart >> np.uint64(s) & np.uint64((1 << n) - 1)) <= 2
+        met &= total <= far
+        if all(met[h].mean() >= recall for h in (half, ~half) if h.any()):
+            return tables, far, False
+    return exact
 
 
 def _matrix(col: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
@@ -118,25 +168,29 @@ def _first_met(tables: list[tuple[int, int]]) -> Column:
 
 
 def vector_links(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding", max_fit: int = MAX_FIT,
-                 tile: int = TILE, far: float = 0.28) -> DataFrame:
+                 tile: int = TILE, recall: float = RECALL) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors``."""
-    spark = vectors.sparkSession
-    every, dim = prepared(vectors, id_col, vec_col)
-    alone = every.where("vec is null").select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"),
-                                              F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    if not dim:
-        return alone
+    every, lengths = prepared(vectors, id_col, vec_col)
+    out = every.where("vec is null").select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"),
+                                            F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    for dim in lengths:
+        out = out.unionByName(_links(every.where(F.size("vec") == dim), dim, threshold, max_fit, tile, recall))
+    return out
+
+
+def _links(good: DataFrame, dim: int, threshold: float, max_fit: int, tile: int, recall: float) -> DataFrame:
+    """The result for vectors of one length."""
+    spark = good.sparkSession
     # classes of equal vectors, told apart by their components and not by a hash; c is some row's number
-    good = every.where("vec is not null")
     classes = cut_lineage(good.groupBy("vec").agg(F.min("row").alias("c"), F.min("id").alias("low"), F.count("*").alias("size")))
     n = classes.count()
     sample = classes.select("vec", F.xxhash64("vec").alias("h"))
     if n > max_fit:
         sample = sample.where(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * max_fit / n))
     rows = sorted((r.h, r.vec) for r in sample.toLocalIterator())
-    mean, project = learn_rotation(np.array([v for _, v in rows]).reshape(-1, dim), min(64, dim))
-    bits = project.shape[1]
-    tables = [(s, min(SUB, bits - s)) for s in range(0, bits, SUB)]
+    fit = np.array([v for _, v in rows]).reshape(-1, dim)
+    mean, project = learn_rotation(fit, min(64, dim))
+    tables, far, exact = choose_tables(fit, mean, project, threshold, recall)
     model = spark.sparkContext.broadcast((mean, project))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,9 +215,12 @@ def vector_links(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_
     own = entered(alike.select("code"))
     other = own.select(F.col("table").alias("t2"), F.col("bucket").alias("b2"), F.col("code").alias("code2"))
     near = own.join(other, (F.col("table") == F.col("t2")) & (F.col("bucket") == F.col("b2")) & (F.col("code") != F.col("code2"))
-                    & (F.bit_count(F.col("code").bitwiseXOR(F.col("code2"))) <= round(far * bits)) & _first_met(tables), "left_semi")
+                    & (F.bit_count(F.col("code").bitwiseXOR(F.col("code2"))) <= far) & _first_met(tables), "left_semi")
     several = alike.where("k > 1").select(F.lit(0).alias("table"), _part("code", *tables[0]).cast("int").alias("bucket"), "code")
-    near = cut_lineage(near.select("table", "bucket", "code").unionByName(several).distinct())
+    if exact:  # one bucket, whose tiles are all compared
+        near = alike.select(F.lit(0).alias("table"), F.lit(0).alias("bucket"), "code")
+    else:
+        near = cut_lineage(near.select("table", "bucket", "code").unionByName(several).distinct())
     placed = near.join(coded, "code")
     tiles = placed.groupBy("table", "bucket").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("n"))
     dealt = placed.join(classes.select("c", "vec", "size"), "c")
@@ -208,4 +265,4 @@ def vector_links(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_
     member = good.join(classes.select("vec", "c"), "vec").select("id", "row", "c")
     linked = member.join(named.join(low, "root").select("c", "n_links", "component_id"), "c").select("id", "n_links", "component_id")
     kept = F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull())
-    return linked.select(F.col("id").alias("vec_id"), "n_links", "component_id", kept.alias("kept")).unionByName(alone)
+    return linked.select(F.col("id").alias("vec_id"), "n_links", "component_id", kept.alias("kept"))

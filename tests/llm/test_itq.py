@@ -84,3 +84,51 @@ def test_codes_are_balanced():
     assert (abs(bits - 0.5) < 0.1).all() and np.allclose(project.T @ project, np.eye(32), atol=1e-8)
     code = itq.codes_of(x, mean, project)
     assert np.bitwise_count(code).max() <= 32
+
+
+def with_common(rng, n, dim, common):
+    """Unit vectors with a share ``common`` of their squared norm in one direction, and a partner of each at cosines from 0.9 to 0.93, in a random direction."""
+    u = np.eye(dim)[0]
+    x = rng.normal(size=(n, dim))
+    x[:, 0] = 0
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    x = np.sqrt(common) * u + np.sqrt(1 - common) * x
+    aside = rng.normal(size=x.shape)
+    aside -= (aside * x).sum(1, keepdims=True) * x
+    aside /= np.sqrt((aside * aside).sum(1, keepdims=True))
+    cos = rng.uniform(0.9, 0.93, (n, 1))
+    return x, cos * x + np.sqrt(1 - cos * cos) * aside
+
+
+@pytest.mark.parametrize("dim", [16, 32, 64, 128])
+@pytest.mark.parametrize("common", [0.0, 0.5, 0.7, 0.8])
+def test_candidate_rule_finds_pairs_near_the_threshold(dim, common):
+    """The rule alone, on planted pairs only (no copies): at least 0.95 of them."""
+    rng = np.random.default_rng(dim)
+    x, y = with_common(rng, 1500, dim, common)
+    fit = np.concatenate([x, y])[rng.permutation(3000)]
+    mean, project = itq.learn_rotation(fit, min(64, dim))
+    tables, far, exact = itq.choose_tables(fit, mean, project, 0.9)
+    apart = itq.codes_of(x, mean, project) ^ itq.codes_of(y, mean, project)
+    met = np.zeros(len(x), bool)
+    for s, n in tables:
+        met |= np.bitwise_count(apart >> np.uint64(s) & np.uint64((1 << n) - 1)) <= 2
+    met &= np.bitwise_count(apart) <= far
+    assert met.mean() >= 0.95
+    assert sum(n for _, n in tables) == (0 if exact else project.shape[1])
+
+
+@pytest.mark.parametrize("dim,common", [(16, 0.7), (64, 0.8)])
+def test_links_with_a_common_direction(spark, dim, common):
+    x, y = with_common(np.random.default_rng(1), 150, dim, common)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))]
+    rows += [(900 + i, np.random.default_rng(i).normal(size=7).tolist()) for i in range(3)] + [(950, rows[-1][1] + [0.0])]  # other lengths
+    df = spark.createDataFrame([(i, v, "x", 1.0) for i, v in rows], "vec_id long, embedding array<double>, code string, size double").repartition(3)
+    got = {r.vec_id: r for r in itq.vector_links(df, 0.9).collect()}
+    a = np.concatenate([x, y])
+    linked = a @ a.T >= 0.9
+    np.fill_diagonal(linked, False)
+    want = linked.sum(1)
+    mine = np.array([got[i].n_links for i in range(len(a))])
+    assert (mine <= want).all() and mine.sum() >= 0.95 * want.sum() and want.sum() >= 300
+    assert all(got[i].n_links == 0 and got[i].component_id == i for i in (900, 901, 902, 950))
