@@ -36,9 +36,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def kept_by_worker(key: tuple, make: Callable[[], Any]) -> Any:
-    """What ``make`` gives, made once in a Python worker and kept for its later tasks. For memories of pure functions only, of bounded
-    size: a result never depends on what is kept."""
+    """What ``make`` gives, made once in a Python worker and kept for its later tasks, until another operator (the key's first part) works
+    there. For memories of pure functions only, of bounded size: a result never depends on what is kept."""
     kept = sys.__dict__.setdefault("_murmur_kept", {})
+    for k in [k for k in kept if k[0] != key[0]]:
+        del kept[k]
     if key not in kept:
         kept[key] = make()
     return kept[key]

@@ -26,7 +26,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import cut_lineage, free_name
+from murmur.llm.common import cut_lineage, written
 from murmur.llm.spans import JOINT, apart, digits, joined, listing, luhn, matches, octets, of_kind
 
 KINDS = ("email", "ip", "card", "phone")
@@ -188,12 +188,12 @@ def redacted(text: Column, spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with the spans of ``text_col`` replaced by their kinds in brackets. Texts are searched twice, to train and to
-    redact, so that they are not moved."""
-    scorer = train(cut_lineage(find(docs, id_col, text_col)), **how)
-    text, names = F.col(f"`{text_col}`").cast("string"), docs.columns
-    base, found, all_ = (free_name(docs, x) for x in ("pii_base", "pii_found", "pii_spans"))
-    rows = docs.withColumn(base, base_spans(F.coalesce(text, F.lit(""))))
-    rows = rows.withColumn(found, candidates(F.coalesce(text, F.lit("")), F.col(base))) if scorer.thresholds else rows.withColumn(found, F.array())
-    rows = rows.withColumn(all_, F.concat(base, scorer.more(F.col(base), F.col(found))))
-    return rows.select(*[redacted(text, F.col(all_)).alias(c) if c == text_col else F.col(f"`{c}`") for c in names])
+    """``docs`` with the spans of ``text_col`` replaced by their kinds in brackets. Texts are searched once: rows are written with what was found
+    in them, which the trees are trained on and the spans are taken from."""
+    names = docs.columns
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), text.alias("_raw"), F.coalesce(text, F.lit("")).alias("t"))
+    rows = rows.select("_row", "_raw", "t", F.xxhash64("t").alias("k"), base_spans(F.col("t")).alias("base"))
+    found = written(rows.select("_row", "_raw", "k", "base", candidates(F.col("t"), F.col("base")).alias("cands")), "pii")
+    spans = F.concat("base", train(found, **how).more(F.col("base"), F.col("cands")))
+    return found.select(*[redacted(F.col("_raw"), spans).alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in names])

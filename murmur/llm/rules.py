@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmur.llm.common import cut_lineage, free_name
+from murmur.llm.common import cut_lineage, free_name, kept_by_worker
 
 SYMBOLS = "#*$%&|<>"
 RULES = ("symbols", "capitals", "shouts", "repeats", "dup_lines", "long_words", "short_words", "digits")
@@ -81,6 +81,7 @@ _MEASURES = T.StructType([T.StructField(x, T.LongType()) for x in BASE] + [T.Str
 
 
 def _measure_all(texts: pa.Array) -> pa.StructArray:
+    kept_by_worker(("rules",), dict)  # what another operator remembered goes
     kind = [pa.field(x, pa.int64()) for x in BASE] + [pa.field(x, pa.int32()) for x in RULES]
     got = [measure(x.as_py()) for x in texts]
     cols = [pa.array(c, f.type) for c, f in zip(zip(*got), kind)] if got else [pa.array([], f.type) for f in kind]

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import cut_lineage
+from murmur.llm.common import cut_lineage, kept_by_worker
 from murmur.llm.components import connected_components
 from murmur.llm.groups import map_sorted_groups, merge_labels
 
@@ -62,6 +62,7 @@ def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col:
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), carry.cast("long").alias("carried"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by_worker(("simhash",), dict)  # what another operator remembered goes
         for b in batches:
             fp = np.array([fingerprint(x.as_py(), width) for x in b.column(1)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), b.column(2)], ["doc_id", "fp", "carried"])
