@@ -10,13 +10,14 @@ UDF); everything else is native.
 from __future__ import annotations
 
 import html as _html
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Tp
 
-from murmur.functions.text import unicode_strip
+from murmur.functions.text import let, unicode_strip
 
 # Selector fallbacks of the article page parser, in order.
 # Each entry is (tag, attribute regex or None) and matches the first element
@@ -97,9 +98,33 @@ def element_inner(html: Column, tag: str, cls: str | None = None) -> Column:
     return F.when(head != "", F.regexp_replace(inner, r"<[^>]*>", ""))
 
 
+#: Between two tokens of a class attribute, in patterns of classes.
+CLASS_GAP = r"\s(?:[^\"']*\s)?"
+
+
+def _literal(tag: str, cls: str | None) -> str | None:
+    """A lower-cased text that every page with such an element holds; null where the patterns don't tell."""
+    if cls is None:
+        return f"<{tag.lower()}" if tag.isalnum() else None
+    tokens = [a.replace(CLASS_GAP, " ").split(" ") for a in cls.split("|")]
+    if not all(re.fullmatch(r"[\w-]+", t, re.ASCII) for a in tokens for t in a):
+        return None
+    shared = set.intersection(*map(set, tokens))
+    return max(shared, key=lambda t: (len(t), t)).lower() if shared else None
+
+
 def first_present(html: Column, selectors) -> Column:
-    """Ordered fallback: the first selector that finds an element wins; its raw text."""
-    return F.coalesce(*[element_inner(html, t, c) for t, c in selectors])
+    """Ordered fallback: the first selector that finds an element wins; its raw text. A page is searched by a selector's pattern only if it
+    holds the name that the pattern asks for."""
+    def search(lowered: Column) -> Column:
+        found = []
+        for t, c in selectors:
+            name = _literal(t, c)
+            inner = element_inner(html, t, c)
+            found.append(inner if name is None else F.when(F.contains(lowered, F.lit(name)), inner))
+        return F.coalesce(*found)
+
+    return let(F.lower(html), search)
 
 
 def page_title(pages: DataFrame, title_selectors=TITLE_SELECTORS, date_selectors=DATE_SELECTORS,
