@@ -13,7 +13,7 @@ both ways: the windows around it, which are compared as a whole by the first pos
 and adjoining repeated windows of a text make up the runs that are deleted. Nothing is paired: of a hash or a content, only the first
 and the last position are kept, which are combined in each task before a shuffle. Two lines are equal if two 64-bit hashes are.
 
-Defined results: a null text stays null, an empty one empty; rows with a null id come last in the order; rows that repeat an id and a text
+Defined results: a very long text is handled whole, like any other (its lines are rows of their own); a null text stays null, an empty one empty; rows with a null id come last in the order; rows that repeat an id and a text
 are one document and all get its result; rows that repeat an id with other texts are ordered by a hash of the text; an
 empty table gives an empty one. Other columns are carried along whatever their names."""
 

@@ -25,7 +25,7 @@ buckets by their rarer token (the word, if neither is named), where they meet th
 ``named`` changes the way, never the results. With a ``head`` the terms of "rest" come from a join with the token counts. The model
 so grows with the corpus and is never held in one place.
 
-Defined results: a null text is empty (one token, the end); each row is scored, also where ids repeat
+Defined results: a very long text is handled whole, like any other (a task holds one batch of texts); a null text is empty (one token, the end); each row is scored, also where ids repeat
 or are null; an empty table gives no scores. Columns other than id and text are not read."""
 
 from __future__ import annotations

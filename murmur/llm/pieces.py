@@ -12,7 +12,7 @@ byte pieces. A word's variant is a keyed hash of the document's id and of how of
 Decoding joins the pieces' bytes and turns the mark back into a space; it gives back every text, white space and all, that holds no
 U+2581 itself.
 
-Defined results: null and empty texts have no ids; a null id is hashed as the text "null"; repeated rows get equal
+Defined results: a very long text is handled whole, like any other (a task holds one batch of texts); null and empty texts have no ids; a null id is hashed as the text "null"; repeated rows get equal
 ids; an empty table gives no rows. Columns other than id and text are not read."""
 
 from __future__ import annotations

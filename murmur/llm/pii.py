@@ -14,7 +14,7 @@ other, the one with the higher score, then the longer one, then the first stays.
 
 All of it is native: patterns, features and the fitted trees are column expressions, evaluated where the text is.
 
-Defined results: null and empty texts have no spans (and null stays null when redacted); rows with null or repeated ids are rows of
+Defined results: a very long text is handled whole, like any other (in one row); null and empty texts have no spans (and null stays null when redacted); rows with null or repeated ids are rows of
 their own; an empty table gives no rows. Other columns are carried along by ``redact``, and not read by ``pii_spans``."""
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ model has not seen.
 The model is fitted on at most ``max_rows`` labelled ids, about (default 20,000, those with the smallest hashes; all of them if
 there are fewer), one row of each. A score depends on the text alone.
 
-Defined results: null, empty and wordless texts are scored by the model's constant; labels that are null are left
+Defined results: a very long text is handled whole, like any other (a task holds one batch of texts); null, empty and wordless texts are scored by the model's constant; labels that are null are left
 out, several labels of an id count as one (the smallest); without labels of both kinds every score is the share of 1
 among the labels, one half if there are none; rows with a null id or a repeated id are scored like any other; an
 empty table gives no rows. Other columns are not read."""

@@ -11,7 +11,7 @@ which needs no further correction). Of the certified cutoffs the one with the mo
 less ``cost`` times the rejected good ones is used (shares; ties: the mildest), none if that isn't above 0.
 A stratum with too few labelled good documents certifies nothing and rejects nothing.
 
-Defined results: a null text has no words and fails the base; a null stratum is one of its own;
+Defined results: a very long text is handled whole, like any other (a task holds one batch of texts); a null text has no words and fails the base; a null stratum is one of its own;
 labels that are null are not used, several labels of an id count as one (the smallest); a document with a
 null id is judged like any other; repeated rows are judged alike; empty tables give empty results."""
 

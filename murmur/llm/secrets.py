@@ -10,7 +10,7 @@ How: all spans are found in one pass over the texts, as native expressions. Part
 joined as intervals: every part enters the cells of ``reach`` code points that it touches, a candidate looks into its own and
 the cells next to them; a cell holds a bounded number of parts, as parts don't overlap others of their kind.
 
-Defined results: null and empty texts have no spans; rows with null or repeated ids are rows of their own; an empty table
+Defined results: a very long text is handled whole, like any other (in one row); null and empty texts have no spans; rows with null or repeated ids are rows of their own; an empty table
 gives no rows. Columns other than id and text are not read."""
 
 from __future__ import annotations
