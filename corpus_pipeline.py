@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir) and gives the next one's documents; ``run
 the folder that the cluster names in ``spark.checkpoint.dir`` and reads them again. The stages that change a text set
 ``n_chars`` anew.
 
-Defined results: null and empty texts are rejected by the quality rules; an id that repeats is judged and cleaned row by row,
-and one row of it stays behind the near-duplicate stage; a null id is kept as it is; an empty table gives no pieces."""
+Defined results: null and empty texts are rejected by the quality rules; very long texts go through whole; further columns are carried along,
+also where their names are ones that an operator uses inside; an id that repeats is judged and cleaned row by row,
+and of its rows with unlinked texts all stay behind the near-duplicate stage; a null id is kept as it is; an empty table gives no pieces."""
 
 from __future__ import annotations
 
