@@ -38,9 +38,9 @@ from murmur.llm.common import written
 from murmur.llm.trie import Trie
 
 MIN_COUNT, MAX_WORDS, TOP, SWALLOW = 100, 5, 2000, 100
-#: Words that a task counts or remembers before it passes them on; texts, and hashes, that it looks at together.
-HELD = 250_000
-TEXTS, HASHES = 512, 1_000_000
+#: Words that a task counts or remembers before it passes them on; texts and words of a row, hashes that it looks at together.
+HELD = 150_000
+TEXTS, WORDS, HASHES = 512, 200_000, 1_000_000
 #: Phrases of a trie, and tries that are broadcast together.
 BLOCK, ROUND = 65_536, 4
 _BREAK = 0xFF  # no byte of UTF-8
@@ -91,36 +91,59 @@ def word_counts(docs: DataFrame, held: int = HELD) -> DataFrame:
         n = len(totals)
         yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.nulls(n, pa.binary()), pa.array([0] * n, pa.int64()),
                                           pa.array(list(totals.values()), pa.int64())], ["lang", "word", "h", "n"])
+        pa.default_memory_pool().release_unused()
 
     found = docs.mapInArrow(run, "lang string, word binary, h long, n long")
     return found.groupBy("lang", "word", "h").agg(F.sum("n").alias("n"))
 
 
+def pack_words(x: np.ndarray) -> bytes:
+    """Word hashes (uint64), compressed: frequent words repeat."""
+    raw = x.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
 def encoded(docs: DataFrame, frequent: np.ndarray, held: int = HELD) -> DataFrame:
-    """(ids array<long>) of every text with frequent words: their hashes in order; one 0 for what stands between, and at the end."""
+    """(words): the hashes of the texts' frequent words in order, one 0 for what stands between and behind each text; about
+    ``WORDS`` of them a row, packed."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         known: dict[str, dict[bytes, int]] = defaultdict(lambda: {_STOP: 0})
+
+        def code(lang: str, text: str | None) -> np.ndarray:
+            if sum(map(len, known.values())) > held:
+                known.clear()
+            words, memo = words_of(text), known[lang]
+            for w in set(words).difference(memo):
+                h = _hash(lang, w)
+                memo[w] = h if B.one_member(bits, h) else 0
+            x = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+            x = np.append(x, np.uint64(0))
+            keep = x != 0
+            keep[1:] |= x[:-1] != 0  # a 0 stays behind a word
+            return x[keep]
+
+        def row() -> pa.RecordBatch:
+            packed = pack_words(np.concatenate(texts))
+            texts.clear()
+            return pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], ["words"])
+
+        texts: list[np.ndarray] = []
+        size = 0
         for b in batches:
-            out = []
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
-                if sum(map(len, known.values())) > held:
-                    known.clear()
-                words, memo = words_of(text.as_py()), known[lang]
-                for w in set(words).difference(memo):
-                    h = _hash(lang, w)
-                    memo[w] = h if B.one_member(bits, h) else 0
-                x = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-                x = np.append(x, np.uint64(0))
-                keep = x != 0
-                keep[1:] |= x[:-1] != 0  # a 0 stays behind a word
-                out.append(x[keep].view(np.int64))
-            out = [x for x in out if len(x)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], ["ids"])
-
-    return docs.mapInArrow(run, "ids array<long>")
+                texts.append(code(lang, text.as_py()))
+                size += len(texts[-1])
+                if size > WORDS or len(texts) >= TEXTS:
+                    yield row()
+                    size = 0
+        if texts:
+            yield row()
+        pa.default_memory_pool().release_unused()
+
+    return docs.mapInArrow(run, "words binary")
 
 
 def passing(x: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -141,9 +164,10 @@ def passing(x: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[np.ndarray,
 
 
 def _flat(b: pa.RecordBatch) -> Iterator[np.ndarray]:
-    """The words of a batch's texts, some texts at a time."""
-    for i in range(0, b.num_rows, TEXTS):
-        yield b.column(0).slice(i, TEXTS).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    """The words of a batch's rows, a row at a time."""
+    for x in b.column(0):
+        packed = x.as_py()
+        yield np.frombuffer(pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True), np.uint64)
 
 
 def level(texts: DataFrame, sets: list[np.ndarray]) -> DataFrame:
@@ -166,6 +190,7 @@ def level(texts: DataFrame, sets: list[np.ndarray]) -> DataFrame:
                     yield from rows()
         if held:
             yield from rows()
+        pa.default_memory_pool().release_unused()
 
     return texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 

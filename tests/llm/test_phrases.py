@@ -64,7 +64,7 @@ def test_repeats_overlap_and_swallow(spark):
 def test_safe_phrases_hold_all_candidates(spark):
     rng = random.Random(4)
     texts = [[rng.randint(1, 6) for _ in range(30)] + [0] for _ in range(40)]
-    df = spark.createDataFrame([(t,) for t in texts], "ids array<long>").repartition(3)
+    df = spark.createDataFrame([(phrases.pack_words(np.array(t, np.uint64)),) for t in texts], "words binary").repartition(3)
     safe = {tuple(r.ids) for r in phrases.safe_phrases(df, 10, 4, 20).collect()}
     c = Counter(tuple(t[i:i + m]) for t in texts for m in (2, 3, 4) for i in range(30 - m + 1))
     assert {p for p, n in c.items() if n >= 10} <= safe
