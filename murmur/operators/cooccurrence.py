@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Tp
 
+from murmur.operators.guided import numbers
 from murmur.operators.neighbours import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -44,22 +45,23 @@ def cooccurrences(tokens: DataFrame, terms: list[str], window: int = 5) -> DataF
     an array of words)."""
     if len(terms) > MAX_TERMS:
         raise ValueError(f"more than {MAX_TERMS} terms")
-    shared = tokens.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
+    shared = tokens.sparkSession.sparkContext.broadcast(terms)
     v = len(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = shared.value
+        wanted = pa.array(shared.value, pa.string())
         for b in batches:
-            seqs = [np.fromiter((number.get(t, -1) for t in (x.as_py() or [])), np.int64) for x in b.column(0)]
-            if not seqs:
+            row, number = numbers(b.column(0), wanted)
+            if not len(row):
                 continue
-            gap = np.full(window, -1, np.int64)
-            x = np.concatenate([y for s in seqs for y in (s, gap)])  # texts don't meet
+            x = np.full(len(row) + (row[-1] + 1) * window, -1, np.int32 if v * v < 2**31 else np.int64)
+            x[np.arange(len(row)) + row * window] = number  # a gap behind each text: texts don't meet
             keys = []
             for step in range(1, window + 1):
                 p, q = x[:-step], x[step:]
                 ok = (p >= 0) & (q >= 0)
-                keys.append(np.minimum(p[ok], q[ok]) * v + np.maximum(p[ok], q[ok]))
+                p, q = p[ok], q[ok]
+                keys.append(np.minimum(p, q) * x.dtype.type(v) + np.maximum(p, q))
             key, n = np.unique(np.concatenate(keys), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array((key // v).astype(np.int32)), pa.array((key % v).astype(np.int32)), pa.array(n)], ["i", "j", "n"])
 
@@ -70,7 +72,7 @@ def ppmi(counts: DataFrame) -> DataFrame:
     """(i, j, v), both halves: the positive pointwise mutual information, log(n_ij N / (n_i n_j)), where above 0. A pair of a word
     with itself counts for both sides."""
     both = counts.select("i", "j", "n").unionByName(counts.select(F.col("j").alias("i"), F.col("i").alias("j"), "n"))
-    both = both.groupBy("i", "j").agg(F.sum("n").alias("n"))
+    both = written(both.groupBy("i", "j").agg(F.sum("n").alias("n")), "pairs")  # read for pairs and for both sides' totals
     total = both.groupBy("i").agg(F.sum("n").alias("row"))
     everything = F.broadcast(total.agg(F.sum("row").alias("all")))  # one row
     v = F.log(F.col("n") * F.col("all") / (F.col("row") * F.col("col")))
@@ -90,8 +92,9 @@ def times(matrix: DataFrame, block: np.ndarray) -> np.ndarray:
         for b in batches:
             i, j, v = (b.column(c).to_numpy(zero_copy_only=False) for c in range(3))
             for s in range(0, len(i), 20_000):
-                at = i[s:s + 20_000]
-                np.add.at(total, at, block[j[s:s + 20_000]] * v[s:s + 20_000, None])
+                order = s + np.argsort(i[s:s + 20_000], kind="stable")
+                at, first = np.unique(i[order], return_index=True)
+                total[at] += np.add.reduceat(block[j[order]] * v[order, None], first, axis=0)
                 seen[at] = True
         rows = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(rows.astype(np.int32)),
@@ -122,9 +125,9 @@ def truncated_svd(matrix: DataFrame, size: int, dim: int, power: int = 3, extra:
 
 
 def learn_vectors(docs: DataFrame, tokens: str, terms: list[str], dim: int = 64, window: int = 5, power: int = 3, seed: int = 42) -> WordVectors:
-    """Vectors of ``terms`` from the token arrays in column ``tokens``."""
-    rows = written(docs.select(F.col(tokens).alias("tokens")), "tokens")
-    matrix = written(ppmi(cooccurrences(rows, terms, window)), "ppmi")
+    """Vectors of ``terms`` from the token arrays in column ``tokens``, which are read twice."""
+    rows = docs.select(F.col(tokens).alias("tokens"))
+    matrix = written(ppmi(written(cooccurrences(rows, terms, window), "cooccurrences")), "ppmi")
     s, u = truncated_svd(matrix, len(terms), dim, power, seed=seed)
     wanted = docs.sparkSession.createDataFrame([(t, i) for i, t in enumerate(terms)], "term string, i int")
     often = rows.select(F.explode("tokens").alias("term")).join(F.broadcast(wanted), "term").groupBy("i").agg(F.count("*").alias("n")).collect()
@@ -138,18 +141,20 @@ def learn_vectors(docs: DataFrame, tokens: str, terms: list[str], dim: int = 64,
 
 def embed_tokens(docs: DataFrame, tokens: str, model: WordVectors, out: str = "embedding", a: float = SIF) -> DataFrame:
     """``docs`` with the text vector of the token arrays in column ``tokens``."""
-    shared = docs.sparkSession.sparkContext.broadcast(({t: i for i, t in enumerate(model.terms)}, model.vectors * (a / (a + model.share))[:, None]))
+    shared = docs.sparkSession.sparkContext.broadcast((model.terms, model.vectors * (a / (a + model.share))[:, None]))
     dim, names = model.vectors.shape[1], docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, weighted = shared.value
+        terms, weighted = shared.value
+        wanted = pa.array(terms, pa.string())
         for b in batches:
             found = np.zeros((b.num_rows, dim))
-            for i, x in enumerate(b.column(b.num_columns - 1)):
-                at = [number[t] for t in (x.as_py() or []) if t in number]
-                if at:
-                    v = weighted[at].sum(axis=0)
-                    found[i] = v / max(np.sqrt(v @ v), 1e-12)
+            row, number = numbers(b.column(b.num_columns - 1), wanted)
+            row, number = row[number >= 0], number[number >= 0]
+            for s in range(0, len(row), 65_536):
+                at, first = np.unique(row[s:s + 65_536], return_index=True)
+                found[at] += np.add.reduceat(weighted[number[s:s + 65_536]], first, axis=0)
+            found /= np.maximum(np.sqrt((found * found).sum(axis=1, keepdims=True)), 1e-12)
             vectors = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * dim, pa.int32()), pa.array(found.reshape(-1)))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], vectors], [*names, out])
 
