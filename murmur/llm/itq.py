@@ -12,7 +12,7 @@ left differs more). So pairs at exactly the threshold are made from the sample,
 random, and the widest substrings (16 bits, else 12, 10 or 8) and the number of bits ``far`` are taken that find ``recall`` of the pairs (0.98) of
 both sorts. Where none does, as with few dimensions, all tiles are compared, which is exact.
 
-A first join, of codes alone (a semi-join), finds the buckets in which a vector has a partner that differs in at most ``far``
+A first comparison, of codes alone and in blocks, finds the buckets in which a vector has a partner that differs in at most ``far``
 bits: only there its vector is sent. A bucket is cut
 into tiles of about ``tile`` vectors, and each pair of tiles is a group of bounded size; a group returns how many
 links each vector has there and a spanning forest of them, never pairs. Equal vectors are one class with a size, so copies of
@@ -38,6 +38,8 @@ from murmur.llm.groups import map_sorted_groups, merge_labels
 
 MAX_FIT = 20_000
 TILE = 1024
+#: Codes alone are compared in larger tiles.
+CODE_TILE = 16_384
 #: Widths of the substrings, in the order in which they are tried.
 WIDTHS = (16, 12, 10, 8)
 RECALL = 0.98
@@ -151,20 +153,41 @@ def _part(code: str, first: int, n: int) -> Column:
     return F.expr(f"shiftrightunsigned({code}, {first}) & {(1 << n) - 1}L")
 
 
-def _first_met(tables: list[tuple[int, int]]) -> Column:
-    """``_first_shared`` for columns code, code2, table and bucket."""
-    out = F.lit(False)
-    for t, (s, n) in enumerate(tables):
-        a, b = _part("code", s, n), _part("code2", s, n)
-        d = a.bitwiseXOR(b)
-        low = d.bitwiseAND(-d)
-        apart = F.bit_count(d)
-        first = F.when(apart < 2, F.least(a, b)).otherwise(F.least(a.bitwiseXOR(low), b.bitwiseXOR(low)))
-        ok = (F.col("table") == t) & (apart <= 2) & (first == F.col("bucket"))
-        for s2, n2 in tables[:t]:
-            ok = ok & (F.bit_count(_part("code", s2, n2).bitwiseXOR(_part("code2", s2, n2))) > 2)
-        out = out | ok
-    return out
+def _in_tiles(placed: DataFrame, by: str, tile: int) -> DataFrame:
+    """Rows of a bucket dealt into tiles of about ``tile`` rows by a hash of column ``by``, each with every other tile of its bucket: (ta, tb) is a group,
+    ``side`` says whether a row is of the first (0), the second (1) or the only (2) tile."""
+    tiles = placed.groupBy("table", "bucket").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("n"))
+    dealt = placed.join(tiles, ["table", "bucket"]).withColumn("t", F.pmod(F.xxhash64(by), F.col("n")).cast("int"))
+    dealt = dealt.withColumn("u", F.explode(F.expr("sequence(0, n - 1)")))
+    side = F.when(F.col("t") == F.col("u"), 2).when(F.col("t") < F.col("u"), 0).otherwise(1).cast("byte")
+    return dealt.select("table", "bucket", F.least("t", "u").alias("ta"), F.greatest("t", "u").alias("tb"), side.alias("side"),
+                        *[c for c in placed.columns if c not in ("table", "bucket")])
+
+
+def partners(entries: DataFrame, tables: list[tuple[int, int]], far: int, tile: int = CODE_TILE) -> DataFrame:
+    """(table, bucket, code): where the different codes of ``entries`` (table, bucket, code) have a partner that differs in at most ``far`` bits and that
+    they meet there first. Codes are compared by blocks of numbers, in tiles of bounded size; a group returns codes, never pairs."""
+
+    def find(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        side, code = t.column("side").to_numpy(), t.column("code").to_numpy().view(np.uint64)
+        left, right = code[side != 1], code[side != 0]
+        if not len(left) or not len(right) or len(code) < 2:
+            return
+        table, bucket = t.column("table")[0].as_py(), t.column("bucket")[0].as_py()
+        has_l, has_r = np.zeros(len(left), bool), np.zeros(len(right), bool)
+        step = max(1, (1 << 18) // len(right))
+        for i in range(0, len(left), step):
+            apart = np.bitwise_count(left[i:i + step, None] ^ right[None, :])
+            x, y = np.nonzero((apart <= far) & (apart > 0))
+            x += i
+            ok = _first_shared(left[x], right[y], table, bucket, tables)
+            has_l[x[ok]] = True
+            has_r[y[ok]] = True
+        met = np.unique(np.concatenate([left[has_l], right[has_r]])).view(np.int64)
+        if len(met):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(met), table, np.int32)), pa.array(np.full(len(met), bucket, np.int32)), pa.array(met)], ["table", "bucket", "code"])
+
+    return map_sorted_groups(_in_tiles(entries, "code", tile), ["table", "bucket", "ta", "tb"], find, "table int, bucket int, code long")
 
 
 def vector_links(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding", max_fit: int = MAX_FIT,
@@ -210,25 +233,16 @@ def _links(good: DataFrame, dim: int, threshold: float, max_fit: int, tile: int,
         return df.withColumn("e", F.explode(F.array(*per))).select("*", "e.table", "e.bucket").drop("e")
 
     # where a code has a partner: a bucket that is the smallest one shared with some code not far away, or the first table's own bucket
-    # if several vectors have the code. Nothing is paired here: the search for a code ends with the first partner found
+    # if several vectors have the code. Only codes travel here, and none of their pairs leave a task
     alike = coded.groupBy("code").agg(F.count("*").alias("k"))
-    own = entered(alike.select("code"))
-    other = own.select(F.col("table").alias("t2"), F.col("bucket").alias("b2"), F.col("code").alias("code2"))
-    near = own.join(other, (F.col("table") == F.col("t2")) & (F.col("bucket") == F.col("b2")) & (F.col("code") != F.col("code2"))
-                    & (F.bit_count(F.col("code").bitwiseXOR(F.col("code2"))) <= far) & _first_met(tables), "left_semi")
     several = alike.where("k > 1").select(F.lit(0).alias("table"), _part("code", *tables[0]).cast("int").alias("bucket"), "code")
     if exact:  # one bucket, whose tiles are all compared
         near = alike.select(F.lit(0).alias("table"), F.lit(0).alias("bucket"), "code")
     else:
-        near = cut_lineage(near.select("table", "bucket", "code").unionByName(several).distinct())
+        entries = cut_lineage(entered(alike.select("code")).select("table", "bucket", "code"))
+        near = cut_lineage(partners(entries, tables, far).unionByName(several).distinct())
     placed = near.join(coded, "code")
-    tiles = placed.groupBy("table", "bucket").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("n"))
-    dealt = placed.join(classes.select("c", "vec", "size"), "c")
-    dealt = dealt.join(tiles, ["table", "bucket"]).withColumn("t", F.pmod(F.xxhash64("c"), F.col("n")).cast("int"))
-    dealt = dealt.withColumn("u", F.explode(F.expr("sequence(0, n - 1)")))
-    dealt = dealt.select("table", "bucket", F.least("t", "u").alias("ta"), F.greatest("t", "u").alias("tb"),
-                         F.when(F.col("t") == F.col("u"), 2).when(F.col("t") < F.col("u"), 0).otherwise(1).cast("byte").alias("side"),
-                         "c", "code", "size", "vec")
+    dealt = _in_tiles(placed.join(classes.select("c", "vec", "size"), "c"), "c", tile)
 
     def compare(t: pa.Table) -> Iterator[pa.RecordBatch]:
         side = t.column("side").to_numpy()
@@ -241,13 +255,14 @@ def _links(good: DataFrame, dim: int, threshold: float, max_fit: int, tile: int,
         links, labels = np.zeros(len(c), dtype=np.int64), np.arange(len(c))
         for i in range(0, len(left), 256):
             rows = left[i:i + 256]
-            hit = _first_shared(code_[rows, None], code_[None, right], table, bucket, tables)
-            hit &= c[rows, None] != c[None, right]
-            same = side[rows, None] + side[None, right] == 4  # both of one tile: each pair is met from either end
-            hit &= ~same | (c[rows, None] < c[None, right])
-            if not hit.any():
+            hit = vec[rows] @ vec[right].T >= threshold
+            x, y = np.nonzero(hit)  # few: only these are asked where they meet first
+            p, q = rows[x], right[y]
+            fine = _first_shared(code_[p], code_[q], table, bucket, tables) & (c[p] != c[q])
+            fine &= (side[p] + side[q] != 4) | (c[p] < c[q])  # both of one tile: each pair is met from either end
+            hit[x, y] = fine
+            if not fine.any():
                 continue
-            hit &= vec[rows] @ vec[right].T >= threshold
             links[rows] += hit @ size[right]
             links[right] += size[rows] @ hit
             for k in np.flatnonzero(hit.any(1)):

@@ -132,3 +132,21 @@ def test_links_with_a_common_direction(spark, dim, common):
     mine = np.array([got[i].n_links for i in range(len(a))])
     assert (mine <= want).all() and mine.sum() >= 0.95 * want.sum() and want.sum() >= 300
     assert all(got[i].n_links == 0 and got[i].component_id == i for i in (900, 901, 902, 950))
+
+
+@pytest.mark.parametrize("tile", [16, 4096])
+def test_partners_against_all_pairs(spark, tile):
+    rng = np.random.default_rng(4)
+    tables, far = itq.cut_into(24, 8), 5
+    code = np.unique(np.concatenate([rng.integers(0, 1 << 24, 150), rng.integers(0, 1 << 10, 150)])).astype(np.uint64)
+    want, places = set(), set()
+    for t, (s, n) in enumerate(tables):
+        for x in code.tolist():
+            own = x >> s & ((1 << n) - 1)
+            places |= {(t, own, x)} | {(t, own ^ (1 << k), x) for k in range(n)}
+    for t, b, x in places:
+        others = np.array([y for y in code.tolist() if y != x and (t, b, y) in places and (x ^ y).bit_count() <= far], dtype=np.uint64)
+        if len(others) and itq._first_shared(np.full(len(others), x, np.uint64), others, t, b, tables).any():
+            want.add((t, b, x))
+    df = spark.createDataFrame(sorted(places), "table int, bucket int, code long").repartition(3)
+    assert want and {tuple(r) for r in itq.partners(df, tables, far, tile).collect()} == want
