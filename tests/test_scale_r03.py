@@ -52,3 +52,15 @@ def test_blocks_hold_each_document_once_within_their_size():
         assert at.size <= 64 or len(which) == 1
         seen |= {int(w): n[row][n[row] > 0] for row, w in enumerate(which)}
     assert sorted(seen) == list(range(200)) and all((seen[i] == docs[i][1]).all() for i in seen)
+
+
+def test_topic_base_without_texts_reads_none_and_keeps_the_rows(spark):
+    from murmur.sources import fixtures as FX
+    sf = "/root/testdata/sf0.001"
+    key = ["comment_id", "time_label", "channel", "topic_id", "embedding"]
+    full, bare = FX.topic_base(spark, sf), FX.topic_base(spark, sf, texts=False)
+    rows = sorted((tuple(r[c] for c in key[:4]), tuple(r.embedding), r.comment_text is None) for r in full.collect())
+    assert rows and rows == sorted((tuple(r[c] for c in key[:4]), tuple(r.embedding), r.comment_text is None) for r in bare.collect())
+    text = {r.doc_id: r.text for r in FX.table(spark, sf, "documents").collect()}
+    assert all(r.comment_text == text[r.comment_id] for r in full.collect())
+    assert {r.comment_text for r in bare.collect()} <= {"", None}
