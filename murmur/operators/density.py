@@ -233,8 +233,10 @@ def density_topics(docs: DataFrame, doc: str = "comment_id", vec: str = "embeddi
         raise ValueError("neighbours must reach min_samples")
     spark = docs.sparkSession
     own = F.transform(F.col(vec), lambda x: x.cast("double") + F.lit(0.0))  # no negative zeros
-    rows = docs.withColumn("_vec", own)
-    nodes = written(rows.where("_vec is not null").groupBy("_vec").agg(F.min(F.col(doc).cast("long")).alias("first"), F.count("*").alias("weight"))
+    taken = {c.lower() for c in docs.columns}
+    v_, t_, s_ = (next(x for i in range(1, len(taken) + 2) if (x := "_" * i + name) not in taken) for name in ("vec", "topic", "strength"))  # no column of ``docs``
+    rows = docs.withColumn(v_, own)
+    nodes = written(rows.where(F.col(v_).isNotNull()).groupBy(F.col(v_).alias("_vec")).agg(F.min(F.col(doc).cast("long")).alias("first"), F.count("*").alias("weight"))
                     .select(F.xxhash64("_vec").alias("id"), F.col("_vec").alias("vec"), "weight", "first"), "nodes")
     n = nodes.count()
     fit = nodes if n <= max_nodes else written(nodes.orderBy(F.xxhash64("id"), "id").limit(max_nodes), "nodes")
@@ -253,8 +255,8 @@ def density_topics(docs: DataFrame, doc: str = "comment_id", vec: str = "embeddi
         inside = (F.col("topic") >= 0) & (F.greatest("d", "core") <= F.col("reach"))
         named = named.unionByName(met.select("id", F.when(inside, F.col("topic")).otherwise(F.lit(OUTLIER)).alias("topic"),
                                              F.when(inside, F.col("strength")).otherwise(F.lit(0.0)).alias("strength")))
-    named = written(named.join(nodes.select("id", F.col("vec").alias("_vec")), "id").select("_vec", F.col("topic").alias("_topic"), F.col("strength").alias("_strength")), "topics")
-    out = rows.join(named, "_vec", "left").drop("_vec")
-    topic = F.coalesce("_topic", F.lit(OUTLIER)).cast("int")
-    strength = F.coalesce("_strength", F.lit(0.0))
-    return out.withColumn("topic_id", topic).withColumn("topic_prob", strength).drop("_topic", "_strength")
+    named = written(named.join(nodes.select("id", F.col("vec").alias(v_)), "id").select(v_, F.col("topic").alias(t_), F.col("strength").alias(s_)), "topics")
+    out = rows.join(named, v_, "left").drop(v_)
+    topic = F.coalesce(t_, F.lit(OUTLIER)).cast("int")
+    strength = F.coalesce(s_, F.lit(0.0))
+    return out.withColumn("topic_id", topic).withColumn("topic_prob", strength).drop(t_, s_)
