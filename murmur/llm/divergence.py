@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import compress
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -42,6 +42,8 @@ TOP = 50
 FIRST_LEVEL = 12
 #: What a task holds before it passes it on: counted prefixes or terms, and remembered terms.
 HELD = 300_000
+#: Rows that are looked at together, and terms that are added up together.
+ROWS, ADDED = 256, 1_000_000
 #: Terms and sources of a tile.
 TILE_TERMS, TILE_SOURCES = 1024, 128
 _SEPARATORS = [*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
@@ -89,6 +91,17 @@ def arranged(bags: DataFrame) -> DataFrame:
     return bags.repartitionByRange("lang", "source", "h").sortWithinPartitions("lang", "source")
 
 
+def _runs(keys: list, *columns: pa.Array) -> Iterator[tuple]:
+    """(key, slice of each column) of rows with the same key one after another, ``ROWS`` of them at most."""
+    first = 0
+    while first < len(keys):
+        last = first + 1
+        while last < len(keys) and last - first < ROWS and keys[last] == keys[first]:
+            last += 1
+        yield (keys[first], *(c.slice(first, last - first) for c in columns))
+        first = last
+
+
 def prefix_counts(bags: DataFrame, size: int, before: int = 0, left: np.ndarray | None = None, held: int = HELD) -> DataFrame:
     """(lang, prefix, n): in how many documents a term begins with each prefix of at most ``size`` bytes, partly summed. Only terms
     that extend a prefix of ``before`` bytes in ``left`` (a bit array of hashes) are counted."""
@@ -96,37 +109,68 @@ def prefix_counts(bags: DataFrame, size: int, before: int = 0, left: np.ndarray
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if shared is None else shared.value
-        now, seed, known, counts = "", _seed(""), {}, Counter()
+        now, seed, names, sums, met, size_met = "", _seed(""), [b""], np.zeros(1024, np.int64), [], 0
+        number: dict[bytes, int] = {}  # of each prefix, twice its place in names, and 1 if it is cut
+
+        class Known(dict):
+            """Numbers of terms' prefixes; 0 for a term that isn't counted."""
 
-        def learn(terms: list[bytes]) -> None:
-            for t in terms:
+            def __missing__(self, t: bytes) -> int:
                 closed = t + b"\0"
-                gone = not t or before and (len(closed) <= before or not B.one_member(bits, xxhash.xxh64_intdigest(closed[:before], seed)))
-                known[t] = None if gone else closed[:size]
+                if not t or before and (len(closed) <= before or not B.one_member(bits, xxhash.xxh64_intdigest(closed[:before], seed))):
+                    self[t] = 0
+                    return 0
+                p = closed[:size]
+                k = number.get(p)
+                if k is None:
+                    k = 2 * len(names) + (len(closed) > size)
+                    names.append(p)
+                    if k & 1:  # only a cut prefix is several terms'
+                        number[p] = k
+                self[t] = k
+                return k
+
+        known = Known()
+
+        def add():
+            nonlocal sums, size_met
+            if met:
+                n = np.bincount(np.concatenate(met) >> 1, minlength=len(sums))
+                n[:len(sums)] += sums
+                sums, size_met = n, 0
+                met.clear()
 
         def rows():
-            counts.pop(None, None)
-            for part in B.chunks(counts, 1):
-                yield pa.RecordBatch.from_arrays([pa.repeat(now, len(part)), pa.array([p for p, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())],
+            nonlocal sums
+            add()
+            sums[0] = 0
+            at = np.flatnonzero(sums)
+            for i in range(0, len(at), 50_000):
+                part = at[i:i + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.repeat(now, len(part)), pa.array([names[k] for k in part.tolist()], pa.binary()), pa.array(sums[part])],
                                                  ["lang", "prefix", "n"])
-            counts.clear()
+            known.clear()
+            number.clear()
+            del names[1:]
+            sums = np.zeros(1024, np.int64)
 
         for b in batches:
-            for lang, terms in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for lang, bag in _runs(b.column(0).to_pylist(), b.column(1)):
                 if lang != now:
                     yield from rows()
-                    known.clear()
                     now, seed = lang, _seed(lang)
-                terms = terms.split(b" ")
-                try:
-                    found = set(map(known.__getitem__, terms))
-                except KeyError:
-                    learn([t for t in terms if t not in known])
-                    found = set(map(known.__getitem__, terms))
-                counts.update(found)
+                parts = [x.split(b" ") for x in bag.to_pylist()]
+                row = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+                k = np.fromiter(map(known.__getitem__, chain.from_iterable(parts)), np.int64, len(row))
+                cut = k & 1 == 1
+                met.append(k[~cut])
+                if cut.any():  # a document counts once for each prefix
+                    top = 2 * len(names)
+                    met.append(np.unique(row[cut] * top + k[cut]) % top)
+                size_met += len(k)
+                if size_met > ADDED:
+                    add()
                 if len(known) > held:
-                    known.clear()
-                if len(counts) > held:
                     yield from rows()
         yield from rows()
 
@@ -158,32 +202,61 @@ def group_counts(bags: DataFrame, kept: DataFrame, log_bits: int = 26, held: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        now, seed, known, sums = ("", ""), _seed(""), {}, {}
+        now, seed, names, sums, met, size_met = ("", ""), _seed(""), [b""], np.zeros(1024, np.int64), [], 0
+
+        class Known(dict):
+            """Places of kept terms in names; 0 for others."""
+
+            def __missing__(self, t: bytes) -> int:
+                k = 0
+                if t and B.one_member(bits, xxhash.xxh64_intdigest(t + b"\0", seed)):
+                    k = len(names)
+                    names.append(t)
+                self[t] = k
+                return k
+
+        known = Known()
+
+        def add():
+            nonlocal sums, size_met
+            if met:
+                k, n = np.concatenate([k for k, _ in met]), np.concatenate([n for _, n in met])
+                got = np.bincount(k, weights=n, minlength=len(sums)).astype(np.int64)  # far below 2**53 each time
+                got[:len(sums)] += sums
+                sums, size_met = got, 0
+                met.clear()
 
         def rows():
-            for part in B.chunks(sums, 1):
-                yield pa.RecordBatch.from_arrays([pa.repeat(now[0], len(part)), pa.repeat(now[1], len(part)), pa.array([t for t, _ in part], pa.binary()),
-                                                  pa.array([n for _, n in part], pa.int64())], ["lang", "source", "term", "n"])
-            sums.clear()
+            nonlocal sums
+            add()
+            sums[0] = 0
+            at = np.flatnonzero(sums)
+            for i in range(0, len(at), 50_000):
+                part = at[i:i + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.repeat(now[0], len(part)), pa.repeat(now[1], len(part)), pa.array([names[k] for k in part.tolist()], pa.binary()),
+                                                  pa.array(sums[part])], ["lang", "source", "term", "n"])
+            sums = np.zeros(1024, np.int64)
+
+        def forget():
+            known.clear()
+            del names[1:]
 
         for b in batches:
-            for lang, source, terms, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
-                if (lang, source) != now:
+            for group, bag, n in _runs(list(zip(b.column(0).to_pylist(), b.column(1).to_pylist())), b.column(2), b.column(3)):
+                if group != now:
                     yield from rows()
-                    if lang != now[0]:
-                        known.clear()
-                    now, seed = (lang, source), _seed(lang)
-                terms = terms.split(b" ")
-                kept = list(map(known.get, terms))
-                if None in kept:
-                    known.update((t, bool(t) and B.one_member(bits, xxhash.xxh64_intdigest(t + b"\0", seed))) for t, k in zip(terms, kept) if k is None)
-                    kept = map(known.get, terms)
-                for t, n in compress(zip(terms, counts.values.to_numpy().tolist()), kept):
-                    sums[t] = sums.get(t, 0) + n
+                    if group[0] != now[0]:
+                        forget()
+                    now, seed = group, _seed(group[0])
+                parts = [x.split(b" ") for x in bag.to_pylist() if x]  # no term, no count
+                n = n.flatten().to_numpy()
+                met.append((np.fromiter(map(known.__getitem__, chain.from_iterable(parts)), np.int64, len(n)), n))
+                size_met += len(n)
+                if size_met > ADDED:
+                    add()
                 if len(known) > held:
-                    known.clear()
-                if len(sums) > held:
                     yield from rows()
+                    forget()
         yield from rows()
 
     found = bags.select("lang", "source", "terms", "counts").mapInArrow(run, "lang string, source string, term binary, n long")
