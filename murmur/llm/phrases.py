@@ -244,7 +244,8 @@ def build_tries(blocks: DataFrame) -> DataFrame:
 
 def trie_counts(texts: DataFrame, tries: list) -> DataFrame:
     """(block, no, n) of all phrases of some tries that occur."""
-    shared = texts.sparkSession.sparkContext.broadcast([tuple(t) for t in tries])
+    sc = texts.sparkSession.sparkContext
+    shared = sc.broadcast([tuple(t) for t in tries])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = [(block, Trie.unpack(*packed)) for block, *packed in shared.value]
@@ -256,7 +257,8 @@ def trie_counts(texts: DataFrame, tries: list) -> DataFrame:
             no = np.flatnonzero(s)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(no), block)), pa.array(no), pa.array(np.asarray(s)[no] if len(no) else no)], ["block", "no", "n"])
 
-    return texts.mapInArrow(run, "block long, no long, n long").groupBy("block", "no").agg(F.sum("n").alias("n"))
+    # a task returns a row for each phrase that it meets: with a fixed number of tasks, rows grow with the phrases alone
+    return texts.coalesce(2 * sc.defaultParallelism).mapInArrow(run, "block long, no long, n long").groupBy("block", "no").agg(F.sum("n").alias("n"))
 
 
 def phrase_counts(texts: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, log_bits: int = 26, block: int = BLOCK,
