@@ -25,10 +25,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """Windows of 2048 ids of the word vocabulary, with the digest of each piece."""
+def packed(docs: DataFrame, words: int = 1_000_000) -> DataFrame:
+    """Windows of 2048 ids of the word vocabulary, with the digest of each piece. A worker remembers ``words`` words."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    p = packing.pack(docs, lambda: kept_by_worker(("packing", path), lambda: packing.word_encoder(path)), size=2048, end_id=1)
+    p = packing.pack(docs, lambda: kept_by_worker(("packing", path, words), lambda: packing.word_encoder(path, words)), size=2048, end_id=1)
     return p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
