@@ -14,9 +14,12 @@ holds the partition in its upper 31 bits; it is the same whenever a task is run
 
 from __future__ import annotations
 
+import codecs
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,23 @@ END_ID = 1
 #: A line that is letters which stand for themselves under canonical composition, then ASCII marks but the apostrophe: to the
 #: tokenizer a run of either is one word.
 _PLAIN = r"^([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)$"
+#: What byte-level tokenizers make of each byte; ASCII but the control characters and spaces stands for itself.
+_BYTE_LEVEL = "".join(chr(b + 162 if 0x80 <= b <= 0xA0 else 0x143 if b == 0xAD else b) for b in range(256))
+#: Tokenizers whose normaliser does nothing to letters of ``_PLAIN`` but fold their case, and which cut such words as bytes.
+_FOLDING = (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"])
+
+
+def _bare(tk):
+    """A tokenizer with the model of ``tk`` alone, for words of ``_PLAIN`` letters in lower case that are spelled as bytes already: the same ids
+    without normalising each character. None if ``tk`` has other steps than those this is known of."""
+    from tokenizers import Tokenizer, pre_tokenizers
+    steps = [json.loads(part.__getstate__()) if part is not None else {} for part in (tk.normalizer, tk.pre_tokenizer)]
+    norms, cuts = steps[0].get("normalizers", []), steps[1].get("pretokenizers", [])
+    if tuple([x["type"] for x in part] for part in (norms, cuts)) != _FOLDING or cuts[1]["add_prefix_space"] or cuts[1]["use_regex"]:
+        return None
+    bare = Tokenizer(tk.model)
+    bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    return bare
 
 
 def word_encoder(path: str, cache_size: int = 1_000_000) -> Callable[[list[str]], list[bytes]]:
@@ -45,6 +65,7 @@ def word_encoder(path: str, cache_size: int = 1_000_000) -> Callable[[list[str]]
         ends[[i for t, i in tk.get_vocab().items() if t.endswith(suffix)]] = True
     known: dict[str, bytes] = {"": b""}
     plain = re.compile(_PLAIN, re.MULTILINE)
+    bare = _bare(tk) if suffix else None
 
     def whole(words: list[str]) -> None:
         for w, e in zip(words, tk.encode_batch_fast(words, add_special_tokens=False)):
@@ -54,10 +75,14 @@ def word_encoder(path: str, cache_size: int = 1_000_000) -> Callable[[list[str]]
         if not suffix:
             return whole(list(words))
         found = plain.findall("\n".join(words))  # no word holds a line feed
-        cores = [c for c in dict.fromkeys(c for c, _ in found) if c not in known]
+        low = [c.lower() if bare else c for c, _ in found]  # words that differ in case alone are one
+        cores = [c for c in dict.fromkeys(low) if c not in known]
         if cores:
             # one text of all of them: its words end where the suffix is
-            ids = np.array(tk.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, dtype="<u4")
+            text = " ".join(cores)
+            if bare:
+                text = codecs.charmap_decode(text.encode(), "strict", _BYTE_LEVEL)[0]
+            ids = np.array((bare or tk).encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
             at = np.flatnonzero(ends[ids]) + 1
             if len(at) == len(cores):
                 raw, at = ids.tobytes(), (at * 4).tolist()
@@ -67,15 +92,16 @@ def word_encoder(path: str, cache_size: int = 1_000_000) -> Callable[[list[str]]
         marks = [m for m in {m for _, m in found} if m not in known]
         if marks:
             whole(marks)
-        known.update([(c + m, known[c] + known[m]) for c, m in found if m])
+        known.update([(c + m, known[k] + known[m]) for (c, m), k in zip(found, low)])
         rest = [w for w in words if w not in known]
         if rest:
             whole(rest)
 
     def encode(texts: list[str]) -> list[bytes]:
-        if len(known) > cache_size:
+        if len(known) > cache_size:  # the words met first, which the frequent ones are among, stay
+            first = list(islice(known.items(), cache_size // 2))
             known.clear()
-            known[""] = b""
+            known.update(first)
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         new = set().union(*cut).difference(known)
         if new:

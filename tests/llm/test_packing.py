@@ -106,3 +106,29 @@ def test_close_leaves_little_padding_and_loses_nothing(seed):
     assert partly <= 1
     for d, n in want.items():
         assert [x for _, part in sorted(got[d]) for x in part] == list(range(n))
+
+
+def test_words_are_learned_once_whatever_their_case_and_the_first_stay(monkeypatch):
+    """Case and marks make no word new to the tokenizer, letters are not normalised one by one, and a full memory keeps what it met first."""
+    bare, learned = packing._bare, []
+
+    class Seen:
+        def __init__(self, tk):
+            self.tk = bare(tk)
+
+        def encode_batch_fast(self, texts, **how):
+            learned.append(texts[0])
+            return self.tk.encode_batch_fast(texts, **how)
+
+    monkeypatch.setattr(packing, "_bare", Seen)
+    tk = Tokenizer.from_file(PATH)
+    encode = packing.word_encoder(PATH, cache_size=20)
+    letters = [chr(c) for c in [*range(0x41, 0x5b), *range(0x61, 0x7b), *range(0xc0, 0x100)] if c not in (0xd7, 0xf7)]
+    for t in ["The the THE, the! Été été", " ".join(f"{a}{b}{a}" for a in letters for b in letters), "été THE? (the) thé"]:
+        assert np.frombuffer(encode([t])[0], "<u4").tolist() == tk.encode(t, add_special_tokens=False).ids
+    words = [w for t in learned for w in t.split(" ")]
+    assert sorted(words[:2]) == sorted(["the", "Ã©tÃ©"]) and words[-1:] == ["thÃ©"]
+    assert len(words) == len(set(words))
+    monkeypatch.undo()
+    tk.normalizer = None
+    assert packing._bare(tk) is None
