@@ -8,8 +8,9 @@ are dropped.
 
 How: words are counted first. Each text is then written as the 64-bit hashes of its frequent words, in order, with 0 for all else.
 Level by level, a phrase is looked at only where both phrases of one word less that it holds (its first and its last words) have passed
-the level before (Apriori: none of its parts is rarer than it is), and its hash is counted; a hash's count is never below the phrase's. The
-phrases whose hashes reach ``min_count`` are Apriori-safe: all candidates are among them. They are dealt out to blocks of bounded size
+the level before (Apriori: none of its parts is rarer than it is). It is counted as its last word behind the hash of what stands before it; that
+count is never below the phrase's. The phrases whose counts reach ``min_count`` are Apriori-safe: all candidates are among them. Their words are
+those of the shorter phrase, found by its hash in the level before, and the last one: one row a phrase, whatever the texts. They are dealt out to blocks of bounded size
 and made into one double-array trie a block, inside Spark. Some tries at a time are broadcast; each task steps through all
 positions of its texts at once, counts the accepting states reached, and the sums over all tasks are the exact counts from which candidates are
 chosen. More phrases mean more rounds over the texts, not larger broadcasts.
@@ -40,12 +41,13 @@ from murmur.llm.trie import Trie
 MIN_COUNT, MAX_WORDS, TOP, SWALLOW = 100, 5, 2000, 100
 #: Words that a task counts or remembers before it passes them on; texts and words of a row, hashes that it looks at together.
 HELD = 150_000
-TEXTS, WORDS, HASHES = 512, 200_000, 1_000_000
+TEXTS, WORDS, HASHES = 512, 200_000, 750_000
 #: Phrases of a trie, and tries that are broadcast together.
 BLOCK, ROUND = 65_536, 4
 _BREAK = 0xFF  # no byte of UTF-8
 _FOLD = bytes(_BREAK if b in b".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _STOP = bytes([_BREAK])
+_HIGH = np.uint64(0xFFFFFFFF00000000)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -146,21 +148,21 @@ def encoded(docs: DataFrame, frequent: np.ndarray, held: int = HELD) -> DataFram
     return docs.mapInArrow(run, "words binary")
 
 
-def passing(x: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For 2, 3 ... words, as many levels as there are bit arrays and one more: the places of the phrases whose parts have
-    passed the levels before, and their hashes. ``sets`` holds the bit arrays of 2, 3 ... words."""
+def passing(x: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The phrases of two words more than there are bit arrays whose parts have passed the levels before: the hashes of all
+    words but the last (of the one word, the word's), and the last words. ``sets`` holds the bit arrays of 2, 3 ... words."""
     ok, h = x != 0, x.copy()
     m = 1
     for bits in [*sets, None]:
         m += 1
         at = np.flatnonzero(ok[:-1] & ok[1:])
         at = at[at + m <= len(x)]
+        if bits is None:
+            return h[at], x[at + m - 1]
         new = _grow(h[at], x[at + m - 1])
-        yield at, new
-        if bits is not None:
-            ok = np.zeros(len(x), bool)
-            ok[at] = B.members(bits, new)
-            h[at] = new
+        ok = np.zeros(len(x), bool)
+        ok[at] = B.members(bits, new)
+        h[at] = new
 
 
 def _flat(b: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -171,53 +173,57 @@ def _flat(b: pa.RecordBatch) -> Iterator[np.ndarray]:
 
 
 def level(texts: DataFrame, sets: list[np.ndarray]) -> DataFrame:
-    """(h, n): counts of the hashes of the next level's phrases."""
+    """(head, word, n): counts of the next level's phrases, each as the hash of all its words but the last, and the last one."""
     shared = texts.sparkSession.sparkContext.broadcast(sets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def rows():
-            h, n = np.unique(np.concatenate(held), return_counts=True)
+            head, word = (np.concatenate(c) for c in zip(*held))
             held.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+            # ordered by half of each: equal heads follow each other, which compresses well, and so do equal pairs; others of the same halves
+            # may cut them in two
+            order = np.argsort(head & _HIGH | word >> np.uint64(32))
+            head, word = head[order], word[order]
+            first = np.flatnonzero(np.append(True, (head[1:] != head[:-1]) | (word[1:] != word[:-1]))[:len(head)])
+            n = np.diff(np.append(first, len(head)))
+            yield pa.RecordBatch.from_arrays([pa.array(head[first].view(np.int64)), pa.array(word[first].view(np.int64)), pa.array(n)], ["head", "word", "n"])
 
         for b in batches:
             for x in _flat(b):
-                *_, (_, h) = passing(x, shared.value)
-                held.append(h)
-                if sum(map(len, held)) > HASHES:
+                held.append(passing(x, shared.value))
+                if sum(len(h) for h, _ in held) > HASHES:
                     yield from rows()
         if held:
             yield from rows()
         pa.default_memory_pool().release_unused()
 
-    return texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "head long, word long, n long").groupBy("head", "word").agg(F.sum("n").alias("n"))
 
 
-def named(texts: DataFrame, sets: list[np.ndarray]) -> DataFrame:
-    """(h, ids): the words of all phrases that pass their level's bit array."""
-    shared = texts.sparkSession.sparkContext.broadcast(sets)
+def hashed(pairs: DataFrame) -> DataFrame:
+    """(head, word, h): with the hashes of the phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in (x for b in batches for x in _flat(b)):
-            for m, (at, h) in enumerate(passing(x, shared.value), 2):
-                if m - 2 == len(shared.value):
-                    break
-                hit = np.flatnonzero(B.members(shared.value[m - 2], h))
-                h, first = np.unique(h[hit], return_index=True)
-                ids = x[at[hit[first]][:, None] + np.arange(m)[None, :]].view(np.int64)
-                offsets = pa.array(np.arange(len(h) + 1) * m, pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(ids.reshape(-1)))], ["h", "ids"])
+        for b in batches:
+            head, word = b.column("head"), b.column("word")
+            h = _grow(*(c.to_numpy(zero_copy_only=False).view(np.uint64) for c in (head, word)))
+            yield pa.RecordBatch.from_arrays([head, word, pa.array(h.view(np.int64))], ["head", "word", "h"])
 
-    return texts.mapInArrow(run, "h long, ids array<long>").distinct()
+    return pairs.select("head", "word").mapInArrow(run, "head long, word long, h long")
 
 
 def safe_phrases(texts: DataFrame, min_count: int, max_words: int, log_bits: int) -> DataFrame:
     """(ids): the Apriori-safe phrases of 2 to ``max_words`` words."""
     sets, tables = [], []
     for _ in range(2, max_words + 1):
-        found = written(level(texts, sets).where(F.col("n") >= min_count).select("h"), "level")
+        found = hashed(level(texts, sets).where(F.col("n") >= min_count))
+        if tables:  # a phrase's first words are a phrase of the level before, or they are too rare
+            found = found.join(tables[-1].select(F.col("h").alias("head"), "ids"), "head").select("h", F.concat("ids", F.array("word")).alias("ids"))
+        else:
+            found = found.select("h", F.array("head", "word").alias("ids"))
+        found = written(found, "level")
         if found.isEmpty():
             break
         sets.append(B.bit_set(found, "h", log_bits))
@@ -227,7 +233,7 @@ def safe_phrases(texts: DataFrame, min_count: int, max_words: int, log_bits: int
     passed = tables[0]
     for t in tables[1:]:
         passed = passed.unionByName(t)
-    return named(texts, sets).join(passed.distinct(), "h", "left_semi").select("ids")
+    return passed.select("ids")
 
 
 def build_tries(blocks: DataFrame) -> DataFrame:
