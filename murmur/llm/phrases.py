@@ -8,10 +8,11 @@ are dropped.
 
 How: words are counted first. Each text is then written as the 64-bit hashes of its frequent words, in order, with 0 for all else.
 Level by level, a phrase is looked at only where both phrases of one word less that it holds (its first and its last words) have passed
-the level before (Apriori: none of its parts is rarer than it is). It is counted as its last word behind the hash of what stands before it; that
-count is never below the phrase's. The phrases whose counts reach ``min_count`` are Apriori-safe: all candidates are among them. Their words are
-those of the shorter phrase, found by its hash in the level before, and the last one: one row a phrase, whatever the texts. They are dealt out to blocks of bounded size
-and made into one double-array trie a block, inside Spark. Some tries at a time are broadcast; each task steps through all
+the level before (Apriori: none of its parts is rarer than it is). It is counted by 64 bits, half of them for its last word and half for what stands
+before it; that count is never below the phrase's. Each task adds up and sorts what it holds and sends it on as differences of ordered numbers, in buckets whose
+number grows with the words. The phrases whose counts reach ``min_count`` are Apriori-safe: all candidates are among them. Their words are
+those of the shorter phrases with that half, found in the level before, and the last words with the other: about one row a phrase, whatever the texts. They are dealt
+out to blocks of bounded size and made into one double-array trie a block, inside Spark. Some tries at a time are broadcast; each task steps through all
 positions of its texts at once, counts the accepting states reached, and the sums over all tasks are the exact counts from which candidates are
 chosen. More phrases mean more rounds over the texts, not larger broadcasts.
 
@@ -31,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmur.llm import bits as B
@@ -42,12 +43,18 @@ MIN_COUNT, MAX_WORDS, TOP, SWALLOW = 100, 5, 2000, 100
 #: Words that a task counts or remembers before it passes them on; texts and words of a row, hashes that it looks at together.
 HELD = 150_000
 TEXTS, WORDS, HASHES = 512, 200_000, 750_000
+#: Words of the texts that come to one bucket of a level's phrases.
+BUCKET = 1_000_000
 #: Phrases of a trie, and tries that are broadcast together.
 BLOCK, ROUND = 65_536, 4
 _BREAK = 0xFF  # no byte of UTF-8
 _FOLD = bytes(_BREAK if b in b".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _STOP = bytes([_BREAK])
-_HIGH = np.uint64(0xFFFFFFFF00000000)
+_HALF = np.uint64(32)
+_LOW = np.uint64(0xFFFFFFFF)
+#: Odd factor of the mixing of keys, and its inverse modulo 2 to the 64th.
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_UNMIX = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -67,8 +74,31 @@ def _grow(h: np.ndarray, x: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(29))
 
 
+def _code(h: np.ndarray) -> np.ndarray:
+    """32 bits of a hash."""
+    return (h ^ (h >> _HALF)) & _LOW
+
+
+def code_of(column: str) -> Column:
+    """The same in Spark."""
+    return F.shiftrightunsigned(column, 32).bitwiseXOR(F.col(column)).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def keys_of(head: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One number for the codes of a phrase's first words and its last one, mixed one-to-one so that all buckets get alike."""
+    z = (_code(head) << _HALF | _code(word)) * _MIX
+    return (z ^ (z >> _HALF)) * _MIX
+
+
+def codes_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The codes that such numbers were made of."""
+    z = keys * _UNMIX
+    z = (z ^ (z >> _HALF)) * _UNMIX
+    return z >> _HALF, z & _LOW
+
+
 def word_counts(docs: DataFrame, held: int = HELD) -> DataFrame:
-    """(lang, word, h, n) of texts (lang, text), a null word for the sum of all words; summed up."""
+    """(lang, word, n) of texts (lang, text), a null word for the sum of all words; summed up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = defaultdict(Counter)
@@ -79,9 +109,8 @@ def word_counts(docs: DataFrame, held: int = HELD) -> DataFrame:
                 c.pop(_STOP, None)
                 totals[lang] += c.total()
                 for part in B.chunks(c, 1):
-                    h = np.array([_hash(lang, w) for w, _ in part], dtype=np.uint64).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array([w for w, _ in part], pa.binary()), pa.array(h),
-                                                      pa.array([n for _, n in part], pa.int64())], ["lang", "word", "h", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array([w for w, _ in part], pa.binary()),
+                                                      pa.array([n for _, n in part], pa.int64())], ["lang", "word", "n"])
             counts.clear()
 
         for b in batches:
@@ -91,18 +120,50 @@ def word_counts(docs: DataFrame, held: int = HELD) -> DataFrame:
                     yield from rows()
         yield from rows()
         n = len(totals)
-        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.nulls(n, pa.binary()), pa.array([0] * n, pa.int64()),
-                                          pa.array(list(totals.values()), pa.int64())], ["lang", "word", "h", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.nulls(n, pa.binary()),
+                                          pa.array(list(totals.values()), pa.int64())], ["lang", "word", "n"])
         pa.default_memory_pool().release_unused()
 
-    found = docs.mapInArrow(run, "lang string, word binary, h long, n long")
-    return found.groupBy("lang", "word", "h").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(run, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def with_hashes(counts: DataFrame) -> DataFrame:
+    """(lang, word, h, n): with the hashes of the words, 0 for a null one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lang, word, n = b.columns
+            h = [0 if w is None else _hash(x, w) for x, w in zip(lang.to_pylist(), word.to_pylist())]
+            yield pa.RecordBatch.from_arrays([lang, word, pa.array(np.array(h, np.uint64).view(np.int64)), n], ["lang", "word", "h", "n"])
+
+    return counts.mapInArrow(run, "lang string, word binary, h long, n long")
+
+
+def _packed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(x: bytes) -> bytes:
+    return pa.decompress(x[8:], int.from_bytes(x[:8], "little"), codec="zstd", asbytes=True)
 
 
 def pack_words(x: np.ndarray) -> bytes:
     """Word hashes (uint64), compressed: frequent words repeat."""
-    raw = x.tobytes()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return _packed(x.tobytes())
+
+
+def pack_counts(keys: np.ndarray, n: np.ndarray) -> bytes:
+    """Ordered numbers (uint64) and their counts, compressed: the bytes of the differences, all first ones, all second ones and so on, then those
+    of the counts."""
+    steps = np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)
+    return _packed(steps.T.tobytes() + n.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpack_counts(x: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers and counts that ``pack_counts`` was given."""
+    raw = np.frombuffer(_unpacked(x), np.uint8).reshape(12, -1)
+    steps, n = (np.ascontiguousarray(part.T) for part in (raw[:8], raw[8:]))
+    return np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64), n.view(np.uint32).ravel()
 
 
 def encoded(docs: DataFrame, frequent: np.ndarray, held: int = HELD) -> DataFrame:
@@ -168,66 +229,86 @@ def passing(x: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarr
 def _flat(b: pa.RecordBatch) -> Iterator[np.ndarray]:
     """The words of a batch's rows, a row at a time."""
     for x in b.column(0):
-        packed = x.as_py()
-        yield np.frombuffer(pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True), np.uint64)
+        yield np.frombuffer(_unpacked(x.as_py()), np.uint64)
 
 
-def level(texts: DataFrame, sets: list[np.ndarray]) -> DataFrame:
-    """(head, word, n): counts of the next level's phrases, each as the hash of all its words but the last, and the last one."""
+def level(texts: DataFrame, sets: list[np.ndarray], min_count: int, buckets: int) -> DataFrame:
+    """(head, word): the next level's phrases that reach ``min_count``, each as the codes of all its words but the last, and of the last one."""
     shared = texts.sparkSession.sparkContext.broadcast(sets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[np.ndarray] = []
 
         def rows():
-            head, word = (np.concatenate(c) for c in zip(*held))
+            keys = np.concatenate(held)
             held.clear()
-            # ordered by half of each: equal heads follow each other, which compresses well, and so do equal pairs; others of the same halves
-            # may cut them in two
-            order = np.argsort(head & _HIGH | word >> np.uint64(32))
-            head, word = head[order], word[order]
-            first = np.flatnonzero(np.append(True, (head[1:] != head[:-1]) | (word[1:] != word[:-1]))[:len(head)])
-            n = np.diff(np.append(first, len(head)))
-            yield pa.RecordBatch.from_arrays([pa.array(head[first].view(np.int64)), pa.array(word[first].view(np.int64)), pa.array(n)], ["head", "word", "n"])
+            keys.sort()
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+            keys, n = keys[first], np.diff(np.append(first, len(keys)))
+            bucket = ((keys >> _HALF) * np.uint64(buckets) >> _HALF).astype(np.int32)  # grows with the keys
+            cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)] if len(bucket) else []
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]]), pa.array([pack_counts(keys[i:j], n[i:j]) for i, j in zip(cuts, cuts[1:])], pa.binary())],
+                                             ["bucket", "counts"])
 
         for b in batches:
             for x in _flat(b):
-                held.append(passing(x, shared.value))
-                if sum(len(h) for h, _ in held) > HASHES:
+                held.append(keys_of(*passing(x, shared.value)))
+                if sum(map(len, held)) > HASHES:
                     yield from rows()
         if held:
             yield from rows()
         pa.default_memory_pool().release_unused()
 
-    return texts.mapInArrow(run, "head long, word long, n long").groupBy("head", "word").agg(F.sum("n").alias("n"))
+    def add(t: pa.Table) -> pa.Table:
+        keys, n = (np.concatenate(c) for c in zip(*(unpack_counts(x) for x in t.column("counts").to_pylist())))
+        order = np.argsort(keys)
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        head, word = codes_of(keys[first][np.add.reduceat(n, first, dtype=np.int64) >= min_count])
+        return pa.table({"head": head.view(np.int64), "word": word.view(np.int64)})
 
+    return texts.mapInArrow(run, "bucket int, counts binary").groupBy("bucket").applyInArrow(add, "head long, word long")
 
-def hashed(pairs: DataFrame) -> DataFrame:
-    """(head, word, h): with the hashes of the phrases."""
+
+def hashed(found: DataFrame) -> DataFrame:
+    """(h, ids) of (h, ids, word), the hash and words of a phrase and a word behind it: the hash and words of both."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = _grow(*(b.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("h", "word")))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column("ids")], ["h", "ids"])
+
+    return found.select("h", F.concat("ids", F.array("word")).alias("ids"), "word").mapInArrow(run, "h long, ids array<long>")
+
+
+def words_in(texts: DataFrame) -> DataFrame:
+    """(h): the words of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            head, word = b.column("head"), b.column("word")
-            h = _grow(*(c.to_numpy(zero_copy_only=False).view(np.uint64) for c in (head, word)))
-            yield pa.RecordBatch.from_arrays([head, word, pa.array(h.view(np.int64))], ["head", "word", "h"])
+            for x in _flat(b):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(x[x != 0]).view(np.int64))], ["h"])
 
-    return pairs.select("head", "word").mapInArrow(run, "head long, word long, h long")
+    return texts.mapInArrow(run, "h long").distinct()
 
 
-def safe_phrases(texts: DataFrame, min_count: int, max_words: int, log_bits: int) -> DataFrame:
-    """(ids): the Apriori-safe phrases of 2 to ``max_words`` words."""
+def safe_phrases(texts: DataFrame, min_count: int, max_words: int, log_bits: int, words: DataFrame | None = None, buckets: int = 64) -> DataFrame:
+    """(ids): the Apriori-safe phrases of 2 to ``max_words`` words. ``words`` are the hashes (h) of all words in the texts, where they are known;
+    each level's phrases are added up in so many ``buckets``."""
+    words = words_in(texts) if words is None else words
+    last = words.select(code_of("h").alias("word"), F.col("h").alias("last"))
+    before = words.select("h", F.array("h").alias("ids"))
     sets, tables = [], []
     for _ in range(2, max_words + 1):
-        found = hashed(level(texts, sets).where(F.col("n") >= min_count))
-        if tables:  # a phrase's first words are a phrase of the level before, or they are too rare
-            found = found.join(tables[-1].select(F.col("h").alias("head"), "ids"), "head").select("h", F.concat("ids", F.array("word")).alias("ids"))
-        else:
-            found = found.select("h", F.array("head", "word").alias("ids"))
-        found = written(found, "level")
+        # a phrase's first words are a phrase of the level before, or they are too rare
+        found = written(level(texts, sets, min_count, buckets), "codes")  # so that no task has two Python workers at a time
+        found = found.join(before.withColumn("head", code_of("h")), "head").join(last, "word")
+        found = written(hashed(found.select("h", "ids", F.col("last").alias("word"))), "level")
         if found.isEmpty():
             break
         sets.append(B.bit_set(found, "h", log_bits))
         tables.append(found)
+        before = found
     if not sets:
         return texts.sparkSession.createDataFrame([], "ids array<long>")
     passed = tables[0]
@@ -268,9 +349,9 @@ def trie_counts(texts: DataFrame, tries: list) -> DataFrame:
 
 
 def phrase_counts(texts: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, log_bits: int = 26, block: int = BLOCK,
-                  per_round: int = ROUND) -> DataFrame:
-    """(block, no, ids, a): the candidates with their exact counts."""
-    safe = written(safe_phrases(texts, min_count, max_words, log_bits), "safe")
+                  per_round: int = ROUND, words: DataFrame | None = None, buckets: int = 64) -> DataFrame:
+    """(block, no, ids, a): the candidates with their exact counts. ``words`` and ``buckets`` as in ``safe_phrases``."""
+    safe = written(safe_phrases(texts, min_count, max_words, log_bits, words, buckets), "safe")
     n_blocks = max(1, -(-safe.count() // block))
     dealt = safe.withColumn("block", F.pmod(F.xxhash64("ids"), F.lit(n_blocks)))
     blocks = written(dealt.withColumn("no", F.row_number().over(Window.partitionBy("block").orderBy("ids")) - 1), "blocks")
@@ -290,11 +371,13 @@ def phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WO
             text_col: str = "text", lang_col: str = "lang", **how) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first phrases."""
     docs = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    counted = written(word_counts(docs).where((F.col("n") >= min_count) | F.col("word").isNull()), "words")
+    counted = written(with_hashes(word_counts(docs).where((F.col("n") >= min_count) | F.col("word").isNull())), "words")
     totals = counted.where("word is null").select("lang", F.col("n").alias("total"))
     words = counted.where("word is not null").select("lang", F.expr("decode(word, 'UTF-8')").alias("word"), "h", "n")
     texts = written(encoded(docs, B.bit_set(words, "h", how.get("log_bits", 26))), "encoded")
-    found = phrase_counts(texts, min_count, max_words, **how)
+    n_words = words.agg(F.sum("n").alias("n")).first().n or 0
+    buckets = max(2 * docs.sparkSession.sparkContext.defaultParallelism, -(-n_words // BUCKET))
+    found = phrase_counts(texts, min_count, max_words, words=words.select("h").distinct(), buckets=buckets, **how)
     # hashes back to words
     spelled = found.select("block", "no", "a", F.posexplode("ids").alias("i", "h")).join(words.select("h", "lang", "word"), "h")
     spelled = spelled.groupBy("block", "no", "a").agg(F.first("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("i", "word"))).alias("w"))

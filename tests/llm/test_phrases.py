@@ -1,6 +1,8 @@
 import random
 import re
+import threading
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -96,3 +98,61 @@ def test_odd_rows_and_empty_table(make, odd):
     got = [tuple(r) for r in phrases.phrases(make(odd), min_count=3, max_words=5, top=30).collect()]
     assert Counter(got) == Counter(plain([("en", t) for _, t in odd], 3, 5, 30))
     assert phrases.phrases(make([]).limit(0)).collect() == []
+
+
+def shuffled_bytes(spark, run):
+    """What ``run`` gives, and the size of all shuffle files that were there meanwhile (Spark removes those that it no longer needs)."""
+    dirs = [str(d) for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in dirs for f in Path(d).rglob("shuffle_*.data")}
+    old, seen, done = files(), {}, threading.Event()
+
+    def watch():
+        while not done.wait(0.02):
+            for f in files() - old:
+                try:
+                    seen[f] = f.stat().st_size
+                except FileNotFoundError:
+                    pass
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        return run(), sum(seen.values())
+    finally:
+        done.set()
+        watcher.join()
+
+
+def test_pairs_are_sent_in_few_bytes(spark):
+    """Pairs of words took 13 bytes each as rows of hashes."""
+    rng = np.random.default_rng(5)
+    pool = rng.integers(1, 2**63, 3000, dtype=np.uint64)
+    texts = [rng.choice(pool, 10_000) for _ in range(40)]
+    df = spark.createDataFrame([(phrases.pack_words(t),) for t in texts], "words binary").repartition(2).cache()
+    assert df.count() == 40
+    safe, size = shuffled_bytes(spark, lambda: phrases.safe_phrases(df, 100, 3, 20).collect())
+    assert safe == [] and 0 < size < 10 * 40 * 9_999
+
+
+@pytest.mark.parametrize("buckets", [1, 5, 3000])
+def test_words_with_equal_codes_are_all_found(spark, buckets):
+    rng = random.Random(6)
+    pool = [5, 1 << 32 | 4, 7, 3 << 32 | 4, 2**64 - 1]  # 5 and the next one, 7 and the next one have the same code
+    assert len(set(phrases._code(np.array(pool, np.uint64)).tolist())) == 3
+    texts = [rng.choices(pool, k=30) + [0] for _ in range(40)]
+    df = spark.createDataFrame([(phrases.pack_words(np.array(t, np.uint64)),) for t in texts], "words binary").repartition(3)
+    safe = [tuple(w % 2**64 for w in r.ids) for r in phrases.safe_phrases(df, 10, 4, 20, buckets=buckets).collect()]
+    c = Counter(tuple(t[i:i + m]) for t in texts for m in (2, 3, 4) for i in range(30 - m + 1))
+    assert {p for p, n in c.items() if n >= 10} <= set(safe) and len(set(safe)) == len(safe)
+
+
+@pytest.mark.parametrize("n", [1, 2, 5000])
+def test_keys_and_counts_come_back(n):
+    rng = np.random.default_rng(n)
+    head, word = rng.integers(0, 2**64, (2, n), dtype=np.uint64)
+    keys = phrases.keys_of(head, word)
+    codes = phrases.codes_of(keys)
+    assert (codes[0] == phrases._code(head)).all() and (codes[1] == phrases._code(word)).all()
+    keys, counts = np.unique(keys), rng.integers(1, 2**32, n)
+    back = phrases.unpack_counts(phrases.pack_counts(keys, counts))
+    assert (back[0] == keys).all() and (back[1] == counts).all()
