@@ -232,31 +232,39 @@ def _flat(b: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield np.frombuffer(_unpacked(x.as_py()), np.uint64)
 
 
-def level(texts: DataFrame, sets: list[np.ndarray], min_count: int, buckets: int) -> DataFrame:
-    """(head, word): the next level's phrases that reach ``min_count``, each as the codes of all its words but the last, and of the last one."""
+def level(texts: DataFrame, sets: list[np.ndarray], min_count: int = 1, buckets: int = 64, words: bool = False) -> DataFrame:
+    """(head, word, n): the next level's phrases that reach ``min_count``, each as the codes of all its words but the last, and of the last one;
+    added up in so many ``buckets``. With ``words`` also the whole hashes of all words in the texts, each once, with a null head."""
     shared = texts.sparkSession.sparkContext.broadcast(sets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        met: list[np.ndarray] = []
 
-        def rows():
-            keys = np.concatenate(held)
-            held.clear()
+        def rows(x: list[np.ndarray], sign: int):
+            keys = np.concatenate(x)
+            x.clear()
             keys.sort()
             first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
             keys, n = keys[first], np.diff(np.append(first, len(keys)))
             bucket = ((keys >> _HALF) * np.uint64(buckets) >> _HALF).astype(np.int32)  # grows with the keys
             cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)] if len(bucket) else []
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]]), pa.array([pack_counts(keys[i:j], n[i:j]) for i, j in zip(cuts, cuts[1:])], pa.binary())],
-                                             ["bucket", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(sign * (bucket[cuts[:-1]] + 1)),
+                                              pa.array([pack_counts(keys[i:j], n[i:j]) for i, j in zip(cuts, cuts[1:])], pa.binary())], ["bucket", "counts"])
 
         for b in batches:
             for x in _flat(b):
                 held.append(keys_of(*passing(x, shared.value)))
+                if words:
+                    met.append(np.unique(x[x != 0]))
                 if sum(map(len, held)) > HASHES:
-                    yield from rows()
+                    yield from rows(held, 1)
+                if sum(map(len, met)) > HASHES:
+                    yield from rows(met, -1)
         if held:
-            yield from rows()
+            yield from rows(held, 1)
+        if met:
+            yield from rows(met, -1)
         pa.default_memory_pool().release_unused()
 
     def add(t: pa.Table) -> pa.Table:
@@ -264,10 +272,14 @@ def level(texts: DataFrame, sets: list[np.ndarray], min_count: int, buckets: int
         order = np.argsort(keys)
         keys, n = keys[order], n[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        head, word = codes_of(keys[first][np.add.reduceat(n, first, dtype=np.int64) >= min_count])
-        return pa.table({"head": head.view(np.int64), "word": word.view(np.int64)})
+        keys, n = keys[first], np.add.reduceat(n, first, dtype=np.int64)
+        if t.column("bucket")[0].as_py() < 0:
+            return pa.table({"head": pa.nulls(len(keys), pa.int64()), "word": keys.view(np.int64), "n": pa.nulls(len(keys), pa.int64())})
+        enough = n >= min_count
+        head, word = codes_of(keys[enough])
+        return pa.table({"head": head.view(np.int64), "word": word.view(np.int64), "n": n[enough]})
 
-    return texts.mapInArrow(run, "bucket int, counts binary").groupBy("bucket").applyInArrow(add, "head long, word long")
+    return texts.mapInArrow(run, "bucket int, counts binary").groupBy("bucket").applyInArrow(add, "head long, word long, n long")
 
 
 def hashed(found: DataFrame) -> DataFrame:
@@ -281,27 +293,16 @@ def hashed(found: DataFrame) -> DataFrame:
     return found.select("h", F.concat("ids", F.array("word")).alias("ids"), "word").mapInArrow(run, "h long, ids array<long>")
 
 
-def words_in(texts: DataFrame) -> DataFrame:
-    """(h): the words of texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for x in _flat(b):
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(x[x != 0]).view(np.int64))], ["h"])
-
-    return texts.mapInArrow(run, "h long").distinct()
-
-
-def safe_phrases(texts: DataFrame, min_count: int, max_words: int, log_bits: int, words: DataFrame | None = None, buckets: int = 64) -> DataFrame:
-    """(ids): the Apriori-safe phrases of 2 to ``max_words`` words. ``words`` are the hashes (h) of all words in the texts, where they are known;
-    each level's phrases are added up in so many ``buckets``."""
-    words = words_in(texts) if words is None else words
-    last = words.select(code_of("h").alias("word"), F.col("h").alias("last"))
-    before = words.select("h", F.array("h").alias("ids"))
+def safe_phrases(texts: DataFrame, min_count: int, max_words: int, log_bits: int, buckets: int = 64) -> DataFrame:
+    """(ids): the Apriori-safe phrases of 2 to ``max_words`` words; each level's are added up in so many ``buckets``."""
     sets, tables = [], []
     for _ in range(2, max_words + 1):
+        found = written(level(texts, sets, min_count, buckets, words=not sets), "codes")  # so that no task has two Python workers at a time
+        if not sets:
+            words = found.where("head is null").select(F.col("word").alias("h"))
+            last = words.select(code_of("h").alias("word"), F.col("h").alias("last"))
+            before = words.select("h", F.array("h").alias("ids"))
         # a phrase's first words are a phrase of the level before, or they are too rare
-        found = written(level(texts, sets, min_count, buckets), "codes")  # so that no task has two Python workers at a time
         found = found.join(before.withColumn("head", code_of("h")), "head").join(last, "word")
         found = written(hashed(found.select("h", "ids", F.col("last").alias("word"))), "level")
         if found.isEmpty():
@@ -349,9 +350,9 @@ def trie_counts(texts: DataFrame, tries: list) -> DataFrame:
 
 
 def phrase_counts(texts: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, log_bits: int = 26, block: int = BLOCK,
-                  per_round: int = ROUND, words: DataFrame | None = None, buckets: int = 64) -> DataFrame:
-    """(block, no, ids, a): the candidates with their exact counts. ``words`` and ``buckets`` as in ``safe_phrases``."""
-    safe = written(safe_phrases(texts, min_count, max_words, log_bits, words, buckets), "safe")
+                  per_round: int = ROUND, buckets: int = 64) -> DataFrame:
+    """(block, no, ids, a): the candidates with their exact counts."""
+    safe = written(safe_phrases(texts, min_count, max_words, log_bits, buckets), "safe")
     n_blocks = max(1, -(-safe.count() // block))
     dealt = safe.withColumn("block", F.pmod(F.xxhash64("ids"), F.lit(n_blocks)))
     blocks = written(dealt.withColumn("no", F.row_number().over(Window.partitionBy("block").orderBy("ids")) - 1), "blocks")
@@ -377,7 +378,7 @@ def phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WO
     texts = written(encoded(docs, B.bit_set(words, "h", how.get("log_bits", 26))), "encoded")
     n_words = words.agg(F.sum("n").alias("n")).first().n or 0
     buckets = max(2 * docs.sparkSession.sparkContext.defaultParallelism, -(-n_words // BUCKET))
-    found = phrase_counts(texts, min_count, max_words, words=words.select("h").distinct(), buckets=buckets, **how)
+    found = phrase_counts(texts, min_count, max_words, buckets=buckets, **how)
     # hashes back to words
     spelled = found.select("block", "no", "a", F.posexplode("ids").alias("i", "h")).join(words.select("h", "lang", "word"), "h")
     spelled = spelled.groupBy("block", "no", "a").agg(F.first("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("i", "word"))).alias("w"))
