@@ -293,13 +293,14 @@ def hashed(found: DataFrame) -> DataFrame:
     return found.select("h", F.concat("ids", F.array("word")).alias("ids"), "word").mapInArrow(run, "h long, ids array<long>")
 
 
-def safe_phrases(texts: DataFrame, min_count: int, max_words: int, log_bits: int, buckets: int = 64) -> DataFrame:
-    """(ids): the Apriori-safe phrases of 2 to ``max_words`` words; each level's are added up in so many ``buckets``."""
+def safe_phrases(texts: DataFrame, min_count: int, max_words: int, log_bits: int, words: DataFrame | None = None, buckets: int = 64) -> DataFrame:
+    """(ids): the Apriori-safe phrases of 2 to ``max_words`` words; each level's are added up in so many ``buckets``. ``words`` are the hashes (h) of
+    the words in the texts, where they are known; else the first level finds them."""
     sets, tables = [], []
     for _ in range(2, max_words + 1):
-        found = written(level(texts, sets, min_count, buckets, words=not sets), "codes")  # so that no task has two Python workers at a time
+        found = written(level(texts, sets, min_count, buckets, words=words is None), "codes")  # so that no task has two Python workers at a time
         if not sets:
-            words = found.where("head is null").select(F.col("word").alias("h"))
+            words = found.where("head is null").select(F.col("word").alias("h")) if words is None else words
             last = words.select(code_of("h").alias("word"), F.col("h").alias("last"))
             before = words.select("h", F.array("h").alias("ids"))
         # a phrase's first words are a phrase of the level before, or they are too rare
@@ -350,9 +351,9 @@ def trie_counts(texts: DataFrame, tries: list) -> DataFrame:
 
 
 def phrase_counts(texts: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, log_bits: int = 26, block: int = BLOCK,
-                  per_round: int = ROUND, buckets: int = 64) -> DataFrame:
-    """(block, no, ids, a): the candidates with their exact counts."""
-    safe = written(safe_phrases(texts, min_count, max_words, log_bits, buckets), "safe")
+                  per_round: int = ROUND, words: DataFrame | None = None, buckets: int = 64) -> DataFrame:
+    """(block, no, ids, a): the candidates with their exact counts. ``words`` and ``buckets`` as in ``safe_phrases``."""
+    safe = written(safe_phrases(texts, min_count, max_words, log_bits, words, buckets), "safe")
     n_blocks = max(1, -(-safe.count() // block))
     dealt = safe.withColumn("block", F.pmod(F.xxhash64("ids"), F.lit(n_blocks)))
     blocks = written(dealt.withColumn("no", F.row_number().over(Window.partitionBy("block").orderBy("ids")) - 1), "blocks")
@@ -378,7 +379,7 @@ def phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WO
     texts = written(encoded(docs, B.bit_set(words, "h", how.get("log_bits", 26))), "encoded")
     n_words = words.agg(F.sum("n").alias("n")).first().n or 0
     buckets = max(2 * docs.sparkSession.sparkContext.defaultParallelism, -(-n_words // BUCKET))
-    found = phrase_counts(texts, min_count, max_words, buckets=buckets, **how)
+    found = phrase_counts(texts, min_count, max_words, words=words.select("h").distinct(), buckets=buckets, **how)
     # hashes back to words
     spelled = found.select("block", "no", "a", F.posexplode("ids").alias("i", "h")).join(words.select("h", "lang", "word"), "h")
     spelled = spelled.groupBy("block", "no", "a").agg(F.first("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("i", "word"))).alias("w"))
