@@ -6,10 +6,8 @@ aggregates. Cut at falling distances, the forest falls apart; a part of at least
 that large, and of a cluster and those that it splits into, the ones that last longer (sum over vectors of 1 / distance, from the cluster's
 birth until the vector leaves) are the topics.
 
-Equal vectors are one node with a weight, so copies cost nothing. Graph and forest are tables; only the forest's edges, at most
-``MAX_NODES`` (checked), come to the driver, where the hierarchy is read off in one pass over them. With more different vectors than that, the
-forest is made from the ``MAX_NODES`` first by a hash of their ids, and the others join the topic of their nearest one among those, if the
-topic reaches as far; every row gets a topic or is an outlier.
+Equal vectors are one node with a weight, so copies cost nothing. Graph and forest are tables of all nodes; none is left out, however many they are.
+The forest's edges, fewer than nodes, come to the driver, where the hierarchy is read off in one pass over them, in arrays of some 200 bytes a node.
 
 Defined results: null vectors are outliers; equal vectors share a topic; an empty table stays empty; topics are numbered by size, then by
 smallest id."""
@@ -17,9 +15,11 @@ smallest id."""
 from __future__ import annotations
 
 import math
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,7 +27,8 @@ from pyspark.sql.window import Window
 from murmur.operators.neighbours import nearest, written
 
 OUTLIER = -1
-MAX_NODES = 1_000_000
+#: Steps of the pass over the forest that are Python's numbers at once.
+STEP = 100_000
 #: Boruvka rounds end where so few edges are left between parts that they can be sorted at once.
 TAIL = 100_000
 
@@ -107,6 +108,10 @@ class Hierarchy:
     stability: dict[int, float]
 
 
+def _filled(value: int, size: int) -> array:
+    return array("q", [value]) * size
+
+
 def condense(ids: np.ndarray, weight: np.ndarray, a: np.ndarray, b: np.ndarray, w: np.ndarray, min_size: int,
              first: np.ndarray | None = None) -> Hierarchy:
     """Read the clusters off a spanning forest: nodes ``ids`` (sorted) with weights, edges (a, b, w). Topics of one size are numbered
@@ -114,11 +119,11 @@ def condense(ids: np.ndarray, weight: np.ndarray, a: np.ndarray, b: np.ndarray,
     first = ids if first is None else first
     n = len(ids)
     order = np.lexsort((b, a, w))
-    a, b, w = np.searchsorted(ids, a[order]).tolist(), np.searchsorted(ids, b[order]).tolist(), w[order].tolist()
-    # single linkage: a node from n on joins all parts that meet at one distance
-    top, size = list(range(n)), weight.tolist()
-    kids: list[list[int]] = []
-    at: list[float] = []
+    a, b, w = np.searchsorted(ids, a[order]), np.searchsorted(ids, b[order]), w[order]
+    # single linkage: a node from n on joins all parts that meet at one distance; its parts are a chain
+    top, size = array("q", range(n)), array("q", weight.astype(np.int64).tobytes())
+    head, last, after = array("q"), array("q"), _filled(-1, n)
+    at = array("d")
 
     def find(x: int) -> int:
         while top[x] != x:
@@ -126,37 +131,48 @@ def condense(ids: np.ndarray, weight: np.ndarray, a: np.ndarray, b: np.ndarray,
             x = top[x]
         return x
 
-    for x, y, d in zip(a, b, w):
-        x, y = find(x), find(y)
-        inner = [z for z in (x, y) if z >= n and at[z - n] == d]
-        if len(inner) == 2 and len(kids[x - n]) < len(kids[y - n]):
-            x, y = y, x
-        elif len(inner) == 1 and inner[0] == y:
-            x, y = y, x
-        if inner:  # x grows
-            kids[x - n].extend(kids[y - n] if len(inner) == 2 else [y])
-            size[x] += size[y]
-            top[y] = x
-        else:
-            top[x] = top[y] = len(top)
-            top.append(len(top))
-            size.append(size[x] + size[y])
-            kids.append([x, y])
-            at.append(d)
+    for s in range(0, len(w), STEP):
+        for x, y, d in zip(a[s:s + STEP].tolist(), b[s:s + STEP].tolist(), w[s:s + STEP].tolist()):
+            x, y = find(x), find(y)
+            grows, joins = x >= n and at[x - n] == d, y >= n and at[y - n] == d
+            if joins and not grows:
+                x, y, grows, joins = y, x, True, False
+            if grows:  # x takes y, or y's parts
+                more, end = (head[y - n], last[y - n]) if joins else (y, y)
+                after[last[x - n]] = more
+                last[x - n] = end
+                size[x] += size[y]
+                top[y] = x
+            else:
+                top[x] = top[y] = len(top)
+                top.append(len(top))
+                size.append(size[x] + size[y])
+                head.append(x)
+                last.append(y)
+                after[x] = y
+                after.append(-1)
+                at.append(d)
+    del a, b, w, order
+
+    def parts(x: int):
+        x = head[x - n]
+        while x >= 0:
+            yield x
+            x = after[x]
+
     roots = sorted({find(x) for x in range(n)})
     inverse = lambda d: 1 / d if d > 0 else math.inf
     # from the top down; each part at or below a cluster carries that cluster's number
     birth: list[float] = []
     up: list[int] = []
-    leave = np.zeros(n)
-    member = np.full(n, -1)
+    leave, member = array("d", bytes(8 * n)), _filled(-1, n)
     stack = []
     for r in roots:
         if size[r] >= min_size:
             stack.append((r, len(birth)))
             birth.append(0.0)
             up.append(-1)
-    last: list[list[tuple[float, float]]] = [[] for _ in birth]  # (1 / distance, weight) of what leaves
+    splitting: list[tuple[int, float, int]] = []  # (cluster, 1 / distance, weight) of the clusters that it splits into
 
     def fall(x: int, c: int, lam: float) -> None:
         inner = [x]
@@ -165,43 +181,50 @@ def condense(ids: np.ndarray, weight: np.ndarray, a: np.ndarray, b: np.ndarray,
             if y < n:
                 member[y], leave[y] = c, lam
             else:
-                inner.extend(kids[y - n])
+                inner.extend(parts(y))
 
     while stack:
         x, c = stack.pop()
         if x < n:  # a single node that is heavy enough: it never falls apart
             member[x], leave[x] = c, math.inf
-            last[c].append((math.inf, size[x]))
             continue
         lam = inverse(at[x - n])
-        parts = kids[x - n]
-        splits = sum(size[y] >= min_size for y in parts) > 1
-        for y in parts:
+        splits = False
+        for i, y in enumerate(z for z in parts(x) if size[z] >= min_size):
+            if i == 1:
+                splits = True
+                break
+        for y in parts(x):
             if size[y] < min_size:
-                last[c].append((lam, size[y]))
                 fall(y, c, lam)
             elif splits:
-                last[c].append((lam, size[y]))
+                splitting.append((c, lam, size[y]))
                 stack.append((y, len(birth)))
                 birth.append(lam)
                 up.append(c)
-                last.append([])
             else:
                 stack.append((y, c))
-    finite = [x for v in last for x, _ in v if x < math.inf]
-    cap = 2 * max(finite, default=1.0)  # equal vectors last as long as twice the longest of the others
-    stability = [sum((min(x, cap) - min(birth[c], cap)) * s for x, s in last[c]) for c in range(len(birth))]
+    single = len(roots) == 1
+    del top, size, head, last, after, at, roots
+    lam, own = np.frombuffer(leave, dtype=float) if n else np.zeros(0), np.frombuffer(member, dtype=np.int64) if n else np.zeros(0, np.int64)
+    inside = own >= 0
+    most = max([float(lam[inside & np.isfinite(lam)].max(initial=0.0)), *(x for _, x, _ in splitting if x < math.inf)])
+    cap = 2 * most if most > 0 else 2.0  # equal vectors last as long as twice the longest of the others
+    lam = np.minimum(lam, cap)
+    begun = np.minimum(np.array(birth), cap)
+    stability = np.bincount(own[inside], (lam[inside] - begun[own[inside]]) * weight[inside], len(birth))
+    for c, x, much in splitting:
+        stability[c] += (min(x, cap) - begun[c]) * much
     below: dict[int, list[int]] = {}
     for c, u in enumerate(up):
         below.setdefault(u, []).append(c)
-    single = len(roots) == 1
-    chosen, best = [False] * len(birth), list(stability)
+    chosen, best = [False] * len(birth), stability.tolist()
     for c in reversed(range(len(birth))):
-        parts = below.get(c, [])
-        inner = sum(best[p] for p in parts)
-        if up[c] == -1 and single and parts:  # everything is no topic, if it splits
+        kids = below.get(c, [])
+        inner = sum(best[p] for p in kids)
+        if up[c] == -1 and single and kids:  # everything is no topic, if it splits
             chosen[c], best[c] = False, inner
-        elif parts and inner > stability[c]:
+        elif kids and inner > stability[c]:
             best[c] = inner
         else:
             chosen[c] = True
@@ -210,22 +233,27 @@ def condense(ids: np.ndarray, weight: np.ndarray, a: np.ndarray, b: np.ndarray,
     for c in range(len(birth)):
         u = up[c]
         owner[c] = owner[u] if u >= 0 and owner[u] >= 0 else c if chosen[c] else -1
-    own = np.array([owner[c] if c >= 0 else -1 for c in member.tolist()])
-    found = sorted({c for c in own.tolist() if c >= 0}, key=lambda c: (-int(weight[own == c].sum()), int(first[own == c].min())))
-    number = {c: i for i, c in enumerate(found)}
-    topic = np.array([number.get(c, OUTLIER) for c in own.tolist()], dtype=np.int64)
-    strength = np.zeros(n)
-    for c, i in number.items():
-        mine = topic == i
-        lam = np.minimum(leave[mine], cap)
-        strength[mine] = lam / lam.max()
-    return Hierarchy(topic, strength, {i: 1 / birth[c] if birth[c] > 0 else math.inf for c, i in number.items()}, {i: stability[c] for c, i in number.items()})
+    own = np.array([*owner, -1], dtype=np.int64)[own]  # a node of no cluster has the last one, -1
+    mine = np.flatnonzero(own >= 0)
+    found, place = np.unique(own[mine], return_inverse=True)
+    heavy, least, longest = np.zeros(len(found), np.int64), np.full(len(found), np.iinfo(np.int64).max), np.zeros(len(found))
+    np.add.at(heavy, place, weight[mine])
+    np.minimum.at(least, place, first[mine])
+    np.maximum.at(longest, place, lam[mine])
+    order = np.lexsort((least, -heavy))
+    number = np.empty(len(found), np.int64)
+    number[order] = np.arange(len(found))
+    topic, strength = np.full(n, OUTLIER, np.int64), np.zeros(n)
+    topic[mine], strength[mine] = number[place], lam[mine] / longest[place]
+    return Hierarchy(topic, strength, {i: 1 / birth[c] if birth[c] > 0 else math.inf for i, c in enumerate(found[order].tolist())},
+                     {i: float(stability[c]) for i, c in enumerate(found[order].tolist())})
 
 
 def density_topics(docs: DataFrame, doc: str = "comment_id", vec: str = "embedding", min_size: int = 10, min_samples: int | None = None,
-                   neighbours: int = 15, max_nodes: int = MAX_NODES, tail: int = TAIL) -> DataFrame:
+                   neighbours: int = 15, max_nodes: int | None = None, tail: int = TAIL) -> DataFrame:
     """``docs`` with topic_id (-1: outlier), topic_prob (how long the
-    row stays in its topic, 0 to 1; 0 for outliers)."""
+    row stays in its topic, 0 to 1; 0 for outliers). All different vectors are nodes; ``max_nodes``, a bound on them in earlier
+    versions, is taken and has no effect."""
     min_samples = min_samples or min_size
     if min_samples > min_size:
         raise ValueError("min_samples can't be above min_size")
@@ -238,23 +266,12 @@ def density_topics(docs: DataFrame, doc: str = "comment_id", vec: str = "embeddi
     rows = docs.withColumn(v_, own)
     nodes = written(rows.where(F.col(v_).isNotNull()).groupBy(F.col(v_).alias("_vec")).agg(F.min(F.col(doc).cast("long")).alias("first"), F.count("*").alias("weight"))
                     .select(F.xxhash64("_vec").alias("id"), F.col("_vec").alias("vec"), "weight", "first"), "nodes")
-    n = nodes.count()
-    fit = nodes if n <= max_nodes else written(nodes.orderBy(F.xxhash64("id"), "id").limit(max_nodes), "nodes")
-    edges, core = reach_graph(fit, min_samples, neighbours)
-    forest = spanning_forest(edges, tail).toPandas()  # fewer edges than nodes
-    table = fit.select("id", "weight", F.coalesce("first", F.lit(2**63 - 1)).alias("first")).orderBy("id").toPandas()
-    h = condense(table["id"].to_numpy(), table["weight"].to_numpy(), forest["a"].to_numpy(), forest["b"].to_numpy(), forest["w"].to_numpy(), min_size,
-                 table["first"].to_numpy())
-    table["topic"], table["strength"] = h.topic, h.strength
-    named = spark.createDataFrame(table[["id", "topic", "strength"]], "id long, topic long, strength double")
-    if n > max_nodes:
-        reach = spark.createDataFrame([(OUTLIER, 0.0), *h.reach.items()], "topic long, reach double")
-        other = nodes.join(named, "id", "left_anti")
-        met = nearest(other, fit, 1).select("id", F.col("found")[0]["d"].alias("d"), F.col("found")[0]["id"].alias("other"))
-        met = met.join(named.join(core, "id").withColumnRenamed("id", "other"), "other").join(reach, "topic")
-        inside = (F.col("topic") >= 0) & (F.greatest("d", "core") <= F.col("reach"))
-        named = named.unionByName(met.select("id", F.when(inside, F.col("topic")).otherwise(F.lit(OUTLIER)).alias("topic"),
-                                             F.when(inside, F.col("strength")).otherwise(F.lit(0.0)).alias("strength")))
+    edges, _ = reach_graph(nodes, min_samples, neighbours)
+    forest = spanning_forest(edges, tail).toArrow()  # fewer edges than nodes
+    table = nodes.select("id", "weight", F.coalesce("first", F.lit(2**63 - 1)).alias("first")).toArrow().sort_by("id")
+    h = condense(*(table[c].to_numpy() for c in ("id", "weight")), *(forest[c].to_numpy() for c in ("a", "b", "w")), min_size, table["first"].to_numpy())
+    found = pa.table({"id": table["id"], "topic": pa.array(h.topic, pa.int64()), "strength": pa.array(h.strength, pa.float64())})
+    named = spark.createDataFrame(found, "id long, topic long, strength double")
     named = written(named.join(nodes.select("id", F.col("vec").alias(v_)), "id").select(v_, F.col("topic").alias(t_), F.col("strength").alias(s_)), "topics")
     out = rows.join(named, v_, "left").drop(v_)
     topic = F.coalesce(t_, F.lit(OUTLIER)).cast("int")
