@@ -22,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from murmur.operators.neighbours import nearest, written
 
@@ -33,18 +32,38 @@ STEP = 100_000
 TAIL = 100_000
 
 
-def reach_graph(nodes: DataFrame, min_samples: int, k: int) -> tuple[DataFrame, DataFrame]:
-    """``nodes`` (id, vec, weight) -> (a, b, w) edges with a < b, and (id, core)."""
-    found = nearest(nodes, nodes, k + 1)  # a node finds itself
-    flat = written(found.select("id", F.posexplode("found").alias("i", "f")).select("id", "i", F.col("f.d").alias("d"), F.col("f.id").alias("other")), "knn")
-    near = flat.join(nodes.select(F.col("id").alias("other"), "weight"), "other")
-    so_far = F.sum("weight").over(Window.partitionBy("id").orderBy("i"))  # k + 1 rows a node
-    core = near.withColumn("n", so_far).groupBy("id").agg(F.min(F.when(F.col("n") >= min_samples, F.col("d"))).alias("core"))
-    core = written(core.select("id", F.coalesce("core", F.lit(float("inf"))).alias("core")), "core")
-    w = F.greatest("d", "core", "other_core")
-    edges = flat.where("id <> other").join(core, "id").join(core.select(F.col("id").alias("other"), F.col("core").alias("other_core")), "other")
-    edges = edges.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), w.alias("w")).where(F.col("w") < float("inf"))
-    return edges.distinct(), core
+def reach_graph(nodes: DataFrame, min_samples: int, k: int) -> DataFrame:
+    """``nodes`` (id, vec, weight) -> (a, b, w) edges with a < b, and the cell of one end, near which the other one mostly lies."""
+    weight = lambda i: F.aggregate(F.slice("found", 1, i + 1), F.lit(0).cast("long"), lambda acc, x: acc + x["weight"])
+    reach = F.array_min(F.transform("found", lambda x, i: F.when(weight(i) >= min_samples, x["d"])))  # k + 1 neighbours a row
+    found = written(nearest(nodes, nodes, k + 1).withColumn("core", reach), "knn")  # a node finds itself
+    found = found.where("core is not null")  # one that reaches too few has no edge
+    flat = found.select("id", "cell", "core", F.explode("found").alias("f")).where("f.id <> id")
+    flat = flat.select("id", "cell", F.col("f.id").alias("other"), F.greatest("f.d", "core").alias("w"))
+    core = found.select("id", "core")
+    met = flat.join(core.select(F.col("id").alias("other"), F.col("core").alias("other_core")), "other")
+    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), F.greatest("w", "other_core").alias("w"), "cell")
+
+
+def local_forests(edges: DataFrame) -> DataFrame:
+    """(a, b, w): of (a, b, w, cell), the minimum spanning forest of each cell's edges, ties by a, then b. What a part of the edges
+    doesn't need, the whole doesn't either."""
+    def forest(t: pa.Table) -> pa.Table:
+        a, b, w = (t.column(c).to_numpy() for c in ("a", "b", "w"))
+        names, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+        order = np.lexsort((b, a, w))
+        top, keep = list(range(len(names))), []
+        for e, x, y in zip(order.tolist(), place[:len(a)][order].tolist(), place[len(a):][order].tolist()):
+            while top[x] != x:
+                top[x] = x = top[top[x]]
+            while top[y] != y:
+                top[y] = y = top[top[y]]
+            if x != y:
+                top[x] = y
+                keep.append(e)
+        return t.select(["a", "b", "w"]).take(pa.array(keep, pa.int64()))
+
+    return edges.groupBy("cell").applyInArrow(forest, "a long, b long, w double").distinct()
 
 
 def _kruskal(edges: list[tuple]) -> list[tuple]:
@@ -262,18 +281,15 @@ def density_topics(docs: DataFrame, doc: str = "comment_id", vec: str = "embeddi
     spark = docs.sparkSession
     own = F.transform(F.col(vec), lambda x: x.cast("double") + F.lit(0.0))  # no negative zeros
     taken = {c.lower() for c in docs.columns}
-    v_, t_, s_ = (next(x for i in range(1, len(taken) + 2) if (x := "_" * i + name) not in taken) for name in ("vec", "topic", "strength"))  # no column of ``docs``
-    rows = docs.withColumn(v_, own)
-    nodes = written(rows.where(F.col(v_).isNotNull()).groupBy(F.col(v_).alias("_vec")).agg(F.min(F.col(doc).cast("long")).alias("first"), F.count("*").alias("weight"))
+    n_, t_, s_ = (next(x for i in range(1, len(taken) + 2) if (x := "_" * i + name) not in taken) for name in ("node", "topic", "strength"))  # no column of ``docs``
+    nodes = written(docs.where(F.col(vec).isNotNull()).groupBy(own.alias("_vec")).agg(F.min(F.col(doc).cast("long")).alias("first"), F.count("*").alias("weight"))
                     .select(F.xxhash64("_vec").alias("id"), F.col("_vec").alias("vec"), "weight", "first"), "nodes")
-    edges, _ = reach_graph(nodes, min_samples, neighbours)
-    forest = spanning_forest(edges, tail).toArrow()  # fewer edges than nodes
+    forest = spanning_forest(local_forests(reach_graph(nodes, min_samples, neighbours)), tail).toArrow()  # fewer edges than nodes
     table = nodes.select("id", "weight", F.coalesce("first", F.lit(2**63 - 1)).alias("first")).toArrow().sort_by("id")
     h = condense(*(table[c].to_numpy() for c in ("id", "weight")), *(forest[c].to_numpy() for c in ("a", "b", "w")), min_size, table["first"].to_numpy())
     found = pa.table({"id": table["id"], "topic": pa.array(h.topic, pa.int64()), "strength": pa.array(h.strength, pa.float64())})
-    named = spark.createDataFrame(found, "id long, topic long, strength double")
-    named = written(named.join(nodes.select("id", F.col("vec").alias(v_)), "id").select(v_, F.col("topic").alias(t_), F.col("strength").alias(s_)), "topics")
-    out = rows.join(named, v_, "left").drop(v_)
+    named = written(spark.createDataFrame(found, "id long, topic long, strength double"), "topics").toDF(n_, t_, s_)
+    out = docs.withColumn(n_, F.when(F.col(vec).isNotNull(), F.xxhash64(own))).join(named, n_, "left").drop(n_)
     topic = F.coalesce(t_, F.lit(OUTLIER)).cast("int")
     strength = F.coalesce(s_, F.lit(0.0))
     return out.withColumn("topic_id", topic).withColumn("topic_prob", strength).drop(t_, s_)
